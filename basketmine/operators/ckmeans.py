@@ -140,7 +140,13 @@ class ConstrainedKMeans:
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
 
     def fit(self, baskets: DataFrame) -> ConstrainedKMeansModel:
+        """Three actions: the seed draw, the assignments (cached), and the
+        centroids (cached, small).  The encoded input is cached for the first
+        two unless the caller has cached it already, then released."""
+        own_cache = not baskets.is_cached
         base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
+        if own_cache:
+            base = keep(base)
         seeds = draw_seeds(base, self.k, self.seed)
         seed_of = F.create_map(*[x for c, b, _ in seeds for x in (F.lit(b), F.lit(c))])
         centres = seed_array([(c, items) for c, _, items in seeds])
@@ -165,7 +171,11 @@ class ConstrainedKMeans:
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
 
+        assignments.count()
         centroids = keep(self._centroids(assignments, seeds))
+        centroids.count()
+        if own_cache:
+            base.unpersist()
         return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids)
 
     def _centroids(self, assignments: DataFrame, seeds) -> DataFrame:

@@ -47,14 +47,23 @@ def basket_categories(baskets: DataFrame, catalog: DataFrame, mode: str = "exact
 
 def encode_baskets(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
                    keys: tuple[str, ...] = ("basket_id", "customer_id"),
-                   item_col: str = "item") -> DataFrame:
+                   item_col: str = "item", header: DataFrame | None = None) -> DataFrame:
     """``keys + items``: sorted distinct categories of each basket.
 
     The OR over a basket's products is ``collect_set``, which aggregates
     partially on the map side, so a very large basket is reduced per input
     partition before the shuffle.  A basket none of whose items match gets
     ``items = []``.
+
+    ``header`` (one row per basket, e.g. ``basket_id, customer_id``): the
+    categories are aggregated per ``basket_id`` from the item rows alone and
+    then left-joined to the header, so the join sees one row per basket and
+    header baskets without any item rows come out with ``items = []``.
     """
+    if header is not None:
+        enc = encode_baskets(baskets, catalog, mode, ("basket_id",), item_col)
+        return (header.join(enc, "basket_id", "left")
+                .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
     keys = tuple(k for k in keys if k in baskets.columns)
     long_form = basket_categories(baskets, catalog, mode, item_col)
     return long_form.groupBy(*keys).agg(F.array_sort(F.collect_set("category")).alias("items"))

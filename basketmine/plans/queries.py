@@ -19,6 +19,7 @@ from basketmine.operators.metrics import ari_table, contingency, join_labelings,
 from basketmine.operators.mining import association_rules, fit_fpgrowth, frequent_itemsets
 from basketmine.operators.selection import best_k_from_trials, select_k_constrained
 from basketmine.plans.promote import promote
+from basketmine.session import keep
 from basketmine.sources import tables
 
 # Fixed parameters of the registered queries.
@@ -45,11 +46,11 @@ def catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def training(spark: SparkSession, sf: str) -> DataFrame:
-    return encode_baskets(tables.training_baskets(spark, sf), catalog(spark, sf))
+    return tables.encoded_training(spark, sf, catalog(spark, sf))
 
 
 def incoming(spark: SparkSession, sf: str) -> DataFrame:
-    return encode_baskets(tables.incoming_order_baskets(spark, sf), catalog(spark, sf))
+    return tables.encoded_incoming(spark, sf, catalog(spark, sf))
 
 
 def model(spark: SparkSession, sf: str, k: int = K) -> ConstrainedKMeansModel:
@@ -82,14 +83,14 @@ def q_match_substring(spark, sf):
 
 
 def q_basket_encode(spark, sf):
-    enc = encode_baskets(tables.order_baskets(spark, sf), catalog(spark, sf))
+    enc = tables.encoded_orders(spark, sf, catalog(spark, sf))
     return enc.select("basket_id", "customer_id", F.size("items").alias("n_items"), joined("items").alias("categories"))
 
 
 def q_basket_vectors(spark, sf):
     cat = catalog(spark, sf)
     vocab = vocabulary(cat)
-    enc = encode_baskets(tables.order_baskets(spark, sf), cat)
+    enc = tables.encoded_orders(spark, sf, cat)
     vec = to_vectors(enc, vocab)
     idx = F.filter(F.transform(vector_to_array("features"), lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull())
     dec = from_vectors(vec.select("basket_id", "features"), vocab, items_col="decoded")
@@ -152,7 +153,7 @@ def q_cluster_members(spark, sf):
 # --- clustering comparison and selection -------------------------------------
 
 def _two_labelings(spark, sf):
-    enc = training(spark, sf)
+    enc = keep(training(spark, sf))
     a = ConstrainedKMeans(K, ITERATIONS, SEED).fit(enc).predict(enc)
     b = ConstrainedKMeans(K_NEXT, ITERATIONS, SEED).fit(enc).predict(enc)
     return join_labelings(a.select(F.col("basket_id").alias("row_id"), F.col("prediction").alias("label")),

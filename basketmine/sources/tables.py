@@ -37,15 +37,31 @@ def orders(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
     return o.select(F.col("o_orderkey").alias("basket_id"), F.col("o_custkey").alias("customer_id"))
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rows ``(basket_id, item)`` of all orders."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").cast("string").alias("item"))
+
+
 def order_baskets(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
                   exclude: bool = False) -> DataFrame:
     """Long-form baskets ``(basket_id, customer_id, item)``.
 
     A left join keeps orders without line items as one row with a NULL item.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").cast("string").alias("item"))
-    return orders(spark, sf_dir, statuses, exclude).join(li, "basket_id", "left")
+    return orders(spark, sf_dir, statuses, exclude).join(line_items(spark, sf_dir), "basket_id", "left")
+
+
+def encoded_orders(spark: SparkSession, sf_dir: str, catalog: DataFrame, statuses: list[str] | None = None,
+                   exclude: bool = False, mode: str = "exact") -> DataFrame:
+    """Encoded baskets ``(basket_id, customer_id, items)`` of the selected orders.
+
+    Line items are matched to categories and reduced to one row per order
+    before they meet the orders table.
+    """
+    from basketmine.operators.encode import encode_baskets
+    return encode_baskets(line_items(spark, sf_dir), catalog, mode,
+                          header=orders(spark, sf_dir, statuses, exclude))
 
 
 # Training baskets are the orders whose status is not open; the open orders are
@@ -59,3 +75,11 @@ def training_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incoming_order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_baskets(spark, sf_dir, OPEN_STATUS)
+
+
+def encoded_training(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> DataFrame:
+    return encoded_orders(spark, sf_dir, catalog, OPEN_STATUS, exclude=True)
+
+
+def encoded_incoming(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> DataFrame:
+    return encoded_orders(spark, sf_dir, catalog, OPEN_STATUS)
