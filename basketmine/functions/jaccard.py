@@ -26,8 +26,10 @@ def dontcare_distance(ones: Column, support: Column, basket: Column) -> Column:
     m11 = F.size(F.array_intersect(ones, basket))
     m10 = F.size(ones) - m11
     m01 = F.size(basket) - F.size(F.array_intersect(support, basket))
-    num = m01 + m10
-    den = m11 + m01 + m10
+    return _float_ratio(m01 + m10, m11 + m01 + m10)
+
+
+def _float_ratio(num: Column, den: Column) -> Column:
     # float division as in a 32-bit quotient: the double quotient of two small
     # integers rounded to float is the correctly rounded float quotient
     quotient = (num.cast("double") / den.cast("double")).cast("float").cast("double")
@@ -35,15 +37,19 @@ def dontcare_distance(ones: Column, support: Column, basket: Column) -> Column:
 
 
 def jaccard_distance(a: Column, b: Column) -> Column:
-    """Distance of two binary sets; NaN when both are empty."""
-    return dontcare_distance(a, a, b)
+    """Distance of two binary sets; NaN when both are empty.  One intersection:
+    M11 = |a & b|, M01 + M10 = |a| + |b| - 2 M11."""
+    m11 = F.size(F.array_intersect(a, b))
+    diff = F.size(a) + F.size(b) - m11 * 2
+    return _float_ratio(diff, diff + m11)
 
 
 def seed_array(seeds: Sequence[tuple[int, Sequence[str]]]) -> Column:
     """Literal ``array<struct<cid int, ones array<string>, support array<string>>>``
-    for binary seeds ``(cluster_id, items)``."""
+    for binary seeds ``(cluster_id, items)``; ``support`` is NULL, which marks
+    a binary centre (ones = support)."""
     return F.array(*[F.struct(F.lit(int(cid)).alias("cid"), _str_array(items).alias("ones"),
-                              _str_array(items).alias("support")) for cid, items in seeds])
+                              F.lit(None).cast("array<string>").alias("support")) for cid, items in seeds])
 
 
 def centroid_array(centroids: Sequence[tuple[int, Sequence[str], Sequence[str]]]) -> Column:
@@ -54,8 +60,11 @@ def centroid_array(centroids: Sequence[tuple[int, Sequence[str], Sequence[str]]]
 
 def distances_to(centres: Column, basket: Column) -> Column:
     """``array<struct<d double, cid int>>``: distance of the basket to every centre."""
-    return F.transform(centres, lambda c: F.struct(
-        dontcare_distance(c["ones"], c["support"], basket).alias("d"), c["cid"].alias("cid")))
+    def one(c):
+        d = F.when(c["support"].isNull(), jaccard_distance(c["ones"], basket)) \
+            .otherwise(dontcare_distance(c["ones"], c["support"], basket))
+        return F.struct(d.alias("d"), c["cid"].alias("cid"))
+    return F.transform(centres, one)
 
 
 def nearest(centres: Column, basket: Column) -> Column:

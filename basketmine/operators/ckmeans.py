@@ -1,7 +1,7 @@
 """Must-link-constrained Jaccard k-means: one customer, one cluster.
 
-Stated as relational steps (fit = three Spark actions: draw the seeds, the
-link aggregate + assignments, the centroid aggregate):
+Stated as relational steps (fit = four Spark actions: draw the seeds, the
+link aggregate, the assignments, the centroid aggregate):
 
   seeds(basket_id, cluster_id)   k baskets first in md5('<seed>:<basket_id>') order,
                                  numbered 0..k-1 in that order
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketmine.functions.jaccard import centroid_array, distances_to, nearest, seed_array
@@ -140,9 +140,11 @@ class ConstrainedKMeans:
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
 
     def fit(self, baskets: DataFrame) -> ConstrainedKMeansModel:
-        """Three actions: the seed draw, the assignments (cached), and the
-        centroids (cached, small).  The encoded input is cached for the first
-        two unless the caller has cached it already, then released."""
+        """Four actions: the seed draw (top-k), the link table, the assignments
+        and the centroids (all three cached).  The encoded input is cached
+        until the links are built unless the caller has cached it already; the
+        per-basket distances are computed once and released after the
+        assignments are built."""
         own_cache = not baskets.is_cached
         base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
         if own_cache:
@@ -151,16 +153,19 @@ class ConstrainedKMeans:
         seed_of = F.create_map(*[x for c, b, _ in seeds for x in (F.lit(b), F.lit(c))])
         centres = seed_array([(c, items) for c, _, items in seeds])
 
-        flagged = (base
-                   .withColumn("seed_cluster", F.try_element_at(seed_of, F.col("basket_id")).cast("int"))
-                   .withColumn("is_seed", F.col("seed_cluster").isNotNull())
-                   .withColumn("nearest", nearest(centres, F.col("items"))["cid"]))
+        flagged = keep(base
+                       .withColumn("seed_cluster", F.try_element_at(seed_of, F.col("basket_id")).cast("int"))
+                       .withColumn("is_seed", F.col("seed_cluster").isNotNull())
+                       .withColumn("nearest", nearest(centres, F.col("items"))["cid"]))
 
         # One row per customer; min_by skips rows whose ordering is NULL (the seeds).
         links = keep(flagged.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
             F.min_by("nearest", F.when(~F.col("is_seed"), F.col("basket_id"))).alias("anchor"),
             F.min("seed_cluster").alias("_seed_min"))
             .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
+        links.count()
+        if own_cache:
+            base.unpersist()
 
         label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", "nearest"))
         label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", "nearest"))
@@ -170,12 +175,10 @@ class ConstrainedKMeans:
             .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster", "nearest",
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
-
         assignments.count()
+        flagged.unpersist()
         centroids = keep(self._centroids(assignments, seeds))
         centroids.count()
-        if own_cache:
-            base.unpersist()
         return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids)
 
     def _centroids(self, assignments: DataFrame, seeds) -> DataFrame:
@@ -186,8 +189,9 @@ class ConstrainedKMeans:
         if self.iterations == 0:
             return seed_long.withColumn("weight", F.lit(1.0))
 
-        # One row per (which labelling, cluster, category); a NULL category
-        # counts the baskets themselves, so empty baskets enter the counts.
+        # One row per (which labelling, cluster, category) and one per seed
+        # category (w = -1); a NULL category counts the baskets themselves, so
+        # empty baskets enter the counts.  One aggregate over the assignments.
         labels = [F.struct(F.lit(0).alias("w"), F.col("label_0").alias("c"))]
         if self.iterations >= 2:
             labels.append(F.struct(F.lit(1).alias("w"), F.col("cluster_id").alias("c")))
@@ -195,22 +199,19 @@ class ConstrainedKMeans:
                   .select(F.explode(F.array(*labels)).alias("l"),
                           F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("category"))
                   .groupBy(F.col("l.w").alias("w"), F.col("l.c").alias("cluster_id"), "category")
-                  .agg(F.count(F.lit(1)).alias("n")))
-
-        per_cat = (counts.where(F.col("category").isNotNull())
-                   .select("cluster_id", "category",
-                           F.when(F.col("w") == 0, F.col("n")).otherwise(0).alias("s0"),
-                           F.when(F.col("w") == 1, F.col("n")).otherwise(0).alias("s1"),
-                           F.lit(0).alias("sd"))
-                   .unionByName(seed_long.select("cluster_id", "category", F.lit(0).cast("long").alias("s0"),
-                                                 F.lit(0).cast("long").alias("s1"), F.lit(1).alias("sd")))
-                   .groupBy("cluster_id", "category")
-                   .agg(F.sum("s0").alias("s0"), F.sum("s1").alias("s1"), F.sum("sd").alias("sd")))
-        sizes = (counts.where(F.col("category").isNull()).groupBy("cluster_id")
-                 .agg(F.sum(F.when(F.col("w") == 0, F.col("n")).otherwise(0)).alias("n0"),
-                      F.sum(F.when(F.col("w") == 1, F.col("n")).otherwise(0)).alias("n1")))
-        # sizes holds at most k rows
-        joined = per_cat.join(F.broadcast(sizes), "cluster_id", "left").fillna(0, ["n0", "n1"])
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .unionByName(seed_long.select(F.lit(-1).alias("w"), "cluster_id", "category",
+                                                F.lit(1).cast("long").alias("n"))))
+        # at most 2 x k x (categories + 1) rows from here on
+        per_cluster = Window.partitionBy("cluster_id")
+        size = lambda w: F.coalesce(F.sum(F.when((F.col("w") == w) & F.col("category").isNull(), F.col("n")))
+                                    .over(per_cluster), F.lit(0))
+        part = lambda w: F.sum(F.when(F.col("w") == w, F.col("n")).otherwise(0))
+        joined = (counts.withColumn("n0", size(0)).withColumn("n1", size(1))
+                  .where(F.col("category").isNotNull())
+                  .groupBy("cluster_id", "category")
+                  .agg(part(-1).alias("sd"), part(0).alias("s0"), part(1).alias("s1"),
+                       F.first("n0").alias("n0"), F.first("n1").alias("n1")))
         w = (F.col("sd") + F.col("s0")).cast("double") / (F.col("n0") + 1).cast("double")
         for _ in range(2, self.iterations + 1):
             w = (w + F.col("s1").cast("double")) / (F.col("n1") + 1).cast("double")

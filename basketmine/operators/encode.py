@@ -62,7 +62,11 @@ def encode_baskets(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
     """
     if header is not None:
         enc = encode_baskets(baskets, catalog, mode, ("basket_id",), item_col)
-        return (header.join(enc, "basket_id", "left")
+        # Sort-merge join: the aggregated side is already hash-partitioned on
+        # basket_id and stays in place; only the header (one row per basket)
+        # moves, and the result keeps that partitioning for the row-local
+        # distance work downstream.
+        return (header.join(enc.hint("merge"), "basket_id", "left")
                 .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
     keys = tuple(k for k in keys if k in baskets.columns)
     long_form = basket_categories(baskets, catalog, mode, item_col)

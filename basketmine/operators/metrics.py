@@ -9,12 +9,12 @@ over the cells of label_a = 0 only, as a loop that never resets its column
 counter does.
 
 Everything is one contingency aggregate (partial aggregation: each task sends
-at most k1 x k2 rows) plus aggregates over that small table.
+at most k1 x k2 rows) plus window and global aggregates over that small table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NAN = float("nan")
@@ -39,23 +39,34 @@ def contingency(df: DataFrame, a: str = "label_a", b: str = "label_b") -> DataFr
 
 def marginals(cont: DataFrame) -> DataFrame:
     """``(side, label, n)``: row sums (side 'a') and column sums (side 'b')."""
-    rows = cont.groupBy(F.col("label_a").alias("label")).agg(F.sum("n").alias("n")).withColumn("side", F.lit("a"))
-    cols = cont.groupBy(F.col("label_b").alias("label")).agg(F.sum("n").alias("n")).withColumn("side", F.lit("b"))
-    return rows.unionByName(cols).select("side", "label", "n")
+    both = F.array(F.struct(F.lit("a").alias("side"), F.col("label_a").alias("label"), F.col("n").alias("n")),
+                   F.struct(F.lit("b").alias("side"), F.col("label_b").alias("label"), F.col("n").alias("n")))
+    return (cont.select(F.explode(both).alias("m"))
+            .groupBy(F.col("m.side").alias("side"), F.col("m.label").alias("label"))
+            .agg(F.sum("m.n").alias("n")))
 
 
 def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_first_row: bool = False) -> DataFrame:
-    """One row: ``n, index, sum_a, sum_b, expected, max_index, ari``."""
+    """One row: ``n, index, sum_a, sum_b, expected, max_index, ari``.
+
+    The labelled rows are read once: the contingency table (at most k1 x k2
+    rows) carries its row and column sums as window aggregates, and one global
+    aggregate reads each row sum and column sum from the first cell of its row
+    or column.
+    """
     cont = contingency(df, a, b)
-    cells = cont.where(F.col("label_a") == 0) if compat_first_row else cont
-    parts = (cells.select(F.lit("cell").alias("kind"), "n")
-             .unionByName(cont.select(F.lit("total").alias("kind"), "n"))
-             .unionByName(marginals(cont).select(F.col("side").alias("kind"), "n")))
-    sums = parts.agg(
-        F.sum(F.when(F.col("kind") == "total", F.col("n"))).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("kind") == "cell", pairs(F.col("n")))), F.lit(0.0)).alias("index"),
-        F.sum(F.when(F.col("kind") == "a", pairs(F.col("n")))).alias("sum_a"),
-        F.sum(F.when(F.col("kind") == "b", pairs(F.col("n")))).alias("sum_b"))
+    by_a, by_b = Window.partitionBy("label_a"), Window.partitionBy("label_b")
+    cells = (cont
+             .withColumn("row_n", F.sum("n").over(by_a))
+             .withColumn("row_first", F.row_number().over(by_a.orderBy("label_b")) == 1)
+             .withColumn("col_n", F.sum("n").over(by_b))
+             .withColumn("col_first", F.row_number().over(by_b.orderBy("label_a")) == 1))
+    in_index = (F.col("label_a") == 0) if compat_first_row else F.lit(True)
+    sums = cells.agg(
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(in_index, pairs(F.col("n")))), F.lit(0.0)).alias("index"),
+        F.sum(F.when(F.col("row_first"), pairs(F.col("row_n")))).alias("sum_a"),
+        F.sum(F.when(F.col("col_first"), pairs(F.col("col_n")))).alias("sum_b"))
     pn = pairs(F.col("n"))
     expected = F.when(pn == 0, F.lit(NAN)).otherwise(F.col("sum_a") * F.col("sum_b") / pn)
     max_index = F.lit(0.5) * (F.col("sum_a") + F.col("sum_b"))
