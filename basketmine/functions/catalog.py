@@ -55,7 +55,7 @@ def category_list_segments(catalog_levels: DataFrame) -> DataFrame:
     listed in sorted order, so the first segment carries the list prefix and
     the last one the suffix.
     """
-    pc = product_categories(catalog_levels)
+    pc = product_categories(catalog_levels).withColumn("product", F.col("product").cast("string"))
     ends = pc.groupBy("category").agg(F.min("product").alias("_first"), F.max("product").alias("_last"))
     return (pc.join(ends, "category")
             .select("category", F.concat(
@@ -89,7 +89,8 @@ def substring_matches(items: DataFrame, catalog_levels: DataFrame, item_col: str
     """
     segs = category_list_segments(catalog_levels)
     index = segs.select("category", "segment", F.explode(_grams(F.col("segment"), GRAM)).alias("key"))
-    wanted = (items.select(F.col(item_col).alias("item")).where(F.col("item").isNotNull() & (F.col("item") != ""))
+    wanted = (items.select(F.col(item_col).cast("string").alias("item"))
+              .where(F.col("item").isNotNull() & (F.col("item") != ""))
               .distinct()
               .withColumn("key", F.substring("item", 1, GRAM)))
     return (wanted.join(index, "key")

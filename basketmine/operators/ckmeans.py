@@ -1,7 +1,7 @@
 """Must-link-constrained Jaccard k-means: one customer, one cluster.
 
-Stated as relational steps (fit = four Spark actions: draw the seeds, the
-link aggregate, the assignments, the centroid aggregate):
+Stated as relational steps (fit = two Spark actions: draw the seeds, then
+distances + link aggregate + assignments; centroids are a lazy aggregate):
 
   seeds(basket_id, cluster_id)   k baskets first in md5('<seed>:<basket_id>') order,
                                  numbered 0..k-1 in that order
@@ -140,11 +140,11 @@ class ConstrainedKMeans:
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
 
     def fit(self, baskets: DataFrame) -> ConstrainedKMeansModel:
-        """Four actions: the seed draw (top-k), the link table, the assignments
-        and the centroids (all three cached).  The encoded input is cached
-        until the links are built unless the caller has cached it already; the
-        per-basket distances are computed once and released after the
-        assignments are built."""
+        """Two actions: the seed draw (top-k) and one job that builds the
+        per-basket distances, the link table and the assignments (links and
+        assignments stay cached).  The encoded input is cached for these two
+        unless the caller has cached it already.  Centroids are a lazy, cached
+        aggregate of the assignments."""
         own_cache = not baskets.is_cached
         base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
         if own_cache:
@@ -163,9 +163,6 @@ class ConstrainedKMeans:
             F.min_by("nearest", F.when(~F.col("is_seed"), F.col("basket_id"))).alias("anchor"),
             F.min("seed_cluster").alias("_seed_min"))
             .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
-        links.count()
-        if own_cache:
-            base.unpersist()
 
         label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", "nearest"))
         label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", "nearest"))
@@ -175,10 +172,11 @@ class ConstrainedKMeans:
             .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster", "nearest",
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
-        assignments.count()
+        assignments.count()          # materialises flagged, links and assignments in one job
         flagged.unpersist()
-        centroids = keep(self._centroids(assignments, seeds))
-        centroids.count()
+        if own_cache:
+            base.unpersist()
+        centroids = keep(self._centroids(assignments, seeds))   # lazy, k x categories rows
         return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids)
 
     def _centroids(self, assignments: DataFrame, seeds) -> DataFrame:

@@ -18,13 +18,13 @@ BASE = f"""
 cat AS (
   SELECT product, CAST(level AS INTEGER) AS level, trim(raw) AS category FROM (
     SELECT product, unnest(generate_series(1, len(parts))) AS level, unnest(parts) AS raw
-    FROM (SELECT CAST(p_partkey AS VARCHAR) AS product,
+    FROM (SELECT p_partkey AS product,
                  string_split(concat_ws('/', p_type, p_brand), '/') AS parts FROM part))
   WHERE trim(raw) <> ''),
 pc AS (SELECT DISTINCT product, category FROM cat),
 all_items AS (
   SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, o.o_orderstatus AS status,
-         CAST(l.l_partkey AS VARCHAR) AS item
+         l.l_partkey AS item
   FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
 enc_all AS (
   SELECT b.basket_id, b.customer_id, any_value(b.status) AS status,
@@ -202,13 +202,13 @@ def _sql() -> dict[str, str]:
 SELECT category, count(*) AS n_products, min(product) AS first_product, max(product) AS last_product
 FROM pc GROUP BY category"""
     q["basket_items"] = """
-SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, CAST(l.l_partkey AS VARCHAR) AS item
+SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, l.l_partkey AS item
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
     q["match_exact"] = with_(BASE) + """
 SELECT b.basket_id, b.item, pc.category FROM all_items b JOIN pc ON pc.product = b.item"""
     q["match_substring"] = with_(BASE) + """,
-lists AS (SELECT category, 'CompactBuffer(' || string_agg(product, ', ' ORDER BY product) || ')' AS txt
-          FROM pc GROUP BY category),
+lists AS (SELECT category, 'CompactBuffer(' || string_agg(p, ', ' ORDER BY p) || ')' AS txt
+          FROM (SELECT category, CAST(product AS VARCHAR) AS p FROM pc) GROUP BY category),
 items AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS item FROM lineitem)
 SELECT DISTINCT i.item, l.category FROM items i JOIN lists l ON contains(l.txt, i.item)"""
     q["basket_encode"] = with_(BASE) + """

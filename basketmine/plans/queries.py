@@ -78,7 +78,7 @@ def q_match_exact(spark, sf):
 
 
 def q_match_substring(spark, sf):
-    items = tables.table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("item"))
+    items = tables.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("item"))
     return match_items(items, catalog(spark, sf), "substring").select("item", "category")
 
 
@@ -106,13 +106,13 @@ def q_seed_rows(spark, sf):
 
 
 def q_seed_distances(spark, sf):
-    enc = training(spark, sf)
+    enc = keep(training(spark, sf))
     m = ConstrainedKMeans(K, 0, SEED).fit(enc)
     return m.distances(enc).select("basket_id", "cluster_id", "distance")
 
 
 def q_nearest_seed(spark, sf):
-    enc = training(spark, sf)
+    enc = keep(training(spark, sf))
     m = ConstrainedKMeans(K, 0, SEED).fit(enc)
     return m.nearest(enc).select("basket_id", F.col("nearest_cluster").alias("cluster_id"),
                                  F.col("nearest_distance").alias("distance"))
@@ -133,7 +133,7 @@ def q_ckmeans_centroids(spark, sf):
 
 
 def q_centroid_distances(spark, sf):
-    enc = training(spark, sf)
+    enc = keep(training(spark, sf))
     m = ConstrainedKMeans(K, ITERATIONS, SEED).fit(enc)
     return m.distances(enc, score_against="centroids").select("basket_id", "cluster_id", "distance")
 

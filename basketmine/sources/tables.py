@@ -2,7 +2,8 @@
 
 basket   = an order (``orders.o_orderkey``); orders without line items are
            empty baskets
-item     = the part of a line item, as text (``lineitem.l_partkey``)
+item     = the part of a line item (``lineitem.l_partkey``, kept numeric: a
+           long join key hashes and shuffles cheaper than its text)
 customer = ``orders.o_custkey``
 catalogue path = ``p_type/p_brand`` (two category levels per part)
 
@@ -23,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(product, path)`` with path ``p_type/p_brand``."""
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product"),
+        F.col("p_partkey").alias("product"),
         F.concat_ws("/", "p_type", "p_brand").alias("path"))
 
 
@@ -40,7 +41,7 @@ def orders(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item rows ``(basket_id, item)`` of all orders."""
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").cast("string").alias("item"))
+        F.col("l_orderkey").alias("basket_id"), F.col("l_partkey").alias("item"))
 
 
 def order_baskets(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
