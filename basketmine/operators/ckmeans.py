@@ -21,7 +21,8 @@ means, where only weights of exactly 0 or 1 count.
 
 Scale: the k seeds are the only rows that reach the driver (k is a parameter);
 distances are row-local against a literal array of the k seeds, so assigning
-baskets adds no shuffle.  The link table is one aggregate on customer_id
+baskets adds no shuffle; they are computed once per customer (its anchor
+basket) and for baskets without a link, never for every basket.  The link table is one aggregate on customer_id
 (partial aggregation makes a customer holding a third of all baskets cost one
 row per map task) and is joined back on customer_id, where AQE splits a hot
 customer's partition.  Centroids are one aggregate on (cluster, category).
@@ -71,7 +72,7 @@ class ConstrainedKMeansModel:
     seed: int
     seeds: list[tuple[int, int, list[str]]]
     links: DataFrame          # customer_id, anchor, cluster_id
-    assignments: DataFrame    # basket_id, customer_id, items, is_seed, seed_cluster, nearest, label_0, cluster_id
+    assignments: DataFrame    # basket_id, customer_id, items, is_seed, seed_cluster, label_0, cluster_id
     centroids: DataFrame      # cluster_id, category, weight
     _centroid_cache: list | None = field(default=None, repr=False)
 
@@ -110,13 +111,22 @@ class ConstrainedKMeansModel:
             .withColumn("nearest_distance", F.col("_near.d")).drop("_near")
 
     def predict(self, baskets: DataFrame, score_against: str = "seeds", items_col: str = "items",
-                output_col: str = "prediction") -> DataFrame:
-        """Known customer -> its link; otherwise the nearest centre (K7)."""
-        scored = self.nearest(baskets, score_against, items_col)
+                output_col: str = "prediction", small_batch_rows: int | None = None) -> DataFrame:
+        """Known customer -> its link; otherwise the nearest centre (K7).  The
+        distance to the centres is evaluated only for rows without a link.
+
+        ``small_batch_rows``: when the batch provably holds at most that many
+        rows (checked), the link table is first semi-joined with a broadcast of
+        the batch's customers, so a small batch does not shuffle the whole
+        link table."""
+        centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
         links = self.links.select("customer_id", F.col("cluster_id").alias("_link"))
-        return (scored.join(links, "customer_id", "left")
+        if small_batch_rows is not None and baskets.limit(small_batch_rows + 1).count() <= small_batch_rows:
+            wanted = F.broadcast(baskets.select("customer_id").where(F.col("customer_id").isNotNull()).distinct())
+            links = links.join(wanted, "customer_id", "left_semi")
+        return (baskets.join(links, "customer_id", "left")
                 .withColumn("known_customer", F.col("_link").isNotNull())
-                .withColumn(output_col, F.coalesce(F.col("_link"), F.col("nearest_cluster")))
+                .withColumn(output_col, F.coalesce(F.col("_link"), nearest(centres, F.col(items_col))["cid"]))
                 .drop("_link"))
 
     def cluster_baskets(self, clusters: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
@@ -140,11 +150,10 @@ class ConstrainedKMeans:
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
 
     def fit(self, baskets: DataFrame) -> ConstrainedKMeansModel:
-        """Two actions: the seed draw (top-k) and one job that builds the
-        per-basket distances, the link table and the assignments (links and
-        assignments stay cached).  The encoded input is cached for these two
-        unless the caller has cached it already.  Centroids are a lazy, cached
-        aggregate of the assignments."""
+        """Two actions: the seed draw (top-k) and one job that builds the link
+        table and the assignments (both stay cached).  The encoded input is
+        cached for these two unless the caller has cached it already.
+        Centroids are a lazy, cached aggregate of the assignments."""
         own_cache = not baskets.is_cached
         base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
         if own_cache:
@@ -153,27 +162,33 @@ class ConstrainedKMeans:
         seed_of = F.create_map(*[x for c, b, _ in seeds for x in (F.lit(b), F.lit(c))])
         centres = seed_array([(c, items) for c, _, items in seeds])
 
-        flagged = keep(base
-                       .withColumn("seed_cluster", F.try_element_at(seed_of, F.col("basket_id")).cast("int"))
-                       .withColumn("is_seed", F.col("seed_cluster").isNotNull())
-                       .withColumn("nearest", nearest(centres, F.col("items"))["cid"]))
+        flagged = (base
+                   .withColumn("seed_cluster", F.try_element_at(seed_of, F.col("basket_id")).cast("int"))
+                   .withColumn("is_seed", F.col("seed_cluster").isNotNull()))
 
-        # One row per customer; min_by skips rows whose ordering is NULL (the seeds).
+        # One row per customer.  The anchor is the nearest seed of the
+        # customer's lowest non-seed basket: min_by picks that basket's items
+        # (rows whose ordering is NULL, the seeds, are skipped), so distances
+        # are computed once per customer, not once per basket.
         links = keep(flagged.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-            F.min_by("nearest", F.when(~F.col("is_seed"), F.col("basket_id"))).alias("anchor"),
+            F.min_by("items", F.when(~F.col("is_seed"), F.col("basket_id"))).alias("_anchor_items"),
             F.min("seed_cluster").alias("_seed_min"))
+            .withColumn("anchor", F.when(F.col("_anchor_items").isNotNull(),
+                                         nearest(centres, F.col("_anchor_items"))["cid"]))
             .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
 
-        label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", "nearest"))
-        label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", "nearest"))
+        # Baskets without a customer have no link: their own nearest seed
+        # (coalesce evaluates it only for them).
+        own = nearest(centres, F.col("items"))["cid"]
+        label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", own))
+        label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", own))
         assignments = keep(
             flagged.join(links.select("customer_id", "anchor", F.col("cluster_id").alias("_link")),
                          "customer_id", "left")
-            .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster", "nearest",
+            .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster",
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
-        assignments.count()          # materialises flagged, links and assignments in one job
-        flagged.unpersist()
+        assignments.count()          # materialises links and assignments in one job
         if own_cache:
             base.unpersist()
         centroids = keep(self._centroids(assignments, seeds))   # lazy, k x categories rows

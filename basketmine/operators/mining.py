@@ -3,6 +3,7 @@ FPGrowth, globally or per cluster."""
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmine.session import keep
+from basketmine.session import ensure_checkpoint_dir, keep
 
 
 def fit_fpgrowth(transactions: DataFrame, min_support: float = 0.2, min_confidence: float = 0.2,
@@ -38,16 +39,34 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
                                          "consequent", "confidence", "lift", "support")
 
 
+def stage_by_cluster(members: DataFrame, cluster_col: str = "cluster_id", items_col: str = "items",
+                     folder: str | None = None) -> DataFrame:
+    """Write ``(cluster_id, items)`` once as parquet partitioned by cluster into
+    the shared checkpoint folder and read it back: every per-cluster reader
+    then prunes to its own partition, and the written table survives the loss
+    of executors (it also cuts the lineage of the assignments)."""
+    spark = members.sparkSession
+    folder = folder or ensure_checkpoint_dir(spark)
+    path = f"{folder.rstrip('/')}/clusters-{uuid.uuid4().hex}"
+    (members.select(F.col(cluster_col).alias("cluster_id"), F.col(items_col).alias("items"))
+     # rebalance, not repartition: AQE splits a cluster holding a large share
+     # of the rows over several writer tasks instead of one
+     .hint("rebalance", "cluster_id")
+     .write.mode("overwrite").partitionBy("cluster_id").parquet(path))
+    return spark.read.parquet(path)
+
+
 def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: float = 0.2,
                   min_confidence: float = 0.2, num_partitions: int | None = None,
                   cluster_col: str = "cluster_id", items_col: str = "items",
-                  parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+                  parallelism: int = 4, staged: bool = True) -> tuple[DataFrame, DataFrame]:
     """One FPGrowth fit per requested cluster (at most k), run as concurrent
     Spark jobs.  Returns ``(itemsets, rules)`` with a ``cluster_id`` column.
 
     Support is relative to the cluster's own basket count, so clusters cannot
-    share one fit; each fit reads only its cluster's rows of the (cached)
-    assignments.
+    share one fit.  With ``staged`` the requested clusters' baskets are written
+    once, partitioned by cluster (``stage_by_cluster``), and each fit reads only
+    its partition instead of scanning all assignments.
     """
     clusters = sorted(set(int(c) for c in clusters))
     spark = assignments.sparkSession
@@ -57,9 +76,12 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
             "lift double, support double")
     if not clusters:
         return empty_sets, empty_rules
+    source = assignments.where(F.col(cluster_col).isin(clusters))
+    if staged:
+        source, cluster_col, items_col = stage_by_cluster(source, cluster_col, items_col), "cluster_id", "items"
 
     def one(cid: int):
-        tx = assignments.where(F.col(cluster_col) == cid).select(items_col)
+        tx = source.where(F.col(cluster_col) == cid).select(items_col)
         model = fit_fpgrowth(tx, min_support, min_confidence, num_partitions, items_col)
         sets = keep(frequent_itemsets(model).withColumn("cluster_id", F.lit(cid)))
         rules = keep(association_rules(model).withColumn("cluster_id", F.lit(cid)))

@@ -59,50 +59,68 @@ def _log(spark: SparkSession, trial: tuple[int, int, float], log_path: str | Non
 def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int = 1, seed: int = 1,
                          log_path: str | None = None, score_against: str = "seeds"):
     """Walk k over ``[lo, hi)`` with constrained models; labels are each
-    model's ``predict`` of every training basket.  Returns ``(best_k, trials)``."""
+    model's ``predict`` of every training basket.  Returns ``(best_k, trials)``.
+
+    The labelled rows are cached and carried from trial to trial, so each
+    trial fits and predicts one new model and the two labelings sit on the
+    same rows (no join on the row id)."""
     spark = baskets.sparkSession
     base = keep(baskets.select("basket_id", "customer_id", "items"))
     trials: list[tuple[int, int, float]] = []
     best, previous, k = 0, 0.0, lo
-    current = ConstrainedKMeans(k, iterations, seed).fit(base) if lo < hi else None
+    held = labelled = None          # held: the cached rows that labelled reads from
+    if lo < hi:
+        first = ConstrainedKMeans(k, iterations, seed).fit(base)
+        held = labelled = keep(first.predict(base, score_against, output_col="label_a")
+                               .select("basket_id", "customer_id", "items", "label_a"))
+        labelled.count()
+        first.unpersist()
     while k < hi:
         nxt = ConstrainedKMeans(k + 1, iterations, seed).fit(base)
-        a = current.predict(base, score_against, output_col="label_a").select("basket_id", "customer_id", "items", "label_a")
-        both = nxt.predict(a, score_against, output_col="label_b")
-        ari = adjusted_rand_index(both, "label_a", "label_b")
+        both = keep(nxt.predict(labelled, score_against, output_col="label_b"))
+        ari = adjusted_rand_index(both, "label_a", "label_b")     # materialises both
+        nxt.unpersist()
+        held.unpersist()
+        held = both
         trials.append((k, k + 1, ari))
         _log(spark, (k, k + 1, ari), log_path)
         if stops(ari, previous):
             best = k
-            nxt.unpersist()
             break
         best, previous = k + 1, ari
-        current.unpersist()
-        current, k = nxt, k + 1
-    if current is not None:
-        current.unpersist()
+        labelled = both.select("basket_id", "customer_id", "items", F.col("label_b").alias("label_a"))
+        k += 1
+    if held is not None:
+        held.unpersist()
     base.unpersist()
     return best, spark.createDataFrame(trials, TRIALS_SCHEMA)
 
 
 def select_k_kmeans(vectors: DataFrame, lo: int, hi: int, max_iter: int = 10, seed: int = 1,
                     features_col: str = "features", log_path: str | None = None):
-    """Same walk over MLlib k-means models (K9)."""
+    """Same walk over MLlib k-means models (K9); labels carried forward."""
     spark = vectors.sparkSession
     base = keep(vectors)
     trials: list[tuple[int, int, float]] = []
     best, previous, k = 0, 0.0, lo
-    current = fit_kmeans(base, k, max_iter, seed, features_col) if lo < hi else None
+    held = labelled = None
+    if lo < hi:
+        held = labelled = keep(kmeans_labels(fit_kmeans(base, k, max_iter, seed, features_col), base, "label_a"))
     while k < hi:
         nxt = fit_kmeans(base, k + 1, max_iter, seed, features_col)
-        both = kmeans_labels(nxt, kmeans_labels(current, base, "label_a"), "label_b")
+        both = keep(kmeans_labels(nxt, labelled, "label_b"))
         ari = adjusted_rand_index(both, "label_a", "label_b")
+        held.unpersist()
+        held = both
         trials.append((k, k + 1, ari))
         _log(spark, (k, k + 1, ari), log_path)
         if stops(ari, previous):
             best = k
             break
         best, previous = k + 1, ari
-        current, k = nxt, k + 1
+        labelled = both.drop("label_a").withColumnRenamed("label_b", "label_a")
+        k += 1
+    if held is not None:
+        held.unpersist()
     base.unpersist()
     return best, spark.createDataFrame(trials, TRIALS_SCHEMA)

@@ -17,7 +17,7 @@ from basketmine.operators.encode import encode_baskets, from_vectors, match_item
 from basketmine.operators.kmeans import fit_kmeans, kmeans_labels, surrogate_customer_ids
 from basketmine.operators.metrics import ari_table, contingency, join_labelings, marginals
 from basketmine.operators.mining import association_rules, fit_fpgrowth, frequent_itemsets
-from basketmine.operators.selection import best_k_from_trials, select_k_constrained
+from basketmine.operators.selection import best_k_from_trials, select_k_constrained, select_k_kmeans
 from basketmine.plans.promote import promote
 from basketmine.session import keep
 from basketmine.sources import tables
@@ -32,7 +32,8 @@ GLOBAL_SUPPORT = 0.1    # frequent itemsets over all training baskets
 CLUSTER_SUPPORT = 0.2   # per-cluster mining for promotions
 MIN_CONFIDENCE = 0.2
 N_CUSTOMERS = 1000      # surrogate customer ids
-KMEANS_ITER = 5
+KMEANS_ITER = 5         # plain k-means for surrogate customer ids
+SELECT_KMEANS_ITER = 10 # plain k-means inside the k walk
 DIGITS = 6              # rounding of mean weights
 RATIO_DIGITS = 9        # rounding of ratios built from integer counts
 
@@ -212,6 +213,11 @@ def q_kmeans_surrogate_ids(spark, sf):
         .select("basket_id", F.col("label").alias("cluster_id"), "surrogate_id")
 
 
+def q_kmeans_selection(spark, sf):
+    _, trials = select_k_kmeans(_vectors(spark, sf), SELECT_LO, SELECT_HI, SELECT_KMEANS_ITER, SEED)
+    return best_k_from_trials(trials).select("k", "k_next", F.round("ari", RATIO_DIGITS).alias("ari"), "best_k")
+
+
 # --- mining and promotion ----------------------------------------------------
 
 def q_freq_itemsets(spark, sf):
@@ -262,6 +268,7 @@ QUERIES = {
     "surrogate_ids": q_surrogate_ids,
     "kmeans_labels": q_kmeans_labels,
     "kmeans_surrogate_ids": q_kmeans_surrogate_ids,
+    "kmeans_selection": q_kmeans_selection,
     "freq_itemsets": q_freq_itemsets,
     "assoc_rules": q_assoc_rules,
     "promote": q_promote,

@@ -18,13 +18,18 @@ from basketmine.operators.encode import encode_baskets
 from basketmine.sources.text import parse_basket_lines
 
 
+# A micro-batch up to this many rows is scored against the link rows of its
+# own customers only (see ConstrainedKMeansModel.predict).
+SMALL_BATCH_ROWS = 1_000_000
+
+
 def score_batch(model: ConstrainedKMeansModel, lines: DataFrame, catalog: DataFrame,
                 match: str = "exact", score_against: str = "seeds") -> DataFrame:
     """``(basket_id, customer_id, line)`` -> ``(basket_id, customer_id, items, prediction, known_customer)``."""
     long_form = parse_basket_lines(lines, value_col="line").join(
         lines.select("basket_id", "customer_id"), "basket_id")
     enc = encode_baskets(long_form, catalog, match)
-    return model.predict(enc, score_against).select(
+    return model.predict(enc, score_against, small_batch_rows=SMALL_BATCH_ROWS).select(
         "basket_id", "customer_id", "items", "prediction", "known_customer")
 
 

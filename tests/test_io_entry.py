@@ -92,7 +92,7 @@ def test_entry_contract(spark):
     assert df.count() >= 0
     q, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"kmeans_labels", "kmeans_surrogate_ids"}
+    assert set(q) - set(sql) == {"kmeans_labels", "kmeans_surrogate_ids", "kmeans_selection"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
