@@ -59,7 +59,7 @@ def stage_by_cluster(members: DataFrame, cluster_col: str = "cluster_id", items_
 def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: float = 0.2,
                   min_confidence: float = 0.2, num_partitions: int | None = None,
                   cluster_col: str = "cluster_id", items_col: str = "items",
-                  parallelism: int = 4, staged: bool = True) -> tuple[DataFrame, DataFrame]:
+                  parallelism: int = 8, staged: bool = True) -> tuple[DataFrame, DataFrame]:
     """One FPGrowth fit per requested cluster (at most k), run as concurrent
     Spark jobs.  Returns ``(itemsets, rules)`` with a ``cluster_id`` column.
 
@@ -80,13 +80,19 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
     if staged:
         source, cluster_col, items_col = stage_by_cluster(source, cluster_col, items_col), "cluster_id", "items"
 
+    sc = spark.sparkContext
+    group = sc.getLocalProperty("spark.jobGroup.id")    # keep the caller's job group in the worker threads
+
     def one(cid: int):
+        if group:
+            sc.setJobGroup(group, f"fpgrowth cluster {cid}")
         tx = source.where(F.col(cluster_col) == cid).select(items_col)
         model = fit_fpgrowth(tx, min_support, min_confidence, num_partitions, items_col)
-        sets = keep(frequent_itemsets(model).withColumn("cluster_id", F.lit(cid)))
-        rules = keep(association_rules(model).withColumn("cluster_id", F.lit(cid)))
-        sets.count(), rules.count()
-        return sets, rules
+        # the model's itemsets are a lazy plan over the mining; cache them once
+        # so that the itemsets and the rules (built from them) do not mine again
+        keep(model.freqItemsets).count()
+        return (frequent_itemsets(model).withColumn("cluster_id", F.lit(cid)),
+                association_rules(model).withColumn("cluster_id", F.lit(cid)))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, clusters))
