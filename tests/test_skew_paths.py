@@ -1,0 +1,63 @@
+"""Skewed inputs (one customer with a third of the baskets, one product in
+most baskets) and the small-batch / staged code paths give the same answers
+as the plain paths and the naive loop."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import functions as F
+
+from basketmine.operators.ckmeans import ConstrainedKMeans
+from basketmine.operators.mining import mine_clusters, stage_by_cluster
+from test_ckmeans import CATS, naive_fit, to_df
+
+
+def skewed_rows(n=150, rnd_seed=5):
+    rnd = random.Random(rnd_seed)
+    rows = []
+    for b in range(n):
+        cust = 0 if b % 3 == 0 else rnd.randrange(1, 40)        # customer 0 holds a third
+        items = {"c0"} if rnd.random() < 0.8 else set()          # c0 is in most baskets
+        items |= set(rnd.sample(CATS[1:], rnd.randrange(0, 3)))
+        rows.append((b * 7 + 3, cust, items))
+    return rows
+
+
+def test_skewed_customer_matches_naive(spark):
+    rows = skewed_rows()
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        m = ConstrainedKMeans(6, 3, 4).fit(to_df(spark, rows).repartition(5))
+        label0, labels, cent, link, _ = naive_fit(rows, [b for _, b, _ in m.seeds], 3)
+        got = {r.basket_id: (r.label_0, r.cluster_id) for r in m.assignments.collect()}
+        assert got == {b: (label0[b], labels[b]) for b in label0}
+        assert {r.customer_id: r.cluster_id for r in m.links.collect()} == link
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_small_batch_prediction_equals_plain(spark):
+    rows = skewed_rows()
+    m = ConstrainedKMeans(6, 2, 1).fit(to_df(spark, rows))
+    batch = spark.createDataFrame([(1, 0, ["c0"]), (2, 12345, ["c1", "c2"]), (3, None, []), (4, 7, ["c3"])],
+                                  "basket_id long, customer_id long, items array<string>")
+    plain = {r.basket_id: (r.prediction, r.known_customer) for r in m.predict(batch).collect()}
+    small = {r.basket_id: (r.prediction, r.known_customer)
+             for r in m.predict(batch, small_batch_rows=10).collect()}
+    assert plain == small
+    assert plain[2][1] is False and plain[3][1] is False
+
+
+def test_staged_mining_equals_unstaged(spark, scratch):
+    rows = skewed_rows(300, 9)
+    m = ConstrainedKMeans(4, 1, 2).fit(to_df(spark, rows))
+    members = m.assignments.where(~F.col("is_seed"))
+    clusters = [r[0] for r in members.select("cluster_id").distinct().collect()]
+    staged = stage_by_cluster(members, folder=scratch)
+    assert staged.count() == members.count()
+    a_sets, a_rules = mine_clusters(members, clusters, 0.3, 0.3, staged=True)
+    b_sets, b_rules = mine_clusters(members, clusters, 0.3, 0.3, staged=False)
+    key = lambda df: sorted(tuple(str(v) for v in r) for r in df.collect())
+    assert key(a_sets) == key(b_sets) and key(a_rules) == key(b_rules)
+    assert a_sets.where("size = 1 AND array_contains(items, 'c0')").count() >= 1
