@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from basketmine.operators.ckmeans import ConstrainedKMeans
 from basketmine.operators.kmeans import fit_kmeans, kmeans_labels
 from basketmine.operators.metrics import adjusted_rand_index
-from basketmine.session import keep
+from basketmine.session import cut_lineage, keep
 
 TRIALS_SCHEMA = "k int, k_next int, ari double"
 
@@ -56,8 +56,21 @@ def _log(spark: SparkSession, trial: tuple[int, int, float], log_path: str | Non
         spark.createDataFrame([trial], TRIALS_SCHEMA).write.mode("append").parquet(log_path)
 
 
+# The labelled rows carried through a walk are checkpointed (to the shared
+# spark.checkpoint.dir) every this many trials, so a long walk keeps a short
+# lineage and a lost cache block does not recompute the whole chain.
+CHECKPOINT_EVERY = 5
+
+
+def _carry(both: DataFrame, trial: int, every: int) -> DataFrame:
+    if every and trial % every == every - 1:
+        return cut_lineage(both)
+    return both
+
+
 def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int = 1, seed: int = 1,
-                         log_path: str | None = None, score_against: str = "seeds"):
+                         log_path: str | None = None, score_against: str = "seeds",
+                         checkpoint_every: int = CHECKPOINT_EVERY):
     """Walk k over ``[lo, hi)`` with constrained models; labels are each
     model's ``predict`` of every training basket.  Returns ``(best_k, trials)``.
 
@@ -78,6 +91,7 @@ def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int =
     while k < hi:
         nxt = ConstrainedKMeans(k + 1, iterations, seed).fit(base)
         both = keep(nxt.predict(labelled, score_against, output_col="label_b"))
+        both = _carry(both, k - lo, checkpoint_every)
         ari = adjusted_rand_index(both, "label_a", "label_b")     # materialises both
         nxt.unpersist()
         held.unpersist()
@@ -97,7 +111,8 @@ def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int =
 
 
 def select_k_kmeans(vectors: DataFrame, lo: int, hi: int, max_iter: int = 10, seed: int = 1,
-                    features_col: str = "features", log_path: str | None = None):
+                    features_col: str = "features", log_path: str | None = None,
+                    checkpoint_every: int = CHECKPOINT_EVERY):
     """Same walk over MLlib k-means models (K9); labels carried forward."""
     spark = vectors.sparkSession
     base = keep(vectors)
@@ -108,7 +123,7 @@ def select_k_kmeans(vectors: DataFrame, lo: int, hi: int, max_iter: int = 10, se
         held = labelled = keep(kmeans_labels(fit_kmeans(base, k, max_iter, seed, features_col), base, "label_a"))
     while k < hi:
         nxt = fit_kmeans(base, k + 1, max_iter, seed, features_col)
-        both = keep(kmeans_labels(nxt, labelled, "label_b"))
+        both = _carry(keep(kmeans_labels(nxt, labelled, "label_b")), k - lo, checkpoint_every)
         ari = adjusted_rand_index(both, "label_a", "label_b")
         held.unpersist()
         held = both

@@ -52,3 +52,27 @@ def train_and_promote(training: DataFrame, incoming: DataFrame, catalog: DataFra
     model = ConstrainedKMeans(k, iterations, seed).fit(train_enc)
     inc_enc = encode_baskets(incoming, catalog, match)
     return model, promote(model, inc_enc, min_support, min_confidence, num_partitions)
+
+
+def reference_flow(spark, baskets_path: str, catalog_path: str, incoming: list[tuple[int, int, str]],
+                   k: int = 40, iterations: int = 5, id_clusters: int = 40, n_customers: int = 1000,
+                   id_iterations: int = 5, seed: int = 1, min_support: float = 0.2,
+                   min_confidence: float = 0.2, num_partitions: int | None = 10,
+                   match: str = "exact") -> tuple[ConstrainedKMeansModel, Promotion]:
+    """The whole demo flow on text inputs: basket lines without customers and
+    a ``product, path`` catalogue -> category sets -> plain k-means surrogate
+    customer ids (``id_clusters`` clusters, ``n_customers`` ids) -> constrained
+    model -> promotions for the incoming ``(basket_id, customer_id, line)``
+    baskets.  Defaults are the demo configuration."""
+    from basketmine.functions.catalog import explode_paths
+    from basketmine.operators.encode import to_vectors, vocabulary
+    from basketmine.operators.kmeans import assign_customer_ids
+    from basketmine.sources.text import incoming_baskets, read_basket_lines, read_catalog
+
+    levels = explode_paths(read_catalog(spark, catalog_path))
+    vocab = vocabulary(levels)
+    enc = encode_baskets(read_basket_lines(spark, baskets_path), levels, match, keys=("basket_id",))
+    with_ids = assign_customer_ids(to_vectors(enc, vocab), id_clusters, n_customers, id_iterations, seed)
+    model = ConstrainedKMeans(k, iterations, seed).fit(with_ids.select("basket_id", "customer_id", "items"))
+    inc = encode_baskets(incoming_baskets(spark, incoming), levels, match)
+    return model, promote(model, inc, min_support, min_confidence, num_partitions)

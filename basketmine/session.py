@@ -61,9 +61,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable, eager)."""
+    """Materialise ``df`` to the shared checkpoint folder (reliable, eager);
+    the result reads the checkpoint files and keeps no lineage."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if df.is_cached:
+        df.unpersist()
+    return out
 
 
 def keep(df: DataFrame) -> DataFrame:

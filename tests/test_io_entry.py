@@ -103,3 +103,24 @@ def test_oracle_small(spark, name):
     import __spark_entry__ as e
     r = compare(spark, duck(SF_SMALL), name, e.queries()[name], e.oracle_sql()[name], SF_SMALL)
     assert r["ok"], r
+
+
+def test_reference_flow_on_text(spark, scratch):
+    import random
+    from conftest import CATALOG_LINES, EXAMPLE_CATEGORIES
+    from basketmine.plans.promote import reference_flow
+    products = [line.split(",")[0] for line in CATALOG_LINES]
+    rnd = random.Random(4)
+    lines = [",".join(rnd.sample(products, rnd.randrange(1, 5))) for _ in range(120)] + ["", "unknown thing"]
+    with open(f"{scratch}/baskets.txt", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    with open(f"{scratch}/catalog.csv", "w") as fh:
+        fh.write("\n".join(CATALOG_LINES) + "\n")
+    model, promo = reference_flow(spark, f"{scratch}/baskets.txt", f"{scratch}/catalog.csv",
+                                  [(0, 5, EXAMPLE_LINE)], k=5, id_clusters=4, n_customers=40, min_support=0.2)
+    a = model.assignments
+    assert a.count() == len(lines)
+    assert a.where((F.col("customer_id") < 1) | (F.col("customer_id") > 40)).count() == 0
+    scored = promo.scored.collect()
+    assert len(scored) == 1 and scored[0]["items"] == EXAMPLE_CATEGORIES
+    assert promo.rules.where(F.col("cluster_id") != scored[0].prediction).count() == 0
