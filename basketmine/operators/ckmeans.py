@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketmine.functions.jaccard import centroid_array, distances_to, nearest, seed_array
-from basketmine.session import keep, md5_rank_key
+from basketmine.session import is_small, keep, md5_rank_key
 
 
 def seed_order(baskets: DataFrame, seed: int, id_col: str = "basket_id") -> DataFrame:
@@ -121,7 +121,7 @@ class ConstrainedKMeansModel:
         link table."""
         centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
         links = self.links.select("customer_id", F.col("cluster_id").alias("_link"))
-        if small_batch_rows is not None and baskets.limit(small_batch_rows + 1).count() <= small_batch_rows:
+        if small_batch_rows is not None and is_small(baskets, small_batch_rows):
             wanted = F.broadcast(baskets.select("customer_id").where(F.col("customer_id").isNotNull()).distinct())
             links = links.join(wanted, "customer_id", "left_semi")
         return (baskets.join(links, "customer_id", "left")
@@ -136,6 +136,22 @@ class ConstrainedKMeansModel:
         return (self.assignments.where(~F.col("is_seed"))
                 .join(wanted, "cluster_id", "left_semi"))
 
+    def reference_shaped(self, vocab: list[str]) -> DataFrame:
+        """Assignments with a dense ``vector`` per row over ``vocab`` (J4): a
+        seed row carries its cluster's mean weights, every other row its own
+        0/1 basket.  The k centroid maps (k x categories values) are
+        broadcast."""
+        from pyspark.ml.functions import array_to_vector
+        names = F.array(*[F.lit(v) for v in vocab])
+        means = F.broadcast(self.centroids.groupBy("cluster_id").agg(
+            F.map_from_entries(F.collect_list(F.struct("category", "weight"))).alias("_w")))
+        own = F.transform(names, lambda c: F.when(F.array_contains("items", c), F.lit(1.0)).otherwise(F.lit(0.0)))
+        mean = F.transform(names, lambda c: F.coalesce(F.element_at("_w", c), F.lit(0.0)))
+        return (self.assignments.join(means.withColumnRenamed("cluster_id", "seed_cluster"), "seed_cluster", "left")
+                .withColumn("vector", array_to_vector(F.when(F.col("is_seed"), mean).otherwise(own)))
+                .select("basket_id", "customer_id", "is_seed",
+                        F.coalesce("seed_cluster", F.lit(-1)).alias("seed_cluster"), "cluster_id", "vector"))
+
     def unpersist(self) -> None:
         for df in (self.links, self.assignments, self.centroids):
             df.unpersist()

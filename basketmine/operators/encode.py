@@ -9,11 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import explode_paths, product_categories, substring_matches
-from basketmine.session import bounded_broadcast
-
-# The product -> category table is broadcast to the item scan only below this
-# many rows; beyond it the match is a shuffle join on the item.
-BROADCAST_CATALOG_ROWS = 2_000_000
 
 
 def catalog_levels(catalog: DataFrame) -> DataFrame:
@@ -40,8 +35,13 @@ def match_items(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
 def basket_categories(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
                       item_col: str = "item") -> DataFrame:
     """Long form: every basket row with the categories of its item (left join,
-    so items without a category and empty baskets keep a NULL category)."""
-    matches = bounded_broadcast(match_items(baskets, catalog, mode, item_col), BROADCAST_CATALOG_ROWS)
+    so items without a category and empty baskets keep a NULL category).
+
+    No hint: the match table comes out of an aggregate, so Spark knows its size
+    (statically, and exactly at run time under AQE) and broadcasts it only
+    below ``spark.sql.autoBroadcastJoinThreshold``; a larger catalogue is a
+    shuffle join on the item, with hot items split by AQE's skew handling."""
+    matches = match_items(baskets, catalog, mode, item_col)
     return baskets.join(matches.withColumnRenamed("item", item_col), item_col, "left")
 
 

@@ -75,15 +75,10 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the plain
-    DataFrame is returned and the join falls back to a shuffle join (which AQE
-    may still turn into a broadcast from runtime sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` provably holds at most ``max_rows`` rows; the check
+    reads at most ``max_rows + 1`` of them.  Guards explicit broadcasts."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def md5_rank_key(seed: int | str, key_col: str):

@@ -180,3 +180,19 @@ def test_cluster_baskets_excludes_seeds(spark):
     assert all(not r.is_seed and r.cluster_id in (0, 2) for r in got)
     exp = m.assignments.where("NOT is_seed AND cluster_id IN (0, 2)").count()
     assert len(got) == exp
+
+
+def test_reference_shaped_output(spark):
+    rows = random_rows()
+    m = ConstrainedKMeans(5, 2, 1).fit(to_df(spark, rows))
+    _, _, cent, _, _ = naive_fit(rows, [b for _, b, _ in m.seeds], 2)
+    out = {r.basket_id: r for r in m.reference_shaped(CATS).collect()}
+    items = {b: s for b, _, s in rows}
+    seed_of = {b: c for c, b, _ in m.seeds}
+    for b, r in out.items():
+        vec = r.vector.toArray()
+        if b in seed_of:
+            assert r.is_seed and r.seed_cluster == seed_of[b]
+            assert list(vec) == pytest.approx([cent[seed_of[b]].get(c, 0.0) for c in CATS])
+        else:
+            assert r.seed_cluster == -1 and list(vec) == [1.0 if c in items[b] else 0.0 for c in CATS]
