@@ -272,6 +272,11 @@ SELECT CAST(k AS INTEGER) AS k, CAST(k_next AS INTEGER) AS k_next, round(ari, {R
        CAST(coalesce(fs.first_stop, (SELECT max(k_next) FROM trials)) AS INTEGER) AS best_k
 FROM st2, fs WHERE fs.first_stop IS NULL OR k <= fs.first_stop"""
 
+    q["sorted_export"] = with_(BASE, m) + """
+SELECT '(' || CAST(basket_id AS VARCHAR) || ',(' || CAST(customer_id AS VARCHAR) || ','
+       || CAST(cluster_id AS VARCHAR) || '))' AS line
+FROM m_assign"""
+
     per = N_CUSTOMERS // K
     q["surrogate_ids"] = with_(BASE, m) + f"""
 SELECT basket_id, cluster_id,

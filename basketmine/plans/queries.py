@@ -7,6 +7,8 @@ so that results compare across engines.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,8 @@ from basketmine.operators.metrics import ari_table, contingency, join_labelings,
 from basketmine.operators.mining import association_rules, fit_fpgrowth, frequent_itemsets
 from basketmine.operators.selection import best_k_from_trials, select_k_constrained, select_k_kmeans
 from basketmine.plans.promote import promote
-from basketmine.session import keep
+from basketmine.session import ensure_checkpoint_dir, keep
+from basketmine.sources.sinks import write_sorted
 from basketmine.sources import tables
 
 # Fixed parameters of the registered queries.
@@ -188,6 +191,16 @@ def q_selection_trials(spark, sf):
     return best_k_from_trials(trials).select("k", "k_next", F.round("ari", RATIO_DIGITS).alias("ari"), "best_k")
 
 
+def q_sorted_export(spark, sf):
+    """Key-sorted ``(k,(v1,v2))`` text of the assignments, written
+    (range-partitioned, sorted within files, replacing any earlier output)
+    into the shared checkpoint folder and read back."""
+    a = model(spark, sf).assignments.select("basket_id", "customer_id", "cluster_id")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    write_sorted(a, path, "basket_id", fmt="text")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def q_surrogate_ids(spark, sf):
     a = model(spark, sf).assignments.select("basket_id", "cluster_id")
     return surrogate_customer_ids(a, "cluster_id", K, N_CUSTOMERS, SEED, output_col="surrogate_id") \
@@ -265,6 +278,7 @@ QUERIES = {
     "ari": q_ari,
     "ari_compat": q_ari_compat,
     "selection_trials": q_selection_trials,
+    "sorted_export": q_sorted_export,
     "surrogate_ids": q_surrogate_ids,
     "kmeans_labels": q_kmeans_labels,
     "kmeans_surrogate_ids": q_kmeans_surrogate_ids,
