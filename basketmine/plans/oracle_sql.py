@@ -11,7 +11,7 @@ from __future__ import annotations
 from basketmine.plans.queries import (CLUSTER_SUPPORT, DIGITS, GLOBAL_SUPPORT, ITERATIONS, K, K_NEXT,
                                       MIN_CONFIDENCE, N_CUSTOMERS, RATIO_DIGITS, SEED, SELECT_HI, SELECT_LO)
 
-MAX_SET = 4   # itemsets of the mining oracle are enumerated up to this size
+MAX_SET = 6   # itemsets of the mining oracle are enumerated up to this size
 NAN = "CAST('nan' AS DOUBLE)"
 
 BASE = f"""

@@ -5,41 +5,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BASKET_SCHEMA = T.StructType([
-    T.StructField("basket_id", T.LongType(), False),
-    T.StructField("item", T.StringType(), True),
-])
-
-CATALOG_LINE_SCHEMA = T.StructType([
-    T.StructField("product", T.StringType(), True),
-    T.StructField("path", T.StringType(), True),
-])
-
 
 def dense_row_index(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Add a dense 0..n-1 index in file order without an RDD round trip.
 
-    Two passes: one small aggregate of rows per input partition (one row per
-    partition reaches the driver), then ``offset[partition] + position``.  The
-    position is the low part of ``monotonically_increasing_id``; partition ids of
-    a file scan are stable between the passes.
+    Two passes: one small aggregate of rows per input partition, whose running
+    sum gives each partition's offset, then ``offset[partition] + position``.
+    The position is the low part of ``monotonically_increasing_id``; partition
+    ids of a file scan are stable between the passes.  The offsets table has
+    one row per input partition, so it is broadcast; nothing reaches the
+    driver.
     """
     tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").count().orderBy("_pid").collect()
-    offsets, running = {}, 0
-    for row in counts:
-        offsets[row["_pid"]] = running
-        running += row["count"]
-    if not offsets:
-        return df.withColumn(name, F.lit(None).cast("long")).limit(0)
-    offset_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
+    by_pid = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_off", F.coalesce(F.sum("_n").over(by_pid), F.lit(0)))
+               .select("_pid", "_off"))
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.withColumn(name, F.element_at(offset_map, F.col("_pid")) + position)
-            .drop("_pid", "_mid"))
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, F.col("_off") + position)
+            .drop("_pid", "_mid", "_off"))
 
 
 def unique_row_id(df: DataFrame, name: str = "row_id") -> DataFrame:
