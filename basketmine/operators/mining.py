@@ -19,11 +19,14 @@ def fit_fpgrowth(transactions: DataFrame, min_support: float = 0.2, min_confiden
     """FPGrowth over ``items`` arrays; duplicates inside a transaction are
     removed first (FPGrowth rejects them).  An itemset is frequent when its
     count is at least ``ceil(min_support * number of transactions)``."""
-    tx = transactions.select(F.array_distinct(F.col(items_col)).alias("items"))
+    # cached once here: the fit turns the plan into an RDD and reads it more
+    # than once; FPGrowth releases its own copy at the end of the fit
+    tx = keep(transactions.select(F.array_distinct(F.col(items_col)).alias("items")))
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(tx)
+    model = fp.fit(tx)
+    return model
 
 
 def frequent_itemsets(model: FPGrowthModel) -> DataFrame:
