@@ -116,3 +116,25 @@ def test_vectors_round_trip(spark, catalog_lines_df):
     assert rows[0].features.numNonzeros() == 12 and rows[1].features.numNonzeros() == 0
     back = {r.basket_id: r["decoded"] for r in from_vectors(vec, vocab, items_col="decoded").collect()}
     assert back[0] == EXAMPLE_CATEGORIES and back[1] == []
+
+
+def test_substring_random_items_against_brute_force(spark, catalog_lines_df):
+    import random
+    rnd = random.Random(11)
+    texts = []
+    for line in CATALOG_LINES:
+        product = line.split(",")[0]
+        texts += [LIST_PREFIX + product + LIST_SUFFIX, " " + product, product + LIST_SUFFIX]
+    items = set()
+    while len(items) < 300:
+        t = rnd.choice(texts)
+        i = rnd.randrange(len(t))
+        piece = t[i:i + rnd.randrange(1, 12)]
+        if rnd.random() < 0.2:
+            piece += rnd.choice("xyz")
+        if "," not in piece:
+            items.add(piece)
+    lv = levels(spark, catalog_lines_df)
+    df = spark.createDataFrame([(i,) for i in sorted(items)], "item string")
+    got = {(r.item, r.category) for r in substring_matches(df, lv).collect()}
+    assert got == brute_force_substring(sorted(items), CATALOG_LINES)
