@@ -61,6 +61,11 @@ def model(spark: SparkSession, sf: str, k: int = K) -> ConstrainedKMeansModel:
     return ConstrainedKMeans(k, ITERATIONS, SEED).fit(training(spark, sf))
 
 
+def model_and_incoming(spark: SparkSession, sf: str) -> tuple[ConstrainedKMeansModel, DataFrame]:
+    train, inc = tables.encoded_split(spark, sf, catalog(spark, sf))
+    return ConstrainedKMeans(K, ITERATIONS, SEED).fit(train), inc
+
+
 # --- sources, catalogue, encoding -------------------------------------------
 
 def q_catalog_levels(spark, sf):
@@ -143,14 +148,14 @@ def q_centroid_distances(spark, sf):
 
 
 def q_ckmeans_predict(spark, sf):
-    m = model(spark, sf)
-    return m.predict(incoming(spark, sf)).select(
+    m, inc = model_and_incoming(spark, sf)
+    return m.predict(inc).select(
         "basket_id", "customer_id", "known_customer", F.col("prediction").alias("cluster_id"))
 
 
 def q_cluster_members(spark, sf):
-    m = model(spark, sf)
-    wanted = m.predict(incoming(spark, sf)).select(F.col("prediction").alias("cluster_id"))
+    m, inc = model_and_incoming(spark, sf)
+    wanted = m.predict(inc).select(F.col("prediction").alias("cluster_id"))
     return m.cluster_baskets(wanted).select("basket_id", "cluster_id")
 
 
@@ -247,8 +252,8 @@ def q_assoc_rules(spark, sf):
 
 
 def q_promote(spark, sf):
-    m = model(spark, sf)
-    p = promote(m, incoming(spark, sf), CLUSTER_SUPPORT, MIN_CONFIDENCE)
+    m, inc = model_and_incoming(spark, sf)
+    p = promote(m, inc, CLUSTER_SUPPORT, MIN_CONFIDENCE)
     return p.per_basket().select(
         "basket_id", "customer_id", "cluster_id",
         joined("antecedent").alias("antecedent"), joined("consequent").alias("consequent"),

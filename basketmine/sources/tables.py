@@ -29,13 +29,16 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
-           exclude: bool = False) -> DataFrame:
-    """``(basket_id, customer_id)`` for orders of the given statuses (all if None)."""
+           exclude: bool = False, with_status: bool = False) -> DataFrame:
+    """``(basket_id, customer_id[, status])`` for orders of the given statuses (all if None)."""
     o = table(spark, sf_dir, "orders")
     if statuses is not None:
         cond = F.col("o_orderstatus").isin(statuses)
         o = o.where(~cond if exclude else cond)
-    return o.select(F.col("o_orderkey").alias("basket_id"), F.col("o_custkey").alias("customer_id"))
+    cols = [F.col("o_orderkey").alias("basket_id"), F.col("o_custkey").alias("customer_id")]
+    if with_status:
+        cols.append(F.col("o_orderstatus").alias("status"))
+    return o.select(*cols)
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +57,7 @@ def order_baskets(spark: SparkSession, sf_dir: str, statuses: list[str] | None =
 
 
 def encoded_orders(spark: SparkSession, sf_dir: str, catalog: DataFrame, statuses: list[str] | None = None,
-                   exclude: bool = False, mode: str = "exact") -> DataFrame:
+                   exclude: bool = False, mode: str = "exact", with_status: bool = False) -> DataFrame:
     """Encoded baskets ``(basket_id, customer_id, items)`` of the selected orders.
 
     Line items are matched to categories and reduced to one row per order
@@ -62,7 +65,7 @@ def encoded_orders(spark: SparkSession, sf_dir: str, catalog: DataFrame, statuse
     """
     from basketmine.operators.encode import encode_baskets
     return encode_baskets(line_items(spark, sf_dir), catalog, mode,
-                          header=orders(spark, sf_dir, statuses, exclude))
+                          header=orders(spark, sf_dir, statuses, exclude, with_status))
 
 
 # Training baskets are the orders whose status is not open; the open orders are
@@ -84,3 +87,12 @@ def encoded_training(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> Da
 
 def encoded_incoming(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> DataFrame:
     return encoded_orders(spark, sf_dir, catalog, OPEN_STATUS)
+
+
+def encoded_split(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(training, incoming)`` from one encode of all orders (cached), so the
+    line items are scanned and aggregated once for both sides."""
+    from basketmine.session import keep
+    enc = keep(encoded_orders(spark, sf_dir, catalog, with_status=True))
+    open_ = F.col("status").isin(OPEN_STATUS)
+    return enc.where(~open_).drop("status"), enc.where(open_).drop("status")
