@@ -6,7 +6,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketmine.session import md5_bucket
+from basketmine.session import keep, md5_bucket
 
 
 def fit_kmeans(vectors: DataFrame, k: int, max_iter: int = 5, seed: int = 1,
@@ -38,7 +38,11 @@ def surrogate_customer_ids(df: DataFrame, label_col: str, k: int, n_customers: i
 
 def assign_customer_ids(vectors: DataFrame, k: int, n_customers: int, max_iter: int = 5, seed: int = 1,
                         features_col: str = "features") -> DataFrame:
-    """K1 + K2 + K3: cluster the basket vectors, then draw ids per cluster."""
+    """K1 + K2 + K3: cluster the basket vectors, then draw ids per cluster.
+    The vectors are cached (unless already) since both the fit and the
+    labelling read them."""
+    if not vectors.is_cached:
+        vectors = keep(vectors)
     model = fit_kmeans(vectors, k, max_iter, seed, features_col)
     labelled = kmeans_labels(model, vectors, "_kmeans_label")
     return surrogate_customer_ids(labelled, "_kmeans_label", k, n_customers, seed).drop("_kmeans_label")

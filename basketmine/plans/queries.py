@@ -213,8 +213,9 @@ def q_surrogate_ids(spark, sf):
 
 
 def _vectors(spark, sf):
+    """Training vectors, cached: the k-means fit and the labelling both read them."""
     cat = catalog(spark, sf)
-    return to_vectors(training(spark, sf), vocabulary(cat))
+    return keep(to_vectors(training(spark, sf), vocabulary(cat)))
 
 
 def q_kmeans_labels(spark, sf):
