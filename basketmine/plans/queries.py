@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import category_summary, explode_paths
 from basketmine.operators.ckmeans import ConstrainedKMeans, ConstrainedKMeansModel, draw_seeds
-from basketmine.operators.encode import encode_baskets, from_vectors, match_items, to_vectors, vocabulary
+from basketmine.operators.encode import from_vectors, match_items, to_vectors, vocabulary
 from basketmine.operators.kmeans import fit_kmeans, kmeans_labels, surrogate_customer_ids
 from basketmine.operators.metrics import ari_table, contingency, join_labelings, marginals
 from basketmine.operators.mining import association_rules, fit_fpgrowth, frequent_itemsets

@@ -9,10 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import explode_paths
-from basketmine.operators.ckmeans import ConstrainedKMeans
-from basketmine.operators.encode import encode_baskets
 from basketmine.operators.kmeans import surrogate_customer_ids
-from basketmine.plans.promote import promote, train_and_promote
+from basketmine.plans.promote import train_and_promote
 from basketmine.sources.sinks import append_trials, write_sorted
 from basketmine.sources.text import parse_catalog_lines
 from basketmine.streaming.scoring import score_batch, score_stream
