@@ -3,6 +3,7 @@ FPGrowth, globally or per cluster."""
 
 from __future__ import annotations
 
+import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -59,47 +60,122 @@ def stage_by_cluster(members: DataFrame, cluster_col: str = "cluster_id", items_
     return spark.read.parquet(path)
 
 
+# Clusters whose minimum counts lie within this factor of each other share one
+# FPGrowth fit (see mine_clusters).
+BAND_RATIO = 1.5
+# Separator between the cluster id and the item in band-tagged items.
+TAG = "\u0001"
+
+
+def min_count(min_support: float, n: int) -> int:
+    """Minimum itemset count of a fit over n transactions, as FPGrowth sets it."""
+    return math.ceil(min_support * n)
+
+
+def support_bands(sizes: dict[int, int], min_support: float, ratio: float = BAND_RATIO) -> list[list[int]]:
+    """Group clusters by minimum count: within a band the largest is at most
+    ``ratio`` times the smallest.  Bands are listed from the smallest count."""
+    order = sorted(sizes, key=lambda c: (min_count(min_support, sizes[c]), c))
+    bands: list[list[int]] = []
+    low = None
+    for c in order:
+        t = min_count(min_support, sizes[c])
+        if bands and t <= ratio * max(low, 1):
+            bands[-1].append(c)
+        else:
+            bands.append([c])
+            low = t
+    return bands
+
+
+def rules_from_itemsets(itemsets: DataFrame, sizes: DataFrame, min_confidence: float) -> DataFrame:
+    """Association rules with one consequent item from per-cluster itemsets
+    ``(cluster_id, items sorted, size, freq)`` and cluster sizes
+    ``(cluster_id, n)``: confidence = freq(A u C) / freq(A), lift = confidence /
+    (freq(C) / n), support = freq(A u C) / n; rules below ``min_confidence``
+    are dropped.  Every itemset of size s yields s candidates, one per item."""
+    multi = (itemsets.where(F.col("size") >= 2)
+             .select("cluster_id", "items", "freq", F.explode("items").alias("cons"))
+             .withColumn("antecedent", F.array_remove("items", F.col("cons"))))
+    ante = itemsets.select("cluster_id", F.col("items").alias("antecedent"), F.col("freq").alias("freq_a"))
+    single = itemsets.where(F.col("size") == 1).select(
+        "cluster_id", F.element_at("items", 1).alias("cons"), F.col("freq").alias("freq_c"))
+    confidence = F.col("freq").cast("double") / F.col("freq_a").cast("double")
+    return (multi.join(ante, ["cluster_id", "antecedent"])
+            .join(single, ["cluster_id", "cons"])
+            .join(F.broadcast(sizes), "cluster_id")       # one row per cluster
+            .withColumn("confidence", confidence)
+            .where(F.col("confidence") >= F.lit(float(min_confidence)))
+            .select("cluster_id", "antecedent", F.array("cons").alias("consequent"), "confidence",
+                    (F.col("confidence") / (F.col("freq_c").cast("double") / F.col("n").cast("double"))).alias("lift"),
+                    (F.col("freq").cast("double") / F.col("n").cast("double")).alias("support")))
+
+
 def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: float = 0.2,
                   min_confidence: float = 0.2, num_partitions: int | None = None,
                   cluster_col: str = "cluster_id", items_col: str = "items",
-                  parallelism: int = 8, staged: bool = True) -> tuple[DataFrame, DataFrame]:
-    """One FPGrowth fit per requested cluster (at most k), run as concurrent
-    Spark jobs.  Returns ``(itemsets, rules)`` with a ``cluster_id`` column.
-
-    Support is relative to the cluster's own basket count, so clusters cannot
-    share one fit.  With ``staged`` the requested clusters' baskets are written
-    once, partitioned by cluster (``stage_by_cluster``), and each fit reads only
-    its partition instead of scanning all assignments.
+                  parallelism: int = 8, staged: bool = True,
+                  band_ratio: float = BAND_RATIO) -> tuple[DataFrame, DataFrame]:
+    """Frequent itemsets and rules of every requested cluster, with support
+    relative to the cluster's own basket count.  Returns ``(itemsets, rules)``
+    with a ``cluster_id`` column; the result equals one FPGrowth fit per
+    cluster.
+
+    Clusters are grouped into bands of similar minimum count
+    (``support_bands``); one FPGrowth fit mines a whole band on items tagged
+    with their cluster id (so no itemset mixes clusters) at the band's lowest
+    minimum count, then each itemset is kept only if it reaches its own
+    cluster's minimum count.  The rules come from the itemsets by joins
+    (``rules_from_itemsets``).  So k clusters cost a few fits (run as
+    concurrent jobs) instead of k, and the extra mining stays below a
+    ``band_ratio`` lower threshold.  With ``staged`` the requested clusters'
+    baskets are written once, partitioned by cluster, and each fit reads only
+    its clusters' partitions.
     """
     clusters = sorted(set(int(c) for c in clusters))
     spark = assignments.sparkSession
-    empty_sets = spark.createDataFrame([], "cluster_id int, items array<string>, size int, freq long")
-    empty_rules = spark.createDataFrame(
-        [], "cluster_id int, antecedent array<string>, consequent array<string>, confidence double, "
-            "lift double, support double")
     if not clusters:
-        return empty_sets, empty_rules
+        return (spark.createDataFrame([], "cluster_id int, items array<string>, size int, freq long"),
+                spark.createDataFrame([], "cluster_id int, antecedent array<string>, consequent array<string>, "
+                                          "confidence double, lift double, support double"))
     source = assignments.where(F.col(cluster_col).isin(clusters))
     if staged:
         source, cluster_col, items_col = stage_by_cluster(source, cluster_col, items_col), "cluster_id", "items"
+    source = source.select(F.col(cluster_col).cast("int").alias("cluster_id"),
+                           F.array_distinct(F.col(items_col)).alias("items"))
+
+    counts = {r[0]: r[1] for r in source.groupBy("cluster_id").count().collect()}   # at most k rows
+    thresholds = spark.createDataFrame(
+        [(c, n, min_count(min_support, n)) for c, n in counts.items()], "cluster_id int, n long, min_count long")
+    bands = support_bands(counts, min_support, band_ratio)
 
     sc = spark.sparkContext
     group = sc.getLocalProperty("spark.jobGroup.id")    # keep the caller's job group in the worker threads
+    # a band reads few staged files; spread its FP-tree mining over the cluster
+    parts = num_partitions or sc.defaultParallelism
 
-    def one(cid: int):
+    def one(band: list[int]) -> DataFrame:
         if group:
-            sc.setJobGroup(group, f"fpgrowth cluster {cid}")
-        tx = source.where(F.col(cluster_col) == cid).select(items_col)
-        model = fit_fpgrowth(tx, min_support, min_confidence, num_partitions, items_col)
-        # the model's itemsets are a lazy plan over the mining; cache them once
-        # so that the itemsets and the rules (built from them) do not mine again
-        keep(model.freqItemsets).count()
-        return (frequent_itemsets(model).withColumn("cluster_id", F.lit(cid)),
-                association_rules(model).withColumn("cluster_id", F.lit(cid)))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, clusters))
-    sets = reduce(DataFrame.unionByName, [s for s, _ in results])
-    rules = reduce(DataFrame.unionByName, [r for _, r in results])
-    return (sets.select("cluster_id", "items", "size", "freq"),
-            rules.select("cluster_id", "antecedent", "consequent", "confidence", "lift", "support"))
+            sc.setJobGroup(group, f"fpgrowth clusters {band}")
+        n_band = sum(counts[c] for c in band)
+        low = min(min_count(min_support, counts[c]) for c in band)
+        tagged = source.where(F.col("cluster_id").isin(band)).select(
+            F.transform("items", lambda x: F.concat(F.col("cluster_id").cast("string"), F.lit(TAG), x)).alias("items"))
+        # FPGrowth keeps counts >= ceil(support * n_band); half a count below
+        # `low` makes that exactly `low` despite rounding
+        model = fit_fpgrowth(tagged, max(low - 0.5, 0.0) / n_band, min_confidence, parts)
+        raw = keep(model.freqItemsets)     # mine once; read below
+        raw.count()
+        return raw.select(
+            F.substring_index(F.element_at("items", 1), TAG, 1).cast("int").alias("cluster_id"),
+            F.array_sort(F.transform("items", lambda x: F.substring_index(x, TAG, -1))).alias("items"),
+            F.col("freq").cast("long").alias("freq"))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(bands)))) as pool:
+        mined = list(pool.map(one, bands))
+    sets = (reduce(DataFrame.unionByName, mined)
+            .join(F.broadcast(thresholds), "cluster_id")       # one row per cluster
+            .where(F.col("freq") >= F.col("min_count"))
+            .select("cluster_id", "items", F.size("items").alias("size"), "freq"))
+    rules = rules_from_itemsets(sets, thresholds.select("cluster_id", "n"), min_confidence)
+    return sets, rules

@@ -130,3 +130,25 @@ def test_mine_clusters_uses_cluster_support(spark):
     assert got == {(1, ("a",)): 6, (1, ("b",)): 6, (1, ("a", "b")): 6, (2, ("d",)): 8}
     assert {(r.cluster_id, tuple(r.antecedent), tuple(r.consequent)) for r in rules.collect()} == \
         {(1, ("a",), ("b",)), (1, ("b",), ("a",))}
+
+
+@pytest.mark.parametrize("ratio", [1.0, 2.0, 100.0])
+def test_band_mining_equals_per_cluster_fits(spark, ratio):
+    rnd = random.Random(8)
+    rows = []
+    for cid, n in [(0, 40), (1, 90), (2, 200), (3, 7)]:
+        pool = list("abcdefgh")[cid:cid + 5]
+        rows += [(cid, sorted(set(rnd.sample(pool, rnd.randrange(0, 4))))) for _ in range(n)]
+    df = spark.createDataFrame(rows, "cluster_id int, items array<string>")
+    sets, rules = mine_clusters(df, [0, 1, 2, 3], 0.15, 0.25, staged=False, band_ratio=ratio)
+    got_sets = {(r.cluster_id, tuple(r["items"]), r.freq) for r in sets.collect()}
+    got_rules = {(r.cluster_id, tuple(r.antecedent), tuple(r.consequent), round(r.confidence, 12),
+                  round(r.lift, 12), round(r.support, 12)) for r in rules.collect()}
+    exp_sets, exp_rules = set(), set()
+    for cid in range(4):
+        model = fit_fpgrowth(df.where(F.col("cluster_id") == cid), 0.15, 0.25)
+        exp_sets |= {(cid, tuple(r["items"]), r.freq) for r in frequent_itemsets(model).collect()}
+        exp_rules |= {(cid, tuple(r.antecedent), tuple(r.consequent), round(r.confidence, 12),
+                       round(r.lift, 12), round(r.support, 12)) for r in association_rules(model).collect()}
+    assert got_sets == exp_sets
+    assert got_rules == exp_rules
