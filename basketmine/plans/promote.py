@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from basketmine.operators.ckmeans import ConstrainedKMeans, ConstrainedKMeansModel
 from basketmine.operators.encode import encode_baskets
 from basketmine.operators.mining import mine_clusters
+from basketmine.session import keep
 
 
 @dataclass
@@ -36,7 +37,7 @@ def promote(model: ConstrainedKMeansModel, incoming: DataFrame, min_support: flo
             score_against: str = "seeds") -> Promotion:
     """Score encoded incoming baskets and mine their clusters' baskets (P12):
     non-seed training baskets by their final cluster."""
-    scored = model.predict(incoming, score_against)
+    scored = keep(model.predict(incoming, score_against))     # read by the collect below and the output
     clusters = [r[0] for r in scored.select("prediction").distinct().collect()]  # at most k values
     members = model.assignments.where(~F.col("is_seed"))
     itemsets, rules = mine_clusters(members, clusters, min_support, min_confidence, num_partitions)

@@ -23,15 +23,18 @@ CLUSTER_DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "basketmine") -> SparkSession:
+                  app_name: str = "basketmine", driver_memory: str | None = None) -> SparkSession:
     """Return a session with AQE and skew-join handling switched on.
 
-    ``master`` and ``shuffle_partitions`` are for local runs and tests; on a
+    ``master``, ``shuffle_partitions`` and ``driver_memory`` are for local runs
+    and tests (in local mode the executors live in the driver JVM); on a
     cluster leave them unset and let the submitter decide.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in CLUSTER_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
