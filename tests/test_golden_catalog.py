@@ -54,3 +54,33 @@ def test_substring_gains(spark):
     sub = encode_baskets(long_form, lv, "substring").select("basket_id", F.size("items").alias("s"))
     gains = {products[r.basket_id]: r.s - r.e for r in exact.join(sub, "basket_id").collect() if r.s != r.e}
     assert gains == SUBSTRING_GAINS
+
+
+def test_demo_configuration_end_to_end(spark, scratch):
+    """Basket lines without customers + the full catalogue, at the demo
+    configuration: 40 k-means clusters for 1,000 surrogate customers, the
+    constrained model with k = 40 and 5 iterations, support 0.2, confidence
+    0.2, 10 mining partitions; then the example basket of customer 5."""
+    import random
+    from basketmine.plans.promote import reference_flow
+    products = [line.split(",")[0] for line in GROCERY_CATALOG]
+    rnd = random.Random(2)
+    weights = [1.0 / (i + 1) for i in range(len(products))]
+    lines = [",".join(sorted(set(rnd.choices(products, weights, k=rnd.randrange(1, 8))))) for _ in range(2000)]
+    with open(f"{scratch}/groceries.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    with open(f"{scratch}/catalog.csv", "w") as fh:
+        fh.write("\n".join(GROCERY_CATALOG) + "\n")
+    model, promo = reference_flow(spark, f"{scratch}/groceries.csv", f"{scratch}/catalog.csv",
+                                  [(0, 5, EXAMPLE_LINE)])
+    a = model.assignments
+    assert a.count() == 2000 and len(model.seeds) == 40
+    assert a.where((F.col("customer_id") < 1) | (F.col("customer_id") > 1000)).count() == 0
+    assert a.where(~F.col("is_seed")).groupBy("customer_id").agg(F.countDistinct("cluster_id").alias("c")) \
+        .where("c > 1").count() == 0
+    scored = promo.scored.first()
+    assert scored["items"] == EXAMPLE_CATEGORIES and 0 <= scored.prediction < 40
+    members = a.where(~F.col("is_seed") & (F.col("cluster_id") == scored.prediction)).count()
+    sets = promo.itemsets.collect()
+    assert sets and all(r.cluster_id == scored.prediction and r.freq >= 0.2 * members for r in sets)
+    assert promo.rules.where((F.col("confidence") < 0.2) | (F.col("cluster_id") != scored.prediction)).count() == 0
