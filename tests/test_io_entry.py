@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketmine.functions.catalog import explode_paths
 from basketmine.operators.kmeans import surrogate_customer_ids
 from basketmine.plans.promote import train_and_promote
-from basketmine.sources.sinks import append_trials, write_sorted
+from basketmine.sources.sinks import append_trials, write_results, write_sorted
 from basketmine.sources.text import parse_catalog_lines
 from basketmine.streaming.scoring import score_batch, score_stream
 from conftest import EXAMPLE_LINE, SF_SMALL
@@ -30,6 +30,11 @@ def test_write_sorted_text_and_parquet(spark, scratch):
     assert [r.k for r in spark.read.parquet(f"{scratch}/pq").collect()] == [1, 2, 3, 5, 7, 9]
     write_sorted(df.select("k", "a").limit(2), f"{scratch}/pq", "k", single_file=True)   # overwrite
     assert spark.read.parquet(f"{scratch}/pq").count() == 2
+    write_sorted(df.select("k", "a"), f"{scratch}/kv", "k", fmt="text", single_file=True)
+    with open(glob.glob(f"{scratch}/kv/part-*")[0]) as fh:
+        assert [x.strip() for x in fh if x.strip()] == [f"({k},v{k})" for k in [1, 2, 3, 5, 7, 9]]
+    write_results(df, f"{scratch}/res", partition_by="b")
+    assert spark.read.parquet(f"{scratch}/res").count() == 6
     t = spark.createDataFrame([(2, 3, 0.5)], "k int, k_next int, ari double")
     append_trials(t, f"{scratch}/trials")
     append_trials(t, f"{scratch}/trials")
