@@ -233,9 +233,16 @@ class ConstrainedKMeans:
                                                 F.lit(1).cast("long").alias("n"))))
         # at most 2 x k x (categories + 1) rows from here on
         per_cluster = Window.partitionBy("cluster_id")
-        size = lambda w: F.coalesce(F.sum(F.when((F.col("w") == w) & F.col("category").isNull(), F.col("n")))
-                                    .over(per_cluster), F.lit(0))
-        part = lambda w: F.sum(F.when(F.col("w") == w, F.col("n")).otherwise(0))
+
+        def size(w: int):
+            """Baskets of the cluster under labelling w (the NULL-category rows)."""
+            return F.coalesce(F.sum(F.when((F.col("w") == w) & F.col("category").isNull(), F.col("n")))
+                              .over(per_cluster), F.lit(0))
+
+        def part(w: int):
+            """Count of the category's rows from source w (-1: the seed itself)."""
+            return F.sum(F.when(F.col("w") == w, F.col("n")).otherwise(0))
+
         joined = (counts.withColumn("n0", size(0)).withColumn("n1", size(1))
                   .where(F.col("category").isNotNull())
                   .groupBy("cluster_id", "category")
