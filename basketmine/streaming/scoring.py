@@ -1,10 +1,12 @@
-"""Scoring a stream of incoming basket lines with a trained model.
+"""Scoring streams of incoming baskets with a trained model.
 
 Scoring is stateless (a join with the static link table plus row-local
-distances), so each micro-batch is scored exactly like a batch: the stream's
-lines are parsed, encoded against the catalogue and predicted inside
-``foreachBatch``, and the result is appended to a parquet sink.  Restarting
-from the checkpoint location replays unfinished batches.
+distances).  ``score_encoded_stream`` runs it as a plain stream-static plan
+on already encoded baskets.  ``score_stream`` takes raw basket lines: encoding
+them needs a per-basket aggregate, so each micro-batch is parsed, encoded
+against the catalogue and predicted inside ``foreachBatch`` exactly like a
+batch.  Both append to parquet; restarting from the checkpoint location
+replays unfinished batches.
 """
 
 from __future__ import annotations
@@ -46,3 +48,19 @@ def score_stream(model: ConstrainedKMeansModel, lines: DataFrame, catalog: DataF
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def score_encoded_stream(model: ConstrainedKMeansModel, baskets: DataFrame, output_path: str,
+                         checkpoint_path: str, score_against: str = "seeds",
+                         trigger_once: bool = False) -> StreamingQuery:
+    """Stream of already encoded baskets ``(basket_id, customer_id, items)``
+    -> appended predictions, as a plain stream-static plan: a left join of the
+    stream with the static link table plus row-local distances; no state, no
+    watermark, exactly-once through the checkpoint and the file sink."""
+    scored = model.predict(baskets, score_against).select(
+        "basket_id", "customer_id", "items", "prediction", "known_customer")
+    writer = (scored.writeStream.format("parquet").outputMode("append")
+              .option("path", output_path).option("checkpointLocation", checkpoint_path))
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import explode_paths
 from basketmine.operators.kmeans import surrogate_customer_ids
+from basketmine.operators.ckmeans import ConstrainedKMeans
 from basketmine.plans.promote import train_and_promote
 from basketmine.sources.sinks import append_trials, write_results, write_sorted
 from basketmine.sources.text import parse_catalog_lines
@@ -127,3 +128,19 @@ def test_reference_flow_on_text(spark, scratch):
     scored = promo.scored.collect()
     assert len(scored) == 1 and scored[0]["items"] == EXAMPLE_CATEGORIES
     assert promo.rules.where(F.col("cluster_id") != scored[0].prediction).count() == 0
+
+
+def test_stream_static_scoring_of_encoded_baskets(spark, scratch):
+    from basketmine.streaming.scoring import score_encoded_stream
+    from test_ckmeans import random_rows, to_df
+    rows = random_rows()
+    m = ConstrainedKMeans(5, 2, 1).fit(to_df(spark, rows))
+    inc = spark.createDataFrame([(900, rows[0][1], ["c1"]), (901, 999, ["c2", "c3"]), (902, 998, [])],
+                                "basket_id long, customer_id long, items array<string>")
+    batch = {r.basket_id: (r.prediction, r.known_customer) for r in m.predict(inc).collect()}
+    inc.write.parquet(f"{scratch}/enc_in")
+    stream = spark.readStream.schema(inc.schema).parquet(f"{scratch}/enc_in")
+    q = score_encoded_stream(m, stream, f"{scratch}/enc_out", f"{scratch}/enc_ckpt", trigger_once=True)
+    q.awaitTermination(120)
+    got = {r.basket_id: (r.prediction, r.known_customer) for r in spark.read.parquet(f"{scratch}/enc_out").collect()}
+    assert got == batch
