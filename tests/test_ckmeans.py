@@ -196,3 +196,18 @@ def test_reference_shaped_output(spark):
             assert list(vec) == pytest.approx([cent[seed_of[b]].get(c, 0.0) for c in CATS])
         else:
             assert r.seed_cluster == -1 and list(vec) == [1.0 if c in items[b] else 0.0 for c in CATS]
+
+
+def test_baskets_without_customer(spark):
+    rows = random_rows()
+    df = spark.createDataFrame([(b, (c if b % 4 else None), sorted(s)) for b, c, s in rows],
+                               "basket_id long, customer_id long, items array<string>")
+    m = ConstrainedKMeans(5, 2, 1).fit(df)
+    seeds = [set(items) for _, _, items in m.seeds]
+    seed_of = {b: c for c, b, _ in m.seeds}
+    got = {r.basket_id: r for r in m.assignments.collect()}
+    assert m.links.where("customer_id IS NULL").count() == 0
+    for b, _, s in rows:
+        if b % 4 == 0 and b not in seed_of:
+            exp = argmin([naive_dist({c: 1.0 for c in sd}, s) for sd in seeds])
+            assert got[b].label_0 == exp and got[b].cluster_id == exp
