@@ -120,6 +120,8 @@ class ConstrainedKMeansModel:
         the batch's customers, so a small batch does not shuffle the whole
         link table."""
         centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
+        if "customer_id" not in baskets.columns:        # anonymous baskets: no link to use
+            baskets = baskets.withColumn("customer_id", F.lit(None).cast("long"))
         links = self.links.select("customer_id", F.col("cluster_id").alias("_link"))
         if small_batch_rows is not None and is_small(baskets, small_batch_rows):
             wanted = F.broadcast(baskets.select("customer_id").where(F.col("customer_id").isNotNull()).distinct())

@@ -158,6 +158,9 @@ def test_predict_known_and_unknown(spark):
     for b, cust, items in incoming[1:]:
         exp = argmin([naive_dist(sd, set(items)) for sd in seeds])
         assert got[b] == (exp, False)
+    anonymous = {r.basket_id: (r.prediction, r.known_customer) for r in m.predict(inc.drop("customer_id")).collect()}
+    for b, _, items in incoming:
+        assert anonymous[b] == (argmin([naive_dist(sd, set(items)) for sd in seeds]), False)
 
 
 def test_same_result_under_partitioning(spark):
