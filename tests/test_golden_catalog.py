@@ -67,11 +67,11 @@ def test_demo_configuration_end_to_end(spark, scratch):
     rnd = random.Random(2)
     weights = [1.0 / (i + 1) for i in range(len(products))]
     lines = [",".join(sorted(set(rnd.choices(products, weights, k=rnd.randrange(1, 8))))) for _ in range(2000)]
-    with open(f"{scratch}/groceries.csv", "w") as fh:
+    with open(f"{scratch}/basket_lines.txt", "w") as fh:
         fh.write("\n".join(lines) + "\n")
     with open(f"{scratch}/catalog.csv", "w") as fh:
         fh.write("\n".join(GROCERY_CATALOG) + "\n")
-    model, promo = reference_flow(spark, f"{scratch}/groceries.csv", f"{scratch}/catalog.csv",
+    model, promo = reference_flow(spark, f"{scratch}/basket_lines.txt", f"{scratch}/catalog.csv",
                                   [(0, 5, EXAMPLE_LINE)])
     a = model.assignments
     assert a.count() == 2000 and len(model.seeds) == 40
