@@ -55,7 +55,7 @@ def train_and_promote(training: DataFrame, incoming: DataFrame, catalog: DataFra
     return model, promote(model, inc_enc, min_support, min_confidence, num_partitions)
 
 
-def reference_flow(spark, baskets_path: str, catalog_path: str, incoming: list[tuple[int, int, str]],
+def promote_from_text(spark, baskets_path: str, catalog_path: str, incoming: list[tuple[int, int, str]],
                    k: int = 40, iterations: int = 5, id_clusters: int = 40, n_customers: int = 1000,
                    id_iterations: int = 5, seed: int = 1, min_support: float = 0.2,
                    min_confidence: float = 0.2, num_partitions: int | None = 10,

@@ -62,7 +62,7 @@ def test_demo_configuration_end_to_end(spark, scratch):
     constrained model with k = 40 and 5 iterations, support 0.2, confidence
     0.2, 10 mining partitions; then the example basket of customer 5."""
     import random
-    from basketmine.plans.promote import reference_flow
+    from basketmine.plans.promote import promote_from_text
     products = [line.split(",")[0] for line in GROCERY_CATALOG]
     rnd = random.Random(2)
     weights = [1.0 / (i + 1) for i in range(len(products))]
@@ -71,7 +71,7 @@ def test_demo_configuration_end_to_end(spark, scratch):
         fh.write("\n".join(lines) + "\n")
     with open(f"{scratch}/catalog.csv", "w") as fh:
         fh.write("\n".join(GROCERY_CATALOG) + "\n")
-    model, promo = reference_flow(spark, f"{scratch}/basket_lines.txt", f"{scratch}/catalog.csv",
+    model, promo = promote_from_text(spark, f"{scratch}/basket_lines.txt", f"{scratch}/catalog.csv",
                                   [(0, 5, EXAMPLE_LINE)])
     a = model.assignments
     assert a.count() == 2000 and len(model.seeds) == 40

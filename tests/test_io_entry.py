@@ -109,10 +109,10 @@ def test_oracle_small(spark, name):
     assert r["ok"], r
 
 
-def test_reference_flow_on_text(spark, scratch):
+def test_promote_from_text_on_text(spark, scratch):
     import random
     from conftest import CATALOG_LINES, EXAMPLE_CATEGORIES
-    from basketmine.plans.promote import reference_flow
+    from basketmine.plans.promote import promote_from_text
     products = [line.split(",")[0] for line in CATALOG_LINES]
     rnd = random.Random(4)
     lines = [",".join(rnd.sample(products, rnd.randrange(1, 5))) for _ in range(120)] + ["", "unknown thing"]
@@ -120,7 +120,7 @@ def test_reference_flow_on_text(spark, scratch):
         fh.write("\n".join(lines) + "\n")
     with open(f"{scratch}/catalog.csv", "w") as fh:
         fh.write("\n".join(CATALOG_LINES) + "\n")
-    model, promo = reference_flow(spark, f"{scratch}/baskets.txt", f"{scratch}/catalog.csv",
+    model, promo = promote_from_text(spark, f"{scratch}/baskets.txt", f"{scratch}/catalog.csv",
                                   [(0, 5, EXAMPLE_LINE)], k=5, id_clusters=4, n_customers=40, min_support=0.2)
     a = model.assignments
     assert a.count() == len(lines)
