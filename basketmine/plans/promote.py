@@ -2,7 +2,8 @@
 model, score incoming baskets, and mine the rules of each predicted cluster.
 
 The incoming side is a batch: every incoming basket is scored (R6 batch form)
-and one FPGrowth fit runs per distinct predicted cluster (at most k).  The
+and the baskets of the predicted clusters (at most k) are mined per cluster
+(support relative to each cluster, see ``operators.mining.mine_clusters``).  The
 output lists, for every incoming basket, all rules of its cluster; rules are
 not filtered by the basket's own contents.
 """
