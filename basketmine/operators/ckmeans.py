@@ -138,6 +138,21 @@ class ConstrainedKMeansModel:
         return (self.assignments.where(~F.col("is_seed"))
                 .join(wanted, "cluster_id", "left_semi"))
 
+    def cluster_summary(self) -> DataFrame:
+        """Per cluster (A2): baskets and distinct customers under the final
+        assignment, and the customers on its initial constraint list (distinct
+        customers whose baskets got the cluster in the first pass).  Two
+        aggregates over the assignments, joined on at most k rows."""
+        final = self.assignments.groupBy("cluster_id").agg(
+            F.count(F.lit(1)).alias("n_baskets"), F.countDistinct("customer_id").alias("n_customers"))
+        initial = (self.assignments.where(F.col("customer_id").isNotNull())
+                   .select(F.col("label_0").alias("cluster_id"), "customer_id").distinct()
+                   .groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_listed_customers")))
+        return (final.join(initial, "cluster_id", "full")
+                .select("cluster_id", F.coalesce("n_baskets", F.lit(0)).alias("n_baskets"),
+                        F.coalesce("n_customers", F.lit(0)).alias("n_customers"),
+                        F.coalesce("n_listed_customers", F.lit(0)).alias("n_listed_customers")))
+
     def reference_shaped(self, vocab: list[str]) -> DataFrame:
         """Assignments with a dense ``vector`` per row over ``vocab`` (J4): a
         seed row carries its cluster's mean weights, every other row its own

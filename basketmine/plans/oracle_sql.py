@@ -232,6 +232,14 @@ FROM enc e CROSS JOIN m_seeds s"""
     q["ckmeans_assign"] = with_(BASE, m) + """
 SELECT basket_id, customer_id, is_seed, coalesce(seed_cluster, -1) AS seed_cluster, label_0, cluster_id
 FROM m_assign"""
+    q["cluster_summary"] = with_(BASE, m) + """,
+fin AS (SELECT cluster_id, count(*) AS n_baskets, count(DISTINCT customer_id) AS n_customers
+        FROM m_assign GROUP BY cluster_id),
+ini AS (SELECT label_0 AS cluster_id, count(DISTINCT customer_id) AS n_listed_customers
+        FROM m_assign WHERE customer_id IS NOT NULL GROUP BY label_0)
+SELECT coalesce(fin.cluster_id, ini.cluster_id) AS cluster_id, coalesce(n_baskets, 0) AS n_baskets,
+       coalesce(n_customers, 0) AS n_customers, coalesce(n_listed_customers, 0) AS n_listed_customers
+FROM fin FULL JOIN ini ON fin.cluster_id = ini.cluster_id"""
     q["ckmeans_centroids"] = with_(BASE, m) + f"""
 SELECT cluster_id, category, round(weight, {DIGITS}) AS weight FROM m_cent"""
     q["centroid_distances"] = with_(BASE, m) + f""",

@@ -137,6 +137,10 @@ def q_ckmeans_assign(spark, sf):
         F.coalesce("seed_cluster", F.lit(-1)).alias("seed_cluster"), "label_0", "cluster_id")
 
 
+def q_cluster_summary(spark, sf):
+    return model(spark, sf).cluster_summary()
+
+
 def q_ckmeans_centroids(spark, sf):
     return model(spark, sf).centroids.select("cluster_id", "category", F.round("weight", DIGITS).alias("weight"))
 
@@ -275,6 +279,7 @@ QUERIES = {
     "nearest_seed": q_nearest_seed,
     "must_link": q_must_link,
     "ckmeans_assign": q_ckmeans_assign,
+    "cluster_summary": q_cluster_summary,
     "ckmeans_centroids": q_ckmeans_centroids,
     "centroid_distances": q_centroid_distances,
     "ckmeans_predict": q_ckmeans_predict,
