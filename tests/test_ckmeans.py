@@ -214,3 +214,16 @@ def test_baskets_without_customer(spark):
         if b % 4 == 0 and b not in seed_of:
             exp = argmin([naive_dist({c: 1.0 for c in sd}, s) for sd in seeds])
             assert got[b].label_0 == exp and got[b].cluster_id == exp
+
+
+def test_cluster_summary(spark):
+    rows = random_rows()
+    m = ConstrainedKMeans(5, 2, 1).fit(to_df(spark, rows))
+    a = m.assignments.collect()
+    got = {r.cluster_id: (r.n_baskets, r.n_customers, r.n_listed_customers) for r in m.cluster_summary().collect()}
+    exp = {}
+    for c in range(5):
+        final = [r for r in a if r.cluster_id == c]
+        listed = {r.customer_id for r in a if r.label_0 == c and r.customer_id is not None}
+        exp[c] = (len(final), len({r.customer_id for r in final if r.customer_id is not None}), len(listed))
+    assert got == exp
