@@ -138,3 +138,18 @@ def test_substring_random_items_against_brute_force(spark, catalog_lines_df):
     df = spark.createDataFrame([(i,) for i in sorted(items)], "item string")
     got = {(r.item, r.category) for r in substring_matches(df, lv).collect()}
     assert got == brute_force_substring(sorted(items), CATALOG_LINES)
+
+
+def test_parse_trim_unique_ids_and_single_product_segment(spark, catalog_lines_df):
+    from basketmine.functions.catalog import category_list_segments
+    from basketmine.sources.text import unique_row_id
+    lines = spark.createDataFrame([(0, " ham , coffee,,"), (1, ",")], "basket_id long, value string")
+    raw = sorted((r.basket_id, r.item) for r in parse_basket_lines(lines).collect())
+    assert raw == [(0, " coffee"), (0, " ham "), (1, None)]
+    trimmed = sorted((r.basket_id, r.item) for r in parse_basket_lines(lines, trim=True).collect())
+    assert trimmed == [(0, "coffee"), (0, "ham"), (1, None)]
+    ids = [r.row_id for r in unique_row_id(spark.range(50).repartition(3)).collect()]
+    assert len(set(ids)) == 50
+    segs = {(r.category, r.segment) for r in category_list_segments(levels(spark, catalog_lines_df)).collect()}
+    assert ("Flowers", "CompactBuffer(flower (seeds))") in segs          # one product: prefix and suffix
+    assert ("Coffee", "CompactBuffer(coffee") in segs and ("Coffee", " instant coffee)") in segs
