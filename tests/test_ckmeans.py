@@ -227,3 +227,23 @@ def test_cluster_summary(spark):
         listed = {r.customer_id for r in a if r.label_0 == c and r.customer_id is not None}
         exp[c] = (len(final), len({r.customer_id for r in final if r.customer_id is not None}), len(listed))
     assert got == exp
+
+
+def test_distances_against_float32_on_random_sets(spark):
+    rnd = random.Random(21)
+    cats = [f"k{i}" for i in range(30)]
+    rows = []
+    for _ in range(500):
+        a = sorted(rnd.sample(cats, rnd.randrange(0, 12)))
+        b = sorted(rnd.sample(cats, rnd.randrange(0, 12)))
+        support = sorted(set(a) | set(rnd.sample(cats, rnd.randrange(0, 6))))
+        rows.append((a, support, b))
+    df = spark.createDataFrame(rows, "ones array<string>, support array<string>, b array<string>")
+    got = df.select(jaccard_distance(F.col("ones"), F.col("b")).alias("j"),
+                    dontcare_distance(F.col("ones"), F.col("support"), F.col("b")).alias("d")).collect()
+    for (ones, support, b), r in zip(rows, got):
+        exp_j = naive_dist({c: 1.0 for c in ones}, set(b))
+        weights = {c: (1.0 if c in ones else 0.5) for c in support}      # fractional weights: don't care
+        exp_d = naive_dist(weights, set(b))
+        assert (math.isnan(r.j) and math.isnan(exp_j)) or r.j == exp_j
+        assert (math.isnan(r.d) and math.isnan(exp_d)) or r.d == exp_d
