@@ -63,8 +63,9 @@ def stage_by_cluster(members: DataFrame, cluster_col: str = "cluster_id", items_
 # Clusters whose minimum counts lie within this factor of each other share one
 # FPGrowth fit (see mine_clusters).
 BAND_RATIO = 1.5
-# Separator between the cluster id and the item in band-tagged items.
-TAG = "\u0001"
+# Band-tagged items are "<cluster id, zero-padded to TAG_WIDTH digits>:<item>",
+# split by position, so any category text survives.
+TAG_WIDTH = 10
 
 
 def min_count(min_support: float, n: int) -> int:
@@ -159,16 +160,17 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
             sc.setJobGroup(group, f"fpgrowth clusters {band}")
         n_band = sum(counts[c] for c in band)
         low = min(min_count(min_support, counts[c]) for c in band)
+        prefix = F.concat(F.lpad(F.col("cluster_id").cast("string"), TAG_WIDTH, "0"), F.lit(":"))
         tagged = source.where(F.col("cluster_id").isin(band)).select(
-            F.transform("items", lambda x: F.concat(F.col("cluster_id").cast("string"), F.lit(TAG), x)).alias("items"))
+            F.transform("items", lambda x: F.concat(prefix, x)).alias("items"))
         # FPGrowth keeps counts >= ceil(support * n_band); half a count below
         # `low` makes that exactly `low` despite rounding
         model = fit_fpgrowth(tagged, max(low - 0.5, 0.0) / n_band, min_confidence, parts)
         raw = keep(model.freqItemsets)     # mine once; read below
         raw.count()
         return raw.select(
-            F.substring_index(F.element_at("items", 1), TAG, 1).cast("int").alias("cluster_id"),
-            F.array_sort(F.transform("items", lambda x: F.substring_index(x, TAG, -1))).alias("items"),
+            F.substring(F.element_at("items", 1), 1, TAG_WIDTH).cast("int").alias("cluster_id"),
+            F.array_sort(F.transform("items", lambda x: x.substr(TAG_WIDTH + 2, 1 << 30))).alias("items"),
             F.col("freq").cast("long").alias("freq"))
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(bands)))) as pool:

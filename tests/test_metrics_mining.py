@@ -152,3 +152,15 @@ def test_band_mining_equals_per_cluster_fits(spark, ratio):
                        round(r.lift, 12), round(r.support, 12)) for r in association_rules(model).collect()}
     assert got_sets == exp_sets
     assert got_rules == exp_rules
+
+
+def test_band_mining_keeps_any_category_text(spark):
+    names = ["a:b", "12:x", "\u0001odd", "plain", "0000000001:y"]
+    rows = [(3, [names[0], names[1]])] * 5 + [(3, [names[2]])] * 3 + [(11, [names[3], names[4]])] * 6
+    df = spark.createDataFrame(rows, "cluster_id int, items array<string>")
+    sets, _ = mine_clusters(df, [3, 11], 0.3, 0.3, staged=False)
+    got = {(r.cluster_id, tuple(r["items"]), r.freq) for r in sets.collect()}
+    assert (3, tuple(sorted([names[0], names[1]])), 5) in got
+    assert (3, (names[2],), 3) in got
+    assert (11, tuple(sorted([names[3], names[4]])), 6) in got
+    assert all(c in (3, 11) for c, _, _ in got)
