@@ -164,3 +164,17 @@ def test_band_mining_keeps_any_category_text(spark):
     assert (3, (names[2],), 3) in got
     assert (11, tuple(sorted([names[3], names[4]])), 6) in got
     assert all(c in (3, 11) for c, _, _ in got)
+
+
+def test_kmeans_labels_and_ids_are_deterministic(spark):
+    from test_ckmeans import random_rows, to_df
+    from basketmine.operators.kmeans import assign_customer_ids, fit_kmeans, kmeans_labels
+    vec = to_vectors(to_df(spark, random_rows(120, 30, 3)), [f"c{i}" for i in range(8)]).cache()
+    runs = []
+    for _ in range(2):
+        labels = kmeans_labels(fit_kmeans(vec, 4, 5, seed=1), vec)
+        runs.append(sorted((r.basket_id, r.prediction) for r in labels.collect()))
+    assert runs[0] == runs[1]
+    ids = [sorted((r.basket_id, r.customer_id) for r in assign_customer_ids(vec.drop("customer_id"), 4, 40).collect())
+           for _ in range(2)]
+    assert ids[0] == ids[1] and all(1 <= c <= 40 for _, c in ids[0])
