@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .chat import q_chat
+from .decontam import q_decontam
 from .quality import q_quality
+from .simhash import q_simhash
 
 QUERIES = {
+    "op1_decontam": q_decontam,
     "op5_quality": q_quality,
+    "op7_chat": q_chat,
+    "op10_simhash": q_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
