@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from .chat import q_chat
 from .decontam import q_decontam
+from .licenses import q_licenses
+from .packing import q_packing
 from .quality import q_quality
 from .simhash import q_simhash
 
 QUERIES = {
     "op1_decontam": q_decontam,
+    "op4_packing": q_packing,
     "op5_quality": q_quality,
+    "op6_licenses": q_licenses,
     "op7_chat": q_chat,
     "op10_simhash": q_simhash,
 }
