@@ -8,6 +8,7 @@ from .licenses import q_licenses
 from .packing import q_packing
 from .quality import q_quality
 from .simhash import q_simhash
+from .substring import q_substring
 
 QUERIES = {
     "op1_decontam": q_decontam,
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_quality": q_quality,
     "op6_licenses": q_licenses,
     "op7_chat": q_chat,
+    "op9_substring": q_substring,
     "op10_simhash": q_simhash,
 }
 
