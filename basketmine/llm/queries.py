@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import q_chat
 from .decontam import q_decontam
+from .katz import q_katz
 from .licenses import q_licenses
 from .packing import q_packing
 from .quality import q_quality
@@ -12,6 +13,7 @@ from .substring import q_substring
 
 QUERIES = {
     "op1_decontam": q_decontam,
+    "op2_katz": q_katz,
     "op4_packing": q_packing,
     "op5_quality": q_quality,
     "op6_licenses": q_licenses,
