@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .chat import q_chat
+from .classifier import q_classifier
 from .decontam import q_decontam
+from .html_text import q_html
 from .katz import q_katz
 from .licenses import q_licenses
 from .packing import q_packing
@@ -14,10 +16,12 @@ from .substring import q_substring
 QUERIES = {
     "op1_decontam": q_decontam,
     "op2_katz": q_katz,
+    "op3_html": q_html,
     "op4_packing": q_packing,
     "op5_quality": q_quality,
     "op6_licenses": q_licenses,
     "op7_chat": q_chat,
+    "op8_classifier": q_classifier,
     "op9_substring": q_substring,
     "op10_simhash": q_simhash,
 }
