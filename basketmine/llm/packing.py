@@ -234,7 +234,7 @@ def pack(docs: DataFrame, keep: list[str] = ["doc_id"], vocabulary: str | None =
         T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
         T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     run = _pack_partition(vocabulary, list(keep), to_arrow_schema(carried), window, block_tokens, end_token)
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
 
 
 def q_packing(spark, sf_dir: str) -> DataFrame:
