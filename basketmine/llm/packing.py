@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 WINDOW = 4096
 END_TOKEN = 2
 BLOCK_TOKENS = 12_000_000
-CACHE_WORDS = 400_000    # white-space separated words whose ids a worker remembers
+CACHE_WORDS = 1_000_000    # white-space separated words whose ids a worker remembers
 GROUP_CHARS = 2_000_000  # texts are tokenised in groups of about this size
 VOCABULARY = "word_bpe_49k.json"
 
@@ -97,30 +97,27 @@ class WordTokenizer:
 
     def _learn(self, words: set[str]) -> None:
         """Encode words; an ASCII word goes by its lower case and without a closing stop, which is a token of its own."""
-        known, parts, cores = self.known, [], {}
+        known, parts, cores = self.known, [], {".", ","}
         for w in words:
             core, stop = w, ""
-            if len(w) > 1 and w[-1] in ".," and w[-2].isascii() and w[-2].isalpha():
+            if w[-1] in ".," and w[-2:-1].isalpha() and w[-2].isascii():
                 core, stop = w[:-1], w[-1]
             if core.isascii():
                 core = core.lower()
-            parts.append((w, core, stop))
-            cores[core] = known.get(core)
-        if any(stop for _, _, stop in parts):
-            cores.setdefault(".", None)
-            cores.setdefault(",", None)
-        fresh = [c for c, ids in cores.items() if ids is None]
+            if core is not w:
+                parts.append((w, core, stop))
+            cores.add(core)
+        fresh = list(cores.difference(known))
         for lo in range(0, len(fresh), 20_000):
             some = fresh[lo:lo + 20_000]
             got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             starts = np.cumsum([0] + [len(c) + 1 for c in some])
             owner = np.searchsorted(starts, np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids)), "right") - 1
-            ids, cuts = np.array(got.ids, "<u4"), np.searchsorted(owner, np.arange(len(some) + 1))
-            for k, c in enumerate(some):
-                cores[c] = ids[cuts[k]:cuts[k + 1]].tobytes()
-        known.update(cores)
+            ids = np.array(got.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(owner, np.arange(len(some) + 1))).tolist()
+            known.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
         for w, core, stop in parts:
-            known[w] = cores[core] + cores[stop] if stop else cores[core]
+            known[w] = known[core] + known[stop] if stop else known[core]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text in order (null: empty)."""
@@ -137,8 +134,8 @@ class WordTokenizer:
             for words in split:
                 if words is not None:
                     fresh.update(words)
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
+            if len(self.known) > CACHE_WORDS:  # go on with the words in use
+                self.known = {w: self.known[w] for w in fresh if w in self.known}
             fresh.difference_update(self.known)
             fresh.discard("")
             self.known[""] = b""
