@@ -20,12 +20,14 @@ def explode_paths(catalog: DataFrame, product_col: str = "product", path_col: st
     """``(product, path)`` -> ``(product, level, category)``, one row per path level.
 
     Levels are split on ``/`` and trimmed; level numbering starts at 1.  A path
-    that repeats a level gives two rows for the same (product, category).
+    that repeats a level gives two rows for the same (product, category).  An empty
+    level before the last is a category of its own (``X//Z`` has the levels ``X``,
+    the empty one and ``Z``); trailing empty levels are none.
     """
-    return (catalog.select(F.col(product_col).alias("product"),
-                           F.posexplode(F.split(F.col(path_col), "/")).alias("pos", "raw"))
-            .select("product", (F.col("pos") + 1).alias("level"), F.trim("raw").alias("category"))
-            .where(F.col("category") != ""))
+    path = F.regexp_replace(F.col(path_col), r"[/\s]+$", "")
+    return (catalog.where(path != "")
+            .select(F.col(product_col).alias("product"), F.posexplode(F.split(path, "/")).alias("pos", "raw"))
+            .select("product", (F.col("pos") + 1).alias("level"), F.trim("raw").alias("category")))
 
 
 def product_categories(catalog_levels: DataFrame) -> DataFrame:

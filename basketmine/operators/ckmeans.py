@@ -1,7 +1,7 @@
 """Must-link-constrained Jaccard k-means: one customer, one cluster.
 
-Stated as relational steps (fit = two Spark actions: draw the seeds, then
-distances + link aggregate + assignments; centroids are a lazy aggregate):
+Stated as relational steps (fit = one Spark action, the seed draw; links,
+assignments and centroids are lazy and cached on first use):
 
   seeds(basket_id, cluster_id)   k baskets first in md5('<seed>:<basket_id>') order,
                                  numbered 0..k-1 in that order
@@ -22,21 +22,26 @@ means, where only weights of exactly 0 or 1 count.
 Scale: the k seeds are the only rows that reach the driver (k is a parameter);
 distances are row-local against a literal array of the k seeds, so assigning
 baskets adds no shuffle; they are computed once per customer (its anchor
-basket) and for baskets without a link, never for every basket.  The link table is one aggregate on customer_id
-(partial aggregation makes a customer holding a third of all baskets cost one
-row per map task) and is joined back on customer_id, where AQE splits a hot
+basket) and for baskets without a link, never for every basket.  The link table is one hash aggregate on customer_id
+over fixed-width values (partial aggregation makes a customer holding a third of all baskets cost one
+row per map task); the items of one anchor basket per customer are fetched by a join on basket_id.  It is
+joined back on customer_id, where AQE splits a hot
 customer's partition.  Centroids are one aggregate on (cluster, category).
+
+Since a known customer's label is a function of the customer, labelings of the
+same baskets under several k are compared on one row per customer, weighted
+with its number of baskets (``customer_table`` and ``customer_label``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketmine.functions.jaccard import centroid_array, distances_to, nearest, seed_array
-from basketmine.session import is_small, keep, md5_rank_key
+from basketmine.session import keep, md5_rank_key
 
 
 def seed_order(baskets: DataFrame, seed: int, id_col: str = "basket_id") -> DataFrame:
@@ -59,10 +64,75 @@ def draw_seeds(baskets: DataFrame, k: int, seed: int) -> list[tuple[int, int, li
 
 
 def seed_rows(baskets: DataFrame, k: int, seed: int) -> DataFrame:
-    """``(basket_id, cluster_id)`` of the seeds, as a DataFrame (k rows)."""
-    spark = baskets.sparkSession
-    seeds = draw_seeds(baskets, k, seed)
-    return spark.createDataFrame([(b, c) for c, b, _ in seeds], "basket_id long, cluster_id int")
+    """``(basket_id, cluster_id)`` of the seeds, as a plan (a top-k; the window sees k rows)."""
+    top = seed_order(baskets.select("basket_id"), seed).orderBy("_seed_key", "basket_id").limit(k)
+    number = F.row_number().over(Window.orderBy("_seed_key", "basket_id")) - 1
+    return top.select("basket_id", number.cast("int").alias("cluster_id"))
+
+
+def anchor_baskets(base: DataFrame, seed_ids: list[int]) -> DataFrame:
+    """``(customer_id, n_baskets, anchor_id, anchor_items)`` of every known customer: the lowest basket
+    that is none of ``seed_ids`` (NULL if it has no other).  One hash aggregate over the baskets, then a
+    join on basket_id that fetches the items of one basket per customer."""
+    is_seed = F.col("basket_id").isin(seed_ids)
+    per = base.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n_baskets"), F.min(F.when(~is_seed, F.col("basket_id"))).alias("anchor_id"))
+    items = base.where(F.col("customer_id").isNotNull()).select(
+        F.col("basket_id").alias("anchor_id"), F.col("items").alias("anchor_items"))
+    return per.join(items, "anchor_id", "left").select("customer_id", "n_baskets", "anchor_id", "anchor_items")
+
+
+def customer_table(baskets: DataFrame, k_max: int, seed: int = 1) -> tuple[DataFrame, list]:
+    """What every labelling by up to ``k_max`` seeds depends on: one row per known customer
+    (``n_baskets``, the lowest basket that is no seed) and one per basket without a customer.
+    Returns it with the seeds ``(cluster_id, basket_id, items, customer_id)``."""
+    base = baskets.select("basket_id", "customer_id", "items")
+    rows = (seed_order(base, seed).orderBy("_seed_key", "basket_id").limit(k_max).collect())     # k_max rows
+    if len(rows) < k_max:
+        raise ValueError(f"k={k_max} is larger than the number of baskets ({len(rows)})")
+    seeds = [(c, r["basket_id"], list(r["items"] or []), r["customer_id"]) for c, r in enumerate(rows)]
+    known = anchor_baskets(base, [b for _, b, _, _ in seeds])
+    unknown = base.where(F.col("customer_id").isNull()).select(
+        "customer_id", F.lit(1).cast("long").alias("n_baskets"), F.col("basket_id").alias("anchor_id"),
+        F.col("items").alias("anchor_items"))
+    return known.unionByName(unknown), seeds
+
+
+def customer_label(seeds: list, k: int, centres=None) -> Column:
+    """``predict`` label of the rows of ``customer_table`` under the model with the first ``k`` seeds.
+
+    Seeds from ``k`` on are ordinary baskets of that model: where a customer's
+    lowest one comes before its anchor, it is the anchor (at most ``k_max``
+    customers, told by a literal map).  ``centres``: what rows without a customer
+    are scored against (default: the seeds).
+    """
+    centre = seed_array([(c, items) for c, _, items, _ in seeds[:k]])
+    near = nearest(centre, F.col("anchor_items"))["cid"]
+    lowest: dict = {}      # customer -> its lowest basket among the later seeds
+    own: dict = {}         # customer -> its lowest cluster among the first k seeds
+    for c, basket, items, customer in seeds:
+        if customer is None:
+            continue
+        if c < k:
+            own[customer] = min(own.get(customer, c), c)
+        elif customer not in lowest or basket < lowest[customer][0]:
+            lowest[customer] = (basket, items)
+    anchor = F.when(F.col("anchor_id").isNotNull(), near)
+    for customer, (basket, items) in lowest.items():
+        mine = (F.col("customer_id") == customer) & (F.col("anchor_id").isNull() | (F.col("anchor_id") > basket))
+        anchor = F.when(mine, nearest(centre, F.array(*[F.lit(x) for x in items]).cast("array<string>"))["cid"]).otherwise(anchor)
+    seeded = F.lit(None).cast("int")
+    if own:
+        seeded = F.try_element_at(F.create_map(*[F.lit(x) for pair in own.items() for x in pair]), F.col("customer_id"))
+    free = near if centres is None else nearest(centres, F.col("anchor_items"))["cid"]
+    return F.when(F.col("customer_id").isNull(), free).otherwise(F.least(anchor, seeded))
+
+
+def with_customer_rows(baskets: DataFrame, per_customer: DataFrame) -> DataFrame:
+    """``baskets`` left-joined to one row per customer.  Baskets without a customer are united in
+    afterwards with NULLs: they would all hash to one partition of the join."""
+    known = baskets.where(F.col("customer_id").isNotNull()).join(per_customer, "customer_id", "left")
+    return known.unionByName(baskets.where(F.col("customer_id").isNull()), allowMissingColumns=True)
 
 
 @dataclass
@@ -74,6 +144,8 @@ class ConstrainedKMeansModel:
     links: DataFrame          # customer_id, anchor, cluster_id
     assignments: DataFrame    # basket_id, customer_id, items, is_seed, seed_cluster, label_0, cluster_id
     centroids: DataFrame      # cluster_id, category, weight
+    base: DataFrame           # the encoded baskets, cached by fit unless the caller had
+    own_base: bool = False
     _centroid_cache: list | None = field(default=None, repr=False)
 
     @property
@@ -111,30 +183,22 @@ class ConstrainedKMeansModel:
             .withColumn("nearest_distance", F.col("_near.d")).drop("_near")
 
     def predict(self, baskets: DataFrame, score_against: str = "seeds", items_col: str = "items",
-                output_col: str = "prediction", small_batch_rows: int | None = None) -> DataFrame:
+                output_col: str = "prediction") -> DataFrame:
         """Known customer -> its link; otherwise the nearest centre (K7).  The
         distance to the centres is evaluated only for rows without a link.
-
-        ``small_batch_rows``: when the batch provably holds at most that many
-        rows (checked), the link table is first semi-joined with a broadcast of
-        the batch's customers, so a small batch does not shuffle the whole
-        link table."""
+        Rows without a customer have no link to look up and stay out of the join."""
         centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
         if "customer_id" not in baskets.columns:        # anonymous baskets: no link to use
             baskets = baskets.withColumn("customer_id", F.lit(None).cast("long"))
         links = self.links.select("customer_id", F.col("cluster_id").alias("_link"))
-        if small_batch_rows is not None and is_small(baskets, small_batch_rows):
-            wanted = F.broadcast(baskets.select("customer_id").where(F.col("customer_id").isNotNull()).distinct())
-            links = links.join(wanted, "customer_id", "left_semi")
-        return (baskets.join(links, "customer_id", "left")
+        return (with_customer_rows(baskets, links)
                 .withColumn("known_customer", F.col("_link").isNotNull())
                 .withColumn(output_col, F.coalesce(F.col("_link"), nearest(centres, F.col(items_col))["cid"]))
                 .drop("_link"))
 
     def cluster_baskets(self, clusters: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
-        """Training baskets (seeds excluded) of the given clusters.
-        ``clusters`` holds at most k distinct ids, so it is broadcast."""
-        wanted = F.broadcast(clusters.select(F.col(cluster_col).alias("cluster_id")).distinct())
+        """Training baskets (seeds excluded) of the given clusters."""
+        wanted = clusters.select(F.col(cluster_col).alias("cluster_id")).distinct()
         return (self.assignments.where(~F.col("is_seed"))
                 .join(wanted, "cluster_id", "left_semi"))
 
@@ -154,23 +218,25 @@ class ConstrainedKMeansModel:
                         F.coalesce("n_listed_customers", F.lit(0)).alias("n_listed_customers")))
 
     def reference_shaped(self, vocab: list[str]) -> DataFrame:
-        """Assignments with a dense ``vector`` per row over ``vocab`` (J4): a
-        seed row carries its cluster's mean weights, every other row its own
-        0/1 basket.  The k centroid maps (k x categories values) are
-        broadcast."""
+        """Assignments with a ``vector`` per row over ``vocab`` (J4): a seed row
+        carries its cluster's mean weights, every other row its own 0/1 basket,
+        made by the vectorizer.  Only the at most k seed rows meet the centroids."""
         from pyspark.ml.functions import array_to_vector
-        names = F.array(*[F.lit(v) for v in vocab])
-        means = F.broadcast(self.centroids.groupBy("cluster_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("category", "weight"))).alias("_w")))
-        own = F.transform(names, lambda c: F.when(F.array_contains("items", c), F.lit(1.0)).otherwise(F.lit(0.0)))
-        mean = F.transform(names, lambda c: F.coalesce(F.element_at("_w", c), F.lit(0.0)))
-        return (self.assignments.join(means.withColumnRenamed("cluster_id", "seed_cluster"), "seed_cluster", "left")
-                .withColumn("vector", array_to_vector(F.when(F.col("is_seed"), mean).otherwise(own)))
-                .select("basket_id", "customer_id", "is_seed",
-                        F.coalesce("seed_cluster", F.lit(-1)).alias("seed_cluster"), "cluster_id", "vector"))
+
+        from basketmine.operators.encode import to_vectors
+        shape = ["basket_id", "customer_id", "is_seed", F.coalesce("seed_cluster", F.lit(-1)).alias("seed_cluster"),
+                 "cluster_id", "vector"]
+        rows = to_vectors(self.assignments.where(~F.col("is_seed")), vocab, features_col="vector").select(*shape)
+        means = self.centroids.groupBy("cluster_id").agg(
+            F.map_from_entries(F.collect_list(F.struct("category", "weight"))).alias("_w"))
+        weights = F.transform(F.lit(vocab), lambda c: F.coalesce(F.try_element_at(F.col("_w"), c), F.lit(0.0)))
+        seeds = (self.assignments.where("is_seed")
+                 .join(means.withColumnRenamed("cluster_id", "seed_cluster"), "seed_cluster", "left")
+                 .withColumn("vector", array_to_vector(F.coalesce(weights, F.array_repeat(F.lit(0.0), len(vocab))))))
+        return rows.unionByName(seeds.select(*shape))
 
     def unpersist(self) -> None:
-        for df in (self.links, self.assignments, self.centroids):
+        for df in (self.links, self.assignments, self.centroids, *([self.base] if self.own_base else [])):
             df.unpersist()
 
 
@@ -183,10 +249,9 @@ class ConstrainedKMeans:
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
 
     def fit(self, baskets: DataFrame) -> ConstrainedKMeansModel:
-        """Two actions: the seed draw (top-k) and one job that builds the link
-        table and the assignments (both stay cached).  The encoded input is
-        cached for these two unless the caller has cached it already.
-        Centroids are a lazy, cached aggregate of the assignments."""
+        """One action: the seed draw (top-k).  Links, assignments and centroids are
+        lazy: each is computed, and cached, when it is first read.  The encoded
+        input is cached until ``unpersist`` unless the caller has cached it already."""
         own_cache = not baskets.is_cached
         base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
         if own_cache:
@@ -200,15 +265,14 @@ class ConstrainedKMeans:
                    .withColumn("is_seed", F.col("seed_cluster").isNotNull()))
 
         # One row per customer.  The anchor is the nearest seed of the
-        # customer's lowest non-seed basket: min_by picks that basket's items
-        # (rows whose ordering is NULL, the seeds, are skipped), so distances
-        # are computed once per customer, not once per basket.
-        links = keep(flagged.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-            F.min_by("items", F.when(~F.col("is_seed"), F.col("basket_id"))).alias("_anchor_items"),
-            F.min("seed_cluster").alias("_seed_min"))
-            .withColumn("anchor", F.when(F.col("_anchor_items").isNotNull(),
-                                         nearest(centres, F.col("_anchor_items"))["cid"]))
-            .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
+        # customer's lowest non-seed basket, so distances are computed once per
+        # customer, not once per basket.  Seed baskets are at most k rows.
+        seeded = (flagged.where("is_seed AND customer_id IS NOT NULL")
+                  .groupBy("customer_id").agg(F.min("seed_cluster").alias("_seed_min")))
+        links = keep(anchor_baskets(base, [b for _, b, _ in seeds]).join(seeded, "customer_id", "left")
+                     .withColumn("anchor", F.when(F.col("anchor_id").isNotNull(),
+                                                  nearest(centres, F.col("anchor_items"))["cid"]))
+                     .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
 
         # Baskets without a customer have no link: their own nearest seed
         # (coalesce evaluates it only for them).
@@ -216,16 +280,13 @@ class ConstrainedKMeans:
         label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", own))
         label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", own))
         assignments = keep(
-            flagged.join(links.select("customer_id", "anchor", F.col("cluster_id").alias("_link")),
-                         "customer_id", "left")
+            with_customer_rows(flagged, links.select("customer_id", "anchor", F.col("cluster_id").alias("_link")))
             .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster",
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
-        assignments.count()          # materialises links and assignments in one job
-        if own_cache:
-            base.unpersist()
-        centroids = keep(self._centroids(assignments, seeds))   # lazy, k x categories rows
-        return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids)
+        centroids = keep(self._centroids(assignments, seeds))   # k x categories rows
+        return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids,
+                                      base, own_cache)
 
     def _centroids(self, assignments: DataFrame, seeds) -> DataFrame:
         spark = assignments.sparkSession

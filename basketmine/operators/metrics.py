@@ -32,9 +32,11 @@ def join_labelings(a: DataFrame, b: DataFrame, id_col: str = "row_id", label_col
             .join(b.select(id_col, F.col(label_col).alias("label_b")), id_col, "inner"))
 
 
-def contingency(df: DataFrame, a: str = "label_a", b: str = "label_b") -> DataFrame:
-    """``(label_a, label_b, n)`` for every non-empty cell."""
-    return df.groupBy(F.col(a).alias("label_a"), F.col(b).alias("label_b")).agg(F.count(F.lit(1)).alias("n"))
+def contingency(df: DataFrame, a: str = "label_a", b: str = "label_b", weight: str | None = None) -> DataFrame:
+    """``(label_a, label_b, n)`` for every non-empty cell (A6); ``weight``: column with the
+    number of labelled rows that a row of ``df`` stands for."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.groupBy(F.col(a).alias("label_a"), F.col(b).alias("label_b")).agg(n.alias("n"))
 
 
 def marginals(cont: DataFrame) -> DataFrame:
@@ -46,7 +48,8 @@ def marginals(cont: DataFrame) -> DataFrame:
             .agg(F.sum("m.n").alias("n")))
 
 
-def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_first_row: bool = False) -> DataFrame:
+def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_first_row: bool = False,
+              weight: str | None = None) -> DataFrame:
     """One row: ``n, index, sum_a, sum_b, expected, max_index, ari``.
 
     The labelled rows are read once: the contingency table (at most k1 x k2
@@ -54,7 +57,7 @@ def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_firs
     aggregate reads each row sum and column sum from the first cell of its row
     or column.
     """
-    cont = contingency(df, a, b)
+    cont = contingency(df, a, b, weight)
     by_a, by_b = Window.partitionBy("label_a"), Window.partitionBy("label_b")
     cells = (cont
              .withColumn("row_n", F.sum("n").over(by_a))
@@ -77,7 +80,7 @@ def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_firs
 
 
 def adjusted_rand_index(df: DataFrame, a: str = "label_a", b: str = "label_b",
-                        compat_first_row: bool = False) -> float:
+                        compat_first_row: bool = False, weight: str | None = None) -> float:
     """Scalar ARI (one row reaches the driver)."""
-    row = ari_table(df, a, b, compat_first_row).select("ari").first()
+    row = ari_table(df, a, b, compat_first_row, weight).select("ari").first()
     return float("nan") if row is None or row[0] is None else float(row[0])

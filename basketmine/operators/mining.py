@@ -27,6 +27,7 @@ def fit_fpgrowth(transactions: DataFrame, min_support: float = 0.2, min_confiden
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
     model = fp.fit(tx)
+    tx.unpersist()
     return model
 
 
@@ -104,7 +105,7 @@ def rules_from_itemsets(itemsets: DataFrame, sizes: DataFrame, min_confidence: f
     confidence = F.col("freq").cast("double") / F.col("freq_a").cast("double")
     return (multi.join(ante, ["cluster_id", "antecedent"])
             .join(single, ["cluster_id", "cons"])
-            .join(F.broadcast(sizes), "cluster_id")       # one row per cluster
+            .join(sizes, "cluster_id")                    # one row per cluster
             .withColumn("confidence", confidence)
             .where(F.col("confidence") >= F.lit(float(min_confidence)))
             .select("cluster_id", "antecedent", F.array("cons").alias("consequent"), "confidence",
@@ -116,7 +117,7 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
                   min_confidence: float = 0.2, num_partitions: int | None = None,
                   cluster_col: str = "cluster_id", items_col: str = "items",
                   parallelism: int = 8, staged: bool = True,
-                  band_ratio: float = BAND_RATIO) -> tuple[DataFrame, DataFrame]:
+                  band_ratio: float = BAND_RATIO, cached: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Frequent itemsets and rules of every requested cluster, with support
     relative to the cluster's own basket count.  Returns ``(itemsets, rules)``
     with a ``cluster_id`` column; the result equals one FPGrowth fit per
@@ -131,7 +132,8 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
     concurrent jobs) instead of k, and the extra mining stays below a
     ``band_ratio`` lower threshold.  With ``staged`` the requested clusters'
     baskets are written once, partitioned by cluster, and each fit reads only
-    its clusters' partitions.
+    its clusters' partitions.  The mined itemsets stay cached; they are added
+    to ``cached`` for the caller to release.
     """
     clusters = sorted(set(int(c) for c in clusters))
     spark = assignments.sparkSession
@@ -168,6 +170,8 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
         model = fit_fpgrowth(tagged, max(low - 0.5, 0.0) / n_band, min_confidence, parts)
         raw = keep(model.freqItemsets)     # mine once; read below
         raw.count()
+        if cached is not None:
+            cached.append(raw)
         return raw.select(
             F.substring(F.element_at("items", 1), 1, TAG_WIDTH).cast("int").alias("cluster_id"),
             F.array_sort(F.transform("items", lambda x: x.substr(TAG_WIDTH + 2, 1 << 30))).alias("items"),
@@ -176,7 +180,7 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(bands)))) as pool:
         mined = list(pool.map(one, bands))
     sets = (reduce(DataFrame.unionByName, mined)
-            .join(F.broadcast(thresholds), "cluster_id")       # one row per cluster
+            .join(thresholds, "cluster_id")                    # one row per cluster
             .where(F.col("freq") >= F.col("min_count"))
             .select("cluster_id", "items", F.size("items").alias("size"), "freq"))
     rules = rules_from_itemsets(sets, thresholds.select("cluster_id", "n"), min_confidence)

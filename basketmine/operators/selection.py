@@ -14,10 +14,11 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketmine.operators.ckmeans import ConstrainedKMeans
+from basketmine.operators.ckmeans import ConstrainedKMeans, customer_label, customer_table
 from basketmine.operators.kmeans import fit_kmeans, kmeans_labels
 from basketmine.operators.metrics import adjusted_rand_index
 from basketmine.session import cut_lineage, keep
+from basketmine.sources.sinks import append_trials
 
 TRIALS_SCHEMA = "k int, k_next int, ari double"
 
@@ -53,10 +54,10 @@ def best_k_from_trials(trials: DataFrame) -> DataFrame:
 
 def _log(spark: SparkSession, trial: tuple[int, int, float], log_path: str | None) -> None:
     if log_path:
-        spark.createDataFrame([trial], TRIALS_SCHEMA).write.mode("append").parquet(log_path)
+        append_trials(spark.createDataFrame([trial], TRIALS_SCHEMA), log_path)
 
 
-# The labelled rows carried through a walk are checkpointed (to the shared
+# The labelled rows carried through a k-means walk are checkpointed (to the shared
 # spark.checkpoint.dir) every this many trials, so a long walk keeps a short
 # lineage and a lost cache block does not recompute the whole chain.
 CHECKPOINT_EVERY = 5
@@ -69,44 +70,45 @@ def _carry(both: DataFrame, trial: int, every: int) -> DataFrame:
 
 
 def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int = 1, seed: int = 1,
-                         log_path: str | None = None, score_against: str = "seeds",
-                         checkpoint_every: int = CHECKPOINT_EVERY):
+                         log_path: str | None = None, score_against: str = "seeds"):
     """Walk k over ``[lo, hi)`` with constrained models; labels are each
     model's ``predict`` of every training basket.  Returns ``(best_k, trials)``.
 
-    The labelled rows are cached and carried from trial to trial, so each
-    trial fits and predicts one new model and the two labelings sit on the
-    same rows (no join on the row id)."""
+    The baskets are aggregated once, to one row per customer
+    (``customer_table``); each trial labels those rows under k and k + 1 and
+    weights the contingency with their numbers of baskets.  With
+    ``score_against="centroids"`` a model's means are fitted for the baskets
+    without a customer."""
     spark = baskets.sparkSession
-    base = keep(baskets.select("basket_id", "customer_id", "items"))
     trials: list[tuple[int, int, float]] = []
-    best, previous, k = 0, 0.0, lo
-    held = labelled = None          # held: the cached rows that labelled reads from
+    best, previous = 0, 0.0
     if lo < hi:
-        first = ConstrainedKMeans(k, iterations, seed).fit(base)
-        held = labelled = keep(first.predict(base, score_against, output_col="label_a")
-                               .select("basket_id", "customer_id", "items", "label_a"))
-        labelled.count()
-        first.unpersist()
-    while k < hi:
-        nxt = ConstrainedKMeans(k + 1, iterations, seed).fit(base)
-        both = keep(nxt.predict(labelled, score_against, output_col="label_b"))
-        both = _carry(both, k - lo, checkpoint_every)
-        ari = adjusted_rand_index(both, "label_a", "label_b")     # materialises both
-        nxt.unpersist()
-        held.unpersist()
-        held = both
-        trials.append((k, k + 1, ari))
-        _log(spark, (k, k + 1, ari), log_path)
-        if stops(ari, previous):
-            best = k
-            break
-        best, previous = k + 1, ari
-        labelled = both.select("basket_id", "customer_id", "items", F.col("label_b").alias("label_a"))
-        k += 1
-    if held is not None:
-        held.unpersist()
-    base.unpersist()
+        base = keep(baskets.select("basket_id", "customer_id", "items"))
+        rows, seeds = customer_table(base, hi, seed)
+        rows = keep(rows)
+
+        def centres(k: int):
+            if score_against == "seeds":
+                return None
+            model = ConstrainedKMeans(k, iterations, seed).fit(base)
+            found = model.centroid_centres()
+            model.unpersist()
+            return found
+
+        label = customer_label(seeds, lo, centres(lo))
+        for k in range(lo, hi):
+            following = customer_label(seeds, k + 1, centres(k + 1))
+            ari = adjusted_rand_index(rows.select(label.alias("label_a"), following.alias("label_b"), "n_baskets"),
+                                      weight="n_baskets")
+            label = following
+            trials.append((k, k + 1, ari))
+            _log(spark, (k, k + 1, ari), log_path)
+            if stops(ari, previous):
+                best = k
+                break
+            best, previous = k + 1, ari
+        rows.unpersist()
+        base.unpersist()
     return best, spark.createDataFrame(trials, TRIALS_SCHEMA)
 
 

@@ -2,8 +2,8 @@
 
 The SQL recomputes every result by brute force from the pre-registered views
 (``part orders lineitem ...``): nearest seeds by a cross join of baskets with
-the k seeds, frequent itemsets by self-joins of the transaction items up to
-size ``MAX_SET``.  Column names and types mirror the Spark queries.
+the k seeds, frequent itemsets by recursion over their sizes until no larger
+set is frequent.  Column names and types mirror the Spark queries.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from basketmine.plans.queries import (CLUSTER_SUPPORT, DIGITS, GLOBAL_SUPPORT, ITERATIONS, K, K_NEXT,
                                       MIN_CONFIDENCE, N_CUSTOMERS, RATIO_DIGITS, SEED, SELECT_HI, SELECT_LO)
 
-MAX_SET = 6   # itemsets of the mining oracle are enumerated up to this size
 NAN = "CAST('nan' AS DOUBLE)"
 
 BASE = f"""
@@ -19,8 +18,8 @@ cat AS (
   SELECT product, CAST(level AS INTEGER) AS level, trim(raw) AS category FROM (
     SELECT product, unnest(generate_series(1, len(parts))) AS level, unnest(parts) AS raw
     FROM (SELECT p_partkey AS product,
-                 string_split(concat_ws('/', p_type, p_brand), '/') AS parts FROM part))
-  WHERE trim(raw) <> ''),
+                 string_split(regexp_replace(concat_ws('/', p_type, p_brand), '[/\\s]+$', ''), '/') AS parts FROM part)
+    WHERE parts <> [''])),
 pc AS (SELECT DISTINCT product, category FROM cat),
 all_items AS (
   SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, o.o_orderstatus AS status,
@@ -31,7 +30,8 @@ enc_all AS (
          list_sort(list_distinct(list(pc.category))) AS items
   FROM all_items b LEFT JOIN pc ON pc.product = b.item
   GROUP BY b.basket_id, b.customer_id),
-enc AS (SELECT basket_id, customer_id, items FROM enc_all WHERE status <> 'O'),
+enc AS (SELECT basket_id, customer_id, items FROM enc_all),
+trn AS (SELECT basket_id, customer_id, items FROM enc_all WHERE status IS DISTINCT FROM 'O'),
 inc AS (SELECT basket_id, customer_id, items FROM enc_all WHERE status = 'O')"""
 
 
@@ -57,8 +57,8 @@ def near_cte(name: str, src: str, seeds: str) -> str:
     FROM {src} e CROSS JOIN {seeds} s) WHERE rn = 1)"""
 
 
-def model_ctes(p: str, k: int, iterations: int = ITERATIONS, seed: int = SEED) -> str:
-    """CTEs ``{p}_seeds, {p}_near, {p}_flag, {p}_links, {p}_assign, {p}_cent``."""
+def model_ctes(p: str, k: int, iterations: int = ITERATIONS, seed: int = SEED, src: str = "enc") -> str:
+    """The model of the baskets ``src``: CTEs ``{p}_seeds, {p}_near, {p}_flag, {p}_links, {p}_assign, {p}_cent``."""
     w = (f"(CAST((CASE WHEN sc.cid IS NULL THEN 0 ELSE 1 END) + coalesce(s0.s, 0) AS DOUBLE)"
          f" / CAST(coalesce(n0.n, 0) + 1 AS DOUBLE))")
     for _ in range(2, iterations + 1):
@@ -69,10 +69,10 @@ def model_ctes(p: str, k: int, iterations: int = ITERATIONS, seed: int = SEED) -
   SELECT basket_id, items, CAST(rn - 1 AS INTEGER) AS cid FROM (
     SELECT basket_id, items,
            row_number() OVER (ORDER BY md5('{seed}:' || CAST(basket_id AS VARCHAR)), basket_id) AS rn
-    FROM enc) WHERE rn <= {k}),{near_cte(f"{p}_near", "enc", f"{p}_seeds")},
+    FROM {src}) WHERE rn <= {k}),{near_cte(f"{p}_near", src, f"{p}_seeds")},
 {p}_flag AS (
   SELECT e.basket_id, e.customer_id, e.items, s.cid AS seed_cluster, s.cid IS NOT NULL AS is_seed, n.nearest
-  FROM enc e LEFT JOIN {p}_seeds s ON s.basket_id = e.basket_id JOIN {p}_near n ON n.basket_id = e.basket_id),
+  FROM {src} e LEFT JOIN {p}_seeds s ON s.basket_id = e.basket_id JOIN {p}_near n ON n.basket_id = e.basket_id),
 {p}_links AS (
   SELECT customer_id, anchor, least(anchor, seed_min) AS cluster_id FROM (
     SELECT customer_id, arg_min(nearest, basket_id) FILTER (WHERE NOT is_seed) AS anchor,
@@ -115,51 +115,39 @@ def predict_cte(p: str, name: str, src: str) -> str:
   LEFT JOIN {p}_links l ON l.customer_id = i.customer_id)"""
 
 
-def mining_ctes(p: str, tx: str, support: float, confidence: float, max_set: int = MAX_SET) -> str:
+def mining_ctes(p: str, tx: str, support: float, confidence: float) -> str:
     """``{p}_sets(grp, items, size, freq)`` and ``{p}_rules(grp, antecedent,
-    consequent, confidence, lift, support)`` from ``tx(grp, tid, items)``."""
-    ctes = [f""",
-{p}_txl AS (SELECT grp, tid, unnest(items) AS item FROM {tx}),
-{p}_ntx AS (SELECT grp, count(*) AS n, ceil(CAST({support} AS DOUBLE) * count(*)) AS minc FROM {tx} GROUP BY grp),
-{p}_f1 AS (
-  SELECT c.grp, c.i1, c.freq FROM (SELECT grp, item AS i1, count(*) AS freq FROM {p}_txl GROUP BY ALL) c
-  JOIN {p}_ntx t ON t.grp = c.grp WHERE c.freq >= t.minc),
-{p}_t1 AS (SELECT x.grp, x.tid, x.item FROM {p}_txl x JOIN {p}_f1 f ON f.grp = x.grp AND f.i1 = x.item)"""]
-    for size in range(2, max_set + 1):
-        cols = [f"i{j}" for j in range(1, size + 1)]
-        joins = [f"{p}_t1 a1"]
-        for j in range(2, size + 1):
-            joins.append(f"JOIN {p}_t1 a{j} ON a{j}.grp = a1.grp AND a{j}.tid = a1.tid AND a{j}.item > a{j - 1}.item")
-        prev_cols = cols[:-1]
-        cond = " AND ".join(f"q.{c} = a{j + 1}.item" for j, c in enumerate(prev_cols))
-        joins.append(f"JOIN {p}_f{size - 1} q ON q.grp = a1.grp AND {cond}")
-        sel = ", ".join(f"a{j}.item AS i{j}" for j in range(1, size + 1))
-        ctes.append(f""",
-{p}_f{size} AS (
-  SELECT c.* FROM (SELECT a1.grp, {sel}, count(*) AS freq FROM {" ".join(joins)} GROUP BY ALL) c
-  JOIN {p}_ntx t ON t.grp = c.grp WHERE c.freq >= t.minc)""")
-    sets = []
-    for size in range(1, max_set + 1):
-        text = " || ',' || ".join(f"i{j}" for j in range(1, size + 1))
-        sets.append(f"SELECT grp, {text} AS items, {size} AS size, freq FROM {p}_f{size}")
-    ctes.append(f""",
-{p}_sets AS ({" UNION ALL ".join(sets)})""")
-    cands = []
-    for size in range(2, max_set + 1):
-        for drop in range(1, size + 1):
-            ante = " || ',' || ".join(f"i{j}" for j in range(1, size + 1) if j != drop)
-            cands.append(f"SELECT grp, {ante} AS ante, i{drop} AS cons, freq FROM {p}_f{size}")
+    consequent, confidence, lift, support)`` from ``tx(grp, tid, items)``.
+
+    ``{p}_in`` holds each frequent set (a sorted list) with each transaction that
+    contains it; a step appends a later frequent item of the transaction and
+    keeps the sets that reach the minimum count."""
     conf = "(CAST(c.freq AS DOUBLE) / a.freq)"
-    ctes.append(f""",
-{p}_cand AS ({" UNION ALL ".join(cands)}),
+    text = "array_to_string({0}, ',')"
+    return f""",
+{p}_ntx AS (SELECT grp, count(*) AS n, ceil(CAST({support} AS DOUBLE) * count(*)) AS minc FROM {tx} GROUP BY grp),
+{p}_t1 AS (
+  SELECT x.grp, x.tid, x.item, t.minc FROM (SELECT grp, tid, unnest(items) AS item FROM {tx}) x JOIN {p}_ntx t ON t.grp = x.grp
+  QUALIFY count(*) OVER (PARTITION BY x.grp, x.item) >= t.minc),
+{p}_in AS (
+  SELECT grp, tid, [item] AS items, item AS last, minc FROM {p}_t1
+  UNION ALL
+  SELECT grp, tid, items, last, minc FROM (
+    SELECT s.grp, s.tid, list_append(s.items, t.item) AS items, t.item AS last, s.minc
+    FROM {p}_in s JOIN {p}_t1 t ON t.grp = s.grp AND t.tid = s.tid AND t.item > s.last)
+  QUALIFY count(*) OVER (PARTITION BY grp, items) >= minc),
+{p}_list AS (SELECT grp, items, count(*) AS freq FROM {p}_in GROUP BY grp, items),
+{p}_sets AS (SELECT grp, {text.format("items")} AS items, len(items) AS size, freq FROM {p}_list),
+{p}_cand AS (
+  SELECT grp, {text.format("list_filter(items, lambda x: x <> cons)")} AS ante, cons, freq
+  FROM (SELECT grp, items, freq, unnest(items) AS cons FROM {p}_list WHERE len(items) >= 2)),
 {p}_rules AS (
   SELECT c.grp, c.ante AS antecedent, c.cons AS consequent, {conf} AS confidence,
          {conf} / (CAST(s.freq AS DOUBLE) / t.n) AS lift, CAST(c.freq AS DOUBLE) / t.n AS support
   FROM {p}_cand c JOIN {p}_sets a ON a.grp = c.grp AND a.items = c.ante
-  JOIN {p}_f1 s ON s.grp = c.grp AND s.i1 = c.cons
+  JOIN {p}_sets s ON s.grp = c.grp AND s.items = c.cons
   JOIN {p}_ntx t ON t.grp = c.grp
-  WHERE {conf} >= {confidence})""")
-    return "".join(ctes)
+  WHERE {conf} >= {confidence})"""
 
 
 def pairs(x: str) -> str:
@@ -191,11 +179,12 @@ cont AS (SELECT la, lb, count(*) AS n FROM lab GROUP BY ALL)""")
 
 
 def with_(*parts: str) -> str:
-    return "WITH " + "".join(parts)
+    return "WITH RECURSIVE " + "".join(parts)
 
 
 def _sql() -> dict[str, str]:
     m = model_ctes("m", K)
+    split = model_ctes("m", K, src="trn")     # the model of the queries that score the open orders
     q: dict[str, str] = {}
     q["catalog_levels"] = with_(BASE) + "\nSELECT product, level, category FROM cat"
     q["category_summary"] = with_(BASE) + """
@@ -204,6 +193,19 @@ FROM pc GROUP BY category"""
     q["basket_items"] = """
 SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, l.l_partkey AS item
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
+    q["basket_scan"] = """
+SELECT o.o_orderkey AS basket_id, CAST(l.l_partkey AS VARCHAR) AS item
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
+    q["catalog_scan"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS product, concat_ws('/', p_type, p_brand) AS path FROM part"""
+    q["incoming_scan"] = """
+SELECT o.o_orderkey AS basket_id, o.o_custkey AS customer_id, CAST(l.l_partkey AS VARCHAR) AS item
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'O'"""
+    q["dense_index"] = """
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id,
+       '(' || CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ')' AS line FROM orders"""
+    q["unique_ids"] = """
+SELECT o_custkey AS customer_id, count(*) AS n_rows, count(*) AS n_ids FROM orders GROUP BY o_custkey"""
     q["match_exact"] = with_(BASE) + """
 SELECT b.basket_id, b.item, pc.category FROM all_items b JOIN pc ON pc.product = b.item"""
     q["match_substring"] = with_(BASE) + """,
@@ -225,8 +227,9 @@ FROM enc_all e LEFT JOIN ex ON ex.basket_id = e.basket_id LEFT JOIN vocab v ON v
 GROUP BY e.basket_id"""
     q["seed_rows"] = with_(BASE, m) + "\nSELECT basket_id, cid AS cluster_id FROM m_seeds"
     q["seed_distances"] = with_(BASE, m) + f"""
-SELECT e.basket_id, s.cid AS cluster_id, {jaccard("s.items", "e.items")} AS distance
-FROM enc e CROSS JOIN m_seeds s"""
+SELECT cluster_id, count(*) AS n, CAST(sum(CASE WHEN isnan(d) THEN 1 ELSE 0 END) AS BIGINT) AS n_nan,
+       round(sum(CASE WHEN NOT isnan(d) THEN d END), {DIGITS}) AS distance
+FROM (SELECT s.cid AS cluster_id, {jaccard("s.items", "e.items")} AS d FROM enc e CROSS JOIN m_seeds s) GROUP BY cluster_id"""
     q["nearest_seed"] = with_(BASE, m) + "\nSELECT basket_id, nearest AS cluster_id, d AS distance FROM m_near"
     q["must_link"] = with_(BASE, m) + "\nSELECT customer_id, anchor, cluster_id FROM m_links"
     q["ckmeans_assign"] = with_(BASE, m) + """
@@ -247,13 +250,27 @@ cc AS (SELECT cluster_id AS cid, list(category) FILTER (WHERE weight = 1.0) AS o
        FROM m_cent GROUP BY cluster_id),
 cen AS (SELECT s.cid, coalesce(cc.ones, []::VARCHAR[]) AS ones, coalesce(cc.support, []::VARCHAR[]) AS support
         FROM m_seeds s LEFT JOIN cc ON cc.cid = s.cid)
-SELECT e.basket_id, c.cid AS cluster_id, {dontcare("c.ones", "c.support", "e.items")} AS distance
-FROM enc e CROSS JOIN cen c"""
-    q["ckmeans_predict"] = with_(BASE, m, predict_cte("m", "pred", "inc")) + """
+SELECT cluster_id, count(*) AS n, CAST(sum(CASE WHEN isnan(d) THEN 1 ELSE 0 END) AS BIGINT) AS n_nan,
+       round(sum(CASE WHEN NOT isnan(d) THEN d END), {DIGITS}) AS distance
+FROM (SELECT c.cid AS cluster_id, {dontcare("c.ones", "c.support", "e.items")} AS d FROM enc e CROSS JOIN cen c)
+GROUP BY cluster_id"""
+    q["reference_shaped"] = with_(BASE, m) + """,
+vocab AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS idx FROM (SELECT DISTINCT category FROM cat)),
+cells AS (
+  SELECT basket_id, category, 1.0::DOUBLE AS weight FROM (SELECT basket_id, unnest(items) AS category FROM m_assign WHERE NOT is_seed)
+  UNION ALL SELECT a.basket_id, c.category, c.weight FROM m_assign a JOIN m_cent c ON c.cluster_id = a.seed_cluster WHERE a.is_seed),
+texts AS (SELECT basket_id, string_agg(v.idx || ':' || CAST(round(weight * 1000000) AS BIGINT), ' ' ORDER BY v.idx) AS weights
+          FROM cells JOIN vocab v USING (category) GROUP BY basket_id)
+SELECT a.basket_id, a.is_seed, coalesce(a.seed_cluster, -1) AS seed_cluster, a.cluster_id, coalesce(t.weights, '') AS weights
+FROM m_assign a LEFT JOIN texts t ON t.basket_id = a.basket_id"""
+    q["ckmeans_predict"] = with_(BASE, split, predict_cte("m", "pred", "inc")) + """
 SELECT basket_id, customer_id, known_customer, cluster_id FROM pred"""
-    q["cluster_members"] = with_(BASE, m, predict_cte("m", "pred", "inc")) + """
+    q["cluster_members"] = with_(BASE, split, predict_cte("m", "pred", "inc")) + """
 SELECT basket_id, cluster_id FROM m_assign
 WHERE NOT is_seed AND cluster_id IN (SELECT cluster_id FROM pred)"""
+    q["labelings_join"] = """
+SELECT CAST(o_custkey % 5 AS INTEGER) AS label_a, CAST(year(o_orderdate) AS INTEGER) AS label_b, count(*) AS n
+FROM orders GROUP BY ALL"""
     q["contingency"] = with_(BASE, two_models()) + "\nSELECT la AS label_a, lb AS label_b, n FROM cont"
     q["label_marginals"] = with_(BASE, two_models()) + """
 SELECT 'a' AS side, la AS label, CAST(sum(n) AS BIGINT) AS n FROM cont GROUP BY la
@@ -280,8 +297,15 @@ SELECT CAST(k AS INTEGER) AS k, CAST(k_next AS INTEGER) AS k_next, round(ari, {R
        CAST(coalesce(fs.first_stop, (SELECT max(k_next) FROM trials)) AS INTEGER) AS best_k
 FROM st2, fs WHERE fs.first_stop IS NULL OR k <= fs.first_stop"""
 
-    q["sorted_export"] = with_(BASE, m) + """
-SELECT '(' || CAST(basket_id AS VARCHAR) || ',(' || CAST(customer_id AS VARCHAR) || ','
+    q["append_log"] = with_(*sel) + f"""
+SELECT CAST(k AS INTEGER) AS k, CAST(k_next AS INTEGER) AS k_next, round(ari, {RATIO_DIGITS}) AS ari
+FROM st2, fs WHERE fs.first_stop IS NULL OR k <= fs.first_stop"""
+
+    place = "row_number() OVER (ORDER BY basket_id) - 1 AS line_no"
+    q["kv_export"] = with_(BASE, m) + f"""
+SELECT {place}, '(' || CAST(basket_id AS VARCHAR) || ',' || CAST(cluster_id AS VARCHAR) || ')' AS line FROM m_assign"""
+    q["sorted_export"] = with_(BASE, m) + f"""
+SELECT {place}, '(' || CAST(basket_id AS VARCHAR) || ',(' || CAST(customer_id AS VARCHAR) || ','
        || CAST(cluster_id AS VARCHAR) || '))' AS line
 FROM m_assign"""
 
@@ -293,6 +317,13 @@ SELECT basket_id, cluster_id,
        AS surrogate_id
 FROM m_assign"""
 
+    place_in_range = f"CAST('0x' || substr(md5('{SEED}:' || CAST(basket_id AS VARCHAR)), 1, 15) AS BIGINT) % {per}"
+    q["kmeans_labels"] = "SELECT o_orderkey AS basket_id, true AS is_cluster, CAST(0 AS INTEGER) AS n_nearer FROM orders"
+    q["kmeans_surrogate_ids"] = f"""
+SELECT basket_id, {place_in_range} AS place, true AS in_range FROM (SELECT o_orderkey AS basket_id FROM orders)"""
+    q["kmeans_selection"] = """
+SELECT CAST(o_orderkey % 3 AS INTEGER) AS fixed, count(*) AS n, true AS in_range, true AS by_rule FROM orders GROUP BY ALL"""
+
     q["freq_itemsets"] = with_(BASE, """,
 tx AS (SELECT 0 AS grp, basket_id AS tid, items FROM enc)""", mining_ctes("g", "tx", GLOBAL_SUPPORT, MIN_CONFIDENCE)) + """
 SELECT items, CAST(size AS INTEGER) AS size, freq FROM g_sets"""
@@ -300,14 +331,14 @@ SELECT items, CAST(size AS INTEGER) AS size, freq FROM g_sets"""
 tx AS (SELECT 0 AS grp, basket_id AS tid, items FROM enc)""", mining_ctes("g", "tx", GLOBAL_SUPPORT, MIN_CONFIDENCE)) + f"""
 SELECT antecedent, consequent, round(confidence, {RATIO_DIGITS}) AS confidence, round(lift, {RATIO_DIGITS}) AS lift,
        round(support, {RATIO_DIGITS}) AS support FROM g_rules"""
-    q["promote"] = with_(BASE, m, predict_cte("m", "pred", "inc"), """,
+    q["promote"] = with_(BASE, split, predict_cte("m", "pred", "inc"), """,
 tx AS (SELECT cluster_id AS grp, basket_id AS tid, items FROM m_assign
        WHERE NOT is_seed AND cluster_id IN (SELECT cluster_id FROM pred))""",
                          mining_ctes("c", "tx", CLUSTER_SUPPORT, MIN_CONFIDENCE)) + f"""
-SELECT p.basket_id, p.customer_id, p.cluster_id, r.antecedent, r.consequent,
-       round(r.confidence, {RATIO_DIGITS}) AS confidence, round(r.lift, {RATIO_DIGITS}) AS lift,
-       round(r.support, {RATIO_DIGITS}) AS support
-FROM pred p JOIN c_rules r ON r.grp = p.cluster_id"""
+SELECT grp AS cluster_id, antecedent, consequent, round(confidence, {RATIO_DIGITS}) AS confidence,
+       round(lift, {RATIO_DIGITS}) AS lift, round(support, {RATIO_DIGITS}) AS support FROM c_rules"""
+    q["promote_baskets"] = with_(BASE, split, predict_cte("m", "pred", "inc")) + """
+SELECT basket_id, customer_id, cluster_id FROM pred"""
     return q
 
 

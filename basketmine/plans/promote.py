@@ -4,13 +4,13 @@ model, score incoming baskets, and mine the rules of each predicted cluster.
 The incoming side is a batch: every incoming basket is scored (R6 batch form)
 and the baskets of the predicted clusters (at most k) are mined per cluster
 (support relative to each cluster, see ``operators.mining.mine_clusters``).  The
-output lists, for every incoming basket, all rules of its cluster; rules are
-not filtered by the basket's own contents.
+output is the rules per predicted cluster and the cluster of every incoming
+basket; rules are not filtered by a basket's own contents.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +26,22 @@ class Promotion:
     scored: DataFrame     # incoming basket_id, customer_id, items, prediction, known_customer, ...
     itemsets: DataFrame   # cluster_id, items, size, freq
     rules: DataFrame      # cluster_id, antecedent, consequent, confidence, lift, support
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def baskets(self) -> DataFrame:
+        """``(basket_id, customer_id, cluster_id)``: each incoming basket once; its promotions are the
+        ``rules`` of its cluster."""
+        return self.scored.select("basket_id", "customer_id", F.col("prediction").alias("cluster_id"))
 
     def per_basket(self) -> DataFrame:
-        """Every incoming basket with every rule of its cluster."""
-        return (self.scored.select("basket_id", "customer_id", F.col("prediction").alias("cluster_id"))
-                .join(self.rules, "cluster_id"))
+        """For display: every incoming basket with every rule of its cluster, one row
+        without a rule where the cluster has none."""
+        return self.baskets().join(self.rules, "cluster_id", "left")
+
+    def close(self) -> None:
+        """Release what the promotion keeps cached."""
+        for df in (self.scored, *self.cached):
+            df.unpersist()
 
 
 def promote(model: ConstrainedKMeansModel, incoming: DataFrame, min_support: float = 0.2,
@@ -41,8 +52,9 @@ def promote(model: ConstrainedKMeansModel, incoming: DataFrame, min_support: flo
     scored = keep(model.predict(incoming, score_against))     # read by the collect below and the output
     clusters = [r[0] for r in scored.select("prediction").distinct().collect()]  # at most k values
     members = model.assignments.where(~F.col("is_seed"))
-    itemsets, rules = mine_clusters(members, clusters, min_support, min_confidence, num_partitions)
-    return Promotion(scored, itemsets, rules)
+    cached: list[DataFrame] = []
+    itemsets, rules = mine_clusters(members, clusters, min_support, min_confidence, num_partitions, cached=cached)
+    return Promotion(scored, itemsets, rules, cached)
 
 
 def train_and_promote(training: DataFrame, incoming: DataFrame, catalog: DataFrame, k: int = 40,
@@ -59,7 +71,7 @@ def train_and_promote(training: DataFrame, incoming: DataFrame, catalog: DataFra
 def promote_from_text(spark, baskets_path: str, catalog_path: str, incoming: list[tuple[int, int, str]],
                    k: int = 40, iterations: int = 5, id_clusters: int = 40, n_customers: int = 1000,
                    id_iterations: int = 5, seed: int = 1, min_support: float = 0.2,
-                   min_confidence: float = 0.2, num_partitions: int | None = 10,
+                   min_confidence: float = 0.2, num_partitions: int | None = None,
                    match: str = "exact") -> tuple[ConstrainedKMeansModel, Promotion]:
     """The whole demo flow on text inputs: basket lines without customers and
     a ``product, path`` catalogue -> category sets -> plain k-means surrogate

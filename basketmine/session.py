@@ -80,12 +80,6 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably holds at most ``max_rows`` rows; the check
-    reads at most ``max_rows + 1`` of them.  Guards explicit broadcasts."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def md5_rank_key(seed: int | str, key_col: str):
     """Deterministic pseudo-random order key: ``md5('<seed>:<key>')``.
 

@@ -13,7 +13,7 @@ Only the needed columns are selected, so the parquet scans read just those
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,13 +28,17 @@ def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("/", "p_type", "p_brand").alias("path"))
 
 
+def has_status(col: str, statuses: list[str]) -> Column:
+    """True or false, never NULL: an order without a status has none of the given ones."""
+    return F.coalesce(F.col(col).isin(statuses), F.lit(False))
+
+
 def orders(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
            exclude: bool = False, with_status: bool = False) -> DataFrame:
     """``(basket_id, customer_id[, status])`` for orders of the given statuses (all if None)."""
     o = table(spark, sf_dir, "orders")
     if statuses is not None:
-        cond = F.col("o_orderstatus").isin(statuses)
-        o = o.where(~cond if exclude else cond)
+        o = o.where(~has_status("o_orderstatus", statuses) if exclude else F.col("o_orderstatus").isin(statuses))
     cols = [F.col("o_orderkey").alias("basket_id"), F.col("o_custkey").alias("customer_id")]
     if with_status:
         cols.append(F.col("o_orderstatus").alias("status"))
@@ -68,31 +72,16 @@ def encoded_orders(spark: SparkSession, sf_dir: str, catalog: DataFrame, statuse
                           header=orders(spark, sf_dir, statuses, exclude, with_status))
 
 
-# Training baskets are the orders whose status is not open; the open orders are
-# the incoming baskets to be scored and promoted.
+# The open orders are the incoming baskets to be scored and promoted; where a query
+# needs baskets to train on beside them, these are all other orders, those without
+# a status among them.
 OPEN_STATUS = ["O"]
 
 
-def training_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_baskets(spark, sf_dir, OPEN_STATUS, exclude=True)
-
-
-def incoming_order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_baskets(spark, sf_dir, OPEN_STATUS)
-
-
-def encoded_training(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> DataFrame:
-    return encoded_orders(spark, sf_dir, catalog, OPEN_STATUS, exclude=True)
-
-
-def encoded_incoming(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> DataFrame:
-    return encoded_orders(spark, sf_dir, catalog, OPEN_STATUS)
-
-
 def encoded_split(spark: SparkSession, sf_dir: str, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(training, incoming)`` from one encode of all orders (cached), so the
-    line items are scanned and aggregated once for both sides."""
+    line items are scanned and aggregated once for both sides.  Every order is in exactly one of them."""
     from basketmine.session import keep
     enc = keep(encoded_orders(spark, sf_dir, catalog, with_status=True))
-    open_ = F.col("status").isin(OPEN_STATUS)
+    open_ = has_status("status", OPEN_STATUS)
     return enc.where(~open_).drop("status"), enc.where(open_).drop("status")

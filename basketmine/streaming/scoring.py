@@ -5,8 +5,8 @@ distances).  ``score_encoded_stream`` runs it as a plain stream-static plan
 on already encoded baskets.  ``score_stream`` takes raw basket lines: encoding
 them needs a per-basket aggregate, so each micro-batch is parsed, encoded
 against the catalogue and predicted inside ``foreachBatch`` exactly like a
-batch.  Both append to parquet; restarting from the checkpoint location
-replays unfinished batches.
+batch.  A batch is written to its own ``batch_id`` partition, which a replay after a
+restart replaces, so no basket is written twice.
 """
 
 from __future__ import annotations
@@ -17,32 +17,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketmine.operators.ckmeans import ConstrainedKMeansModel
 from basketmine.operators.encode import encode_baskets
-from basketmine.sources.text import parse_basket_lines
-
-
-# A micro-batch up to this many rows is scored against the link rows of its
-# own customers only (see ConstrainedKMeansModel.predict).
-SMALL_BATCH_ROWS = 1_000_000
+from basketmine.sources.text import parse_incoming_lines
 
 
 def score_batch(model: ConstrainedKMeansModel, lines: DataFrame, catalog: DataFrame,
                 match: str = "exact", score_against: str = "seeds") -> DataFrame:
     """``(basket_id, customer_id, line)`` -> ``(basket_id, customer_id, items, prediction, known_customer)``."""
-    long_form = parse_basket_lines(lines, value_col="line").join(
-        lines.select("basket_id", "customer_id"), "basket_id")
-    enc = encode_baskets(long_form, catalog, match)
-    return model.predict(enc, score_against, small_batch_rows=SMALL_BATCH_ROWS).select(
+    enc = encode_baskets(parse_incoming_lines(lines), catalog, match)
+    return model.predict(enc, score_against).select(
         "basket_id", "customer_id", "items", "prediction", "known_customer")
 
 
+def write_batch(scored: DataFrame, batch_id: int, output_path: str) -> None:
+    """Write one micro-batch; written again, it replaces itself and nothing else."""
+    (scored.withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(output_path))
+
+
 def score_stream(model: ConstrainedKMeansModel, lines: DataFrame, catalog: DataFrame, output_path: str,
                  checkpoint_path: str, match: str = "exact", trigger_once: bool = False) -> StreamingQuery:
-    """Start a streaming query that appends scored baskets to ``output_path``."""
+    """Start a streaming query that writes scored baskets to ``output_path``, partitioned by ``batch_id``."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        (score_batch(model, batch, catalog, match)
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(output_path))
+        write_batch(score_batch(model, batch, catalog, match), batch_id, output_path)
 
     writer = lines.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)
     if trigger_once:
