@@ -9,7 +9,8 @@ set is frequent.  Column names and types mirror the Spark queries.
 from __future__ import annotations
 
 from basketmine.plans.queries import (CLUSTER_SUPPORT, DIGITS, GLOBAL_SUPPORT, ITERATIONS, K, K_NEXT,
-                                      MIN_CONFIDENCE, N_CUSTOMERS, RATIO_DIGITS, SEED, SELECT_HI, SELECT_LO)
+                                      MIN_CONFIDENCE, N_CUSTOMERS, RATIO_DIGITS, SEED, SELECT_HI, SELECT_LO,
+                                      STOP_LO)
 
 NAN = "CAST('nan' AS DOUBLE)"
 
@@ -178,6 +179,25 @@ lab AS (SELECT a.basket_id, a.cluster_id AS la, b.cluster_id AS lb FROM pa a JOI
 cont AS (SELECT la, lb, count(*) AS n FROM lab GROUP BY ALL)""")
 
 
+def walk(lo: int, hi: int) -> list[str]:
+    """CTEs of the k walk over [lo, hi): ``trials``, ``st2`` (with the stop flag) and ``fs`` (the first stop)."""
+    ks = list(range(lo, hi + 1))
+    sel = [BASE] + [model_ctes(f"k{k}", k) + predict_cte(f"k{k}", f"p{k}", "enc") for k in ks]
+    trials = []
+    for k in ks[:-1]:
+        sel.append(f""",
+cont{k} AS (SELECT a.cluster_id AS la, b.cluster_id AS lb, count(*) AS n
+            FROM p{k} a JOIN p{k + 1} b ON a.basket_id = b.basket_id GROUP BY ALL),
+ari{k} AS (SELECT ari FROM ({ari_select(f"cont{k}", False)}))""")
+        trials.append(f"SELECT {k} AS k, {k + 1} AS k_next, ari FROM ari{k}")
+    sel.append(f""",
+trials AS ({" UNION ALL ".join(trials)}),
+st AS (SELECT k, k_next, ari, lag(ari, 1, 0.0) OVER (ORDER BY k) AS prev FROM trials),
+st2 AS (SELECT *, (NOT isnan(ari) AND NOT isnan(prev) AND ari >= 0 AND ari < prev) AS stop FROM st),
+fs AS (SELECT min(k) FILTER (WHERE stop) AS first_stop FROM st2)""")
+    return sel
+
+
 def with_(*parts: str) -> str:
     return "WITH RECURSIVE " + "".join(parts)
 
@@ -278,26 +298,13 @@ UNION ALL SELECT 'b', lb, CAST(sum(n) AS BIGINT) FROM cont GROUP BY lb"""
     q["ari"] = with_(BASE, two_models()) + ari_select("cont", False)
     q["ari_compat"] = with_(BASE, two_models()) + ari_select("cont", True)
 
-    ks = list(range(SELECT_LO, SELECT_HI + 1))
-    sel = [BASE] + [model_ctes(f"k{k}", k) + predict_cte(f"k{k}", f"p{k}", "enc") for k in ks]
-    trial_sql = []
-    for k in ks[:-1]:
-        sel.append(f""",
-cont{k} AS (SELECT a.cluster_id AS la, b.cluster_id AS lb, count(*) AS n
-            FROM p{k} a JOIN p{k + 1} b ON a.basket_id = b.basket_id GROUP BY ALL),
-ari{k} AS (SELECT ari FROM ({ari_select(f"cont{k}", False)}))""")
-        trial_sql.append(f"SELECT {k} AS k, {k + 1} AS k_next, ari FROM ari{k}")
-    sel.append(f""",
-trials AS ({" UNION ALL ".join(trial_sql)}),
-st AS (SELECT k, k_next, ari, lag(ari, 1, 0.0) OVER (ORDER BY k) AS prev FROM trials),
-st2 AS (SELECT *, (NOT isnan(ari) AND NOT isnan(prev) AND ari >= 0 AND ari < prev) AS stop FROM st),
-fs AS (SELECT min(k) FILTER (WHERE stop) AS first_stop FROM st2)""")
-    q["selection_trials"] = with_(*sel) + f"""
+    walked = f"""
 SELECT CAST(k AS INTEGER) AS k, CAST(k_next AS INTEGER) AS k_next, round(ari, {RATIO_DIGITS}) AS ari,
        CAST(coalesce(fs.first_stop, (SELECT max(k_next) FROM trials)) AS INTEGER) AS best_k
 FROM st2, fs WHERE fs.first_stop IS NULL OR k <= fs.first_stop"""
-
-    q["append_log"] = with_(*sel) + f"""
+    q["selection_trials"] = with_(*walk(SELECT_LO, SELECT_HI)) + walked
+    q["selection_stop"] = with_(*walk(STOP_LO, SELECT_HI)) + walked
+    q["append_log"] = with_(*walk(SELECT_LO, SELECT_HI)) + f"""
 SELECT CAST(k AS INTEGER) AS k, CAST(k_next AS INTEGER) AS k_next, round(ari, {RATIO_DIGITS}) AS ari
 FROM st2, fs WHERE fs.first_stop IS NULL OR k <= fs.first_stop"""
 

@@ -34,6 +34,7 @@ K_NEXT = 9              # second model of the ARI queries
 ITERATIONS = 5
 SEED = 1
 SELECT_LO, SELECT_HI = 6, 9   # k range walked by the selection query
+STOP_LO = 5             # from here the walk stops before SELECT_HI at sf0.01 and sf0.1
 GLOBAL_SUPPORT = 0.1    # frequent itemsets over all baskets
 CLUSTER_SUPPORT = 0.2   # per-cluster mining for promotions
 MIN_CONFIDENCE = 0.2
@@ -279,6 +280,11 @@ def q_selection_trials(spark, sf):
     return trials.select("k", "k_next", F.round("ari", RATIO_DIGITS).alias("ari"), F.lit(best).alias("best_k"))
 
 
+def q_selection_stop(spark, sf):
+    best, trials = select_k_constrained(baskets(spark, sf), STOP_LO, SELECT_HI, ITERATIONS, SEED)
+    return trials.select("k", "k_next", F.round("ari", RATIO_DIGITS).alias("ari"), F.lit(best).alias("best_k"))
+
+
 def _exported(spark, rows: DataFrame, times: int = 1) -> DataFrame:
     """Write key-sorted text (range-partitioned, sorted within files) and read it back with each line's
     place in file order.  With ``times`` 2 a first export of other rows lies at the path and is replaced."""
@@ -415,6 +421,7 @@ QUERIES = {
     "ari": q_ari,
     "ari_compat": q_ari_compat,
     "selection_trials": q_selection_trials,
+    "selection_stop": q_selection_stop,
     "sorted_export": q_sorted_export,
     "kv_export": q_kv_export,
     "append_log": q_append_log,

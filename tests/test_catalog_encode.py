@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import (LIST_PREFIX, LIST_SEPARATOR, LIST_SUFFIX, category_summary,
                                           explode_paths, product_categories, substring_matches)
 from basketmine.operators.encode import encode_baskets, from_vectors, to_vectors, vocabulary
 from basketmine.sources.text import (dense_row_index, incoming_baskets, parse_basket_lines,
-                                     parse_catalog_lines, read_basket_lines, read_catalog)
+                                     parse_catalog_lines, read_basket_lines, read_catalog, rejected_catalog_lines)
 from conftest import CATALOG_LINES, EXAMPLE_CATEGORIES, EXAMPLE_LINE
 
 
@@ -57,6 +59,36 @@ def test_dense_row_index(spark):
     assert all(r.rid == r.id for r in idx)   # file/range order is kept
 
 
+def test_dense_row_index_follows_file_order(spark, scratch):
+    lines = []
+    for name, n in (("a", 10), ("b", 2000), ("c", 50)):     # Spark puts the large file first
+        own = [f"{name}{i}" for i in range(n)]
+        lines += own
+        with open(f"{scratch}/{name}.txt", "w") as fh:
+            fh.write("\n".join(own) + "\n")
+    got = {r.rid: r.value for r in dense_row_index(spark.read.text(scratch), "rid").collect()}
+    assert got == dict(enumerate(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")     # several blocks in one file
+    try:
+        got = {r.rid: r.value for r in dense_row_index(spark.read.text(scratch), "rid").collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == dict(enumerate(lines))
+
+
+def test_catalogue_lines_without_path_are_not_dropped(spark):
+    lines = spark.createDataFrame([("a, X/Y",), ("no path",), (None,)], "value string")
+    assert [r.value for r in rejected_catalog_lines(lines).collect()] == ["no path"]
+    with pytest.raises(Exception, match="catalogue line without a path"):
+        parse_catalog_lines(lines).collect()
+
+
+def test_empty_levels(spark):
+    paths = spark.createDataFrame([("p", "X//Z"), ("q", "/X"), ("r", "X/ /"), ("s", ""), ("t", None)], "product string, path string")
+    got = sorted((r.product, r.level, r.category) for r in explode_paths(paths).collect())
+    assert got == [("p", 1, "X"), ("p", 2, ""), ("p", 3, "Z"), ("q", 1, ""), ("q", 2, "X"), ("r", 1, "X")]
+
+
 def test_example_basket_exact_and_substring(spark, catalog_lines_df):
     lv = levels(spark, catalog_lines_df)
     inc = incoming_baskets(spark, [(0, 5, EXAMPLE_LINE)])

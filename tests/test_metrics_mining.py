@@ -87,7 +87,7 @@ def test_selection_walks(spark, scratch):
     assert best == best_k(rows)
     assert [r[0] for r in rows] == list(range(3, 3 + len(rows)))
     assert spark.read.parquet(f"{scratch}/log").count() == len(rows)
-    best_c, trials_c = select_k_constrained(df, 3, 6, iterations=1, seed=1, checkpoint_every=1)
+    best_c, trials_c = select_k_constrained(df, 3, 6, iterations=1, seed=1, score_against="centroids")
     assert best_c == best and [tuple(r) for r in trials_c.collect()] == rows
     vocab = [f"c{i}" for i in range(8)]
     vec = to_vectors(df, vocab)

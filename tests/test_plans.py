@@ -22,9 +22,9 @@ def plan_text(df) -> str:
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
 def test_registered_plans(spark):
-    import __spark_entry__ as e
     checked = 0
-    for name, fn in e.queries().items():
+    from basketmine.plans.queries import QUERIES
+    for name, fn in QUERIES.items():
         text = plan_text(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
@@ -34,3 +34,20 @@ def test_registered_plans(spark):
             checked += 1
         spark.catalog.clearCache()
     assert checked >= 20
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
+def test_labelings_need_one_aggregate_of_the_baskets(spark):
+    """The customer table of a walk: one hash aggregate on customer_id, no sort aggregate, and
+    each k is labelled without another join or aggregate."""
+    from basketmine.operators.ckmeans import customer_label, customer_table
+    from basketmine.plans import queries as q
+    rows, seeds = customer_table(q.baskets(spark, SF_SMALL), 9, 1)
+    plan = plan_text(rows.select("n_baskets", customer_label(seeds, 8), customer_label(seeds, 9)))
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert len(re.findall(r"HashAggregate\(keys=\[customer_id#\d+L\]", physical)) == 2      # partial and final
+    assert "SortAggregate" not in physical
+    bare = plan_text(rows)
+    bare = bare[bare.index("== Physical Plan =="):]
+    for node in ("Join", "Exchange", "Aggregate"):
+        assert physical.count(node) == bare.count(node)

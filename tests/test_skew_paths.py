@@ -37,16 +37,14 @@ def test_skewed_customer_matches_naive(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_small_batch_prediction_equals_plain(spark):
+def test_prediction_keeps_rows_without_customer(spark):
     rows = skewed_rows()
     m = ConstrainedKMeans(6, 2, 1).fit(to_df(spark, rows))
     batch = spark.createDataFrame([(1, 0, ["c0"]), (2, 12345, ["c1", "c2"]), (3, None, []), (4, 7, ["c3"])],
                                   "basket_id long, customer_id long, items array<string>")
-    plain = {r.basket_id: (r.prediction, r.known_customer) for r in m.predict(batch).collect()}
-    small = {r.basket_id: (r.prediction, r.known_customer)
-             for r in m.predict(batch, small_batch_rows=10).collect()}
-    assert plain == small
-    assert plain[2][1] is False and plain[3][1] is False
+    known = {r.basket_id: r.known_customer for r in m.predict(batch).collect()}
+    links = {r.customer_id for r in m.links.collect()}
+    assert known == {1: 0 in links, 2: False, 3: False, 4: 7 in links}
 
 
 def test_staged_mining_equals_unstaged(spark, scratch):
