@@ -84,25 +84,32 @@ def substring_matches(items: DataFrame, catalog_levels: DataFrame, item_col: str
     """Distinct ``(item, category)`` where the item is a substring of the
     category's printed product list (compatibility mode of P2).
 
-    Candidate pairs come from an equi-join on a short key and are then
-    verified with ``contains``.  An item of at most ``GRAM`` characters is its
-    own key.  A longer item is keyed by its rarest ``GRAM``-character
-    substring, counted over the segment index, so a common prefix does not
-    become a hot key that pairs one item with most segments.  No item is
-    paired with every category.
+    Candidate pairs come from an equi-join on a short key.  An item of at most
+    ``GRAM`` characters is its own key, and a category that has the key has the item:
+    such items join the distinct (key, category) pairs, reduced to wanted keys, without any text.  A
+    longer item is keyed by its rarest ``GRAM``-character substring, counted over
+    the segments that hold any wanted one, so a common prefix does not become a
+    hot key that pairs one item with most segments; its candidates are
+    verified with ``contains``.  No item is paired with every category.
     """
     segs = category_list_segments(catalog_levels)
-    index = segs.select("category", "segment", F.explode(_grams(F.col("segment"), GRAM)).alias("key"))
     wanted = (items.select(F.col(item_col).cast("string").alias("item"))
               .where(F.col("item").isNotNull() & (F.col("item") != ""))
               .distinct())
-    short = wanted.where(F.length("item") <= GRAM).withColumn("key", F.col("item"))
-    frequency = index.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = (wanted.where(F.length("item") > GRAM)
-                 .select("item", F.explode(_grams_of_length(F.col("item"), GRAM)).alias("key"))
-                 .join(frequency, "key", "left")
-                 .groupBy("item")
-                 .agg(F.min_by("key", F.coalesce(F.col("_n"), F.lit(0))).alias("key")))
-    return (short.unionByName(long_keys).join(index, "key")
-            .where(F.col("segment").contains(F.col("item")))
-            .select("item", "category").distinct())
+    short = wanted.where(F.length("item") <= GRAM)
+    short_index = segs.select("category", F.explode(_grams(F.col("segment"), GRAM)).alias("item")).distinct()
+    short_matches = short.join(short_index, "item").select("item", "category")
+
+    long_grams = (wanted.where(F.length("item") > GRAM)
+                  .select("item", F.explode(_grams_of_length(F.col("item"), GRAM)).alias("key")))
+    long_index = (segs.select("category", "segment", F.explode(F.array_distinct(
+                      _grams_of_length(F.col("segment"), GRAM))).alias("key"))
+                  .join(long_grams.select("key").distinct(), "key", "left_semi"))
+    frequency = long_index.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    # a gram that no segment holds rules its item out, whichever key is taken then
+    long_keys = (long_grams.join(frequency, "key", "left").groupBy("item")
+                 .agg(F.min(F.struct(F.coalesce(F.col("_n"), F.lit(0)).alias("n"), F.col("key"))).alias("k"))
+                 .select("item", F.col("k.key").alias("key")))
+    long_matches = (long_keys.join(long_index, "key").where(F.col("segment").contains(F.col("item")))
+                    .select("item", "category").distinct())
+    return short_matches.unionByName(long_matches)
