@@ -26,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 FEATURES = ["_q_len", "_q_sym", "_q_dup", "_q_rep"]
 #: scale floor of each feature: differences below it are never read as outlying
 FLOOR = {"_q_len": 0.08, "_q_sym": 0.25, "_q_dup": 0.6, "_q_rep": 0.8}
-MIN_GROUP = 40          # fewer vectors than this give no usable covariance of four features
+MIN_GROUP = 40          # fewer vectors than this give no usable covariance of four features: pooled by language
 CORE_SHARE = 0.75       # h of the MCD: share of a group that the estimate rests on
 STEPS = 3               # concentration steps after the start from medians
 CUTOFF = 45.0           # squared distance; a normal vector exceeds it once in 2.5e8
@@ -145,12 +145,12 @@ def _estimate(core: DataFrame) -> DataFrame:
                     *[f"l{i}{j}" for i in range(d) for j in range(i + 1)])
 
 
-def _distance() -> Column:
+def _distance(prefix: str = "") -> Column:
     """Squared Mahalanobis distance by forward substitution with the Cholesky factor."""
     ys: list[Column] = []
     for i, f in enumerate(FEATURES):
-        dot = sum((F.col(f"l{i}{k}") * ys[k] for k in range(i)), F.lit(0.0))
-        ys.append((F.col(f) - F.col(f"m{i}") - dot) / F.col(f"l{i}{i}"))
+        dot = sum((F.col(f"{prefix}l{i}{k}") * ys[k] for k in range(i)), F.lit(0.0))
+        ys.append((F.col(f) - F.col(f"{prefix}m{i}") - dot) / F.col(f"{prefix}l{i}{i}"))
     return sum((y * y for y in ys), F.lit(0.0))
 
 
@@ -182,18 +182,24 @@ def quality_rules(docs: DataFrame, text: str = "text", cutoff: float = CUTOFF) -
     rejected if it fails them, or if its distance is above ``cutoff`` and it lies on
     the bad side of its group (more symbols, duplicate lines or repeated words, or
     a mean word length far off).  Groups of fewer than ``MIN_GROUP`` vectors have
-    no usable covariance: the MCD rule rejects nothing there.
+    no usable covariance; those of one language are pooled, and if even the pool is
+    that small, the MCD rule rejects nothing in it.
     """
     return _judged(stored(_vectors(base_statistics(docs, text))), cutoff)
 
 
 def _judged(scored: DataFrame, cutoff: float) -> DataFrame:
-    points = scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES)
-    est = mcd_estimates(points)
-    out = _with_group(scored, est)
-    d2 = F.when(~F.col("base_failed") & (F.col("size") >= MIN_GROUP), _distance() / F.col("k"))
-    worse = ((F.col("_q_sym") > F.col("m1") + 0.5) | (F.col("_q_dup") > F.col("m2") + 1.0)
-             | (F.col("_q_rep") > F.col("m3") + 1.5) | (F.abs(F.col("_q_len") - F.col("m0")) > 0.25))
+    passed = scored.where(~F.col("base_failed"))
+    # tables with a row per group are stored, so that Spark knows their size when it plans the joins onto the texts
+    large = stored(passed.groupBy("lang", "source").agg(F.count("*").alias("_q_n")).where(F.col("_q_n") >= MIN_GROUP))
+    own = F.when(F.col("_q_n").isNotNull(), F.concat(F.lit("="), F.coalesce("source", F.lit("")), F.col("source").isNull().cast("string")))
+    scored = _with_group(scored, large).withColumn("_q_source", F.col("source")).withColumn("source", F.coalesce(own, F.lit("*")))
+    est = mcd_estimates(scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES))
+    est = stored(est).select("lang", "source", *[F.col(c).alias("_q_" + c) for c in est.columns if c not in ("lang", "source")])
+    out = _with_group(scored, est).withColumn("source", F.col("_q_source"))
+    d2 = F.when(~F.col("base_failed") & (F.col("_q_size") >= MIN_GROUP), _distance("_q_") / F.col("_q_k"))
+    worse = ((F.col("_q_sym") > F.col("_q_m1") + 0.5) | (F.col("_q_dup") > F.col("_q_m2") + 1.0)
+             | (F.col("_q_rep") > F.col("_q_m3") + 1.5) | (F.abs(F.col("_q_len") - F.col("_q_m0")) > 0.25))
     out = out.withColumn("distance", d2)
     rejected = F.coalesce((F.col("distance") > cutoff) & worse, F.lit(False))
     keep = [c for c in scored.columns if not c.startswith("_q_")]

@@ -26,4 +26,42 @@ QUERIES = {
     "op10_simhash": q_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+
+def _words(text: str, pattern: str) -> str:
+    return f"regexp_extract_all({text}, '{pattern}')"
+
+
+#: DuckDB SQL of the operators that it can express; the others are checked by brute force in tests/llm
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontam": f"""
+WITH d AS (SELECT doc_id, {_words(_LOWER.format("text"), _ALNUM)} AS w FROM documents),
+it AS (SELECT item_id, {_words(_LOWER.format("text"), _ALNUM)} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + 9], ' ') AS win
+       FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM it WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT m FROM iw),
+dw AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM d, lens WHERE len(w) >= m)),
+hits AS (SELECT dw.doc_id, dw.i, dw.m, iw.item_id FROM dw JOIN iw ON iw.win = dw.win AND iw.m = dw.m),
+hw AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + m - 1)) AS p FROM hits) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(hw.n, 0) AS n_hit, coalesce(hi.n, 0) AS n_items,
+       sha256(coalesce(hi.ids, '')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw ON hw.doc_id = d.doc_id LEFT JOIN hi ON hi.doc_id = d.doc_id""",
+    "op9_substring": f"""
+WITH d AS (SELECT doc_id, {_words("coalesce(text, '')", _SPACED)} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+early AS (SELECT s, min(doc_id) AS doc FROM win GROUP BY s),
+gone AS (SELECT DISTINCT win.doc_id, unnest(generate_series(i, i + 12)) AS p
+         FROM win JOIN early ON early.s = win.s WHERE early.doc < win.doc_id),
+kept AS (SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS text, count(*) AS n
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d) x
+         LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.p = x.p WHERE g.p IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id""",
+}

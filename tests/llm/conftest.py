@@ -16,7 +16,7 @@ def odd(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame(brute.odd_documents(), brute.SCHEMA)
     for name in ("score", "fp", "label", "x", "start", "ids", "kept", "slot", "chunk", "round", "payload", "held", "node",
-                 "u", "v", "dc_spans", "ss_text", "lic_found", "main_text", "_chunk", "distance", "n_words"):
+                 "u", "v", "k", "h", "size", "m0", "l00", "cut", "all", "seg", "key", "first", "parts", "dc_spans", "ss_text", "lic_found", "main_text", "_chunk", "distance", "n_words"):
         df = df.withColumn(name, F.lit("clash"))
     return df.repartition(3).cache()
 

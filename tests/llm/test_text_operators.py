@@ -69,6 +69,11 @@ def test_quality_rejects_planted_outliers(spark):
     junk = [(1000 + i, " ".join(w + "###" for w in brute.invented(150, 900 + i).split()), "en", "s", 0) for i in range(20)]
     out = quality.quality_rules(spark.createDataFrame(rows + junk, brute.SCHEMA)).collect()
     assert {r.doc_id for r in out if not r.kept} == {r[0] for r in junk}
+    # sources too small for an estimate are judged with the others of their language
+    few = spark.createDataFrame([(*r[:3], f"s{r[0] % 30}", 0) for r in rows + junk], brute.SCHEMA)
+    assert {r.doc_id for r in quality.quality_rules(few).collect() if not r.kept} == {r[0] for r in junk}
+    alone = quality.quality_rules(few.limit(30)).collect()
+    assert all(r.kept and r.source in {f"s{k}" for k in range(30)} for r in alone)
 
 
 def test_quality_uses_no_python(odd):
