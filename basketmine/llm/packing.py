@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 WINDOW = 4096
 END_TOKEN = 2
-BLOCK_TOKENS = 12_000_000
-CACHE_WORDS = 1_000_000    # white-space separated words whose ids a worker remembers
+BLOCK_TOKENS = 6_000_000
+CACHE_WORDS = 400_000    # white-space separated words whose ids a task remembers
 GROUP_CHARS = 2_000_000  # texts are tokenised in groups of about this size
 VOCABULARY = "word_bpe_49k.json"
 
@@ -91,6 +91,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.in_use: set[str] = set()
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -119,6 +120,10 @@ class WordTokenizer:
         for w, core, stop in parts:
             known[w] = known[core] + known[stop] if stop else known[core]
 
+    def shrink(self) -> None:
+        """Remember only the words of the last group of texts, the frequent ones among them."""
+        self.known = {w: self.known[w] for w in self.in_use if w in self.known}
+
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text in order (null: empty)."""
         at = 0
@@ -134,9 +139,10 @@ class WordTokenizer:
             for words in split:
                 if words is not None:
                     fresh.update(words)
-            if len(self.known) > CACHE_WORDS:  # go on with the words in use
-                self.known = {w: self.known[w] for w in fresh if w in self.known}
-            fresh.difference_update(self.known)
+            self.in_use = fresh
+            if len(self.known) > CACHE_WORDS:
+                self.shrink()
+            fresh = fresh.difference(self.known)
             fresh.discard("")
             self.known[""] = b""
             self._learn(fresh)
@@ -209,6 +215,7 @@ def _pack_partition(vocabulary: str | None, names: list[str], types: pa.Schema,
                     yield emit(rows)
                     rows = []
         rows += close_block()
+        tokenizer.shrink()  # the worker may wait for its next task for long
         for lo in range(0, len(rows), 2000):
             yield emit(rows[lo:lo + 2000])
     return run
