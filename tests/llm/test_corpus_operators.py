@@ -1,11 +1,9 @@
 from __future__ import annotations
 
 import random
-import zlib
 
 import brute
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 

@@ -6,7 +6,7 @@ import brute
 import numpy as np
 
 import corpus_pipeline
-from basketmine.llm import decontam, packing, quality, queries, simhash
+from basketmine.llm import packing, quality, queries, simhash
 from basketmine.llm.common import table
 
 SF = "/root/testdata/sf0.001"

@@ -4,7 +4,6 @@ import random
 
 import brute
 import numpy as np
-from pyspark.sql import functions as F
 
 from basketmine.llm import chat, decontam, html_text, licenses, quality
 
