@@ -2,7 +2,7 @@
 
 Every whole text is turned into a vector of statistics in one pass over the documents
 (no shuffle); the small table of vectors is stored.  The trees are fitted with numpy on a
-bounded sample of labelled vectors (``TRAIN_ROWS``, the smallest hashes of doc_id), on
+bounded sample of labelled vectors (at most ``TRAIN_ROWS``, chosen by the hash of doc_id), on
 feature histograms, and flattened into arrays: one row per node.  Scoring walks all trees
 for a batch of vectors at once.
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_SPLIT, joined_bytes, stored, word_hashes, word_spans
+from .common import SPACE_SPLIT, hash_share, joined_bytes, stored, word_hashes, word_spans
 from .substring import rolling
 
 TRAIN_ROWS = 20_000
@@ -198,9 +198,14 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES) -> Trees:
 
 
 def train(vectors: DataFrame, labels: DataFrame, held_out, rows: int = TRAIN_ROWS) -> Trees:
-    """Fit on at most ``rows`` labelled vectors that are not held out: those with the smallest hash of doc_id."""
-    sample = (vectors.where(~held_out).join(labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality"), "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows).select("x", "quality").collect())
+    """Fit on at most ``rows`` labelled vectors that are not held out, chosen by the hash of doc_id.
+    The share is set by the number of labels, so each task sends its share of the sample only."""
+    usable = labels.where(F.col("quality").isin(0, 1)).where(~held_out).select("doc_id", "quality")
+    share = 0.95 * rows / max(usable.count(), 1)
+    if share < 1:
+        usable = usable.where(hash_share("doc_id", share))
+    sample = vectors.join(usable, "doc_id").limit(rows).select("doc_id", "x", "quality").collect()
+    sample.sort(key=lambda r: (r.doc_id, r.quality, r.x))
     x = np.array([r.x for r in sample], np.float32).reshape(len(sample), len(FEATURES))
     return fit_trees(x, np.array([r.quality for r in sample], np.float64))
 

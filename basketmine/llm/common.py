@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -46,6 +47,11 @@ def drop_stored(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def hash_share(key: str, share: float):
+    """Condition that holds for about ``share`` of the distinct values of ``key``, the same ones on every run."""
+    return F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixing (all arithmetic wraps)."""
     x = x.astype(np.uint64)
