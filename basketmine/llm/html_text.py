@@ -6,8 +6,8 @@ parent-child edge.  Messages pass upward from the leaves and downward from the r
 (sum-product); text is kept where the content marginal reaches one half.  All pages of a
 batch are one forest, so each step is a numpy operation on one depth level.
 
-The potentials are smoothed frequencies counted over a bounded sample of labelled
-pages: those that mark their article (``TRAIN_PAGES``, by the smallest hash of page_id).
+The potentials are smoothed frequencies counted over a sample of about ``TRAIN_PAGES``
+pages, chosen by the hash of page_id, of which those that mark their article are labelled.
 There a node is content if the nearest element that tells its role is the article.
 
 Pages are read where they lie (no shuffle).  Null or empty html gives an empty text;
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import hash_share
+
 TRAIN_PAGES = 2_000
 PSEUDO = 0.5       # added to every count
 BATCH_CHARS = 4_000_000
@@ -236,10 +238,12 @@ def _count(batches):
 
 
 def train(pages: DataFrame, limit: int = TRAIN_PAGES) -> Potentials:
-    """Count the potentials over at most ``limit`` labelled pages, those with the smallest hash of page_id.
-    Without any labelled page only the built-in observations below speak."""
-    marked = F.lower(F.col("html")).rlike("<(article|main)[\\s>]")
-    sample = pages.where(marked).orderBy(F.xxhash64("page_id"), "page_id").limit(limit).select("html")
+    """Count the potentials over the labelled ones of about ``limit`` pages, chosen by the hash of page_id.
+    They are counted where they lie; only the counts move.  Without any labelled
+    page only the built-in observations below speak."""
+    share = limit / max(pages.count(), 1)
+    sample = (pages.where(hash_share("page_id", share)) if share < 1 else pages).where(
+        F.lower(F.col("html")).rlike("<(article|main)[\\s>]")).select("html")
     counts = np.zeros(COUNTS, np.int64)
     for row in sample.mapInArrow(_count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         counts[row.k] = row.n
