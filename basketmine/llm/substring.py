@@ -211,7 +211,7 @@ def _finish(parts: int, columns: list[str]):
 def _ranges(docs: DataFrame, parts: int):
     """Chunk number of each row: the range of doc_id it falls into (null: the last), by binary search
     in at most ``parts`` quantiles.  Where the ranges are cut has no influence on the result."""
-    bounds = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 1000)).first()[0]
+    bounds = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], max(1000, 4 * parts))).first()[0]
     bounds = sorted(set(bounds or []))
     if not bounds:
         return F.lit(0)
