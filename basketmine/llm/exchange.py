@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import joined_bytes, word_hashes, word_spans
 
-SCAN_BYTES = 4_000_000
+SCAN_BYTES = 1_000_000
 ROUND = "slot int, chunk int, round int, payload array<binary>"
 
 
