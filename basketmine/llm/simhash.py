@@ -136,6 +136,14 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return plain.unionByName(dense)
 
 
+def _classes(marked: DataFrame, first) -> DataFrame:
+    """(fp, label, first) of the distinct fingerprints of ``marked``: rows with one ``label``
+    form a group, ``first`` is the aggregate over the rows of a fingerprint."""
+    distinct = marked.groupBy("fp").agg(first.alias("first"))
+    label = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
+    return stored(distinct.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+
+
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``.
 
@@ -144,25 +152,32 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     like any other; repeated rows each get a row; other columns are not read.
     """
     marked = stored(docs.select(F.col(doc_id).alias("doc_id"), _fingerprints(F.col(text)).alias("fp")))
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    label = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
-    classes = distinct.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    classes = stored(classes)
+    classes = _classes(marked, F.min("doc_id"))
     least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
     named = classes.join(least, "label").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the
-    smallest doc_id stays (one of them, if that doc_id is repeated)."""
-    groups = stored(simhash_groups(docs))
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("_sh_n"))
-    kept = docs.join(first.select(F.col("doc_id").alias("_sh_id"), "_sh_n"),
-                     docs["doc_id"].eqNullSafe(F.col("_sh_id")))
-    repeated = first.where("_sh_n > 1").limit(1).count() > 0
-    kept = kept.drop("_sh_id", "_sh_n")
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """The rows of ``docs`` without near-duplicates: of each group one row with its
+    smallest doc_id stays (null is the largest).
+
+    A row is known by doc_id and a digest of its text: equal texts are of one
+    group, so rows that share both are of one group too, whatever else shares the doc_id.
+    """
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    marked = stored(docs.select(F.col("doc_id").alias("_sh_id"), digest.alias("_sh_text"),
+                                _fingerprints(F.col("text")).alias("fp")))
+    classes = _classes(marked, F.min(F.struct(F.isnull("_sh_id").alias("none"), "_sh_id", "_sh_text")))
+    first = stored(classes.groupBy("label").agg(F.min("first").alias("first")).select("first._sh_id", "first._sh_text"))
+    copies = (marked.alias("m").join(first.alias("g"), F.col("m._sh_id").eqNullSafe(F.col("g._sh_id"))
+                                     & (F.col("m._sh_text") == F.col("g._sh_text")))
+              .groupBy("m._sh_id", "m._sh_text").agg(F.count("*").alias("n")))
+    repeated = copies.where("n > 1").limit(1).count() > 0
+    kept = docs.withColumn("_sh_key", digest).join(
+        first, docs["doc_id"].eqNullSafe(F.col("_sh_id")) & (F.col("_sh_key") == F.col("_sh_text")))
+    kept = kept.dropDuplicates(["doc_id", "_sh_key"]) if repeated else kept
+    return kept.drop("_sh_id", "_sh_text", "_sh_key")
 
 
 def q_simhash(spark, sf_dir: str) -> DataFrame:

@@ -96,6 +96,24 @@ def test_simhash_groups_and_survivors(spark, odd, none):
     assert simhash.simhash_groups(none).count() == 0 and simhash.keep_one(none).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_each_group_when_doc_ids_repeat(spark):
+    copies, other = brute.invented(80, 31), [brute.invented(80, 40 + i) for i in range(8)]
+    rows = [(None, other[0]), (None, other[1]), (None, other[1]), (None, None), (None, ""), (None, copies),  # unrelated null ids
+            (1, other[2]), (1, other[3]), (1, other[3]),                                                  # unrelated texts of one id
+            (2, copies), (3, copies), (3, other[4]), (4, other[5]), (4, copies),                          # first of one group, later of another
+            (5, other[6]), (6, other[6]), (6, other[6]), (7, other[7])]
+    label = brute.components([simhash.fingerprint(t) for _, t in rows])
+    first = {}
+    for (d, t), k in zip(rows, label):
+        row = (d is None, d or 0, t or "")
+        first[k] = min(first.get(k, row), row)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("label", F.lit("clash")).repartition(3)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert got == sorted(first.values()) and len(got) == len(set(label)) == 10
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_substring_against_brute_force(spark, odd, none, parts):
     rows = [(d, t) for d, t, *_ in brute.odd_documents()]
