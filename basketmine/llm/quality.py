@@ -2,7 +2,8 @@
 
 Each text gets a vector of logarithmically transformed statistics.  For every
 (lang, source) group the minimum-covariance-determinant (MCD) mean and
-covariance are estimated by concentration steps, and a document is rejected
+covariance are estimated by concentration steps, then reweighted over all
+vectors within the cutoff, so that the scale is the group's own, and a document is rejected
 when its Mahalanobis distance exceeds the cutoff.  Everything is DataFrame
 expressions: the text is read once, the small table of vectors is stored in the
 shared checkpoint folder, and each concentration step is one aggregate over it.
@@ -24,12 +25,15 @@ from .common import stored
 SPACE = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ["_q_len", "_q_sym", "_q_dup", "_q_rep"]
-#: scale floor of each feature: differences below it are never read as outlying
-FLOOR = {"_q_len": 0.08, "_q_sym": 0.25, "_q_dup": 0.6, "_q_rep": 0.8}
+#: scale floor of each feature: one symbol, one duplicate line or one repeated window in the shortest text that
+#: passes the base rules (50 words), or a mean word length off by a quarter, is at the cutoff in a group without any
+FLOOR = {"_q_len": 0.05, "_q_sym": 0.23, "_q_dup": 0.23, "_q_rep": 0.53}
 MIN_GROUP = 40          # fewer vectors than this give no usable covariance of four features: pooled by language
 CORE_SHARE = 0.75       # h of the MCD: share of a group that the estimate rests on
 STEPS = 3               # concentration steps after the start from medians
-CUTOFF = 45.0           # squared distance; a normal vector exceeds it once in 2.5e8
+REWEIGHTS = 3           # estimates over all vectors within the cutoff, after the concentration steps
+CUTOFF = 23.513         # squared distance: quantile 0.9999 of chi-square with 4 degrees of freedom
+SIDE = 2.0              # standard deviations from the mean at which a feature counts as on the bad side
 CHI2_MEDIAN = 3.3567    # median of chi-square with 4 degrees of freedom
 BUCKET = 64             # distance histogram: buckets per unit of ln(1 + d2)
 GRID = 256              # median grid: buckets per unit of a feature
@@ -154,9 +158,10 @@ def _distance(prefix: str = "") -> Column:
     return sum((y * y for y in ys), F.lit(0.0))
 
 
-def mcd_estimates(points: DataFrame, steps: int = STEPS, share: float = CORE_SHARE) -> DataFrame:
+def mcd_estimates(points: DataFrame, steps: int = STEPS, share: float = CORE_SHARE, cutoff: float = CUTOFF) -> DataFrame:
     """MCD mean and scatter per (lang, source): deterministic start from the component-wise
-    medians, then ``steps`` concentration steps (keep the share with the smallest distance, re-estimate).
+    medians, then ``steps`` concentration steps (keep the share with the smallest distance, re-estimate)
+    and ``REWEIGHTS`` estimates over every vector within ``cutoff``, which take in the group's own tails.
 
     ``k`` rescales distances so that the group's median is that of a normal sample.
     """
@@ -169,6 +174,9 @@ def mcd_estimates(points: DataFrame, steps: int = STEPS, share: float = CORE_SHA
         core = _with_group(near, cut.drop("size")).where(F.log1p("_q_d2") < F.col("cut"))
         est = stored(_estimate(core))  # a row per group
         near = _with_group(points, est).select("lang", "source", *FEATURES, _distance().alias("_q_d2"))
+    for _ in range(REWEIGHTS):
+        est = stored(_estimate(near.where(F.col("_q_d2") <= cutoff)))
+        near = _with_group(points, est).select("lang", "source", *FEATURES, _distance().alias("_q_d2"))
     half = _cut_by_share(near, F.log1p("_q_d2"), 0.5, BUCKET)
     half = half.select("lang", "source", "size", F.greatest(F.expm1("cut") / CHI2_MEDIAN, F.lit(1.0)).alias("k"))
     return _with_group(est, half)
@@ -180,8 +188,8 @@ def quality_rules(docs: DataFrame, text: str = "text", cutoff: float = CUTOFF) -
 
     Estimates come from the documents that pass the base rules.  A document is
     rejected if it fails them, or if its distance is above ``cutoff`` and it lies on
-    the bad side of its group (more symbols, duplicate lines or repeated words, or
-    a mean word length far off).  Groups of fewer than ``MIN_GROUP`` vectors have
+    the bad side of its group (``SIDE`` standard deviations more symbols, duplicate
+    lines or repeated words, or another mean word length).  Groups of fewer than ``MIN_GROUP`` vectors have
     no usable covariance; those of one language are pooled, and if even the pool is
     that small, the MCD rule rejects nothing in it.
     """
@@ -194,12 +202,13 @@ def _judged(scored: DataFrame, cutoff: float) -> DataFrame:
     large = stored(passed.groupBy("lang", "source").agg(F.count("*").alias("_q_n")).where(F.col("_q_n") >= MIN_GROUP))
     own = F.when(F.col("_q_n").isNotNull(), F.concat(F.lit("="), F.coalesce("source", F.lit("")), F.col("source").isNull().cast("string")))
     scored = _with_group(scored, large).withColumn("_q_source", F.col("source")).withColumn("source", F.coalesce(own, F.lit("*")))
-    est = mcd_estimates(scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES))
+    est = mcd_estimates(scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES), cutoff=cutoff)
     est = stored(est).select("lang", "source", *[F.col(c).alias("_q_" + c) for c in est.columns if c not in ("lang", "source")])
     out = _with_group(scored, est).withColumn("source", F.col("_q_source"))
     d2 = F.when(~F.col("base_failed") & (F.col("_q_size") >= MIN_GROUP), _distance("_q_") / F.col("_q_k"))
-    worse = ((F.col("_q_sym") > F.col("_q_m1") + 0.5) | (F.col("_q_dup") > F.col("_q_m2") + 1.0)
-             | (F.col("_q_rep") > F.col("_q_m3") + 1.5) | (F.abs(F.col("_q_len") - F.col("_q_m0")) > 0.25))
+    z = [(F.col(f) - F.col(f"_q_m{i}")) / F.sqrt(F.col("_q_k") * sum((F.col(f"_q_l{i}{j}") ** 2 for j in range(i + 1)), F.lit(0.0)))
+         for i, f in enumerate(FEATURES)]
+    worse = F.greatest(F.abs(z[0]), *z[1:]) > SIDE
     out = out.withColumn("distance", d2)
     rejected = F.coalesce((F.col("distance") > cutoff) & worse, F.lit(False))
     keep = [c for c in scored.columns if not c.startswith("_q_")]

@@ -75,6 +75,24 @@ def test_quality_rejects_planted_outliers(spark):
     assert all(r.kept and r.source in {f"s{k}" for k in range(30)} for r in alone)
 
 
+def test_quality_rejects_outliers_of_each_statistic_alone(spark):
+    rows = [(i, brute.invented(150 + i % 50, i), "en", "s", 0) for i in range(200)]
+
+    def planted(kind, words):
+        if kind == "symbols":
+            return " ".join(w + "#" * (i < 6) for i, w in enumerate(words))
+        if kind == "lines":
+            return "\n".join(x for i in range(0, 150, 18) for x in ("ok", " ".join(words[i:i + 18])))
+        return " ".join(words + words[:20] if kind == "repeats" else [w + w for w in words])
+    kinds = ["symbols", "lines", "repeats", "length"]
+    junk = [(1000 + i, planted(kinds[i % 4], brute.invented(150, 900 + i).split()), "en", "s", 0) for i in range(20)]
+    for i, r in enumerate(junk):  # each far off in its own statistic only
+        _, _, symbols, lines, repeated = brute.base_statistics(r[1])
+        assert [symbols > 0, lines > 0, repeated > 6] == [kinds[i % 4] == k for k in kinds[:3]]
+    out = quality.quality_rules(spark.createDataFrame(rows + junk, brute.SCHEMA)).collect()
+    assert {r.doc_id for r in out if not r.kept} == {r[0] for r in junk} and not any(r.base_failed for r in out)
+
+
 def test_quality_uses_no_python(odd):
     plan = quality.base_statistics(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
