@@ -11,7 +11,7 @@ from basketmine.functions.catalog import (LIST_PREFIX, LIST_SEPARATOR, LIST_SUFF
 from basketmine.operators.encode import encode_baskets, from_vectors, to_vectors, vocabulary
 from basketmine.sources.text import (dense_row_index, incoming_baskets, parse_basket_lines,
                                      parse_catalog_lines, read_basket_lines, read_catalog, rejected_catalog_lines)
-from conftest import CATALOG_LINES, EXAMPLE_CATEGORIES, EXAMPLE_LINE
+from samples import CATALOG_LINES, EXAMPLE_CATEGORIES, EXAMPLE_LINE
 
 
 def levels(spark, catalog_lines_df):

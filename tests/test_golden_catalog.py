@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from basketmine.functions.catalog import explode_paths, product_categories
 from basketmine.operators.encode import encode_baskets, to_vectors, vocabulary
 from basketmine.sources.text import incoming_baskets, parse_basket_lines, parse_catalog_lines
-from conftest import EXAMPLE_CATEGORIES, EXAMPLE_LINE
+from samples import EXAMPLE_CATEGORIES, EXAMPLE_LINE
 from grocery_catalog import GROCERY_CATALOG
 
 # Products that gain categories when matched as substrings of

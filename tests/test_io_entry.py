@@ -16,7 +16,7 @@ from basketmine.plans.queries import QUERIES
 from basketmine.sources.sinks import append_trials, write_results, write_sorted
 from basketmine.sources.text import parse_catalog_lines
 from basketmine.streaming.scoring import score_batch, score_stream, write_batch
-from conftest import EXAMPLE_LINE, SF_SMALL
+from samples import EXAMPLE_LINE, SF_SMALL
 
 
 def test_write_sorted_text_and_parquet(spark, scratch):
@@ -147,7 +147,7 @@ def test_oracle_small(spark, name):
 
 def test_promote_from_text_on_text(spark, scratch):
     import random
-    from conftest import CATALOG_LINES, EXAMPLE_CATEGORIES
+    from samples import CATALOG_LINES, EXAMPLE_CATEGORIES
     from basketmine.plans.promote import promote_from_text
     products = [line.split(",")[0] for line in CATALOG_LINES]
     rnd = random.Random(4)

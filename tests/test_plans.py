@@ -10,7 +10,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from samples import SF_SMALL
 
 
 def plan_text(df) -> str:
