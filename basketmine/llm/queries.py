@@ -10,6 +10,7 @@ from .katz import q_katz
 from .licenses import q_licenses
 from .packing import q_packing
 from .quality import q_quality
+from .records import q_records
 from .simhash import q_simhash
 from .substring import q_substring
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_classifier": q_classifier,
     "op9_substring": q_substring,
     "op10_simhash": q_simhash,
+    "op13_records": q_records,
 }
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
