@@ -98,7 +98,7 @@ def _framed(vocabulary: str | None, end_token: int):
             for key, ids in zip(keys, encoder.encode(texts)):
                 frames.append(frame(key, np.concatenate([ids, end])))
                 size += len(frames[-1])
-                if size > 16_000_000:
+                if size > 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
                     frames, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
@@ -192,7 +192,7 @@ def _cut(batches):
             for number, key, ids in _frames(memoryview(content.as_buffer()), name, wanted):
                 rows.append((name, number, key, ids.astype("<u4").tobytes()))
                 size += 4 * len(ids)
-                if size > 16_000_000:
+                if size > 4_000_000:
                     yield _record_batch(rows)
                     rows, size = [], 0
             if rows:

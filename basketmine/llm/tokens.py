@@ -22,9 +22,9 @@ import pyarrow as pa
 
 from .common import LOWER, joined_bytes
 
-CACHE_WORDS = 900_000      # distinct words that a worker remembers
-CACHE_IDS = 16_000_000     # ids that they may have together
-GROUP_CHARS = 8_000_000    # texts are handled in groups of about this size
+CACHE_WORDS = 500_000      # distinct words that a worker remembers
+CACHE_IDS = 8_000_000     # ids that they may have together
+GROUP_CHARS = 2_500_000    # texts are handled in groups of about this size
 
 # The normalisers and the pattern of a tokenizer that lower-cases and drops white space.
 _NORMALIZERS = [("NFC", None), ("Replace", "\\s+"), ("Lowercase", None)]
@@ -107,18 +107,35 @@ class TextIds:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.type) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        got = self._whole([w.decode("utf-8", "surrogatepass") for w in words])
-        sizes = np.fromiter((len(g) for g in got), np.int64, len(got))
+    def _remember(self, words: list[bytes], sizes: np.ndarray, ids: np.ndarray) -> None:
         n, used = len(self.known), int(self.begin[len(self.known)])
         while len(self.begin) < n + len(words) + 1:
             self.begin = np.concatenate([self.begin, np.zeros(len(self.begin), np.int64)])
-        while len(self.ids) < used + int(sizes.sum()):
+        while len(self.ids) < used + len(ids):
             self.ids = np.concatenate([self.ids, np.empty(len(self.ids), self.type)])
         self.begin[n + 1:n + 1 + len(words)] = used + np.cumsum(sizes)
-        self.ids[used:used + int(sizes.sum())] = np.concatenate(got)
+        self.ids[used:used + len(ids)] = ids
         self.known.update(zip(words, range(n, n + len(words))))
 
+    def _learn(self, words: list[bytes]) -> None:
+        """ASCII letters alone are one piece, which the model takes as it is; other words go through the whole
+        tokenizer, many joined by spaces, and the offsets of the ids tell whose they are."""
+        letters = [w for w in words if w.isalpha()]
+        model = self.tokenizer.model.tokenize
+        for lo in range(0, len(letters), 20_000):
+            some = letters[lo:lo + 20_000]
+            got = [[t.id for t in model(w.decode())] for w in some]
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self._remember(some, sizes, np.fromiter((i for g in got for i in g), self.type, int(sizes.sum())))
+        others = [w for w in words if not w.isalpha()]
+        for lo in range(0, len(others), 20_000):
+            some = others[lo:lo + 20_000]
+            texts = [w.decode("utf-8", "surrogatepass") for w in some]
+            got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+            owner = np.searchsorted(starts, np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids)), "right") - 1
+            self._remember(some, np.bincount(owner, minlength=len(some)), np.array(got.ids, self.type))
+
     def _group(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a group of texts in one array, and where each text's ids start (with the end appended)."""
         odd = [k for k, t in enumerate(texts) if t and (not self.by_word or any(c in t for c in self.control))]
@@ -132,9 +149,8 @@ class TextIds:
             if len(self.known) + len(fresh) > self.cache_words or self.begin[len(self.known)] > CACHE_IDS:
                 self.clear()
                 fresh = np.arange(len(distinct))
-            before = len(self.known)
             self._learn([distinct[k] for k in fresh])
-            entry[fresh] = np.arange(before, before + len(fresh))
+            entry[fresh] = [self.known[distinct[k]] for k in fresh]
         each = coded.indices.to_numpy(zero_copy_only=False)
         sizes = (self.begin[entry + 1] - self.begin[entry])[each]
         ends = np.cumsum(sizes)
