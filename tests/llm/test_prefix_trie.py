@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from basketmine.llm import prefix_trie as pt
+from samples import SF_SMALL
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def code(role, text):
+    return hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()[:32]
+
+
+def nodes(rows):
+    """The contract's rows by dictionaries."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, code(role or "", text or ""), (role or "", text or "")))
+    own = {c: [t[-1] for t in sorted(ts)] for c, ts in own.items()}
+    made = {}
+    for c in own:
+        h, base = zlib.crc32(str(c).encode()) % 4, c - (c % 20 if c >= 0 else -(-c % 20))
+        made[c] = own.get(base, [])[:h] + own[c][h:]
+    members = {}
+    for c, turns in made.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children = {p: [] for p in members}
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        words = len(brute.SPACED.findall(p[-1][1])) if p else 0
+        leaves[p] = sum(leaves[q] for q in children[p]) or 1
+        saved[p] = (len(members[p]) - 1) * words + sum(saved[q] for q in children[p])
+    return sorted(((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(children[p]), leaves[p], saved[p],
+                    hashlib.sha256(",".join(map(str, sorted(c for c in m if len(made[c]) == len(p)))).encode()).hexdigest())
+                   for p, m in members.items()), key=repr)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256").collect()), key=repr)
+
+
+def conversations(n, seed, kinds=6, most=6):
+    rng = random.Random(seed)
+    texts = [brute.invented(rng.randint(0, 9), 900 + k, 30) for k in range(kinds)]
+    rows = []
+    for c in rng.sample(range(-40, 12 * n), n):
+        rows += [(c, t, rng.choice(["user", "assistant", None]), rng.choice([*texts, None])) for t in range(rng.randint(1, most))]
+    return rows
+
+
+@pytest.fixture(params=["true", "false"])
+def partitions(spark, request):
+    """One shard, or as many as the session has partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("fan", [2, 3, pt.FAN])
+def test_random_conversations_against_brute_force(spark, partitions, fan):
+    rows = conversations(150, 4)
+    rows += [(c, t, "user", f"same {t}") for c in range(3000, 3120) for t in range(3)]          # one sequence on most rows
+    rows += [(5000, t, "user", "long") for t in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert rows_of(pt.trie_rows(df, fan)) == nodes(rows)
+
+
+def test_odd_rows(spark, partitions):
+    rows = [(None, 1, "user", "x"), (None, None, None, None), (1, None, None, None), (1, 0, "user", "a b"), (1, 0, "user", "a b"),
+            (20, 5, "", ""), (20, 5, "user", "z"), (21, 5, None, None), (3, 1, "a:", "b"), (4, 1, "a", ":b"), (-7, 0, "user", "t"),
+            (-20, 0, "user", "q"), (-25, 1, "user", " \t"), (7, 0, "user", brute.invented(20_000, 2, 5000)), (2 ** 62, 0, "user", "é 日本")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("path", "words", "key", "turns", "t", "head", "h", "base", "kind", "shard"):
+        df = df.withColumn(name, F.lit("clash"))
+    assert rows_of(pt.trie_rows(df)) == nodes(rows)
+
+
+def test_a_conversation_that_loses_every_turn_ends_at_the_root(spark):
+    short = next(c for c in range(1, 2000) if c % 20 and zlib.crc32(str(c).encode()) % 4 == 3)
+    rows = [(short, 0, "user", "gone"), (short + 1, 0, "user", "x"), (short + 1, 1, "user", "y")]
+    assert any(d == 0 and e != hashlib.sha256(b"").hexdigest() for _, d, *_, e in nodes(rows))
+    assert rows_of(pt.trie_rows(spark.createDataFrame(rows, SCHEMA))) == nodes(rows)
+
+
+def test_empty_table(spark):
+    assert pt.trie_rows(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert pt.trie_rows(spark.createDataFrame([(None, 1, "user", "x")], SCHEMA)).count() == 0
+
+
+def test_tree_holds_sequences_in_order_and_is_balanced():
+    rng = random.Random(2)
+    wanted = sorted({tuple(rng.randrange(9) for _ in range(rng.randint(0, 5))) for _ in range(400)})
+    assert sorted(pt.medians_first(len(wanted))) == list(range(len(wanted)))
+    tree = pt.TernaryTree()
+    end = {}
+    for k in pt.medians_first(len(wanted)):
+        end[wanted[k]] = tree.insert(wanted[k])
+
+    def sequence(node):
+        found = []
+        while node:
+            found.append(tree.symbol[node])
+            node = tree.parent[node]
+        return tuple(reversed(found))
+    assert all(sequence(n) == s and tree.insert(s) == n for s, n in end.items())
+    order = [sequence(n) for n in tree.in_order()]
+    assert order == sorted({s[:d] for s in wanted for d in range(len(s) + 1)})
+    flat = pt.TernaryTree()
+    for k in pt.medians_first(1023):
+        flat.insert([k])
+
+    def height(node):
+        return 1 + max(height(flat.low[node]), height(flat.high[node])) if node else 0
+    assert height(flat.equal[0]) == 10
+
+
+def test_query_against_brute_force_and_sql(spark):
+    from basketmine.llm.queries import ORACLE_SQL
+    from oracle_check import compare, duck
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert rows_of(pt.q_trie(spark, SF_SMALL)) == nodes(rows)
+    result = compare(spark, duck(SF_SMALL), "op11_trie", pt.q_trie, ORACLE_SQL["op11_trie"], SF_SMALL)
+    assert result["ok"], result
