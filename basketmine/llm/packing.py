@@ -14,19 +14,17 @@ the block's windows (under 1 % at the default size; more if partitions are tiny)
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tokens import text_ids
+
 WINDOW = 4096
 END_TOKEN = 2
 BLOCK_TOKENS = 6_000_000
-CACHE_WORDS = 400_000    # white-space separated words whose ids a task remembers
-GROUP_CHARS = 2_000_000  # texts are tokenised in groups of about this size
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -79,88 +77,6 @@ def best_fit_decreasing(lengths: list[int], window: int = WINDOW) -> tuple[list[
     return places, count
 
 
-class WordTokenizer:
-    """Ids of texts as little-endian uint32 bytes, by the tokenizer file's own result for each word.
-
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its white-space separated words in order.  Unknown words of a group of texts
-    are encoded together; texts with a control string are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.in_use: set[str] = set()
-
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        """Encode words; an ASCII word goes by its lower case and without a closing stop, which is a token of its own."""
-        known, parts, cores = self.known, [], {".", ","}
-        for w in words:
-            core, stop = w, ""
-            if w[-1] in ".," and w[-2:-1].isalpha() and w[-2].isascii():
-                core, stop = w[:-1], w[-1]
-            if core.isascii():
-                core = core.lower()
-            if core is not w:
-                parts.append((w, core, stop))
-            cores.add(core)
-        fresh = list(cores.difference(known))
-        for lo in range(0, len(fresh), 20_000):
-            some = fresh[lo:lo + 20_000]
-            got = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(c) + 1 for c in some])
-            owner = np.searchsorted(starts, np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids)), "right") - 1
-            ids = np.array(got.ids, "<u4").tobytes()
-            cuts = (4 * np.searchsorted(owner, np.arange(len(some) + 1))).tolist()
-            known.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
-        for w, core, stop in parts:
-            known[w] = known[core] + known[stop] if stop else known[core]
-
-    def shrink(self) -> None:
-        """Remember only the words of the last group of texts, the frequent ones among them."""
-        self.known = {w: self.known[w] for w in self.in_use if w in self.known}
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text in order (null: empty)."""
-        at = 0
-        while at < len(texts):
-            stop, size = at, 0
-            while stop < len(texts) and (stop == at or size < GROUP_CHARS):
-                size += len(texts[stop] or "")
-                stop += 1
-            # only these four characters separate words; other white space is left to the tokenizer
-            split = [None if t is not None and "<|" in t else
-                     (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[at:stop]]
-            fresh: set[str] = set()
-            for words in split:
-                if words is not None:
-                    fresh.update(words)
-            self.in_use = fresh
-            if len(self.known) > CACHE_WORDS:
-                self.shrink()
-            fresh = fresh.difference(self.known)
-            fresh.discard("")
-            self.known[""] = b""
-            self._learn(fresh)
-            for words, text in zip(split, texts[at:stop]):
-                yield self._plain(text) if words is None else b"".join(map(self.known.__getitem__, words))
-            at = stop
-
-
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per worker process and file; its word cache is bounded."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
-
-
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -174,9 +90,7 @@ def _pack_partition(vocabulary: str | None, names: list[str], types: pa.Schema,
     def run(batches):
         from pyspark import TaskContext
 
-        import os
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tokenizer = _tokenizer(vocabulary or vocabulary_path())
+        encoder = text_ids(vocabulary or vocabulary_path())
         closing = struct.pack("<I", end_token)
         sequence = TaskContext.get().partitionId() << 36
         rows: list[tuple] = []    # placed pieces: (document row, start, length, ids, document tokens, sequence, offset)
@@ -199,8 +113,8 @@ def _pack_partition(vocabulary: str | None, names: list[str], types: pa.Schema,
         for batch in batches:
             texts = batch.column("text").to_pylist()
             carried = list(zip(*(batch.column(c).to_pylist() for c in names)))
-            for doc, ids in zip(carried, tokenizer.encode(texts)):
-                ids += closing
+            for doc, found in zip(carried, encoder.encode(texts)):
+                ids = found.astype("<u4").tobytes() + closing
                 n = len(ids) // 4
                 for start in range(0, n - n % window, window):
                     rows.append((doc, start, window, ids[4 * start:4 * (start + window)], n, sequence, 0))
@@ -215,7 +129,6 @@ def _pack_partition(vocabulary: str | None, names: list[str], types: pa.Schema,
                     yield emit(rows)
                     rows = []
         rows += close_block()
-        tokenizer.shrink()  # the worker may wait for its next task for long
         for lo in range(0, len(rows), 2000):
             yield emit(rows[lo:lo + 2000])
     return run
