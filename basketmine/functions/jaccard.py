@@ -11,10 +11,14 @@ and exactly 0 (outside "support") count; fractional weights count nowhere.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from basketmine.functions import bitwords
+
 NAN = float("nan")
 
 
@@ -71,3 +75,45 @@ def nearest(centres: Column, basket: Column) -> Column:
     """``struct<d, cid>`` of the closest centre: least distance, then least
     cluster id; NaN sorts after every number."""
     return F.array_min(distances_to(centres, basket))
+
+
+def word_distance(ones: Column, support: Column | None, basket: Column, n_words: int) -> Column:
+    """``dontcare_distance`` of sets as bit words; without ``support`` the centre is binary (support = ones)."""
+    m11 = bitwords.overlap(ones, basket, n_words)
+    m10 = bitwords.size(ones, n_words) - m11
+    m01 = bitwords.size(basket, n_words) - (m11 if support is None else bitwords.overlap(support, basket, n_words))
+    return _float_ratio(m01 + m10, m11 + m01 + m10)
+
+
+@dataclass
+class Centres:
+    """Centres ``(cluster id, ones, support or None)`` as a literal table of the plan.  ``n_words``: number of
+    words of sets that are bit words; None: sets are arrays of names."""
+    rows: list[tuple]
+    n_words: int | None = None
+
+    def distances(self, basket: Column) -> Column:
+        """``array<struct<d double, cid int>>``: distance of the basket to every centre, in their order."""
+        if self.n_words is None:
+            if all(support is None for _, _, support in self.rows):
+                return distances_to(seed_array([(c, ones) for c, ones, _ in self.rows]), basket)
+            return distances_to(centroid_array(self.rows), basket)
+        binary = all(support is None for _, _, support in self.rows)
+        word = lambda ws: F.array(*[F.lit(w).cast("bigint") for w in ws])
+        table = F.array(*[F.struct(F.lit(int(c)).alias("cid"), word(ones).alias("ones"),
+                                   *([] if binary else [word(ones if support is None else support).alias("support")]))
+                          for c, ones, support in self.rows])
+        return F.transform(table, lambda c: F.struct(
+            word_distance(c["ones"], None if binary else c["support"], basket, self.n_words).alias("d"), c["cid"].alias("cid")))
+
+    def nearest(self, basket: Column) -> Column:
+        """``struct<d, cid>`` of the closest centre (see ``nearest``)."""
+        return F.array_min(self.distances(basket))
+
+
+def set_distance(a: Sequence, b: Sequence) -> float:
+    """``jaccard_distance`` of two sets (names, or bit words) that the driver holds."""
+    if any(isinstance(x, int) for x in (*a, *b)):
+        a, b = bitwords.unpack(a), bitwords.unpack(b)
+    union = len(set(a) | set(b))
+    return float(np.float32((union - len(set(a) & set(b))) / union)) if union else NAN

@@ -30,7 +30,12 @@ customer's partition.  Centroids are one aggregate on (cluster, category).
 
 Since a known customer's label is a function of the customer, labelings of the
 same baskets under several k are compared on one row per customer, weighted
-with its number of baskets (``customer_table`` and ``customer_label``).
+with its number of baskets (``customer_table``).  The seeds of a smaller k are the first ones of a
+larger, so the distances to the most seeds give the labels under every k: the running minimum over
+the seeds is the label under each number of them (``labels_by_k``).
+
+Baskets are sets of categories, either as bit words (column ``words``, whose metadata names the vocabulary;
+used when it is there) or as arrays of names (column ``items``).
 """
 
 from __future__ import annotations
@@ -40,10 +45,32 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketmine.functions.jaccard import centroid_array, distances_to, nearest, seed_array
+from basketmine.functions.bitwords import names, pack, set_bits, unpack
+from basketmine.functions.jaccard import Centres, set_distance
+from basketmine.operators.encode import names_of
 from basketmine.session import keep, md5_rank_key
 
 
+def set_column(baskets: DataFrame) -> str:
+    """The column with the category sets: bit words if there are any, else names."""
+    return "words" if "words" in baskets.columns else "items"
+
+
+def width(sets: list) -> int | None:
+    """Number of words of sets that are bit words, None for sets of names."""
+    return next((len(s) for s in sets if s and isinstance(s[0], int)), None)
+
+
+def literal_set(values: list) -> Column:
+    bits = values and isinstance(values[0], int)
+    return F.array(*[F.lit(x) for x in values]).cast("array<bigint>" if bits else "array<string>")
+
+
+def seed_centres(seeds: list) -> Centres:
+    """Seeds ``(cluster_id, basket_id, set, ...)`` as centres."""
+    return Centres([(c, held, None) for c, _, held, *_ in seeds], width([held for _, _, held, *_ in seeds]))
+
+
 def seed_order(baskets: DataFrame, seed: int, id_col: str = "basket_id") -> DataFrame:
     return baskets.withColumn("_seed_key", md5_rank_key(seed, id_col))
 
@@ -56,11 +83,12 @@ def draw_seeds(baskets: DataFrame, k: int, seed: int) -> list[tuple[int, int, li
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    rows = (seed_order(baskets.select("basket_id", "items"), seed)
+    held = set_column(baskets)
+    rows = (seed_order(baskets.select("basket_id", held), seed)
             .orderBy("_seed_key", "basket_id").limit(k).collect())
     if len(rows) < k:
         raise ValueError(f"k={k} is larger than the number of baskets ({len(rows)})")
-    return [(cid, r["basket_id"], list(r["items"] or [])) for cid, r in enumerate(rows)]
+    return [(cid, r["basket_id"], list(r[held] or [])) for cid, r in enumerate(rows)]
 
 
 def seed_rows(baskets: DataFrame, k: int, seed: int) -> DataFrame:
@@ -78,7 +106,7 @@ def anchor_baskets(base: DataFrame, seed_ids: list[int]) -> DataFrame:
     per = base.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_baskets"), F.min(F.when(~is_seed, F.col("basket_id"))).alias("anchor_id"))
     items = base.where(F.col("customer_id").isNotNull()).select(
-        F.col("basket_id").alias("anchor_id"), F.col("items").alias("anchor_items"))
+        F.col("basket_id").alias("anchor_id"), F.col(set_column(base)).alias("anchor_items"))
     return per.join(items, "anchor_id", "left").select("customer_id", "n_baskets", "anchor_id", "anchor_items")
 
 
@@ -86,18 +114,59 @@ def customer_table(baskets: DataFrame, k_max: int, seed: int = 1) -> tuple[DataF
     """What every labelling by up to ``k_max`` seeds depends on: one row per known customer
     (``n_baskets``, the lowest basket that is no seed) and one per basket without a customer.
     Returns it with the seeds ``(cluster_id, basket_id, items, customer_id)``."""
-    base = baskets.select("basket_id", "customer_id", "items")
+    held = set_column(baskets)
+    base = baskets.select("basket_id", "customer_id", held)
     rows = (seed_order(base, seed).orderBy("_seed_key", "basket_id").limit(k_max).collect())     # k_max rows
     if len(rows) < k_max:
         raise ValueError(f"k={k_max} is larger than the number of baskets ({len(rows)})")
-    seeds = [(c, r["basket_id"], list(r["items"] or []), r["customer_id"]) for c, r in enumerate(rows)]
+    seeds = [(c, r["basket_id"], list(r[held] or []), r["customer_id"]) for c, r in enumerate(rows)]
     known = anchor_baskets(base, [b for _, b, _, _ in seeds])
     unknown = base.where(F.col("customer_id").isNull()).select(
         "customer_id", F.lit(1).cast("long").alias("n_baskets"), F.col("basket_id").alias("anchor_id"),
-        F.col("items").alias("anchor_items"))
+        F.col(held).alias("anchor_items"))
     return known.unionByName(unknown), seeds
 
 
+def labels_by_k(rows: DataFrame, seeds: list, ks: list[int]) -> DataFrame:
+    """``(k, label_a, label_b, n_baskets)``: the ``predict`` labels of the rows of ``customer_table`` under the models with
+    the first k and the first k + 1 seeds, for each of the consecutive ``ks``.
+
+    The distances to all seeds are computed once per row; their running minimum is the label under each k.
+    Customers that own a seed are at most as many as there are seeds: their rows are labelled on the
+    driver, since their anchor depends on k (seeds from k on are ordinary baskets)."""
+    top = ks[-1] + 1
+    owners = sorted({customer for *_, customer in seeds if customer is not None})
+    owned = F.coalesce(F.col("customer_id").isin(owners), F.lit(False))
+    kind = "array<struct<d: double, cid: int>>"
+    first = F.array(F.array_min(F.slice("_d", 1, ks[0]))).cast(kind)
+    running = F.aggregate(F.slice("_d", ks[0] + 1, top - ks[0]), first,
+                          lambda held, x: F.concat(held, F.array(F.least(F.element_at(held, -1), x)).cast(kind)))
+    pairs = F.transform(F.lit(list(range(len(ks)))), lambda i: F.struct(
+        (i + F.lit(ks[0])).alias("k"), F.get("_r", i)["cid"].alias("label_a"), F.get("_r", i + 1)["cid"].alias("label_b")))
+    labelled = (rows.where(~owned)
+                .select("n_baskets", seed_centres(seeds[:top]).distances(F.col("anchor_items")).cast(kind).alias("_d"))
+                .select("n_baskets", running.alias("_r")).select("n_baskets", F.inline(pairs)))
+    few = rows.where(owned).select("customer_id", "n_baskets", "anchor_id", "anchor_items").collect()    # at most one per seed
+    labels = [{k: _owner_label(r, seeds, k) for k in [*ks, top]} for r in few]
+    of_owners = rows.sparkSession.createDataFrame(
+        [(r["n_baskets"], k, ls[k], ls[k + 1]) for r, ls in zip(few, labels) for k in ks],
+        "n_baskets long, k int, label_a int, label_b int")
+    return labelled.unionByName(of_owners).select("k", "label_a", "label_b", "n_baskets")
+
+
+def _owner_label(row, seeds: list, k: int) -> int:
+    """Label of a customer that owns seeds under the model with the first ``k`` seeds."""
+    mine = [(basket, held) for _, basket, held, customer in seeds[k:] if customer == row["customer_id"]]
+    if row["anchor_id"] is not None:
+        mine.append((row["anchor_id"], list(row["anchor_items"] or [])))
+    labels = [c for c, _, _, customer in seeds[:k] if customer == row["customer_id"]]
+    if mine:
+        anchor = min(mine, key=lambda b: b[0])[1]
+        away = [(d != d, d, c) for d, c in ((set_distance(held, anchor), c) for c, _, held, _ in seeds[:k])]     # NaN last
+        labels.append(min(away)[2])
+    return min(labels)
+
+
 def customer_label(seeds: list, k: int, centres=None) -> Column:
     """``predict`` label of the rows of ``customer_table`` under the model with the first ``k`` seeds.
 
@@ -106,8 +175,8 @@ def customer_label(seeds: list, k: int, centres=None) -> Column:
     customers, told by a literal map).  ``centres``: what rows without a customer
     are scored against (default: the seeds).
     """
-    centre = seed_array([(c, items) for c, _, items, _ in seeds[:k]])
-    near = nearest(centre, F.col("anchor_items"))["cid"]
+    centre = seed_centres(seeds[:k])
+    near = centre.nearest(F.col("anchor_items"))["cid"]
     lowest: dict = {}      # customer -> its lowest basket among the later seeds
     own: dict = {}         # customer -> its lowest cluster among the first k seeds
     for c, basket, items, customer in seeds:
@@ -120,11 +189,11 @@ def customer_label(seeds: list, k: int, centres=None) -> Column:
     anchor = F.when(F.col("anchor_id").isNotNull(), near)
     for customer, (basket, items) in lowest.items():
         mine = (F.col("customer_id") == customer) & (F.col("anchor_id").isNull() | (F.col("anchor_id") > basket))
-        anchor = F.when(mine, nearest(centre, F.array(*[F.lit(x) for x in items]).cast("array<string>"))["cid"]).otherwise(anchor)
+        anchor = F.when(mine, centre.nearest(literal_set(items))["cid"]).otherwise(anchor)
     seeded = F.lit(None).cast("int")
     if own:
         seeded = F.try_element_at(F.create_map(*[F.lit(x) for pair in own.items() for x in pair]), F.col("customer_id"))
-    free = near if centres is None else nearest(centres, F.col("anchor_items"))["cid"]
+    free = near if centres is None else centres.nearest(F.col("anchor_items"))["cid"]
     return F.when(F.col("customer_id").isNull(), free).otherwise(F.least(anchor, seeded))
 
 
@@ -140,12 +209,14 @@ class ConstrainedKMeansModel:
     k: int
     iterations: int
     seed: int
-    seeds: list[tuple[int, int, list[str]]]
+    seeds: list[tuple[int, int, list]]
     links: DataFrame          # customer_id, anchor, cluster_id
     assignments: DataFrame    # basket_id, customer_id, items, is_seed, seed_cluster, label_0, cluster_id
     centroids: DataFrame      # cluster_id, category, weight
     base: DataFrame           # the encoded baskets, cached by fit unless the caller had
     own_base: bool = False
+    vocab: list[str] | None = None      # of sets that are bit words
+    cached: list[DataFrame] = field(default_factory=list, repr=False)
     _centroid_cache: list | None = field(default=None, repr=False)
 
     @property
@@ -155,10 +226,10 @@ class ConstrainedKMeansModel:
     def seeds_df(self) -> DataFrame:
         return self.spark.createDataFrame([(b, c) for c, b, _ in self.seeds], "basket_id long, cluster_id int")
 
-    def seed_centres(self):
-        return seed_array([(c, items) for c, _, items in self.seeds])
+    def seed_centres(self) -> Centres:
+        return seed_centres(self.seeds)
 
-    def centroid_centres(self):
+    def centroid_centres(self) -> Centres:
         """Literal centres from the trained means; k x categories values reach the driver."""
         if self._centroid_cache is None:
             rows = (self.centroids.groupBy("cluster_id")
@@ -167,33 +238,42 @@ class ConstrainedKMeansModel:
                     .collect())
             by_id = {r["cluster_id"]: (list(r["ones"]), list(r["support"])) for r in rows}
             self._centroid_cache = [(c, *by_id.get(c, ([], []))) for c in range(self.k)]
-        return centroid_array(self._centroid_cache)
+        if self.vocab is None:
+            return Centres(self._centroid_cache)
+        number, n = {name: i for i, name in enumerate(self.vocab)}, width([held for _, _, held in self.seeds])
+        return Centres([(c, *(pack([number[x] for x in held], n) for held in sets)) for c, *sets in self._centroid_cache], n)
+
+    def _centres(self, score_against: str) -> Centres:
+        return self.seed_centres() if score_against == "seeds" else self.centroid_centres()
 
-    def distances(self, baskets: DataFrame, score_against: str = "seeds", items_col: str = "items") -> DataFrame:
+    def _set_column(self, items_col: str | None) -> str:
+        return items_col or ("items" if self.vocab is None else "words")
+
+    def distances(self, baskets: DataFrame, score_against: str = "seeds", items_col: str | None = None) -> DataFrame:
         """``(basket_id, cluster_id, distance)`` for every basket and every centre
         (k rows per basket)."""
-        centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
-        return (baskets.select("basket_id", F.explode(distances_to(centres, F.col(items_col))).alias("x"))
+        held = F.col(self._set_column(items_col))
+        return (baskets.select("basket_id", F.explode(self._centres(score_against).distances(held)).alias("x"))
                 .select("basket_id", F.col("x.cid").alias("cluster_id"), F.col("x.d").alias("distance")))
 
-    def nearest(self, baskets: DataFrame, score_against: str = "seeds", items_col: str = "items") -> DataFrame:
-        centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
-        return baskets.withColumn("_near", nearest(centres, F.col(items_col))) \
+    def nearest(self, baskets: DataFrame, score_against: str = "seeds", items_col: str | None = None) -> DataFrame:
+        held = F.col(self._set_column(items_col))
+        return baskets.withColumn("_near", self._centres(score_against).nearest(held)) \
             .withColumn("nearest_cluster", F.col("_near.cid")) \
             .withColumn("nearest_distance", F.col("_near.d")).drop("_near")
 
-    def predict(self, baskets: DataFrame, score_against: str = "seeds", items_col: str = "items",
+    def predict(self, baskets: DataFrame, score_against: str = "seeds", items_col: str | None = None,
                 output_col: str = "prediction") -> DataFrame:
         """Known customer -> its link; otherwise the nearest centre (K7).  The
         distance to the centres is evaluated only for rows without a link.
         Rows without a customer have no link to look up and stay out of the join."""
-        centres = self.seed_centres() if score_against == "seeds" else self.centroid_centres()
+        near = self._centres(score_against).nearest(F.col(self._set_column(items_col)))["cid"]
         if "customer_id" not in baskets.columns:        # anonymous baskets: no link to use
             baskets = baskets.withColumn("customer_id", F.lit(None).cast("long"))
         links = self.links.select("customer_id", F.col("cluster_id").alias("_link"))
         return (with_customer_rows(baskets, links)
                 .withColumn("known_customer", F.col("_link").isNotNull())
-                .withColumn(output_col, F.coalesce(F.col("_link"), nearest(centres, F.col(items_col))["cid"]))
+                .withColumn(output_col, F.coalesce(F.col("_link"), near))
                 .drop("_link"))
 
     def cluster_baskets(self, clusters: DataFrame, cluster_col: str = "cluster_id") -> DataFrame:
@@ -217,6 +297,24 @@ class ConstrainedKMeansModel:
                         F.coalesce("n_customers", F.lit(0)).alias("n_customers"),
                         F.coalesce("n_listed_customers", F.lit(0)).alias("n_listed_customers")))
 
+    def summarized_centroids(self, vocab: list[str]) -> DataFrame:
+        """The centroids by MLlib's vector aggregate instead of category counts (A3): means of the 0/1 vectors of the
+        clusters under the first and the final labels, combined as the iterations do.  ``cluster_id, category, weight``."""
+        from basketmine.operators.encode import to_vectors
+        from basketmine.operators.kmeans import member_means
+        rows = to_vectors(self.assignments, vocab, features_col="_v")
+        first = F.coalesce("seed_cluster", "label_0")       # the seed's own basket enters the first mean
+        c1 = member_means(rows.select("_v", first.alias("j")), "j", "_v").select("label", F.col("mean").alias("_c1"))
+        later = member_means(rows.where(~F.col("is_seed")).select("_v", F.col("cluster_id").alias("j")), "j", "_v")
+        shrink = F.pow((F.col("n") + 1).cast("double"), F.lit(float(self.iterations - 1)))
+        settled = F.when(F.col("mean").isNull(), F.col("_c1")).otherwise(F.zip_with("mean", "_c1", lambda s, c: s + (c - s) / shrink))
+        if self.iterations == 0:
+            c1 = member_means(rows.where("is_seed").select("_v", F.col("seed_cluster").alias("j")), "j", "_v").select("label", F.col("mean").alias("_c1"))
+        weights = settled if self.iterations >= 2 else F.col("_c1")
+        cells = c1.join(later, "label", "left").select("label", F.posexplode(weights).alias("idx", "weight")).where("weight <> 0")
+        table = self.spark.createDataFrame([(c, i) for i, c in enumerate(vocab)], "category string, idx int")
+        return cells.join(table, "idx").select(F.col("label").alias("cluster_id"), "category", "weight")
+
     def reference_shaped(self, vocab: list[str]) -> DataFrame:
         """Assignments with a ``vector`` per row over ``vocab`` (J4): a seed row
         carries its cluster's mean weights, every other row its own 0/1 basket,
@@ -236,14 +334,15 @@ class ConstrainedKMeansModel:
         return rows.unionByName(seeds.select(*shape))
 
     def unpersist(self) -> None:
-        for df in (self.links, self.assignments, self.centroids, *([self.base] if self.own_base else [])):
+        for df in (self.links, *self.cached, self.centroids, *([self.base] if self.own_base else [])):
             df.unpersist()
 
 
 class ConstrainedKMeans:
-    """Estimator over encoded baskets ``(basket_id, customer_id, items)``."""
+    """Estimator over encoded baskets ``(basket_id, customer_id, words)`` or ``(basket_id, customer_id, items)``.
+    ``items_col``: another column with arrays of names to use."""
 
-    def __init__(self, k: int, iterations: int = 5, seed: int = 1, items_col: str = "items"):
+    def __init__(self, k: int, iterations: int = 5, seed: int = 1, items_col: str | None = None):
         if iterations < 0:
             raise ValueError("iterations must be >= 0")
         self.k, self.iterations, self.seed, self.items_col = k, iterations, seed, items_col
@@ -253,12 +352,14 @@ class ConstrainedKMeans:
         lazy: each is computed, and cached, when it is first read.  The encoded
         input is cached until ``unpersist`` unless the caller has cached it already."""
         own_cache = not baskets.is_cached
-        base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items"))
+        held = "items" if self.items_col else set_column(baskets)
+        vocab = names_of(baskets) if held == "words" else None
+        base = baskets.select("basket_id", "customer_id", F.col(self.items_col).alias("items") if self.items_col else held)
         if own_cache:
             base = keep(base)
         seeds = draw_seeds(base, self.k, self.seed)
         seed_of = F.create_map(*[x for c, b, _ in seeds for x in (F.lit(b), F.lit(c))])
-        centres = seed_array([(c, items) for c, _, items in seeds])
+        centres = seed_centres(seeds)
 
         flagged = (base
                    .withColumn("seed_cluster", F.try_element_at(seed_of, F.col("basket_id")).cast("int"))
@@ -271,30 +372,42 @@ class ConstrainedKMeans:
                   .groupBy("customer_id").agg(F.min("seed_cluster").alias("_seed_min")))
         links = keep(anchor_baskets(base, [b for _, b, _ in seeds]).join(seeded, "customer_id", "left")
                      .withColumn("anchor", F.when(F.col("anchor_id").isNotNull(),
-                                                  nearest(centres, F.col("anchor_items"))["cid"]))
+                                                  centres.nearest(F.col("anchor_items"))["cid"]))
                      .select("customer_id", "anchor", F.least("anchor", "_seed_min").alias("cluster_id")))
 
         # Baskets without a customer have no link: their own nearest seed
         # (coalesce evaluates it only for them).
-        own = nearest(centres, F.col("items"))["cid"]
+        own = centres.nearest(F.col(held))["cid"]
         label0 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("anchor", own))
         label1 = F.when(F.col("is_seed"), F.col("seed_cluster")).otherwise(F.coalesce("_link", own))
         assignments = keep(
             with_customer_rows(flagged, links.select("customer_id", "anchor", F.col("cluster_id").alias("_link")))
-            .select("basket_id", "customer_id", "items", "is_seed", "seed_cluster",
+            .select("basket_id", "customer_id", held, "is_seed", "seed_cluster",
                     label0.alias("label_0"),
                     (label1 if self.iterations >= 1 else label0).alias("cluster_id")))
-        centroids = keep(self._centroids(assignments, seeds))   # k x categories rows
-        return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, assignments, centroids,
-                                      base, own_cache)
+        centroids = keep(self._centroids(assignments, seeds, vocab))   # k x categories rows
+        named = assignments if vocab is None else assignments.withColumn("items", names(F.col("words"), vocab))
+        return ConstrainedKMeansModel(self.k, self.iterations, self.seed, seeds, links, named, centroids,
+                                      base, own_cache, vocab, [assignments])
 
-    def _centroids(self, assignments: DataFrame, seeds) -> DataFrame:
+    def _centroids(self, assignments: DataFrame, seeds, vocab: list[str] | None) -> DataFrame:
         spark = assignments.sparkSession
+        if vocab is None:
+            kind, listed, sets = "string", F.col("items"), seeds
+        else:       # counted by category number, named at the end
+            kind, listed = "int", set_bits(F.col("words"), width([held for _, _, held in seeds]))
+            sets = [(c, b, unpack(words)) for c, b, words in seeds]
+
+        def named(cells: DataFrame) -> DataFrame:
+            if vocab is None:
+                return cells
+            return cells.withColumn("category", F.element_at(F.array(*[F.lit(v) for v in vocab]), F.col("category") + 1))
+
         seed_long = spark.createDataFrame(
-            [(c, cat) for c, _, items in seeds for cat in items] or [(0, None)],
-            "cluster_id int, category string").where(F.col("category").isNotNull())
+            [(c, cat) for c, _, held in sets for cat in held] or [(0, None)],
+            f"cluster_id int, category {kind}").where(F.col("category").isNotNull())
         if self.iterations == 0:
-            return seed_long.withColumn("weight", F.lit(1.0))
+            return named(seed_long).withColumn("weight", F.lit(1.0))
 
         # One row per (which labelling, cluster, category) and one per seed
         # category (w = -1); a NULL category counts the baskets themselves, so
@@ -304,7 +417,7 @@ class ConstrainedKMeans:
             labels.append(F.struct(F.lit(1).alias("w"), F.col("cluster_id").alias("c")))
         counts = (assignments.where(~F.col("is_seed"))
                   .select(F.explode(F.array(*labels)).alias("l"),
-                          F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("category"))
+                          F.explode(F.concat(listed, F.array(F.lit(None).cast(kind)))).alias("category"))
                   .groupBy(F.col("l.w").alias("w"), F.col("l.c").alias("cluster_id"), "category")
                   .agg(F.count(F.lit(1)).alias("n"))
                   .unionByName(seed_long.select(F.lit(-1).alias("w"), "cluster_id", "category",
@@ -326,7 +439,9 @@ class ConstrainedKMeans:
                   .groupBy("cluster_id", "category")
                   .agg(part(-1).alias("sd"), part(0).alias("s0"), part(1).alias("s1"),
                        F.first("n0").alias("n0"), F.first("n1").alias("n1")))
-        w = (F.col("sd") + F.col("s0")).cast("double") / (F.col("n0") + 1).cast("double")
-        for _ in range(2, self.iterations + 1):
-            w = (w + F.col("s1").cast("double")) / (F.col("n1") + 1).cast("double")
-        return joined.select("cluster_id", "category", w.alias("weight")).where(F.col("weight") != 0.0)
+        # c_t = (c_(t-1) + S) / (n + 1) in closed form: the distance to the mean S / n shrinks by n + 1 each time
+        first = (F.col("sd") + F.col("s0")).cast("double") / (F.col("n0") + 1).cast("double")
+        mean = F.col("s1").cast("double") / F.col("n1").cast("double")
+        shrunk = (first - mean) / F.pow((F.col("n1") + 1).cast("double"), F.lit(float(max(self.iterations - 1, 0))))
+        w = F.when(F.col("n1") == 0, first).otherwise(mean + shrunk) if self.iterations >= 2 else first
+        return named(joined.select("cluster_id", "category", w.alias("weight")).where(F.col("weight") != 0.0))

@@ -1,13 +1,13 @@
-"""Basket encoding: items -> distinct category sets (P3, J2), category sets ->
-sparse binary vectors (P4) and back (P5)."""
+"""Basket encoding: items -> distinct category sets as bit words (P3, J2), category sets ->
+sparse binary vectors (P4) and back to names (P5)."""
 
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketmine.functions.bitwords import BITS, bit_mask, names, word_bits, word_number, words_for
 from basketmine.functions.catalog import explode_paths, product_categories, substring_matches
 
 
@@ -45,32 +45,87 @@ def basket_categories(baskets: DataFrame, catalog: DataFrame, mode: str = "exact
     return baskets.join(matches.withColumnRenamed("item", item_col), item_col, "left")
 
 
-def encode_baskets(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
-                   keys: tuple[str, ...] = ("basket_id", "customer_id"),
-                   item_col: str = "item", header: DataFrame | None = None) -> DataFrame:
-    """``keys + items``: sorted distinct categories of each basket.
-
-    The OR over a basket's products is ``collect_set``, which aggregates
-    partially on the map side, so a very large basket is reduced per input
-    partition before the shuffle.  A basket none of whose items match gets
-    ``items = []``.
-
-    ``header`` (one row per basket, e.g. ``basket_id, customer_id``): the
-    categories are aggregated per ``basket_id`` from the item rows alone and
-    then left-joined to the header, so the join sees one row per basket and
-    header baskets without any item rows come out with ``items = []``.
+def vocabulary_table(catalog: DataFrame) -> DataFrame:
+    """``(category, idx)``: the distinct categories, numbered from 0 in sorted order.  The window that
+    numbers them sees one row per category."""
+    levels = catalog_levels(catalog)
+    number = F.row_number().over(Window.orderBy("category")) - 1
+    return levels.select("category").distinct().select("category", number.cast("int").alias("idx"))
+
+
+def item_words(matches: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
+    """``(item, _w0, _w1, ...)``: the categories of every matched item as bit words, one row per item."""
+    bits = matches.join(vocab, "category").select("item", word_number(F.col("idx")).alias("_word"), bit_mask(F.col("idx")).alias("_bit"))
+    return bits.groupBy("item").agg(*[F.bit_or(F.when(F.col("_word") == k, F.col("_bit")).otherwise(F.lit(0).cast("bigint"))).alias(f"_w{k}")
+                                      for k in range(n_words)])
+
+
+def encode_bits(baskets: DataFrame, catalog: DataFrame, n_categories: int, mode: str = "exact",
+                keys: tuple[str, ...] = ("basket_id", "customer_id"), item_col: str = "item",
+                header: DataFrame | None = None) -> DataFrame:
+    """``keys + words``: the distinct categories of each basket as bit words (P3) of the sorted vocabulary
+    of ``n_categories`` categories.
+
+    Each line item meets its item's words (one row per line item, whatever its number of categories), and
+    the OR over a basket is ``bit_or``: a hash aggregate with one long per word, partial on the map side, so a
+    very large basket is one row per map task before the shuffle.  Both joins are left to Spark and AQE.
+    A basket none of whose items match has no bit set.  For thousands of categories see ``encode_long``.
+
+    ``header`` (one row per basket, e.g. ``basket_id, customer_id``): the words are aggregated per ``basket_id``
+    from the item rows alone and then joined to the header, whose baskets without item rows come out empty.
     """
+    n = words_for(n_categories)
+    none = F.array(*[F.lit(0).cast("bigint")] * n)
     if header is not None:
-        enc = encode_baskets(baskets, catalog, mode, ("basket_id",), item_col)
-        # Sort-merge join: the aggregated side is already hash-partitioned on
-        # basket_id and stays in place; only the header (one row per basket)
-        # moves, and the result keeps that partitioning for the row-local
-        # distance work downstream.
-        return (header.join(enc.hint("merge"), "basket_id", "left")
-                .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
+        enc = encode_bits(baskets, catalog, n_categories, mode, ("basket_id",), item_col)
+        return header.join(enc, "basket_id", "left").withColumn("words", F.coalesce("words", none))
     keys = tuple(k for k in keys if k in baskets.columns)
-    long_form = basket_categories(baskets, catalog, mode, item_col)
-    return long_form.groupBy(*keys).agg(F.array_sort(F.collect_set("category")).alias("items"))
+    match = item_words(match_items(baskets, catalog, mode, item_col), vocabulary_table(catalog), n)
+    rows = baskets.join(match.withColumnRenamed("item", item_col), item_col, "left")
+    held = rows.groupBy(*keys).agg(*[F.bit_or(f"_w{k}").alias(f"_w{k}") for k in range(n)])
+    return held.select(*keys, F.array(*[F.coalesce(f"_w{k}", F.lit(0).cast("bigint")) for k in range(n)]).alias("words"))
+
+
+def encode_long(baskets: DataFrame, catalog: DataFrame, mode: str = "exact", keys: tuple[str, ...] = ("basket_id",),
+                item_col: str = "item") -> DataFrame:
+    """``keys + word, bits``: the words of each basket that are not empty, a row each; for vocabularies of any size."""
+    bits = match_items(baskets, catalog, mode, item_col).join(vocabulary_table(catalog), "category").select(
+        F.col("item").alias(item_col), word_number(F.col("idx")).alias("word"), bit_mask(F.col("idx")).alias("bits"))
+    bits = bits.groupBy(item_col, "word").agg(F.bit_or("bits").alias("bits"))
+    return baskets.join(bits, item_col).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def decode_words(long_words: DataFrame, vocab: DataFrame, keys: tuple[str, ...] = ("basket_id",)) -> DataFrame:
+    """``keys + idx, category`` of every set bit of ``encode_long`` rows (P5): numbers read from the words and
+    joined to the vocabulary table."""
+    idx = F.transform(word_bits(F.col("bits")), lambda b: b + F.col("word") * BITS)
+    return long_words.select(*keys, F.explode(idx).alias("idx")).join(vocab, "idx").select(*keys, "idx", "category")
+
+
+def encode_baskets(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
+                   keys: tuple[str, ...] = ("basket_id", "customer_id"),
+                   item_col: str = "item", header: DataFrame | None = None, vocab: list[str] | None = None) -> DataFrame:
+    """``keys + words + items``: the categories of each basket (P3) as bit words (see ``encode_bits``) and as
+    sorted names; a basket none of whose items match gets ``items = []``.  The names are read from the
+    words row by row and cost nothing where they are not used.  ``vocab``: ``vocabulary(catalog)``, if the
+    caller has it."""
+    vocab = vocabulary(catalog) if vocab is None else vocab
+    return with_names(encode_bits(baskets, catalog, len(vocab), mode, keys, item_col, header), vocab)
+
+
+def with_names(encoded: DataFrame, vocab: list[str]) -> DataFrame:
+    """``items`` beside ``words``; the vocabulary goes along in the metadata of ``words`` (``names_of``)."""
+    words = F.col("words").alias("words", metadata={"vocabulary": list(vocab)})
+    others = [c for c in encoded.columns if c not in ("words", "items")]
+    return encoded.select(*others, words, names(F.col("words"), vocab).alias("items"))
+
+
+def names_of(encoded: DataFrame) -> list[str]:
+    """The vocabulary that the words of ``encoded`` refer to."""
+    found = encoded.schema["words"].metadata.get("vocabulary")
+    if found is None:
+        raise ValueError("the words column does not tell its vocabulary; see with_names")
+    return found
 
 
 def vocabulary(catalog: DataFrame) -> list[str]:
@@ -90,10 +145,24 @@ def to_vectors(encoded: DataFrame, vocab: list[str], items_col: str = "items",
     return vectorizer(vocab, items_col, features_col).transform(encoded)
 
 
-def from_vectors(df: DataFrame, vocab: list[str], features_col: str = "features",
-                 items_col: str = "items") -> DataFrame:
-    """Binary vectors -> sorted category names (P5)."""
-    names = F.array(*[F.lit(v) for v in vocab])
-    arr = vector_to_array(F.col(features_col))
-    picked = F.transform(arr, lambda x, i: F.when(x > 0, F.element_at(names, i + 1)))
-    return df.withColumn(items_col, F.filter(picked, lambda x: x.isNotNull()))
+def vector_cells(features: Column) -> Column:
+    """``array<struct<idx int, value double>>`` of a vector's non-zero cells, without a dense array for sparse vectors."""
+    shape = "features struct<type: int, size: int, indices: array<int>, `values`: array<double>>"
+    v = F.from_json(F.to_json(F.struct(features.alias("features"))), shape)["features"]
+    sparse = F.zip_with(v["indices"], v["values"], lambda i, x: F.struct(i.alias("idx"), x.alias("value")))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("idx"), x.alias("value")))
+    return F.filter(F.when(v["type"] == 0, sparse).otherwise(dense), lambda c: c["value"] != 0)
+
+
+def from_vectors(df: DataFrame, vocab: list[str] | DataFrame, features_col: str = "features",
+                 items_col: str = "items", indices_col: str | None = None, key: str = "basket_id") -> DataFrame:
+    """Binary vectors -> sorted category names (P5), one row per ``key``: the numbers of the set cells joined to
+    the vocabulary table ``(category, idx)`` (or a list of names).  ``indices_col``: keep the numbers as well."""
+    if not isinstance(vocab, DataFrame):
+        vocab = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(vocab)], "category string, idx int")
+    cells = df.select(key, F.explode(vector_cells(F.col(features_col))).alias("c")).select(key, F.col("c.idx").alias("idx"))
+    held = cells.join(vocab, "idx").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "category"))).alias("_c"))
+    out = df.join(held, key, "left").withColumn(items_col, F.coalesce(F.col("_c.category"), F.array().cast("array<string>")))
+    if indices_col:
+        out = out.withColumn(indices_col, F.coalesce(F.col("_c.idx"), F.array().cast("array<int>")))
+    return out.drop("_c")

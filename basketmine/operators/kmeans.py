@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,34 @@ def kmeans_labels(model: KMeansModel, vectors: DataFrame, output_col: str = "pre
     return model.setPredictionCol(output_col).transform(vectors)
 
 
+def member_means(labelled: DataFrame, label_col: str, features_col: str = "features") -> DataFrame:
+    """``label, n, mean`` (array) of the vectors under each label, by MLlib's vector aggregate."""
+    summary = Summarizer.metrics("mean", "count").summary(F.col(features_col))
+    return (labelled.groupBy(F.col(label_col).alias("label")).agg(summary.alias("_s"))
+            .select("label", F.col("_s.count").alias("n"), vector_to_array(F.col("_s.mean")).alias("mean")))
+
+
+def step_gap(before: KMeansModel, after: KMeansModel, vectors: DataFrame, features_col: str = "features",
+             tolerance: float = 1e-9) -> DataFrame:
+    """How far ``after`` is from one Lloyd step on ``before`` (K1, K2 in numbers): one row with ``n_clusters`` that have
+    members, ``n_off`` cells in which a centre of ``after`` differs from the mean of the members under ``before``,
+    and ``cost_off``, the relative difference of the members' cost from ``after``'s training cost.
+
+    A fit with one more iteration from the same start is such a step, so both are 0 for it."""
+    centre = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in before.clusterCenters()])       # k x categories values
+    labelled = kmeans_labels(before, vectors, "_label")
+    squares = F.zip_with(vector_to_array(F.col(features_col)), F.get(centre, F.col("_label")), lambda x, c: (x - c) * (x - c))
+    cost = labelled.agg(F.sum(F.aggregate(squares, F.lit(0.0), lambda s, y: s + y)).alias("cost"))
+    centres = vectors.sparkSession.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(after.clusterCenters())], "label int, centre array<double>")
+    gaps = F.zip_with("mean", "centre", lambda a, b: F.abs(a - b) > tolerance)
+    off = member_means(labelled, "_label", features_col).join(centres, "label").agg(
+        F.count(F.lit(1)).alias("n_clusters"), F.sum(F.size(F.filter(gaps, lambda g: g))).alias("n_off"))
+    trained = after.summary.trainingCost
+    gap = F.abs(F.lit(float(cost.first()["cost"])) - trained) / trained
+    return off.withColumn("cost_off", gap)
+
+
 def surrogate_customer_ids(df: DataFrame, label_col: str, k: int, n_customers: int, seed: int = 1,
                            id_col: str = "basket_id", output_col: str = "customer_id") -> DataFrame:
     """Cluster i gets customer ids in ``[i*m + 1, (i+1)*m]``, ``m = n_customers // k``;

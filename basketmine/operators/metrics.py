@@ -32,11 +32,13 @@ def join_labelings(a: DataFrame, b: DataFrame, id_col: str = "row_id", label_col
             .join(b.select(id_col, F.col(label_col).alias("label_b")), id_col, "inner"))
 
 
-def contingency(df: DataFrame, a: str = "label_a", b: str = "label_b", weight: str | None = None) -> DataFrame:
+def contingency(df: DataFrame, a: str = "label_a", b: str = "label_b", weight: str | None = None,
+                by: tuple[str, ...] = ()) -> DataFrame:
     """``(label_a, label_b, n)`` for every non-empty cell (A6); ``weight``: column with the
-    number of labelled rows that a row of ``df`` stands for."""
+    number of labelled rows that a row of ``df`` stands for; ``by``: columns that tell several
+    pairs of labelings apart, which are kept."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    return df.groupBy(F.col(a).alias("label_a"), F.col(b).alias("label_b")).agg(n.alias("n"))
+    return df.groupBy(*by, F.col(a).alias("label_a"), F.col(b).alias("label_b")).agg(n.alias("n"))
 
 
 def marginals(cont: DataFrame) -> DataFrame:
@@ -49,23 +51,23 @@ def marginals(cont: DataFrame) -> DataFrame:
 
 
 def ari_table(df: DataFrame, a: str = "label_a", b: str = "label_b", compat_first_row: bool = False,
-              weight: str | None = None) -> DataFrame:
-    """One row: ``n, index, sum_a, sum_b, expected, max_index, ari``.
+              weight: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (per value of ``by``): ``n, index, sum_a, sum_b, expected, max_index, ari``.
 
     The labelled rows are read once: the contingency table (at most k1 x k2
     rows) carries its row and column sums as window aggregates, and one global
     aggregate reads each row sum and column sum from the first cell of its row
     or column.
     """
-    cont = contingency(df, a, b, weight)
-    by_a, by_b = Window.partitionBy("label_a"), Window.partitionBy("label_b")
+    cont = contingency(df, a, b, weight, by)
+    by_a, by_b = Window.partitionBy(*by, "label_a"), Window.partitionBy(*by, "label_b")
     cells = (cont
              .withColumn("row_n", F.sum("n").over(by_a))
              .withColumn("row_first", F.row_number().over(by_a.orderBy("label_b")) == 1)
              .withColumn("col_n", F.sum("n").over(by_b))
              .withColumn("col_first", F.row_number().over(by_b.orderBy("label_a")) == 1))
     in_index = (F.col("label_a") == 0) if compat_first_row else F.lit(True)
-    sums = cells.agg(
+    sums = cells.groupBy(*by).agg(
         F.sum("n").alias("n"),
         F.coalesce(F.sum(F.when(in_index, pairs(F.col("n")))), F.lit(0.0)).alias("index"),
         F.sum(F.when(F.col("row_first"), pairs(F.col("row_n")))).alias("sum_a"),

@@ -61,6 +61,8 @@ def stage_by_cluster(members: DataFrame, cluster_col: str = "cluster_id", items_
     return spark.read.parquet(path)
 
 
+# Baskets of a band per FP-tree partition, unless the caller sets the number of partitions.
+ROWS_PER_TREE = 10_000
 # Clusters whose minimum counts lie within this factor of each other share one
 # FPGrowth fit (see mine_clusters).
 BAND_RATIO = 1.5
@@ -154,14 +156,13 @@ def mine_clusters(assignments: DataFrame, clusters: list[int], min_support: floa
 
     sc = spark.sparkContext
     group = sc.getLocalProperty("spark.jobGroup.id")    # keep the caller's job group in the worker threads
-    # a band reads few staged files; spread its FP-tree mining over the cluster
-    parts = num_partitions or sc.defaultParallelism
 
     def one(band: list[int]) -> DataFrame:
         if group:
             sc.setJobGroup(group, f"fpgrowth clusters {band}")
         n_band = sum(counts[c] for c in band)
         low = min(min_count(min_support, counts[c]) for c in band)
+        parts = num_partitions or max(1, -(-n_band // ROWS_PER_TREE))    # a band reads few staged files; spread its FP trees
         prefix = F.concat(F.lpad(F.col("cluster_id").cast("string"), TAG_WIDTH, "0"), F.lit(":"))
         tagged = source.where(F.col("cluster_id").isin(band)).select(
             F.transform("items", lambda x: F.concat(prefix, x)).alias("items"))

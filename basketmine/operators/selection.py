@@ -5,6 +5,10 @@ Rule: walking k = lo, lo+1, ... < hi, compare the labels of models k and k+1;
 stop at the first k whose ARI is >= 0 and below the previous ARI (0.0 before
 the first trial) and return that k; otherwise return the last k+1 tried, or 0
 when the range is empty.  Each model k+1 is reused as the next model k.
+
+Both walks can be logged and taken up again: with a ``log_path``, trials that the log already holds for the
+walk's ``run`` are not computed again, and each is logged once.  A run names one walk over one set of
+baskets with one set of parameters; new data need a new name.
 """
 
 from __future__ import annotations
@@ -14,11 +18,11 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketmine.operators.ckmeans import ConstrainedKMeans, customer_label, customer_table
+from basketmine.operators.ckmeans import ConstrainedKMeans, customer_label, customer_table, labels_by_k, set_column
 from basketmine.operators.kmeans import fit_kmeans, kmeans_labels
-from basketmine.operators.metrics import adjusted_rand_index
+from basketmine.operators.metrics import adjusted_rand_index, ari_table
 from basketmine.session import cut_lineage, keep
-from basketmine.sources.sinks import append_trials
+from basketmine.sources.sinks import append_trials, logged_trials
 
 TRIALS_SCHEMA = "k int, k_next int, ari double"
 
@@ -52,9 +56,24 @@ def best_k_from_trials(trials: DataFrame) -> DataFrame:
     return upto.withColumn("best_k", best).select("k", "k_next", "ari", "best_k")
 
 
-def _log(spark: SparkSession, trial: tuple[int, int, float], log_path: str | None) -> None:
-    if log_path:
-        append_trials(spark.createDataFrame([trial], TRIALS_SCHEMA), log_path)
+def _log(spark: SparkSession, trials: list[tuple[int, int, float]], log_path: str | None, run: str) -> None:
+    if log_path and trials:
+        append_trials(spark.createDataFrame(trials, TRIALS_SCHEMA), log_path, run)
+
+
+def _resume(spark: SparkSession, log_path: str | None, run: str, lo: int, hi: int) -> tuple[list[tuple[int, int, float]], bool]:
+    """The logged trials from ``lo`` on without a gap, up to the stop, and whether they end the walk."""
+    logged = {k: (k, k_next, ari) for k, k_next, ari in logged_trials(spark, log_path, run)} if log_path else {}
+    trials: list[tuple[int, int, float]] = []
+    while lo + len(trials) in logged and lo + len(trials) < hi:
+        trials.append(logged[lo + len(trials)])
+        if _stopped(trials):
+            return trials, True
+    return trials, lo + len(trials) >= hi
+
+
+def _stopped(trials: list[tuple[int, int, float]]) -> bool:
+    return bool(trials) and stops(trials[-1][2], trials[-2][2] if len(trials) > 1 else 0.0)
 
 
 # The labelled rows carried through a k-means walk are checkpointed (to the shared
@@ -69,75 +88,92 @@ def _carry(both: DataFrame, trial: int, every: int) -> DataFrame:
     return both
 
 
+#: k values whose trials are one Spark job; a walk computes at most this many trials past its stop
+BLOCK_OF_K = 16
+
+
+def constrained_trials(rows: DataFrame, seeds: list, ks: list[int]) -> list[tuple[int, int, float]]:
+    """The trials of consecutive ``ks`` in one job: one contingency keyed by k over the customers (``labels_by_k``)."""
+    found = ari_table(labels_by_k(rows, seeds, ks), weight="n_baskets", by=("k",)).select("k", "ari").collect()
+    ari = {r["k"]: float("nan") if r["ari"] is None else r["ari"] for r in found}
+    return [(k, k + 1, ari[k]) for k in ks]
+
+
 def select_k_constrained(baskets: DataFrame, lo: int, hi: int, iterations: int = 1, seed: int = 1,
-                         log_path: str | None = None, score_against: str = "seeds"):
+                         log_path: str | None = None, score_against: str = "seeds", run: str | None = None,
+                         block: int = BLOCK_OF_K):
     """Walk k over ``[lo, hi)`` with constrained models; labels are each
     model's ``predict`` of every training basket.  Returns ``(best_k, trials)``.
 
-    The baskets are aggregated once, to one row per customer
-    (``customer_table``); each trial labels those rows under k and k + 1 and
-    weights the contingency with their numbers of baskets.  With
-    ``score_against="centroids"`` a model's means are fitted for the baskets
-    without a customer."""
+    The baskets are aggregated once, to one row per customer (``customer_table``).  Against the seeds, all
+    trials of a block of k come from one contingency of those rows, keyed by k and weighted with their
+    numbers of baskets.  With ``score_against="centroids"`` a model's means are fitted for the baskets
+    without a customer, so each trial is a job of its own."""
     spark = baskets.sparkSession
-    trials: list[tuple[int, int, float]] = []
-    best, previous = 0, 0.0
-    if lo < hi:
-        base = keep(baskets.select("basket_id", "customer_id", "items"))
+    run = run or f"constrained-{score_against}-{iterations}-{seed}"
+    trials, done = _resume(spark, log_path, run, lo, hi)
+    if lo < hi and not done:
+        base = keep(baskets.select("basket_id", "customer_id", set_column(baskets)))
         rows, seeds = customer_table(base, hi, seed)
         rows = keep(rows)
-
-        def centres(k: int):
+        at = lo + len(trials)
+        while at < hi and not done:
             if score_against == "seeds":
-                return None
-            model = ConstrainedKMeans(k, iterations, seed).fit(base)
-            found = model.centroid_centres()
-            model.unpersist()
-            return found
-
-        label = customer_label(seeds, lo, centres(lo))
-        for k in range(lo, hi):
-            following = customer_label(seeds, k + 1, centres(k + 1))
-            ari = adjusted_rand_index(rows.select(label.alias("label_a"), following.alias("label_b"), "n_baskets"),
-                                      weight="n_baskets")
-            label = following
-            trials.append((k, k + 1, ari))
-            _log(spark, (k, k + 1, ari), log_path)
-            if stops(ari, previous):
-                best = k
-                break
-            best, previous = k + 1, ari
+                some = constrained_trials(rows, seeds, list(range(at, min(hi, at + block))))
+            else:
+                some = [(at, at + 1, _centroid_trial(base, rows, seeds, at, iterations, seed))]
+            fresh = []
+            for trial in some:
+                fresh.append(trial)
+                trials.append(trial)
+                if _stopped(trials):
+                    done = True
+                    break
+            _log(spark, fresh, log_path, run)
+            at = lo + len(trials)
         rows.unpersist()
         base.unpersist()
-    return best, spark.createDataFrame(trials, TRIALS_SCHEMA)
+    return best_k(trials), spark.createDataFrame(trials, TRIALS_SCHEMA)
+
+
+def _centroid_trial(base: DataFrame, rows: DataFrame, seeds: list, k: int, iterations: int, seed: int) -> float:
+    def label(n: int):
+        model = ConstrainedKMeans(n, iterations, seed).fit(base)
+        centres = model.centroid_centres()
+        model.unpersist()
+        return customer_label(seeds, n, centres)
+    return adjusted_rand_index(rows.select(label(k).alias("label_a"), label(k + 1).alias("label_b"), "n_baskets"), weight="n_baskets")
 
 
 def select_k_kmeans(vectors: DataFrame, lo: int, hi: int, max_iter: int = 10, seed: int = 1,
                     features_col: str = "features", log_path: str | None = None,
-                    checkpoint_every: int = CHECKPOINT_EVERY):
-    """Same walk over MLlib k-means models (K9); labels carried forward."""
+                    checkpoint_every: int = CHECKPOINT_EVERY, run: str | None = None, first: list | None = None):
+    """Same walk over MLlib k-means models (K9); labels carried forward.
+
+    ``first``: a list that gets the rows labelled by the first model of the walk (``label_a``), cached, for callers
+    that need them; they are theirs to release."""
     spark = vectors.sparkSession
-    base = keep(vectors)
-    trials: list[tuple[int, int, float]] = []
-    best, previous, k = 0, 0.0, lo
-    held = labelled = None
-    if lo < hi:
+    run = run or f"kmeans-{max_iter}-{seed}"
+    trials, done = _resume(spark, log_path, run, lo, hi)
+    k = lo + len(trials)
+    if k < hi and not done:
+        base = keep(vectors)
         held = labelled = keep(kmeans_labels(fit_kmeans(base, k, max_iter, seed, features_col), base, "label_a"))
-    while k < hi:
-        nxt = fit_kmeans(base, k + 1, max_iter, seed, features_col)
-        both = _carry(keep(kmeans_labels(nxt, labelled, "label_b")), k - lo, checkpoint_every)
-        ari = adjusted_rand_index(both, "label_a", "label_b")
-        held.unpersist()
-        held = both
-        trials.append((k, k + 1, ari))
-        _log(spark, (k, k + 1, ari), log_path)
-        if stops(ari, previous):
-            best = k
-            break
-        best, previous = k + 1, ari
-        labelled = both.drop("label_a").withColumnRenamed("label_b", "label_a")
-        k += 1
-    if held is not None:
+        if first is not None:
+            first.append(labelled)
+        while k < hi:
+            nxt = fit_kmeans(base, k + 1, max_iter, seed, features_col)
+            both = _carry(keep(kmeans_labels(nxt, labelled, "label_b")), k - lo, checkpoint_every)
+            ari = adjusted_rand_index(both, "label_a", "label_b")
+            if not (first and held is first[0]):
+                held.unpersist()
+            held = both
+            trials.append((k, k + 1, ari))
+            _log(spark, trials[-1:], log_path, run)
+            if _stopped(trials):
+                break
+            labelled = both.drop("label_a").withColumnRenamed("label_b", "label_a")
+            k += 1
         held.unpersist()
-    base.unpersist()
-    return best, spark.createDataFrame(trials, TRIALS_SCHEMA)
+        base.unpersist()
+    return best_k(trials), spark.createDataFrame(trials, TRIALS_SCHEMA)

@@ -8,7 +8,7 @@ set is frequent.  Column names and types mirror the Spark queries.
 
 from __future__ import annotations
 
-from basketmine.plans.queries import (CLUSTER_SUPPORT, DIGITS, GLOBAL_SUPPORT, ITERATIONS, K, K_NEXT,
+from basketmine.plans.queries import (CLUSTER_SUPPORT, DIGITS, GLOBAL_SUPPORT, ITERATIONS, K, K_NEXT, MANY,
                                       MIN_CONFIDENCE, N_CUSTOMERS, RATIO_DIGITS, SEED, SELECT_HI, SELECT_LO,
                                       STOP_LO)
 
@@ -245,12 +245,27 @@ SELECT e.basket_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS vec_size,
        coalesce(string_agg(v.category, ',' ORDER BY v.idx), '') AS decoded
 FROM enc_all e LEFT JOIN ex ON ex.basket_id = e.basket_id LEFT JOIN vocab v ON v.category = ex.category
 GROUP BY e.basket_id"""
+    q["basket_words"] = with_(BASE) + """,
+vocab AS (SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT category FROM cat))
+SELECT DISTINCT l.l_orderkey AS basket_id, v.idx, v.category
+FROM lineitem l JOIN pc ON pc.product = l.l_partkey JOIN vocab v ON v.category = pc.category"""
     q["seed_rows"] = with_(BASE, m) + "\nSELECT basket_id, cid AS cluster_id FROM m_seeds"
     q["seed_distances"] = with_(BASE, m) + f"""
 SELECT cluster_id, count(*) AS n, CAST(sum(CASE WHEN isnan(d) THEN 1 ELSE 0 END) AS BIGINT) AS n_nan,
        round(sum(CASE WHEN NOT isnan(d) THEN d END), {DIGITS}) AS distance
 FROM (SELECT s.cid AS cluster_id, {jaccard("s.items", "e.items")} AS d FROM enc e CROSS JOIN m_seeds s) GROUP BY cluster_id"""
     q["nearest_seed"] = with_(BASE, m) + "\nSELECT basket_id, nearest AS cluster_id, d AS distance FROM m_near"
+    q["nearest_many"] = f"""
+WITH sets AS (SELECT o.o_orderkey AS basket_id, list_sort(list_distinct(list(l.l_partkey))) AS items
+              FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey),
+seeds AS (SELECT CAST(rn - 1 AS INTEGER) AS cid, items FROM (
+  SELECT items, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(basket_id AS VARCHAR)), basket_id) AS rn FROM sets) WHERE rn <= {MANY}),
+common AS (SELECT e.basket_id, s.cid, count(*) AS m FROM (SELECT basket_id, unnest(items) AS v FROM sets) e
+           JOIN (SELECT cid, unnest(items) AS v FROM seeds) s ON s.v = e.v GROUP BY ALL),
+each AS (SELECT e.basket_id, s.cid, coalesce(c.m, 0) AS m, len(e.items) AS b, len(s.items) AS c
+         FROM sets e CROSS JOIN seeds s LEFT JOIN common c ON c.basket_id = e.basket_id AND c.cid = s.cid),
+away AS (SELECT basket_id, cid, CASE WHEN b + c = 0 THEN {NAN} ELSE CAST(CAST(b + c - 2 * m AS DOUBLE) / (b + c - m) AS FLOAT)::DOUBLE END AS d FROM each)
+SELECT basket_id, cid AS cluster_id, d AS distance FROM away QUALIFY row_number() OVER (PARTITION BY basket_id ORDER BY d, cid) = 1"""
     q["must_link"] = with_(BASE, m) + "\nSELECT customer_id, anchor, cluster_id FROM m_links"
     q["ckmeans_assign"] = with_(BASE, m) + """
 SELECT basket_id, customer_id, is_seed, coalesce(seed_cluster, -1) AS seed_cluster, label_0, cluster_id
@@ -265,6 +280,9 @@ SELECT coalesce(fin.cluster_id, ini.cluster_id) AS cluster_id, coalesce(n_basket
 FROM fin FULL JOIN ini ON fin.cluster_id = ini.cluster_id"""
     q["ckmeans_centroids"] = with_(BASE, m) + f"""
 SELECT cluster_id, category, round(weight, {DIGITS}) AS weight FROM m_cent"""
+    q["centroid_summarizer"] = with_(BASE, m) + """
+SELECT cluster_id, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_differing FROM m_cent GROUP BY cluster_id"""
+    q["kmeans_step"] = f"SELECT CAST({K} AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_off, false AS cost_is_off"
     q["centroid_distances"] = with_(BASE, m) + f""",
 cc AS (SELECT cluster_id AS cid, list(category) FILTER (WHERE weight = 1.0) AS ones, list(category) AS support
        FROM m_cent GROUP BY cluster_id),

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketmine.functions.catalog import category_summary, explode_paths
-from basketmine.operators.ckmeans import (ConstrainedKMeans, ConstrainedKMeansModel, customer_label, customer_table,
-                                          seed_rows)
-from basketmine.operators.encode import from_vectors, match_items, to_vectors, vocabulary
-from basketmine.operators.kmeans import fit_kmeans, kmeans_labels, surrogate_customer_ids
+from basketmine.operators.ckmeans import (ConstrainedKMeans, ConstrainedKMeansModel, customer_table, draw_seeds,
+                                          labels_by_k, seed_rows)
+from basketmine.operators.encode import (decode_words, encode_long, from_vectors, match_items, to_vectors, vocabulary,
+                                         vocabulary_table)
+from basketmine.operators.kmeans import fit_kmeans, kmeans_labels, step_gap, surrogate_customer_ids
 from basketmine.operators.metrics import ari_table, contingency, join_labelings, marginals
 from basketmine.operators.mining import association_rules, fit_fpgrowth, frequent_itemsets
+from basketmine.operators.nearest import nearest_many
 from basketmine.operators.selection import best_k_from_trials, select_k_constrained, select_k_kmeans
 from basketmine.plans.promote import promote
 from basketmine.session import ensure_checkpoint_dir, keep
@@ -41,6 +43,8 @@ MIN_CONFIDENCE = 0.2
 N_CUSTOMERS = 1000      # surrogate customer ids
 KMEANS_ITER = 5         # plain k-means for surrogate customer ids
 SELECT_KMEANS_ITER = 10 # plain k-means inside the k walk
+ROWS_PER_FILE = 250_000 # lines of an exported text file
+MANY = 500              # centres of the inverted index
 DIGITS = 6              # rounding of mean weights
 RATIO_DIGITS = 9        # rounding of ratios built from integer counts
 
@@ -122,7 +126,7 @@ def q_incoming_scan(spark, sf):
 def q_dense_index(spark, sf):
     """Order keys exported in key order over several files; a line's dense index is its rank."""
     path = _scratch(spark, "keys")
-    write_sorted(tables.orders(spark, sf).select("basket_id", "customer_id"), path, "basket_id", fmt="text", num_partitions=7)
+    write_sorted(tables.orders(spark, sf).select("basket_id", "customer_id"), path, "basket_id", fmt="text", rows_per_file=ROWS_PER_FILE)
     read = dense_row_index(spark.read.text(path), "row_id")
     return read.select("row_id", F.col("value").alias("line"))
 
@@ -152,12 +156,17 @@ def q_basket_encode(spark, sf):
 def q_basket_vectors(spark, sf):
     cat = catalog(spark, sf)
     vocab = vocabulary(cat)
-    enc = tables.encoded_orders(spark, sf, cat)
+    enc = tables.encoded_orders(spark, sf, cat, vocab=vocab)
     vec = to_vectors(enc, vocab)
-    idx = F.filter(F.transform(vector_to_array("features"), lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull())
-    dec = from_vectors(vec.select("basket_id", "features"), vocab, items_col="decoded")
+    dec = from_vectors(vec.select("basket_id", "features"), vocabulary_table(cat), items_col="decoded", indices_col="indices")
     return dec.select("basket_id", F.lit(len(vocab)).alias("vec_size"),
-                      F.array_join(idx, ",").alias("vec_indices"), F.array_join("decoded", ",").alias("decoded"))
+                      F.array_join("indices", ",").alias("vec_indices"), F.array_join("decoded", ",").alias("decoded"))
+
+
+def q_basket_words(spark, sf):
+    """P3, P5 for vocabularies of any size: bit words as long rows, and the categories read back from them."""
+    cat = catalog(spark, sf)
+    return decode_words(encode_long(tables.line_items(spark, sf), cat), vocabulary_table(cat))
 
 
 # --- constrained k-means -----------------------------------------------------
@@ -191,6 +200,13 @@ def q_nearest_seed(spark, sf):
                                  F.col("nearest_distance").alias("distance"))
 
 
+def q_nearest_many(spark, sf):
+    """J3 by the inverted index: every order as a set of parts, against the first ``MANY`` orders by seed."""
+    sets = keep(tables.order_sets(spark, sf))
+    seeds = spark.createDataFrame([(c, items) for c, _, items in draw_seeds(sets, MANY, SEED)], "cluster_id int, items array<bigint>")
+    return nearest_many(sets, seeds)
+
+
 def q_must_link(spark, sf):
     return model(spark, sf).links.select("customer_id", "anchor", "cluster_id")
 
@@ -209,6 +225,18 @@ def q_ckmeans_centroids(spark, sf):
     return model(spark, sf).centroids.select("cluster_id", "category", F.round("weight", DIGITS).alias("weight"))
 
 
+def q_centroid_summarizer(spark, sf):
+    """A3 by two routes: per cluster the cells of the mean, and those in which category counts and MLlib's
+    vector aggregate differ."""
+    vocab = vocabulary(catalog(spark, sf))
+    m = model(spark, sf)
+    other = m.summarized_centroids(vocab).withColumnRenamed("weight", "other")
+    both = m.centroids.join(other, ["cluster_id", "category"], "full")
+    differ = ~(F.abs(F.col("weight") - F.col("other")) <= 1e-9)
+    return both.groupBy("cluster_id").agg(F.count("weight").alias("n_cells"),
+                                          F.sum(F.coalesce(differ, F.lit(True)).cast("long")).alias("n_differing"))
+
+
 def q_centroid_distances(spark, sf):
     enc = keep(baskets(spark, sf))
     m = ConstrainedKMeans(K, ITERATIONS, SEED).fit(enc)
@@ -242,7 +270,7 @@ def q_cluster_members(spark, sf):
 def _two_labelings(spark, sf):
     """Labels under K and K_NEXT, one row per customer weighted with its baskets (``n_baskets``)."""
     rows, seeds = customer_table(baskets(spark, sf), K_NEXT, SEED)
-    return rows.select(customer_label(seeds, K).alias("label_a"), customer_label(seeds, K_NEXT).alias("label_b"), "n_baskets")
+    return labels_by_k(keep(rows), seeds, [K])
 
 
 def q_contingency(spark, sf):
@@ -291,7 +319,7 @@ def _exported(spark, rows: DataFrame, times: int = 1) -> DataFrame:
     path = _scratch(spark, "export")
     for _ in range(times - 1):
         write_sorted(rows.limit(100), path, "basket_id", fmt="text")
-    write_sorted(rows, path, "basket_id", fmt="text", num_partitions=5)
+    write_sorted(rows, path, "basket_id", fmt="text", rows_per_file=ROWS_PER_FILE)
     return dense_row_index(spark.read.text(path), "line_no").select("line_no", F.col("value").alias("line"))
 
 
@@ -337,6 +365,14 @@ def q_kmeans_labels(spark, sf):
                     F.size(F.filter("_d", lambda d: d < far)).alias("n_nearer")))
 
 
+def q_kmeans_step(spark, sf):
+    """K1, K2 in numbers: one more iteration of the fit moves every centre to the mean of its members, and the
+    training cost is the members' cost."""
+    vec = _vectors(spark, sf)
+    before, after = (fit_kmeans(vec, K, n, SEED) for n in (KMEANS_ITER, KMEANS_ITER + 1))
+    return step_gap(before, after, vec).select("n_clusters", "n_off", (F.col("cost_off") > 1e-9).alias("cost_is_off"))
+
+
 def q_kmeans_surrogate_ids(spark, sf):
     """K3 on K2: the place of each surrogate id in the range of its cluster, and whether it lies in that range."""
     vec = _vectors(spark, sf)
@@ -351,12 +387,12 @@ def q_kmeans_selection(spark, sf):
     """K9: each model of the walk counted against a fixed labelling of its baskets (which every
     k-means labelling must add up to), and whether the walk ended by the rule."""
     vec = _vectors(spark, sf)
-    best, trials = select_k_kmeans(vec, SELECT_LO, SELECT_HI, SELECT_KMEANS_ITER, SEED)
+    first: list = []
+    best, trials = select_k_kmeans(vec, SELECT_LO, SELECT_HI, SELECT_KMEANS_ITER, SEED, first=first)
     ruled = best_k_from_trials(trials).agg(
         F.min(F.col("best_k") == best).alias("by_rule"), F.min(F.col("ari").between(-1.0, 1.0)).alias("ari_in_bounds"))
     fixed = F.pmod("basket_id", F.lit(3)).cast("int")
-    labelled = kmeans_labels(fit_kmeans(vec, SELECT_LO, SELECT_KMEANS_ITER, SEED), vec, "label").withColumn("fixed", fixed)
-    cells = contingency(labelled, "label", "fixed").groupBy(F.col("label_b").alias("fixed")).agg(
+    cells = contingency(first[0].withColumn("fixed", fixed), "label_a", "fixed").groupBy(F.col("label_b").alias("fixed")).agg(
         F.sum("n").alias("n"), (F.max("label_a") < SELECT_LO).alias("in_range"))
     return cells.withColumn("by_rule", F.lit(all(ruled.first())))
 
@@ -404,13 +440,16 @@ QUERIES = {
     "match_substring": q_match_substring,
     "basket_encode": q_basket_encode,
     "basket_vectors": q_basket_vectors,
+    "basket_words": q_basket_words,
     "seed_rows": q_seed_rows,
     "seed_distances": q_seed_distances,
     "nearest_seed": q_nearest_seed,
+    "nearest_many": q_nearest_many,
     "must_link": q_must_link,
     "ckmeans_assign": q_ckmeans_assign,
     "cluster_summary": q_cluster_summary,
     "ckmeans_centroids": q_ckmeans_centroids,
+    "centroid_summarizer": q_centroid_summarizer,
     "centroid_distances": q_centroid_distances,
     "reference_shaped": q_reference_shaped,
     "ckmeans_predict": q_ckmeans_predict,
@@ -427,6 +466,7 @@ QUERIES = {
     "append_log": q_append_log,
     "surrogate_ids": q_surrogate_ids,
     "kmeans_labels": q_kmeans_labels,
+    "kmeans_step": q_kmeans_step,
     "kmeans_surrogate_ids": q_kmeans_surrogate_ids,
     "kmeans_selection": q_kmeans_selection,
     "freq_itemsets": q_freq_itemsets,

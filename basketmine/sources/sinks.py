@@ -3,7 +3,8 @@ selection log (S6) and mined results (S7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,9 +18,12 @@ def tuple_text(key: str, *values: str) -> Column:
 
 
 def write_sorted(df: DataFrame, path: str, key: str, fmt: str = "parquet", single_file: bool = False,
-                 num_partitions: int | None = None) -> None:
+                 num_partitions: int | None = None, rows_per_file: int | None = None) -> None:
     """Write ``df`` ordered by ``key``, replacing what is at ``path``.
 
+    The number of files follows the data: the range shuffle's partitions as AQE coalesces them by size,
+    or with ``rows_per_file`` the number of rows (one count) over it; ``num_partitions`` sets it outright.
+
     Default: range-partitioned on the key and sorted inside each partition, so
     part files concatenated in name order are globally sorted and no task holds
     all rows.  ``single_file=True`` gives one sorted file (one task writes it;
@@ -28,6 +32,8 @@ def write_sorted(df: DataFrame, path: str, key: str, fmt: str = "parquet", singl
     values = [c for c in df.columns if c != key]
     out = df.select(tuple_text(key, *values).alias("value"), F.col(key).alias("_k")) if fmt == "text" else df
     sort_key = "_k" if fmt == "text" else key
+    if rows_per_file:
+        num_partitions = max(1, -(-df.count() // rows_per_file))
     if single_file:
         out = out.orderBy(sort_key).coalesce(1)
     else:
@@ -38,9 +44,22 @@ def write_sorted(df: DataFrame, path: str, key: str, fmt: str = "parquet", singl
     out.write.mode("overwrite").format(fmt).save(path)
 
 
-def append_trials(trials: DataFrame, path: str) -> None:
-    """Append selection records ``(k, k_next, ari)``."""
-    trials.write.mode("append").parquet(path)
+def append_trials(trials: DataFrame, path: str, run: str = "walk") -> None:
+    """Log selection records ``(k, k_next, ari)`` (S6), keyed by run and k: a record that is logged again
+    replaces itself (dynamic partition overwrite), so a walk that is repeated leaves each trial once."""
+    (trials.withColumn("run", F.lit(run)).repartition("k").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run", "k").parquet(path))
+
+
+def logged_trials(spark: SparkSession, path: str, run: str = "walk") -> list[tuple[int, int, float]]:
+    """The trials of a run that the log holds, in order of k; none if there is no log.  One row per trial."""
+    try:
+        log = spark.read.schema("k_next int, ari double, run string, k int").parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [(r["k"], r["k_next"], r["ari"]) for r in log.where(F.col("run") == run).orderBy("k").collect()]
 
 
 def write_results(df: DataFrame, path: str, partition_by: str | None = None) -> None:

@@ -61,15 +61,23 @@ def order_baskets(spark: SparkSession, sf_dir: str, statuses: list[str] | None =
 
 
 def encoded_orders(spark: SparkSession, sf_dir: str, catalog: DataFrame, statuses: list[str] | None = None,
-                   exclude: bool = False, mode: str = "exact", with_status: bool = False) -> DataFrame:
-    """Encoded baskets ``(basket_id, customer_id, items)`` of the selected orders.
+                   exclude: bool = False, mode: str = "exact", with_status: bool = False,
+                   vocab: list[str] | None = None) -> DataFrame:
+    """Encoded baskets ``(basket_id, customer_id, words, items)`` of the selected orders.
 
     Line items are matched to categories and reduced to one row per order
     before they meet the orders table.
     """
     from basketmine.operators.encode import encode_baskets
     return encode_baskets(line_items(spark, sf_dir), catalog, mode,
-                          header=orders(spark, sf_dir, statuses, exclude, with_status))
+                          header=orders(spark, sf_dir, statuses, exclude, with_status), vocab=vocab)
+
+
+def order_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(basket_id, items)``: the distinct parts of every order as an array (``[]`` without line items)."""
+    held = line_items(spark, sf_dir).groupBy("basket_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return (orders(spark, sf_dir).select("basket_id").join(held, "basket_id", "left")
+            .withColumn("items", F.coalesce("items", F.array().cast("array<bigint>"))))
 
 
 # The open orders are the incoming baskets to be scored and promoted; where a query
