@@ -53,37 +53,46 @@ def vocabulary_table(catalog: DataFrame) -> DataFrame:
     return levels.select("category").distinct().select("category", number.cast("int").alias("idx"))
 
 
-def item_words(matches: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
+def item_words(matches: DataFrame, vocab: list[str], n_words: int) -> DataFrame:
     """``(item, _w0, _w1, ...)``: the categories of every matched item as bit words, one row per item."""
-    bits = matches.join(vocab, "category").select("item", word_number(F.col("idx")).alias("_word"), bit_mask(F.col("idx")).alias("_bit"))
+    idx = F.array_position(F.lit(vocab) if vocab else F.array().cast("array<string>"), F.col("category")) - 1
+    bits = matches.select("item", idx.alias("_idx")).select("item", word_number(F.col("_idx")).alias("_word"), bit_mask(F.col("_idx")).alias("_bit"))
     return bits.groupBy("item").agg(*[F.bit_or(F.when(F.col("_word") == k, F.col("_bit")).otherwise(F.lit(0).cast("bigint"))).alias(f"_w{k}")
                                       for k in range(n_words)])
 
 
-def encode_bits(baskets: DataFrame, catalog: DataFrame, n_categories: int, mode: str = "exact",
+def encode_bits(baskets: DataFrame, catalog: DataFrame, vocab: list[str], mode: str = "exact",
                 keys: tuple[str, ...] = ("basket_id", "customer_id"), item_col: str = "item",
                 header: DataFrame | None = None) -> DataFrame:
-    """``keys + words``: the distinct categories of each basket as bit words (P3) of the sorted vocabulary
-    of ``n_categories`` categories.
+    """``keys + words``: the distinct categories of each basket as bit words (P3) over ``vocab``, the names of
+    all categories (``vocabulary(catalog)``).
 
     Each line item meets its item's words (one row per line item, whatever its number of categories), and
     the OR over a basket is ``bit_or``: a hash aggregate with one long per word, partial on the map side, so a
     very large basket is one row per map task before the shuffle.  Both joins are left to Spark and AQE.
     A basket none of whose items match has no bit set.  For thousands of categories see ``encode_long``.
 
-    ``header`` (one row per basket, e.g. ``basket_id, customer_id``): the words are aggregated per ``basket_id``
-    from the item rows alone and then joined to the header, whose baskets without item rows come out empty.
+    ``header`` (one row per basket with a ``basket_id`` that is not null, e.g. ``basket_id, customer_id``): its rows go
+    into the same aggregate as the item rows, without a word of their own, so a basket's words and header
+    meet in one shuffle and without a join.  Baskets without item rows come out empty, item rows without a
+    header do not come out.
     """
-    n = words_for(n_categories)
-    none = F.array(*[F.lit(0).cast("bigint")] * n)
-    if header is not None:
-        enc = encode_bits(baskets, catalog, n_categories, mode, ("basket_id",), item_col)
-        return header.join(enc, "basket_id", "left").withColumn("words", F.coalesce("words", none))
-    keys = tuple(k for k in keys if k in baskets.columns)
-    match = item_words(match_items(baskets, catalog, mode, item_col), vocabulary_table(catalog), n)
+    n = words_for(len(vocab))
+    keys = ("basket_id",) if header is not None else tuple(k for k in keys if k in baskets.columns)
+    # an item's categories are united by bit_or, so a repeated pair does no harm
+    pairs = (catalog_levels(catalog).select(F.col("product").alias("item"), "category") if mode == "exact"
+             else match_items(baskets, catalog, mode, item_col))
+    match = item_words(pairs, vocab, n)
     rows = baskets.join(match.withColumnRenamed("item", item_col), item_col, "left")
-    held = rows.groupBy(*keys).agg(*[F.bit_or(f"_w{k}").alias(f"_w{k}") for k in range(n)])
-    return held.select(*keys, F.array(*[F.coalesce(f"_w{k}", F.lit(0).cast("bigint")) for k in range(n)]).alias("words"))
+    united = [F.bit_or(f"_w{k}").alias(f"_w{k}") for k in range(n)]
+    words = F.array(*[F.coalesce(f"_w{k}", F.lit(0).cast("bigint")) for k in range(n)]).alias("words")
+    if header is None:
+        return rows.groupBy(*keys).agg(*united).select(*keys, words)
+    others = [c for c in header.columns if c != "basket_id"]
+    rows = rows.select("basket_id", *[f"_w{k}" for k in range(n)]).unionByName(
+        header.withColumn("_header", F.lit(True)), allowMissingColumns=True)
+    held = rows.groupBy("basket_id").agg(*united, *[F.max(c).alias(c) for c in others], F.bool_or("_header").alias("_header"))
+    return held.where("_header AND basket_id IS NOT NULL").select("basket_id", *others, words)
 
 
 def encode_long(baskets: DataFrame, catalog: DataFrame, mode: str = "exact", keys: tuple[str, ...] = ("basket_id",),
@@ -110,7 +119,7 @@ def encode_baskets(baskets: DataFrame, catalog: DataFrame, mode: str = "exact",
     words row by row and cost nothing where they are not used.  ``vocab``: ``vocabulary(catalog)``, if the
     caller has it."""
     vocab = vocabulary(catalog) if vocab is None else vocab
-    return with_names(encode_bits(baskets, catalog, len(vocab), mode, keys, item_col, header), vocab)
+    return with_names(encode_bits(baskets, catalog, vocab, mode, keys, item_col, header), vocab)
 
 
 def with_names(encoded: DataFrame, vocab: list[str]) -> DataFrame:
@@ -132,7 +141,8 @@ def vocabulary(catalog: DataFrame) -> list[str]:
     """Sorted distinct categories (the vector dimensions).  One value per
     category reaches the driver."""
     levels = catalog_levels(catalog)
-    return [r[0] for r in levels.select("category").distinct().orderBy("category").collect()]
+    found = [r[0] for r in levels.select("category").distinct().collect()]
+    return sorted(found, key=lambda c: c.encode())      # as Spark sorts strings
 
 
 def vectorizer(vocab: list[str], items_col: str = "items", features_col: str = "features") -> CountVectorizerModel:

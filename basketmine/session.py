@@ -14,6 +14,8 @@ CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # baskets as bit words are some 20 bytes: a megabyte of them is work for several cores
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # let AQE coalesce / split the output of cached plans too
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -71,7 +71,7 @@ def test_encoding_against_brute_force(spark, n_categories):
         got.setdefault(r.basket_id, []).append(r.category)
     assert got == {b: cs for b, cs in want.items() if cs}
     with pytest.raises(ValueError):
-        names_of(encode_bits(lines, levels, len(vocab)))
+        names_of(encode_bits(lines, levels, vocab))
 
 
 def test_encoding_plan(spark):
