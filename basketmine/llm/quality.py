@@ -1,23 +1,30 @@
 """Quality rules: robust multivariate outliers per language and source.
 
-Each text gets a vector of logarithmically transformed statistics.  For every
-(lang, source) group the minimum-covariance-determinant (MCD) mean and
-covariance are estimated by concentration steps, then reweighted over all
-vectors within the cutoff, so that the scale is the group's own, and a document is rejected
-when its Mahalanobis distance exceeds the cutoff.  Everything is DataFrame
-expressions: the text is read once, the small table of vectors is stored in the
-shared checkpoint folder, and each concentration step is one aggregate over it.
-A hot source only adds partial aggregates: no step collects or sorts a group.
+Each text gets a vector of logarithms: mean word length, symbols per word, duplicate lines per line, and
+repeated words per word.  Counts enter with half an occurrence added, so that a text without any still
+differs from others by its length, and every component has a spread of its own.  For every (lang, source)
+group, every language and all documents together the minimum-covariance-determinant (MCD) mean and
+covariance are sought: from two starts (medians with scales from absolute deviations; the same
+with the correlations of the hyperbolic tangents of the standardised values), each concentrated on the ``CORE_SHARE``
+nearest vectors until no determinant falls any more; the smallest determinant wins, and a factor
+makes the median distance that of a normal sample.  A group's estimate is then shrunk towards its
+language's and that towards the global one, with the weight n / (n + ``PRIOR``) for n vectors: a small source rests on
+its language, a large one on itself, and no size switches anything.  A document that passes the base rules is
+rejected when its squared Mahalanobis distance exceeds ``CUTOFF``.
+
+Everything is DataFrame expressions: the text is read once, the small table of vectors is stored in the shared
+checkpoint folder, all groups and both starts go through each step in the same two aggregates, and a
+hot source only adds partial aggregates: no step collects or sorts a group.
 
 Defined cases: a null or empty text has no words and fails the base rules; null
-``lang``/``source`` form groups of their own; repeated rows are judged alike;
-other columns of the input pass through untouched and may have any name not
-starting with ``_q_``.
+``lang``/``source`` form groups of their own; repeated rows are judged alike; columns of the input that have the name of
+a result (``n_words`` and the other statistics, ``base_failed``, ``distance``, ``kept``) are replaced, all others
+pass through untouched and may have any name not starting with ``_q_``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -25,18 +32,18 @@ from .common import stored
 SPACE = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 FEATURES = ["_q_len", "_q_sym", "_q_dup", "_q_rep"]
-#: scale floor of each feature: one symbol, one duplicate line or one repeated window in the shortest text that
-#: passes the base rules (50 words), or a mean word length off by a quarter, is at the cutoff in a group without any
-FLOOR = {"_q_len": 0.05, "_q_sym": 0.23, "_q_dup": 0.23, "_q_rep": 0.53}
-MIN_GROUP = 40          # fewer vectors than this give no usable covariance of four features: pooled by language
+#: resolution of each feature (standard deviation), added to the diagonal of every covariance: what a group of texts of
+#: one length, with one line each, does not vary in
+RESOLUTION = {"_q_len": 0.02, "_q_sym": 0.1, "_q_dup": 0.05, "_q_rep": 0.05}
 CORE_SHARE = 0.75       # h of the MCD: share of a group that the estimate rests on
-STEPS = 3               # concentration steps after the start from medians
-REWEIGHTS = 3           # estimates over all vectors within the cutoff, after the concentration steps
-CUTOFF = 23.513         # squared distance: quantile 0.9999 of chi-square with 4 degrees of freedom
-SIDE = 2.0              # standard deviations from the mean at which a feature counts as on the bad side
+PRIOR = 50.0            # vectors that the estimate of the next larger group counts for
+MAX_STEPS = 20          # concentration steps at most
+FALL = 1e-3             # a determinant falls if its logarithm does so by this much
+CUTOFF = 47.86          # squared distance: quantile 1 - 1e-9 of chi-square with 4 degrees of freedom (texts have heavier tails)
 CHI2_MEDIAN = 3.3567    # median of chi-square with 4 degrees of freedom
 BUCKET = 64             # distance histogram: buckets per unit of ln(1 + d2)
 GRID = 256              # median grid: buckets per unit of a feature
+STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def _let(value: Column, body) -> Column:
@@ -79,7 +86,7 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(F.translate(t, SPACE, " " * len(SPACE)), " "), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: F.trim(F.translate(x, SPACE, " " * len(SPACE))) != "")
-    out = (docs.withColumn("_q_words", words)
+    out = (docs.withColumn("_q_words", words).withColumn("_q_lines", F.size(lines)).withColumn("_q_distinct", F.size(F.array_distinct("_q_words")))
            .withColumn("n_words", F.size("_q_words").cast("long"))
            .withColumn("word_chars", F.char_length(F.translate(t, SPACE, "")).cast("long"))
            .withColumn("n_symbols", (F.char_length(t) - F.char_length(F.translate(t, SYMBOLS, ""))).cast("long"))
@@ -91,133 +98,165 @@ def base_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _vectors(df: DataFrame) -> DataFrame:
+    """The feature columns (and no longer what only they need)."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     return (df.withColumn("_q_len", F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n))
-            .withColumn("_q_sym", F.log1p(100 * F.col("n_symbols") / n))
-            .withColumn("_q_dup", F.log1p(100 * F.col("n_dup_lines") / n))
-            .withColumn("_q_rep", F.log1p(100 * F.col("n_repeat_words") / n)))
+            .withColumn("_q_sym", F.log((F.col("n_symbols") + 0.5) / (n + 1)))
+            .withColumn("_q_dup", F.log((F.col("n_dup_lines") + 0.5) / (F.col("_q_lines") + 1)))
+            .withColumn("_q_rep", F.log((n - F.col("_q_distinct") + F.col("n_repeat_words") + 1) / (n + 1)))
+            .drop("_q_lines", "_q_distinct"))
+
+
+_D = range(len(FEATURES))
+_PAIRS = [(i, j) for i in _D for j in range(i + 1)]
+_PARAMS = [f"_q_m{i}" for i in _D] + [f"_q_c{i}{j}" for i, j in _PAIRS]
+_FACTORS = [f"_q_m{i}" for i in _D] + [f"_q_l{i}{j}" for i, j in _PAIRS]
 
 
 def _same_group(a: str, b: str) -> Column:
     return F.col(f"{a}.lang").eqNullSafe(F.col(f"{b}.lang")) & F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
-def _with_group(points: DataFrame, groups: DataFrame) -> DataFrame:
-    """Join group parameters (one row per group) onto the vectors."""
-    extra = [F.col(f"g.{c}") for c in groups.columns if c not in ("lang", "source")]
-    return points.alias("p").join(groups.alias("g"), _same_group("p", "g"), "left").select("p.*", *extra)
+def _groups(points: DataFrame) -> DataFrame:
+    """``lang, source, _q_g2, _q_g1, _q_g0``: numbers of each group, its language and the whole, stored."""
+    found = stored(points.select("lang", "source").distinct().withColumn("_q_g2", F.monotonically_increasing_id()))
+    first = F.min("_q_g2").over(Window.partitionBy("lang"))
+    return found.withColumn("_q_g1", -2 - first).withColumn("_q_g0", F.lit(-1).cast("long"))
 
 
-def _cut_by_share(points: DataFrame, value: Column, share: float, width: int) -> DataFrame:
-    """Per group the upper edge of the histogram bucket in which ``share`` of its rows is reached.
+def _cut_by_share(rows: DataFrame, keys: list[str], value: Column, share: float, width: int) -> DataFrame:
+    """``keys``, ``_q_cut``: the upper edge of the histogram bucket in which ``share`` of the rows of a key is reached.
 
     A histogram adds up in any order, so the cut does not depend on the
-    partitioning; only (group, bucket) counts are shuffled.
+    partitioning; only (key, bucket) counts are shuffled.
     """
-    from pyspark.sql import Window
-    hist = points.groupBy("lang", "source", F.floor(value * width).alias("b")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy("lang", "source")
-    run = hist.withColumn("upto", F.sum("n").over(w.orderBy("b"))).withColumn("all", F.sum("n").over(w))
-    return (run.where(F.col("upto") >= share * F.col("all")).groupBy("lang", "source")
-            .agg(((F.min("b") + 1) / F.lit(float(width))).alias("cut"), F.first("all").alias("size")))
-
-
-def _medians(points: DataFrame) -> DataFrame:
-    """Component-wise medians on a fixed grid: one histogram per feature in one aggregate."""
-    from functools import reduce
-    parts = [_cut_by_share(points, F.col(f), 0.5, GRID).select("lang", "source", F.col("cut").alias(f + "_m"))
-             for f in FEATURES]
-    return reduce(lambda a, b: a.alias("p").join(b.alias("g"), _same_group("p", "g"))
-                  .select("p.*", "g." + b.columns[-1]), parts)
-
-
-def _estimate(core: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor of the covariance of each group's core (floors on the diagonal)."""
-    d = len(FEATURES)
-    aggs = [F.count("*").alias("h")] + [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)]
-    aggs += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}{j}") for i in range(d) for j in range(i + 1)]
-    g = core.groupBy("lang", "source").agg(*aggs)
-    for i, f in enumerate(FEATURES):
-        g = g.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + FLOOR[f] ** 2)
-    for j in range(d):
-        below = sum((F.col(f"l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
-        g = g.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"c{j}{j}") - below, F.lit(1e-9))))
-        for i in range(j + 1, d):
-            dot = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            g = g.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - dot) / F.col(f"l{j}{j}"))
-    return g.select("lang", "source", "h", *[f"m{i}" for i in range(d)],
-                    *[f"l{i}{j}" for i in range(d) for j in range(i + 1)])
-
-
-def _distance(prefix: str = "") -> Column:
+    hist = rows.groupBy(*keys, F.floor(value * width).alias("_q_b")).agg(F.count("*").alias("_q_n"))
+    w = Window.partitionBy(*keys)
+    run = hist.withColumn("_q_upto", F.sum("_q_n").over(w.orderBy("_q_b"))).withColumn("_q_all", F.sum("_q_n").over(w))
+    return (run.where(F.col("_q_upto") >= share * F.col("_q_all")).groupBy(*keys)
+            .agg(((F.min("_q_b") + 1) / F.lit(float(width))).alias("_q_cut")))
+
+
+def _with_factor(params: DataFrame) -> DataFrame:
+    """Cholesky factor and log determinant of the covariances."""
+    for j in _D:
+        below = sum((F.col(f"_q_l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
+        params = params.withColumn(f"_q_l{j}{j}", F.sqrt(F.greatest(F.col(f"_q_c{j}{j}") - below, F.lit(1e-9))))
+        for i in range(j + 1, len(FEATURES)):
+            dot = sum((F.col(f"_q_l{i}{k}") * F.col(f"_q_l{j}{k}") for k in range(j)), F.lit(0.0))
+            params = params.withColumn(f"_q_l{i}{j}", (F.col(f"_q_c{i}{j}") - dot) / F.col(f"_q_l{j}{j}"))
+    return params.withColumn("_q_det", 2 * sum((F.log(f"_q_l{j}{j}") for j in _D), F.lit(0.0)))
+
+
+def _estimate(core: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean, covariance (with the resolution on the diagonal), factor and determinant of each key's rows."""
+    aggs = [F.avg(f).alias(f"_q_m{i}") for i, f in enumerate(FEATURES)]
+    aggs += [(F.covar_pop(FEATURES[i], FEATURES[j]) + (RESOLUTION[FEATURES[i]] ** 2 if i == j else 0.0)).alias(f"_q_c{i}{j}") for i, j in _PAIRS]
+    return _with_factor(core.groupBy(*keys).agg(*aggs))
+
+
+def _distance() -> Column:
     """Squared Mahalanobis distance by forward substitution with the Cholesky factor."""
     ys: list[Column] = []
     for i, f in enumerate(FEATURES):
-        dot = sum((F.col(f"{prefix}l{i}{k}") * ys[k] for k in range(i)), F.lit(0.0))
-        ys.append((F.col(f) - F.col(f"{prefix}m{i}") - dot) / F.col(f"{prefix}l{i}{i}"))
+        dot = sum((F.col(f"_q_l{i}{k}") * ys[k] for k in range(i)), F.lit(0.0))
+        ys.append((F.col(f) - F.col(f"_q_m{i}") - dot) / F.col(f"_q_l{i}{i}"))
     return sum((y * y for y in ys), F.lit(0.0))
 
 
-def mcd_estimates(points: DataFrame, steps: int = STEPS, share: float = CORE_SHARE, cutoff: float = CUTOFF) -> DataFrame:
-    """MCD mean and scatter per (lang, source): deterministic start from the component-wise
-    medians, then ``steps`` concentration steps (keep the share with the smallest distance, re-estimate)
-    and ``REWEIGHTS`` estimates over every vector within ``cutoff``, which take in the group's own tails.
-
-    ``k`` rescales distances so that the group's median is that of a normal sample.
-    """
-    start = _with_group(points, _medians(points))
-    start = start.withColumn("_q_d2", sum(((F.col(f) - F.col(f + "_m")) / FLOOR[f]) ** 2 for f in FEATURES))
-    near = start.select("lang", "source", *FEATURES, "_q_d2")
-    est = None
-    for _ in range(steps + 1):
-        cut = _cut_by_share(near, F.log1p("_q_d2"), share, BUCKET)
-        core = _with_group(near, cut.drop("size")).where(F.log1p("_q_d2") < F.col("cut"))
-        est = stored(_estimate(core))  # a row per group
-        near = _with_group(points, est).select("lang", "source", *FEATURES, _distance().alias("_q_d2"))
-    for _ in range(REWEIGHTS):
-        est = stored(_estimate(near.where(F.col("_q_d2") <= cutoff)))
-        near = _with_group(points, est).select("lang", "source", *FEATURES, _distance().alias("_q_d2"))
-    half = _cut_by_share(near, F.log1p("_q_d2"), 0.5, BUCKET)
-    half = half.select("lang", "source", "size", F.greatest(F.expm1("cut") / CHI2_MEDIAN, F.lit(1.0)).alias("k"))
-    return _with_group(est, half)
+def _starts(points: DataFrame) -> DataFrame:
+    """Both starts of every group: ``_q_g, _q_s`` and the estimate."""
+    each = points.select("_q_g", F.posexplode(F.array(*FEATURES)).alias("_q_f", "_q_x"))
+    medians = _cut_by_share(each, ["_q_g", "_q_f"], F.col("_q_x"), 0.5, GRID).withColumnRenamed("_q_cut", "_q_med")
+    away = each.join(medians, ["_q_g", "_q_f"])
+    scales = _cut_by_share(away, ["_q_g", "_q_f"], F.abs(F.col("_q_x") - F.col("_q_med")), 0.5, GRID)
+    table = stored(medians.join(scales, ["_q_g", "_q_f"]))
+    wide = stored(table.groupBy("_q_g").agg(
+        *[F.max(F.when(F.col("_q_f") == i, F.col("_q_med"))).alias(f"_q_m{i}") for i in _D],
+        *[F.max(F.when(F.col("_q_f") == i, F.greatest(1.4826 * F.col("_q_cut"), F.lit(RESOLUTION[f])))).alias(f"_q_s{i}") for i, f in enumerate(FEATURES)]))
+    bent = [F.tanh((F.col(f) - F.col(f"_q_m{i}")) / F.col(f"_q_s{i}")).alias(f"_q_t{i}") for i, f in enumerate(FEATURES)]
+    scale = [f"_q_s{i}" for i in _D]
+    joint = points.join(wide, "_q_g").select("_q_g", *bent).groupBy("_q_g").agg(
+        *[(F.covar_pop(f"_q_t{i}", f"_q_t{j}") / F.greatest(F.stddev_pop(f"_q_t{i}") * F.stddev_pop(f"_q_t{j}"), F.lit(1e-9)))
+          .alias(f"_q_r{i}{j}") for i, j in _PAIRS if i != j])
+    wide = wide.join(joint, "_q_g")
+
+    def covariance(start: int) -> list[Column]:
+        """Correlations are drawn in by a tenth, which keeps the matrix regular."""
+        return [(F.col(f"_q_s{i}") * F.col(f"_q_s{j}") * (F.lit(1.0) if i == j else F.col(f"_q_r{i}{j}") * (0.9 * start))).alias(f"_q_c{i}{j}")
+                for i, j in _PAIRS]
+    both = [_with_factor(wide.select("_q_g", F.lit(k).alias("_q_s"), *[f"_q_m{i}" for i in _D], *covariance(k))) for k in (0, 1)]
+    return stored(both[0].unionByName(both[1]).drop(*scale))
+
+
+def mcd_estimates(points: DataFrame, share: float = CORE_SHARE) -> DataFrame:
+    """MCD of every group ``_q_g`` of ``points`` (``_q_g`` and the features): ``_q_g, _q_n``, mean and covariance, the latter
+    scaled so that the group's median distance is that of a normal sample."""
+    keys = ["_q_g", "_q_s"]
+    est, found = _starts(points), []
+    for _ in range(MAX_STEPS):
+        near = points.join(est.select(*keys, *_FACTORS), "_q_g").select(*keys, *FEATURES, F.log1p(_distance()).alias("_q_d"))
+        cut = _cut_by_share(near, keys, F.col("_q_d"), share, BUCKET)
+        est = stored(_estimate(near.join(cut, keys).where(F.col("_q_d") < F.col("_q_cut")), keys))
+        found.append(est)
+        if len(found) > 1:
+            was = found[-2].select(*keys, F.col("_q_det").alias("_q_was"))
+            if est.join(was, keys).where(F.col("_q_det") < F.col("_q_was") - FALL).isEmpty():
+                break
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    # the smallest determinant of all steps of both starts
+    first = F.row_number().over(Window.partitionBy("_q_g").orderBy("_q_det", "_q_s", "_q_m0"))
+    best = stored(whole.withColumn("_q_rank", first).where("_q_rank = 1").drop("_q_rank", "_q_s"))
+    near = points.join(best.select("_q_g", *_FACTORS), "_q_g").select("_q_g", F.log1p(_distance()).alias("_q_d"))
+    half = _cut_by_share(near, ["_q_g"], F.col("_q_d"), 0.5, BUCKET)
+    sizes = points.groupBy("_q_g").agg(F.count("*").alias("_q_n"))
+    k = F.expm1("_q_cut") / CHI2_MEDIAN
+    return stored(best.join(half, "_q_g").join(sizes, "_q_g").select(
+        "_q_g", "_q_n", *[f"_q_m{i}" for i in _D], *[(F.col(f"_q_c{i}{j}") * k).alias(f"_q_c{i}{j}") for i, j in _PAIRS]))
+
+
+def _shrunk(own: DataFrame, prior: DataFrame, up: str) -> DataFrame:
+    """Estimates of ``own`` (with the number ``up`` of the next larger group) drawn towards those of ``prior``."""
+    there = prior.select(F.col("_q_g").alias(up), *[F.col(c).alias(c + "_p") for c in _PARAMS])
+    w = F.col("_q_n") / (F.col("_q_n") + PRIOR)
+    return own.join(there, up).select("_q_g", *[c for c in own.columns if c in ("_q_g1", "_q_g0") and c != up],
+                                      *[(w * F.col(c) + (1 - w) * F.col(c + "_p")).alias(c) for c in _PARAMS])
+
+
+def group_estimates(passed: DataFrame, share: float = CORE_SHARE) -> DataFrame:
+    """``lang, source``, mean and Cholesky factor of every group of ``passed``, shrunk towards language and whole."""
+    groups = _groups(passed)
+    points = stored(passed.alias("p").join(groups.alias("g"), _same_group("p", "g")).select(
+        F.explode(F.array("_q_g2", "_q_g1", "_q_g0")).alias("_q_g"), *FEATURES))
+    est = mcd_estimates(points, share)
+    whole = est.where("_q_g = -1")
+    tongues = groups.select(F.col("_q_g1").alias("_q_g"), "_q_g0").distinct()
+    language = _shrunk(est.join(tongues, "_q_g"), whole, "_q_g0")
+    own = _shrunk(est.join(groups.select(F.col("_q_g2").alias("_q_g"), "_q_g1"), "_q_g"), language, "_q_g1")
+    return stored(_with_factor(own).withColumnRenamed("_q_g", "_q_g2").join(groups.drop("_q_g1", "_q_g0"), "_q_g2").select("lang", "source", *_FACTORS))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", cutoff: float = CUTOFF) -> DataFrame:
-    """``docs`` with the statistics, ``base_failed``, ``distance`` (squared, rescaled; null
-    for base failures) and ``kept``.
-
-    Estimates come from the documents that pass the base rules.  A document is
-    rejected if it fails them, or if its distance is above ``cutoff`` and it lies on
-    the bad side of its group (``SIDE`` standard deviations more symbols, duplicate
-    lines or repeated words, or another mean word length).  Groups of fewer than ``MIN_GROUP`` vectors have
-    no usable covariance; those of one language are pooled, and if even the pool is
-    that small, the MCD rule rejects nothing in it.
-    """
+    """``docs`` with the statistics, ``base_failed``, ``distance`` (squared; null for base failures) and ``kept``.
+
+    Estimates come from the documents that pass the base rules.  A document is rejected if it fails them,
+    or if its distance from its group is above ``cutoff``."""
     return _judged(stored(_vectors(base_statistics(docs, text))), cutoff)
 
 
 def _judged(scored: DataFrame, cutoff: float) -> DataFrame:
-    passed = scored.where(~F.col("base_failed"))
-    # tables with a row per group are stored, so that Spark knows their size when it plans the joins onto the texts
-    large = stored(passed.groupBy("lang", "source").agg(F.count("*").alias("_q_n")).where(F.col("_q_n") >= MIN_GROUP))
-    own = F.when(F.col("_q_n").isNotNull(), F.concat(F.lit("="), F.coalesce("source", F.lit("")), F.col("source").isNull().cast("string")))
-    scored = _with_group(scored, large).withColumn("_q_source", F.col("source")).withColumn("source", F.coalesce(own, F.lit("*")))
-    est = mcd_estimates(scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES), cutoff=cutoff)
-    est = stored(est).select("lang", "source", *[F.col(c).alias("_q_" + c) for c in est.columns if c not in ("lang", "source")])
-    out = _with_group(scored, est).withColumn("source", F.col("_q_source"))
-    d2 = F.when(~F.col("base_failed") & (F.col("_q_size") >= MIN_GROUP), _distance("_q_") / F.col("_q_k"))
-    z = [(F.col(f) - F.col(f"_q_m{i}")) / F.sqrt(F.col("_q_k") * sum((F.col(f"_q_l{i}{j}") ** 2 for j in range(i + 1)), F.lit(0.0)))
-         for i, f in enumerate(FEATURES)]
-    worse = F.greatest(F.abs(z[0]), *z[1:]) > SIDE
-    out = out.withColumn("distance", d2)
-    rejected = F.coalesce((F.col("distance") > cutoff) & worse, F.lit(False))
-    keep = [c for c in scored.columns if not c.startswith("_q_")]
-    return out.withColumn("kept", ~F.col("base_failed") & ~rejected).select(*keep, "distance", "kept")
+    est = group_estimates(scored.where(~F.col("base_failed")).select("lang", "source", *FEATURES))
+    out = scored.alias("p").join(est.alias("g"), _same_group("p", "g"), "left").select("p.*", *[F.col(f"g.{c}") for c in _FACTORS])
+    out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    keep = [c for c in scored.columns if not c.startswith("_q_") and c not in ("distance", "kept")]
+    return out.select(*keep, "distance", (~F.col("base_failed") & (F.col("distance") <= cutoff)).alias("kept")) \
+        .withColumn("kept", F.coalesce("kept", F.lit(False)))
 
 
 def q_quality(spark, sf_dir: str) -> DataFrame:
     from .common import table
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     scored = stored(_vectors(base_statistics(docs)).drop("text"))
-    return _judged(scored, CUTOFF).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                                           "n_repeat_words", "base_failed", "kept")
+    return _judged(scored, CUTOFF).select("doc_id", *STATISTICS, "base_failed", "kept")

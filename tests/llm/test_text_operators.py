@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 
 from basketmine.llm import chat, decontam, html_text, licenses, quality
 
@@ -93,6 +94,87 @@ def test_quality_rejects_outliers_of_each_statistic_alone(spark):
     assert {r.doc_id for r in out if not r.kept} == {r[0] for r in junk} and not any(r.base_failed for r in out)
 
 
+def quality_vectors(texts):
+    """The four features of each text."""
+    rows = []
+    for t in texts:
+        words, (n, chars, symbols, dup, rep) = brute.SPACED.findall(t or ""), brute.base_statistics(t)
+        lines = sum(1 for x in (t or "").split("\n") if brute.SPACED.search(x))
+        rows.append([np.log(max(chars, 1) / max(n, 1)), np.log((symbols + 0.5) / (n + 1)), np.log((dup + 0.5) / (lines + 1)),
+                     np.log((n - len(set(words)) + rep + 1) / (n + 1))])
+    return np.array(rows)
+
+
+def numpy_mcd(x):
+    """(n, mean, covariance): exact medians and order statistics, starts and steps as the module says."""
+    floor = np.array(list(quality.RESOLUTION.values()))
+    centre = np.median(x, 0)
+    scale = np.maximum(1.4826 * np.median(np.abs(x - centre), 0), floor)
+    bent = np.tanh((x - centre) / scale)
+    dev = bent.std(0)
+    r = 0.9 * ((bent - bent.mean(0)).T @ (bent - bent.mean(0)) / len(x)) / np.maximum(np.outer(dev, dev), 1e-9)
+    np.fill_diagonal(r, 1.0)
+    best = (np.inf,)
+    for start in (np.diag(scale ** 2), r * np.outer(scale, scale)):
+        m, c, was = centre, start, np.inf
+        for _ in range(20):
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            core = x[np.argsort(d, kind="stable")[:int(np.ceil(0.75 * len(x)))]]
+            m, c = core.mean(0), np.cov(core.T, bias=True) + np.diag(floor ** 2)
+            det = np.linalg.slogdet(c)[1]
+            best = min(best, (det, tuple(m), c.tobytes()), key=lambda b: b[0])
+            if det >= was - 1e-3:
+                break
+            was = det
+    m, c = np.array(best[1]), np.frombuffer(best[2]).reshape(4, 4)
+    d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    return len(x), m, c * np.median(d) / quality.CHI2_MEDIAN
+
+
+def test_quality_against_an_independent_mcd(spark):
+    """Same verdicts as numpy with sorted distances (the operator cuts at histogram edges), but for distances near the cutoff."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(420):
+        words = brute.invented(60 + int(rng.integers(0, 240)), 3000 + k, 300 + 40 * (k % 3)).split()
+        step = 9 + int(rng.integers(0, 9))
+        lang, source = [("en", "a"), ("en", "b"), ("de", None), (None, "c"), ("en", f"s{k % 9}")][k % 5 if k % 5 < 4 or k % 2 else 0]
+        if k % 29 == 0:      # far off in one feature
+            words = [w + w for w in words]
+        if k % 31 == 0:
+            words = [w + "#&" for w in words]
+        if k % 37 == 0:      # usual in each feature, unusual together
+            words = words[:60] + words[:10]
+        rows.append((k, "\n".join(" ".join(words[i:i + step]) for i in range(0, len(words), step)), lang, source, 0))
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(rows, brute.SCHEMA)).collect()}
+    x = quality_vectors([r[1] for r in rows])
+    passed = np.array([not got[r[0]].base_failed for r in rows])
+    shrink = lambda own, prior: (own[0] / (own[0] + quality.PRIOR) * own[k] + quality.PRIOR / (own[0] + quality.PRIOR) * prior[k] for k in (1, 2))
+    whole = numpy_mcd(x[passed])
+    agree = rejected = 0
+    for lang in {r[2] for r in rows}:
+        mine = np.array([r[2] == lang for r in rows]) & passed
+        tongue = (0, *shrink(numpy_mcd(x[mine]), whole))
+        for source in {r[3] for r in rows if r[2] == lang}:
+            group = mine & np.array([r[3] == source for r in rows])
+            if not group.any():
+                continue
+            m, c = shrink(numpy_mcd(x[group]), tongue)
+            for r, v in zip(np.array(rows, object)[group], x[group]):
+                d = (v - m) @ np.linalg.inv(c) @ (v - m)
+                near = 0.6 < d / quality.CUTOFF < 1.6
+                agree += near or got[r[0]].kept == (d <= quality.CUTOFF)
+                rejected += d > quality.CUTOFF
+                assert near or got[r[0]].kept == (d <= quality.CUTOFF), (r[0], d, got[r[0]].distance)
+    assert rejected > 15 and agree == passed.sum()
+
+
+def test_quality_replaces_its_own_columns_and_no_other(spark, odd):
+    out = quality.quality_rules(odd.withColumn("kept", F.lit("clash")))
+    assert dict(out.dtypes)["kept"] == "boolean" and dict(out.dtypes)["n_words"] == "bigint" and dict(out.dtypes)["score"] == "string"
+    assert all(r.score == "clash" for r in out.select("score").collect())
+
+
 def test_quality_uses_no_python(odd):
     plan = quality.base_statistics(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
