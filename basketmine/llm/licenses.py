@@ -46,12 +46,12 @@ SPDX = ["0bsd", "afl-3.0", "agpl-3.0", "apache-1.1", "apache-2.0", "artistic-2.0
         "bsd-4-clause", "bsl-1.0", "cc0-1.0", "cddl-1.0", "cecill-2.1", "ecl-2.0", "epl-1.0", "epl-2.0", "eupl-1.2",
         "gfdl-1.3", "gpl-2.0", "gpl-3.0", "isc", "lgpl-2.1", "lgpl-3.0", "mit", "mpl-1.1", "mpl-2.0", "ms-pl", "ncsa",
         "odbl-1.0", "ofl-1.1", "osl-3.0", "postgresql", "python-2.0", "unlicense", "upl-1.0", "vim", "wtfpl", "zlib"]
-GNU = {"gpl": "general public", "lgpl": "lesser general public", "agpl": "affero general public",
+GNU = {"gpl": "general public", "lgpl": "(?:lesser|library) general public", "agpl": "affero general public",
        "gfdl": "free documentation"}
 GNU_VERSIONS = ["1", "1.1", "1.2", "1.3", "2", "2.1", "3"]
-CC = {"by": "attribution", "by-sa": "attribution sharealike", "by-nd": "attribution noderivatives",
-      "by-nc": "attribution noncommercial", "by-nc-sa": "attribution noncommercial sharealike",
-      "by-nc-nd": "attribution noncommercial noderivatives"}
+CC = {"by": "attribution", "by-sa": "attribution share[ -]?alike", "by-nd": "attribution no[ -]?derivatives",
+      "by-nc": "attribution non[ -]?commercial", "by-nc-sa": "attribution non[ -]?commercial share[ -]?alike",
+      "by-nc-nd": "attribution non[ -]?commercial no[ -]?derivatives"}
 CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
 VERSIONED = {"apache": ("apache", ["1.0", "1.1", "2.0"]), "mpl": ("mozilla public", ["1.0", "1.1", "2.0"]),
              "epl": ("eclipse public", ["1.0", "2.0"]), "eupl": ("european union public", ["1.0", "1.1", "1.2"]),
@@ -107,14 +107,14 @@ def rules() -> tuple[Rule, ...]:
     out = [_rule(x, r"spdx license identifier " + re.escape(x) + r"(?:-only|-or-later|\+)?(?![0-9a-z.-]*[0-9a-z])",
                  ("spdx",), "spdx") for x in SPDX]
     for (short, name), v in product(GNU.items(), GNU_VERSIONS):
-        out += [_rule(f"{short}-{v}", rf"(?:gnu )?{name} license (?:v|version )? ?{_version(v)}", (name.split()[-1], "licen"), "versioned"),
+        out += [_rule(f"{short}-{v}", rf"(?:gnu )?{name} licen[cs]e (?:v|version )? ?{_version(v)}", (name.split()[-1], "licen"), "versioned"),
                 _rule(f"{short}-{v}", rf"{short}[ -]?v?{_version(v)}", (short,), "short")]
     for (short, name), v in product(CC.items(), CC_VERSIONS):
         out += [_rule(f"cc-{short}-{v}", rf"creativecommons\.org/licenses/{short}/{re.escape(v)}", ("creativecommons",), "url"),
                 _rule(f"cc-{short}-{v}", rf"cc {short.replace('-', ' ')} {_version(v)}", ("cc",), "versioned"),
-                _rule(f"cc-{short}-{v}", rf"creative commons {name} {_version(v)}", ("creative commons",), "versioned")]
+                _rule(f"cc-{short}-{v}", rf"creative commons {name} {_version(v)}", ("creative", "commons"), "versioned")]
     for short, name in CC.items():
-        out += [_rule(f"cc-{short}", rf"creative commons {name}", ("creative commons",), "short"),
+        out += [_rule(f"cc-{short}", rf"creative commons {name}", ("creative", "commons"), "short"),
                 _rule(f"cc-{short}", rf"cc {short.replace('-', ' ')}", ("cc",), "short")]
     for short, (name, versions) in VERSIONED.items():
         out += [_rule(short, rf"{name} licen[cs]e", (name.split()[-1], "licen"), "phrase")]
@@ -158,10 +158,12 @@ def resolve(found: list[tuple[int, int, int, float, str]]) -> list[tuple[int, in
     return kept
 
 
-def detect(view: str) -> list[tuple[int, int, int, float, str]]:
-    """Detections in one lower-cased text (a Latin-1 view of its UTF-8 bytes): keyword gate, rules, resolution."""
+def detect(view: str, gated: bool = True) -> list[tuple[int, int, int, float, str]]:
+    """Detections in one lower-cased text (a Latin-1 view of its UTF-8 bytes): keyword gate, rules, resolution.
+
+    The keywords of a rule are single words that each of its matches holds, so the gate changes no result."""
     found, machine, by_word, _ = _compiled()
-    present = {word for _, word in machine.iter(view)}
+    present = {word for _, word in machine.iter(view)} if gated else {k for r in rules() for k in r.keywords}
     hits = []
     for word in present:
         for i in by_word.get(word, ()):

@@ -180,6 +180,39 @@ def test_quality_uses_no_python(odd):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_license_gate_changes_nothing():
+    rng = random.Random(8)
+    assert not any(" " in k for r in licenses.rules() for k in r.keywords)
+    parts = sorted({w for r in licenses.rules() for w in r.keywords} | set("""gnu general public license licence version v 2 2.0 3 4.0 by nc sa nd
+        attribution noncommercial non-commercial share-alike sharealike creative commons apache lesser library affero under the mit spdx
+        identifier: or later only mozilla bsd 3-clause document x""".split()))
+    gaps = [" ", "\n", "-", "  ", ", ", "\t"]
+    for _ in range(1500):
+        text = "".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(1, 14)))
+        assert licenses.detect(text) == licenses.detect(text, gated=False), text
+
+
+def test_license_spellings():
+    labels = lambda t: {x[-1] for x in licenses.detect(t)}
+    assert labels("creative\ncommons attribution 4.0") == {"cc-by-4.0"}
+    assert labels("creative-commons attribution-noncommercial 4.0") == {"cc-by-nc-4.0"}
+    assert labels("creative commons attribution non-commercial share-alike 3.0") == {"cc-by-nc-sa-3.0"}
+    assert labels("gnu library general public license version 2") == {"lgpl-2"}
+    assert labels("gnu general public licence version 3") == labels("gnu general\npublic license v3") == {"gpl-3"}
+
+
+def test_license_base_places_against_brute_force(spark, odd):
+    phrases = {("under", "the", "mit", "license"): "mit", ("apache", "license", "version", "2"): "apache-2", ("cc", "by", "nc"): "cc-by-nc"}
+    rng = random.Random(9)
+    parts = "under the mit license MIT License apache Apache version 2 2.0 CC by BY-NC cc nc x é".split()
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", "\n", "-", "...", ", "]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string").unionByName(odd.select("doc_id", "text"))
+    for r in licenses.scan_licenses(docs).collect():
+        words = brute.ALNUM.findall(brute.low(r.text))
+        want = sorted((i, label) for p, label in phrases.items() for i in range(len(words)) if tuple(words[i:i + len(p)]) == p)
+        assert sorted((x.first_word, x.label) for x in r.lic_found if x.base) == want and r.lic_n_words == len(words)
+
+
 def test_licenses(spark, odd, none):
     texts = [(1, "Licensed under the MIT\nLicense. cc-by-nc, and CC BY-NC 4.0; under the mit licensee"), (2, None), (3, "under the mit"),
              (4, "license"), (5, "Apache License, Version 2.0 and SPDX-License-Identifier: Apache-2.0"), (6, "mit license " * 3000)]
