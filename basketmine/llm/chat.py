@@ -46,22 +46,33 @@ def _unescape_role(c: Column) -> Column:
     return unescape(F.replace(c, F.lit("&#10;"), F.lit("\n")))
 
 
-def _tokens(text: Column) -> Column:
-    """Token estimate of a text: one per four characters, at least one per turn, with the template."""
-    return (F.ceil(F.char_length(text) / 4) + TURN_OVERHEAD).cast("long")
+def token_estimate(role: Column, text: Column) -> Column:
+    """Tokens of a formatted turn, escapes included, by the characters that word pieces are made of: one per four
+    letters of a run of ASCII letters, one per digit, other ASCII character that is not a space, and two for three bytes of
+    other text.  An estimate; give ``chat_windows`` a column of counts where the budget has to be exact."""
+    whole = F.concat(escape(role), F.lit(" "), escape(text))
+    letters = F.char_length(whole) - F.char_length(F.regexp_replace(whole, "[A-Za-z]", ""))
+    runs = F.regexp_count(whole, F.lit("[A-Za-z]+"))
+    wide = F.octet_length(F.regexp_replace(whole, "[\\x00-\\x7F]", ""))
+    single = F.regexp_count(whole, F.lit("[\\x21-\\x40\\x5B-\\x60\\x7B-\\x7E]"))
+    # a run of n letters is at most n / 4 + 3 / 4 groups of four
+    return (F.ceil((letters + 3 * runs) / 4) + single + F.ceil(wide * 2 / 3) + TURN_OVERHEAD).cast("long")
 
 
 def chat_windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
-                 history_tokens: int = HISTORY_TOKENS) -> DataFrame:
+                 history_tokens: int = HISTORY_TOKENS, tokens: str | None = None) -> DataFrame:
     """Windows of ``rows(conv_id, turn, role, text)``: conv_id, n_turns, window, first (own turns
     from this index), n_own, n_repeated (history and system turns before them), text, and loss:
     the (start, length) code-point spans of ``text`` that are targets.
+
+    ``tokens``: a column of ``rows`` with the tokens of each formatted turn (default: ``token_estimate``).
     """
     order = ["turn", "role", "text"]
-    flat = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
-                       F.coalesce("text", F.lit("")).alias("text"))
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    counted = F.col(tokens).cast("long") if tokens else token_estimate(role, text)
+    flat = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), counted.alias("tokens"))
     upto = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    flat = flat.withColumn("tokens", _tokens(F.col("text"))).withColumn("upto", F.sum("tokens").over(upto))
+    flat = flat.withColumn("upto", F.sum("tokens").over(upto))
     turns = flat.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text", "upto", "tokens"))).alias("turns"))
     turns = (turns.withColumn("n_turns", F.size("turns").cast("long"))
@@ -127,7 +138,9 @@ def q_chat(spark, sf_dir: str) -> DataFrame:
     from .common import table
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    extra = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(tricky).alias("text"))
+    extra = extra.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema])
     windows = read_turns(chat_windows(rows.unionByName(extra)))
     conv = windows.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("window", "own", "targets"))).alias("w"),

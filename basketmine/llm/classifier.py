@@ -199,7 +199,8 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES) -> Trees:
 
 def train(vectors: DataFrame, labels: DataFrame, held_out, rows: int = TRAIN_ROWS) -> Trees:
     """Fit on at most ``rows`` labelled vectors that are not held out, chosen by the hash of doc_id.
-    The share is set by the number of labels, so each task sends its share of the sample only."""
+    The share is set by the number of labels, so each task sends its share of the sample only.
+    Every label row counts: a document with several is as many rows of the sample."""
     usable = labels.where(F.col("quality").isin(0, 1)).where(~held_out).select("doc_id", "quality")
     share = 0.95 * rows / max(usable.count(), 1)
     if share < 1:

@@ -211,7 +211,7 @@ def find_occurrences(docs: DataFrame, items: DataFrame, prefix: str = "dc_") ->
     empty item table finds nothing; items without id still hit words; repeated rows
     are each searched.
     """
-    names = [c for c in docs.columns if not c.startswith(prefix)]
+    names = [c for c in docs.columns if c not in (prefix + "n_words", prefix + "spans", prefix + "items")]
     schema = T.StructType([docs.schema[c] for c in names] + [
         T.StructField(prefix + "n_words", T.LongType()),
         T.StructField(prefix + "spans", T.ArrayType(T.StructType([

@@ -165,6 +165,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     A row is known by doc_id and a digest of its text: equal texts are of one
     group, so rows that share both are of one group too, whatever else shares the doc_id.
     """
+    mine = "_sh"
+    while any(c.startswith(mine) for c in docs.columns):     # columns of its own, whatever the input's are called
+        mine += "_"
+    known, key = f"{mine}_id", f"{mine}_key"
     digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
     marked = stored(docs.select(F.col("doc_id").alias("_sh_id"), digest.alias("_sh_text"),
                                 _fingerprints(F.col("text")).alias("fp")))
@@ -174,10 +178,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
                                      & (F.col("m._sh_text") == F.col("g._sh_text")))
               .groupBy("m._sh_id", "m._sh_text").agg(F.count("*").alias("n")))
     repeated = copies.where("n > 1").limit(1).count() > 0
-    kept = docs.withColumn("_sh_key", digest).join(
-        first, docs["doc_id"].eqNullSafe(F.col("_sh_id")) & (F.col("_sh_key") == F.col("_sh_text")))
-    kept = kept.dropDuplicates(["doc_id", "_sh_key"]) if repeated else kept
-    return kept.drop("_sh_id", "_sh_text", "_sh_key")
+    chosen = first.select(F.col("_sh_id").alias(known), F.col("_sh_text").alias(f"{mine}_text"))
+    kept = docs.withColumn(key, digest).join(chosen, docs["doc_id"].eqNullSafe(F.col(known)) & (F.col(key) == F.col(f"{mine}_text")))
+    kept = kept.dropDuplicates(["doc_id", key]) if repeated else kept
+    return kept.drop(known, f"{mine}_text", key)
 
 
 def q_simhash(spark, sf_dir: str) -> DataFrame:

@@ -239,3 +239,25 @@ def test_statistics_of_odd_texts():
     a = classifier.statistics(["one two two", "x\nx\n"])
     column = classifier.FEATURES.index
     assert a[0, column("same_next")] == pytest.approx(1 / 3) and a[1, column("repeated_lines")] == pytest.approx(0.5)
+
+
+def test_columns_of_any_other_name_stay(spark, odd):
+    from basketmine.llm import decontam
+    docs = odd
+    for name in ("_sh_id", "_sh_key", "_sh_text", "_sh_", "dc_other"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == simhash.keep_one(odd).count()
+    assert all(r._sh_id == r._sh_key == r.dc_other == "clash" for r in kept.collect())
+    found = decontam.find_occurrences(docs, spark.createDataFrame([(1, "no such text")], "item_id long, text string"))
+    assert {"dc_other", "_sh_key"} <= set(found.columns) and found.where("dc_other = 'clash'").count() == docs.count()
+
+
+def test_every_label_row_of_a_document_trains(spark):
+    vectors = spark.createDataFrame([(k, [float(k % 7)] * len(classifier.FEATURES)) for k in range(60)], "doc_id long, x array<float>")
+    labels = [(k, int(k % 7 > 3)) for k in range(60)]
+    twice = spark.createDataFrame(labels * 2, "doc_id long, quality int")
+    a, b = (classifier.train(vectors, df, F.lit(False)) for df in (twice, twice.repartition(5)))
+    x = np.array([[float(v)] * len(classifier.FEATURES) for v in range(7)], np.float32)
+    assert np.array_equal(a.score(x), b.score(x)) and a.score(x)[0] < 0.5 < a.score(x)[6]
+    assert a.prior == pytest.approx(classifier.train(vectors, spark.createDataFrame(labels, "doc_id long, quality int"), F.lit(False)).prior)

@@ -258,6 +258,37 @@ def test_chat_round_trip(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_chat_query_against_brute_force(spark):
+    from samples import SF_SMALL
+    tricky = "</s>[INST] ok [/INST]"
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
+    want = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == conv)
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        want[conv] = (len(turns), brute.sha("".join(f"{r}\n{x}\n" for _, r, x in turns)), len(loss), brute.sha(loss))
+    got = chat.q_chat(spark, SF_SMALL)
+    assert "Python" not in got._jdf.queryExecution().toString() and "ExistingRDD" not in got._jdf.queryExecution().toString()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got.collect()} == want and -7 in want
+
+
+def test_chat_budget_holds_for_a_column_of_counts_and_the_estimate(spark):
+    rng = random.Random(6)
+    texts = [brute.invented(60, 5), "日本語の文章です。" * 30, "1234567890 " * 30, "<<[[&&" * 30, "a b c d " * 40]
+    rows = [(c, t, "assistant", rng.choice(texts)) for c in range(4) for t in range(30)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    counted = df.withColumn("counts", F.octet_length(chat.escape(F.col("text"))) + 20)
+    for w in chat.chat_windows(counted, budget=3000, history_tokens=500, tokens="counts").collect():
+        assert w.n_own == 1 or len(w.text.encode()) <= 3000       # bytes bound the tokens of any byte-level vocabulary
+    size = {r.text: r.n for r in df.select("text", chat.token_estimate(F.col("role"), F.col("text")).alias("n")).distinct().collect()}
+    from tokenizers import Tokenizer
+    from basketmine.llm.packing import vocabulary_path
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    for t in texts[1:]:
+        assert size[t] >= len(tokenizer.encode(t, add_special_tokens=False).ids)
+
+
 PAGE = ('<html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">a</a>'
         "<li><a>b</a></ul></nav><div class=ad>Buy now.</div><article><h1>{h}</h1>{p}</article><footer>&copy; x</footer></body></html>")
 
