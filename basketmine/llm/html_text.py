@@ -17,6 +17,7 @@ broken markup is closed as it comes; repeated rows are read each; other columns
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -85,6 +86,7 @@ class Page:
         self.runs: list[tuple[int, bool, bool, str]] = []
         html = html or ""
         stack = [("", 0, False)]        # (tag, node, inside a link)
+        count: Counter[str] = Counter()  # open elements by tag, so that no walk looks for what is not there
         at, fresh = 0, True
         size, find = len(html), _TAG.search
         while at < size:
@@ -100,9 +102,9 @@ class Page:
             if not tag:
                 continue
             if m[1] or m[4]:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if count[tag] else ():
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        self._cut(stack, count, k)
                         break
                 fresh = fresh or tag in BLOCK
                 continue
@@ -112,7 +114,7 @@ class Page:
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, at)
                 at = end.end() if end else size
                 continue
-            self._imply_ends(stack, tag)
+            self._imply_ends(stack, count, tag)
             fresh = fresh or tag in BLOCK
             if tag in VOID or (m[3] or m[6] or "").endswith("/") and tag not in BLOCK:
                 continue
@@ -128,15 +130,26 @@ class Page:
                 self.near.append(BOILER if own == NONE and self.near[node] == BOILER else own or self.near[node])
                 node = len(self.parent) - 1
             stack.append((tag, node, stack[-1][2] or tag == "a"))
+            count[tag] += 1
 
     @staticmethod
-    def _imply_ends(stack, tag):
+    def _cut(stack, count, k):
+        count.subtract(t for t, _, _ in stack[k:])
+        del stack[k:]
+
+    @classmethod
+    def _imply_ends(cls, stack, count, tag):
         """A block ends an open paragraph; an item ends the item before it."""
         limit = SIBLINGS.get(tag)
+        ended = ["p"] * (tag in CLOSES_P)
+        if limit:
+            ended += {"dt": ["dt", "dd"], "dd": ["dt", "dd"], "td": ["td", "th"], "th": ["td", "th"]}.get(tag, [tag])
+        if not any(count[t] for t in ended):
+            return
         for k in range(len(stack) - 1, 0, -1):
             name = stack[k][0]
             if name == "p" and tag in CLOSES_P or limit and (name == tag or {name, tag} == {"dt", "dd"} or {name, tag} == {"td", "th"}):
-                del stack[k:]
+                cls._cut(stack, count, k)
                 return
             if limit and name in limit or not limit and name in CONTAINER | {"li"}:
                 return
@@ -201,7 +214,8 @@ def marginals(pages: list[Page], p: Potentials) -> np.ndarray:
     features = np.concatenate([node_features(x) for x in pages])
     belief = sum(table[features[:, f]] for f, table in enumerate(p.node))
     belief = belief + np.zeros((len(parent), 2))
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    order = np.argsort(depth, kind="stable")
+    levels = np.split(order, np.searchsorted(depth[order], np.arange(1, int(depth.max()) + 1)))
     message = np.zeros_like(belief)  # of a node to its parent, by the parent's label
     for rows in reversed(levels[1:]):
         message[rows] = np.logaddexp.reduce(p.edge[own[rows]] + belief[rows][:, None, :], axis=2)

@@ -326,3 +326,37 @@ def test_marginals_equal_enumeration():
         for k in range(n):
             weight[k, x[k]] += np.exp(w)
     assert np.allclose(html_text.marginals([page, page], p), np.tile(weight[:, 1] / weight.sum(1), 2))
+
+
+def test_html_deep_nesting_is_linear():
+    import time
+    potentials = html_text.Potentials(np.ones(html_text.COUNTS))
+    for tags in ("<div>", "<span>", "<div></b></i>", "<p><span>", "<li><span></em>"):
+        started = time.process_time()
+        page = html_text.Page(tags * 100_000 + "deep")
+        if tags == "<div>":
+            assert len(html_text.marginals([page], potentials)) == 100_001
+        assert time.process_time() - started < 30
+
+
+def test_html_propagation_carries_pages_without_structural_names(spark):
+    """Pages whose tags and attributes tell nothing of their parts give the same text by the other features and the messages."""
+    import re
+    from basketmine.llm.common import table
+    from samples import SF_SMALL
+    pages = table(spark, SF_SMALL, "pages")
+    potentials = html_text.train(pages)
+
+    def bare(html):
+        html = re.sub(r"<(/?)(article|main|nav|header|footer|aside|section)\b", r"<\1div", html or "", flags=re.I)
+        return re.sub(r'\s(?:class|id|role)=("[^"]*"|[^\s>]*)', "", html, flags=re.I)
+    same = total = 0
+    for r in pages.select("html").collect():
+        texts = []
+        for html in (r.html, bare(r.html)):
+            page = html_text.Page(html)
+            texts.append(html_text.page_text(page, html_text.marginals([page], potentials) >= 0.5))
+            told = html_text.CONTENT in page.own      # the label of a training page
+        total += 1
+        same += texts[0] == texts[1]
+    assert not told and total and same >= 0.95 * total, (same, total)
