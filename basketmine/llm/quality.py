@@ -121,7 +121,7 @@ def _groups(points: DataFrame) -> DataFrame:
     """``lang, source, _q_g2, _q_g1, _q_g0``: numbers of each group, its language and the whole, stored."""
     found = stored(points.select("lang", "source").distinct().withColumn("_q_g2", F.monotonically_increasing_id()))
     first = F.min("_q_g2").over(Window.partitionBy("lang"))
-    return found.withColumn("_q_g1", -2 - first).withColumn("_q_g0", F.lit(-1).cast("long"))
+    return stored(found.withColumn("_q_g1", -2 - first).withColumn("_q_g0", F.lit(-1).cast("long")))
 
 
 def _cut_by_share(rows: DataFrame, keys: list[str], value: Column, share: float, width: int) -> DataFrame:
@@ -166,14 +166,17 @@ def _distance() -> Column:
 
 def _starts(points: DataFrame) -> DataFrame:
     """Both starts of every group: ``_q_g, _q_s`` and the estimate."""
-    each = points.select("_q_g", F.posexplode(F.array(*FEATURES)).alias("_q_f", "_q_x"))
-    medians = _cut_by_share(each, ["_q_g", "_q_f"], F.col("_q_x"), 0.5, GRID).withColumnRenamed("_q_cut", "_q_med")
-    away = each.join(medians, ["_q_g", "_q_f"])
-    scales = _cut_by_share(away, ["_q_g", "_q_f"], F.abs(F.col("_q_x") - F.col("_q_med")), 0.5, GRID)
-    table = stored(medians.join(scales, ["_q_g", "_q_f"]))
-    wide = stored(table.groupBy("_q_g").agg(
-        *[F.max(F.when(F.col("_q_f") == i, F.col("_q_med"))).alias(f"_q_m{i}") for i in _D],
-        *[F.max(F.when(F.col("_q_f") == i, F.greatest(1.4826 * F.col("_q_cut"), F.lit(RESOLUTION[f])))).alias(f"_q_s{i}") for i, f in enumerate(FEATURES)]))
+    def halves(values: list[Column], rows: DataFrame) -> DataFrame:
+        """A row per group with the median of each value."""
+        each = rows.select("_q_g", F.posexplode(F.array(*values)).alias("_q_f", "_q_x"))
+        cuts = _cut_by_share(each, ["_q_g", "_q_f"], F.col("_q_x"), 0.5, GRID)
+        return cuts.groupBy("_q_g").agg(*[F.max(F.when(F.col("_q_f") == i, F.col("_q_cut"))).alias(f"_q_h{i}") for i in _D])
+
+    # tables with a row per group are stored, so that Spark knows their size when it plans the joins onto the vectors
+    middle = stored(halves([F.col(f) for f in FEATURES], points)).select("_q_g", *[F.col(f"_q_h{i}").alias(f"_q_m{i}") for i in _D])
+    away = halves([F.abs(F.col(f) - F.col(f"_q_m{i}")) for i, f in enumerate(FEATURES)], points.join(middle, "_q_g"))
+    wide = stored(middle.join(away, "_q_g").select("_q_g", *[f"_q_m{i}" for i in _D], *[
+        F.greatest(1.4826 * F.col(f"_q_h{i}"), F.lit(RESOLUTION[f])).alias(f"_q_s{i}") for i, f in enumerate(FEATURES)]))
     bent = [F.tanh((F.col(f) - F.col(f"_q_m{i}")) / F.col(f"_q_s{i}")).alias(f"_q_t{i}") for i, f in enumerate(FEATURES)]
     scale = [f"_q_s{i}" for i in _D]
     joint = points.join(wide, "_q_g").select("_q_g", *bent).groupBy("_q_g").agg(
@@ -196,7 +199,7 @@ def mcd_estimates(points: DataFrame, share: float = CORE_SHARE) -> DataFrame:
     est, found = _starts(points), []
     for _ in range(MAX_STEPS):
         near = points.join(est.select(*keys, *_FACTORS), "_q_g").select(*keys, *FEATURES, F.log1p(_distance()).alias("_q_d"))
-        cut = _cut_by_share(near, keys, F.col("_q_d"), share, BUCKET)
+        cut = stored(_cut_by_share(near, keys, F.col("_q_d"), share, BUCKET))
         est = stored(_estimate(near.join(cut, keys).where(F.col("_q_d") < F.col("_q_cut")), keys))
         found.append(est)
         if len(found) > 1:
@@ -231,9 +234,8 @@ def group_estimates(passed: DataFrame, share: float = CORE_SHARE) -> DataFrame:
     points = stored(passed.alias("p").join(groups.alias("g"), _same_group("p", "g")).select(
         F.explode(F.array("_q_g2", "_q_g1", "_q_g0")).alias("_q_g"), *FEATURES))
     est = mcd_estimates(points, share)
-    whole = est.where("_q_g = -1")
     tongues = groups.select(F.col("_q_g1").alias("_q_g"), "_q_g0").distinct()
-    language = _shrunk(est.join(tongues, "_q_g"), whole, "_q_g0")
+    language = _shrunk(est.join(tongues, "_q_g"), est, "_q_g0")
     own = _shrunk(est.join(groups.select(F.col("_q_g2").alias("_q_g"), "_q_g1"), "_q_g"), language, "_q_g1")
     return stored(_with_factor(own).withColumnRenamed("_q_g", "_q_g2").join(groups.drop("_q_g1", "_q_g0"), "_q_g2").select("lang", "source", *_FACTORS))
 
