@@ -44,14 +44,17 @@ def write_sorted(df: DataFrame, path: str, key: str, fmt: str = "parquet", singl
     out.write.mode("overwrite").format(fmt).save(path)
 
 
-def append_trials(trials: DataFrame, path: str, run: str = "walk") -> None:
-    """Log selection records ``(k, k_next, ari)`` (S6), keyed by run and k: a record that is logged again
-    replaces itself (dynamic partition overwrite), so a walk that is repeated leaves each trial once."""
+def append_trials(trials: DataFrame, path: str, run: str | None = None) -> None:
+    """Log selection records ``(k, k_next, ari)`` (S6): appended, or with a ``run`` keyed by run and k, where a record that
+    is logged again replaces itself (dynamic partition overwrite), so that a repeated walk leaves each trial once."""
+    if run is None:
+        trials.write.mode("append").parquet(path)
+        return
     (trials.withColumn("run", F.lit(run)).repartition("k").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("run", "k").parquet(path))
 
 
-def logged_trials(spark: SparkSession, path: str, run: str = "walk") -> list[tuple[int, int, float]]:
+def logged_trials(spark: SparkSession, path: str, run: str) -> list[tuple[int, int, float]]:
     """The trials of a run that the log holds, in order of k; none if there is no log.  One row per trial."""
     try:
         log = spark.read.schema("k_next int, ari double, run string, k int").parquet(path)

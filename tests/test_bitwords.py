@@ -242,7 +242,7 @@ def test_a_repeated_walk_leaves_each_trial_once(spark, scratch):
     best, trials = select_k_constrained(enc, 3, 9, log_path=path)
     want = [tuple(r) for r in trials.collect()]
     run = "constrained-seeds-1-1"
-    assert logged_trials(spark, path, run) == want and logged_trials(spark, path, "other") == logged_trials(spark, scratch + "/none") == []
+    assert logged_trials(spark, path, run) == want and logged_trials(spark, path, "other") == logged_trials(spark, scratch + "/none", run) == []
     again = jobs_of(spark, "walk-again", lambda: select_k_constrained(enc, 3, 9, log_path=path))
     assert again <= 4 and logged_trials(spark, path, run) == want          # the log is read, nothing is computed
     assert spark.read.parquet(path).count() == len(want)
