@@ -51,7 +51,7 @@ def test_registered_queries_have_a_row_per_input(spark):
     expected = {"documents": table(spark, SF, "documents").count(), "pages": table(spark, SF, "pages").count()}
     for name, source in (("op1_decontam", "documents"), ("op3_html", "pages"), ("op6_licenses", "documents"), ("op8_classifier", "documents")):
         assert queries.QUERIES[name](spark, SF).count() == expected[source]
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 def test_packed_digest_is_that_of_the_ids(spark):
