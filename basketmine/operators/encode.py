@@ -165,14 +165,16 @@ def vector_cells(features: Column) -> Column:
 
 
 def from_vectors(df: DataFrame, vocab: list[str] | DataFrame, features_col: str = "features",
-                 items_col: str = "items", indices_col: str | None = None, key: str = "basket_id") -> DataFrame:
+                 items_col: str = "items", indices_col: str | None = None, key: str = "basket_id", keep: bool = True) -> DataFrame:
     """Binary vectors -> sorted category names (P5), one row per ``key``: the numbers of the set cells joined to
-    the vocabulary table ``(category, idx)`` (or a list of names).  ``indices_col``: keep the numbers as well."""
+    the vocabulary table ``(category, idx)`` (or a list of names).  ``indices_col``: give the numbers as well;
+    ``keep``: join the other columns of ``df`` back."""
     if not isinstance(vocab, DataFrame):
         vocab = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(vocab)], "category string, idx int")
-    cells = df.select(key, F.explode(vector_cells(F.col(features_col))).alias("c")).select(key, F.col("c.idx").alias("idx"))
-    held = cells.join(vocab, "idx").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("idx", "category"))).alias("_c"))
-    out = df.join(held, key, "left").withColumn(items_col, F.coalesce(F.col("_c.category"), F.array().cast("array<string>")))
+    cells = df.select(key, F.explode_outer(vector_cells(F.col(features_col))).alias("c")).select(key, F.col("c.idx").alias("idx"))
+    pair = F.when(F.col("idx").isNotNull(), F.struct("idx", "category"))      # none for a vector without cells
+    held = cells.join(vocab, "idx", "left").groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias("_c"))
+    out = (df.join(held, key, "left") if keep else held).withColumn(items_col, F.coalesce(F.col("_c.category"), F.array().cast("array<string>")))
     if indices_col:
         out = out.withColumn(indices_col, F.coalesce(F.col("_c.idx"), F.array().cast("array<int>")))
     return out.drop("_c")

@@ -158,7 +158,7 @@ def q_basket_vectors(spark, sf):
     vocab = vocabulary(cat)
     enc = tables.encoded_orders(spark, sf, cat, vocab=vocab)
     vec = to_vectors(enc, vocab)
-    dec = from_vectors(vec.select("basket_id", "features"), vocabulary_table(cat), items_col="decoded", indices_col="indices")
+    dec = from_vectors(vec.select("basket_id", "features"), vocabulary_table(cat), items_col="decoded", indices_col="indices", keep=False)
     return dec.select("basket_id", F.lit(len(vocab)).alias("vec_size"),
                       F.array_join("indices", ",").alias("vec_indices"), F.array_join("decoded", ",").alias("decoded"))
 
@@ -269,7 +269,8 @@ def q_cluster_members(spark, sf):
 
 def _two_labelings(spark, sf):
     """Labels under K and K_NEXT, one row per customer weighted with its baskets (``n_baskets``)."""
-    rows, seeds = customer_table(baskets(spark, sf), K_NEXT, SEED)
+    enc = keep(baskets(spark, sf).select("basket_id", "customer_id", "words"))     # read for seeds, counts and anchors
+    rows, seeds = customer_table(enc, K_NEXT, SEED)
     return labels_by_k(keep(rows), seeds, [K])
 
 
