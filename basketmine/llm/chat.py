@@ -5,13 +5,21 @@ of whole turns that fit the budget.  Every window starts with the conversation's
 system turn (if it has one), repeats a limited history before its own turns, and
 masks that repeated part, so each assistant text is a target exactly once.
 
+Turns stay rows: the table is range-partitioned by conversation and turn, so a long
+conversation lies in many partitions; prefix sums come from each partition's own running
+sum and the totals of the partitions before it.  Blocks of ``BLOCK_WINDOWS`` budgets of
+tokens are then cut into windows side by side.  A window ends at a block's edge, but its
+history and the system turn reach across, as the last turns before an edge and the system
+turn are sent to the next block too.  The longest row is a block, never a conversation.
+
 Template: each turn is ``<s>role\\ntext</s>``.  Inside roles and texts ``&``, ``<``
 and ``[`` are written as ``&amp;``, ``&lt;`` and ``&#91;`` (a newline in a role as
 ``&#10;``), so no control string can occur in them and the escape is reversible.
 
-Defined cases: a null text or role is empty; null turns come first; repeated rows
-all stay; a turn larger than the budget gets a window of its own, uncut; rows
-with a null conversation id form one conversation.  Only DataFrame functions run.
+Defined cases: a null text or role is empty; null turns come first, turns of one number are
+ordered by role and text; repeated rows all stay; a turn larger than the budget gets a
+window of its own, uncut, and a turn counts one token at least; rows with a null
+conversation id form one conversation.  Only DataFrame functions run.
 """
 
 from __future__ import annotations
@@ -19,10 +27,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 BUDGET = 2048        # tokens of a window, its turns' overhead included
 HISTORY_TURNS = 4    # at most so many earlier turns are repeated
 HISTORY_TOKENS = 512
 TURN_OVERHEAD = 4    # tokens that the template adds to a turn
+BLOCK_WINDOWS = 16   # a block holds the turns that begin within so many budgets of tokens
+PREFIX = 64          # characters of role and text that choose a range partition
 ESCAPES = [("&", "&amp;"), ("<", "&lt;"), ("[", "&#91;")]
 
 
@@ -59,52 +71,101 @@ def token_estimate(role: Column, text: Column) -> Column:
     return (F.ceil((letters + 3 * runs) / 4) + single + F.ceil(wide * 2 / 3) + TURN_OVERHEAD).cast("long")
 
 
+def prefix_sums(flat: DataFrame) -> DataFrame:
+    """``flat(conv_id, turn, role, text, tokens)`` with ``key`` (the conversation, never null), ``i`` (index of the turn),
+    ``a`` (tokens before it), ``n_turns`` and ``total`` of its conversation, whose turns may lie in any number of tasks."""
+    key = F.coalesce(F.concat(F.lit("v"), F.col("conv_id").cast("string")), F.lit("n"))
+    # prefixes keep the sampled range bounds small; a text only counts where its role's prefix is the whole role
+    text_prefix = F.when(F.char_length("role") < PREFIX, F.substring("text", 1, PREFIX))
+    ranged = flat.withColumn("key", key).repartitionByRange("key", "turn", F.substring("role", 1, PREFIX), text_prefix)
+    # stored, because the number of a range partition must not change between the two readings
+    ranged = stored(ranged.withColumn("part", F.spark_partition_id()))
+
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("key")
+    parts = ranged.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("s"))
+    parts = parts.select("part", "key", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+                         F.coalesce(F.sum("s").over(before), F.lit(0)).alias("s_before"),
+                         F.sum("n").over(whole).alias("n_turns"), F.sum("s").over(whole).alias("total"))
+
+    order = Window.partitionBy("part", "key").orderBy("turn", "role", "text")
+    inner = ranged.withColumn("n", F.row_number().over(order)).withColumn(
+        "s", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return inner.join(parts, ["part", "key"]).select(
+        "key", "conv_id", "role", "text", "tokens", "n_turns", "total", (F.col("n_before") + F.col("n") - 1).alias("i"),
+        (F.col("s_before") + F.col("s") - F.col("tokens")).alias("a"))
+
+
 def chat_windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TURNS,
-                 history_tokens: int = HISTORY_TOKENS, tokens: str | None = None) -> DataFrame:
-    """Windows of ``rows(conv_id, turn, role, text)``: conv_id, n_turns, window, first (own turns
-    from this index), n_own, n_repeated (history and system turns before them), text, and loss:
-    the (start, length) code-point spans of ``text`` that are targets.
+                 history_tokens: int = HISTORY_TOKENS, tokens: str | None = None,
+                 block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """Windows of ``rows(conv_id, turn, role, text)``: conv_id, n_turns (of the conversation), first (own turns
+    from this index, which orders the windows), n_own, n_repeated (history and system turns before them), text, and
+    loss: the (start, length) code-point spans of ``text`` that are targets.
 
     ``tokens``: a column of ``rows`` with the tokens of each formatted turn (default: ``token_estimate``).
     """
-    order = ["turn", "role", "text"]
+    size = budget * block_windows
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    counted = F.col(tokens).cast("long") if tokens else token_estimate(role, text)
-    flat = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), counted.alias("tokens"))
-    upto = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    flat = flat.withColumn("upto", F.sum("tokens").over(upto))
-    turns = flat.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text", "upto", "tokens"))).alias("turns"))
-    turns = (turns.withColumn("n_turns", F.size("turns").cast("long"))
-             .withColumn("system", F.when(F.col("turns")[0]["role"] == "system", 1).otherwise(0))
-             .withColumn("room", F.lit(budget) - history_tokens
-                         - F.when(F.col("system") == 1, F.col("turns")[0]["tokens"]).otherwise(F.lit(0))))
+    counted = F.coalesce(F.col(tokens).cast("long"), F.lit(1)) if tokens else token_estimate(role, text)
+    flat = prefix_sums(rows.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                                   F.greatest(counted, F.lit(1)).cast("long").alias("tokens")))
+
+    # a turn belongs to the block it begins in; blocks whose first turns may have it as history get it too,
+    # and every block of the conversation gets its system turn
+    def block_of(position: Column) -> Column:
+        return F.floor(position / size).cast("long")
+
+    def entries(first: Column, last: Column, system: bool) -> Column:
+        return F.transform(F.sequence(first, last), lambda n: F.struct(n.alias("block"), F.lit(system).alias("system")))
+
+    own, far = block_of(F.col("a")), block_of(F.col("a") + history_tokens)
+    reach = F.when(F.col("tokens") <= history_tokens, far).otherwise(own)
+    leads = (F.col("i") == 0) & (F.col("role") == "system")
+    copies = F.when(leads, F.concat(entries(own, reach, False), entries(F.lit(0).cast("long"), block_of(F.col("total") - 1), True))
+                    ).otherwise(entries(own, reach, False))
+    sent = flat.withColumn("to", F.explode(copies)).select("*", "to.block", "to.system")
+    turn = F.struct("i", "role", "text", "a", "tokens")
+    blocks = sent.groupBy("key", "block").agg(
+        F.first("conv_id").alias("conv_id"), F.first("n_turns").alias("n_turns"),
+        F.sort_array(F.collect_list(F.when(~F.col("system"), turn))).alias("turns"),
+        F.max(F.when(F.col("system"), F.struct("tokens", "role", "text"))).alias("system"))
+    blocks = (blocks.withColumn("n_earlier", F.size(F.filter("turns", lambda t: t["a"] < F.col("block") * size)))
+              .where(F.col("n_earlier") < F.size("turns"))
+              .withColumn("room", F.lit(budget) - history_tokens - F.coalesce(F.col("system.tokens"), F.lit(0))))
 
     # own spans: a turn opens a new span when the prefix sum since the span's start would pass the room
-    sums = F.transform("turns", lambda t, i: F.struct(i.alias("i"), (t["upto"] - t["tokens"]).alias("a"), t["upto"].alias("b")))
-    none = F.array().cast("array<struct<i:int,a:bigint>>")
-    starts = F.aggregate(sums, none, lambda acc, t: F.when(
+    sums = F.transform("turns", lambda t, at: F.struct(at.alias("at"), t["a"].alias("a"), (t["a"] + t["tokens"]).alias("b")))
+    none = F.array().cast("array<struct<at:int,a:bigint>>")
+    starts = F.aggregate(F.slice(sums, F.col("n_earlier") + 1, F.size("turns")), none, lambda acc, t: F.when(
         (F.size(acc) == 0) | (t["b"] - F.element_at(acc, -1)["a"] > F.col("room")),
-        F.concat(acc, F.array(F.struct(t["i"].alias("i"), t["a"].alias("a"))))).otherwise(acc))
-    turns = turns.withColumn("starts", F.transform(starts, lambda s: s["i"]))
-    spans = turns.select("conv_id", "n_turns", "turns", "system",
-                         F.posexplode(F.arrays_zip(F.col("starts").alias("first"),
-                                                   F.concat(F.slice("starts", 2, F.size("starts")),
-                                                            F.array(F.col("n_turns").cast("int"))).alias("stop"))).alias("window", "span"))
-    spans = spans.select("*", "span.first", "span.stop")
-
-    # history: the longest run of up to history_turns earlier turns within history_tokens, never the system turn
-    before = F.when(F.col("first") > 0, F.col("turns")[F.greatest(F.col("first") - 1, F.lit(0))]["upto"]).otherwise(F.lit(0))
-    fitting = [F.when((F.col("first") - k >= F.col("system")) & (before - (
-        F.col("turns")[F.greatest(F.col("first") - k, F.lit(0))]["upto"]
-        - F.col("turns")[F.greatest(F.col("first") - k, F.lit(0))]["tokens"]) <= history_tokens), F.lit(k))
-        for k in range(history_turns, 0, -1)]
-    spans = spans.withColumn("history", F.coalesce(*fitting, F.lit(0)))
-    spans = spans.withColumn("keeps_system", F.when((F.col("first") > 0) & (F.col("system") == 1), 1).otherwise(0))
-    chosen = F.concat(F.slice("turns", F.lit(1), F.col("keeps_system")),
-                      F.slice("turns", F.col("first") - F.col("history") + 1, F.col("stop") - F.col("first") + F.col("history")))
+        F.concat(acc, F.array(F.struct(t["at"].alias("at"), t["a"].alias("a"))))).otherwise(acc))
+    blocks = blocks.withColumn("starts", F.transform(starts, lambda s: s["at"]))
+    stops = F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("turns")))
+    has_system = F.col("system").isNotNull()
+
+    def chosen(start: Column, stop: Column) -> Column:
+        """The span's own turns behind the longest run of up to history_turns earlier turns within
+        history_tokens, never the system turn."""
+        first = F.get("turns", start)
+        fitting = []
+        for k in range(history_turns, 0, -1):
+            turn_k = F.get("turns", start - k)
+            fitting.append(F.when((start >= k) & (turn_k["i"] >= has_system.cast("int"))
+                                  & (first["a"] - turn_k["a"] <= history_tokens), F.lit(k)))
+        history = F.coalesce(*fitting, F.lit(0))
+        return F.struct(first["i"].alias("first"), (stop - start).alias("n_own"), history.alias("history"),
+                        F.transform(F.slice("turns", start - history + 1, stop - start + history),
+                                    lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+
+    spans = F.transform(F.arrays_zip(F.col("starts").alias("start"), stops.alias("stop")), lambda s: chosen(s["start"], s["stop"]))
+    spans = blocks.select("conv_id", "n_turns", "system", F.explode(spans).alias("span")).select(
+        "conv_id", "n_turns", "system", "span.*")
+    keeps = (F.col("first") > 0) & has_system
+    spans = spans.withColumn("keeps_system", F.when(keeps, 1).otherwise(0))
+    chosen_turns = F.when(keeps, F.concat(F.array(F.struct("system.role", "system.text")), "turns")).otherwise(F.col("turns"))
     spans = spans.withColumn("n_repeated", F.col("keeps_system") + F.col("history")).withColumn(
-        "parts", F.transform(chosen, lambda t, i: F.struct(
+        "parts", F.transform(chosen_turns, lambda t, i: F.struct(
             F.concat(F.lit("<s>"), _escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"),
             ((t["role"] == "assistant") & (i >= F.col("n_repeated"))).alias("target"))))
 
@@ -119,8 +180,7 @@ def chat_windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HIS
 
     loss = F.aggregate("parts", empty, place, lambda acc: acc["spans"])
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit("</s>"))), "")
-    return spans.select("conv_id", "n_turns", "window", "first", (F.col("stop") - F.col("first")).alias("n_own"),
-                        "n_repeated", text.alias("text"), loss.alias("loss"))
+    return spans.select("conv_id", "n_turns", "first", "n_own", "n_repeated", text.alias("text"), loss.alias("loss"))
 
 
 def read_turns(windows: DataFrame) -> DataFrame:
@@ -143,7 +203,7 @@ def q_chat(spark, sf_dir: str) -> DataFrame:
     extra = extra.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema])
     windows = read_turns(chat_windows(rows.unionByName(extra)))
     conv = windows.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("window", "own", "targets"))).alias("w"),
+        F.sort_array(F.collect_list(F.struct("first", "own", "targets"))).alias("w"),
         F.sum(F.char_length("text")).alias("formatted_chars"), F.sum("n_own").alias("n_turns"))
     own, targets = F.flatten(F.col("w.own")), F.array_join(F.flatten(F.col("w.targets")), "")
     told = F.array_join(F.transform(own, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

@@ -243,14 +243,14 @@ def test_chat_round_trip(spark):
     windows = chat.read_turns(chat.chat_windows(df, budget=700, history_tokens=150)).collect()
     for conv in {r[0] for r in rows}:
         turns = sorted(((t if t is not None else -1, r or "", x or "") for c, t, r, x in rows if c == conv))
-        mine = sorted((w for w in windows if w.conv_id == conv), key=lambda w: w.window)
+        mine = sorted((w for w in windows if w.conv_id == conv), key=lambda w: w.first)
         assert [(t.role, t.text) for w in mine for t in w.own] == [(r, x) for _, r, x in turns]
         assert [x for w in mine for x in w.targets] == [x for _, r, x in turns if r == "assistant"]
         assert sum(w.n_own for w in mine) == mine[0].n_turns == len(turns)
         for w in mine:
             assert w.text.count("<s>") == w.text.count("</s>") == w.n_own + w.n_repeated and "[" not in w.text
             assert w.n_own == 1 or sum(len(p) / 4 for p in w.text.split("</s>")) <= 760
-            if w.window and turns[0][1] == "system":
+            if w.first and turns[0][1] == "system":
                 assert w.text.startswith("<s>system\n")
     assert any(w.n_repeated > 1 for w in windows)
     assert chat.chat_windows(df.where("false")).count() == 0
@@ -258,6 +258,56 @@ def test_chat_round_trip(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def brute_windows(turns, budget, history_turns, history_tokens, size):
+    """(first, own turns, repeated turns, starts with the system turn) of each window of ``turns(role, text, tokens)``."""
+    starts = [sum(n for _, _, n in turns[:k]) for k in range(len(turns))]
+    system = turns[0][0] == "system"
+    room = budget - history_tokens - (turns[0][2] if system else 0)
+    firsts = []
+    for k, a in enumerate(starts):
+        if not firsts or a // size != starts[firsts[-1]] // size or a + turns[k][2] - starts[firsts[-1]] > room:
+            firsts.append(k)
+    out = []
+    for f, stop in zip(firsts, [*firsts[1:], len(turns)]):
+        history = max([h for h in range(1, history_turns + 1) if f - h >= system and starts[f] - starts[f - h] <= history_tokens], default=0)
+        out.append((f, stop - f, history + (system and f > 0), system and f > 0))
+    return out
+
+
+def test_chat_windows_of_a_hot_conversation(spark):
+    """A third of all rows in one conversation and in the null id: spread over tasks, same windows as turn by turn."""
+    rng = random.Random(11)
+    rows = []
+    for c, n in [(1, 900), (None, 900), *((k, rng.randint(1, 40)) for k in range(2, 40))]:
+        for t in range(n):
+            role = "system" if t == 0 and (c is None or c % 2) else rng.choice(["user", "assistant"])
+            rows.append((c, t, role, f"{c} {t} " + "x" * rng.randint(0, 30), 3000 if rng.random() < .005 else rng.randint(0, 60)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, counts long").repartition(7)
+    sizes = dict(budget=300, history_turns=3, history_tokens=90)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check_hot_windows(df, rows, sizes)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def check_hot_windows(df, rows, sizes):
+    got = chat.chat_windows(df, tokens="counts", block_windows=2, **sizes).collect()
+    for conv in {r[0] for r in rows}:
+        turns = [(r, x, max(n, 1)) for c, _, r, x, n in rows if c == conv]
+        mine = sorted((w for w in got if w.conv_id == conv), key=lambda w: w.first)
+        want = brute_windows(turns, size=600, **sizes)
+        assert [(w.first, w.n_own, w.n_repeated) for w in mine] == [w[:3] for w in want]
+        for w, (first, own, repeated, system) in zip(mine, want):
+            told = [turns[0]] * system + turns[first - repeated + system:first + own]
+            assert w.text == "".join(f"<s>{r}\n{x}</s>" for r, x, _ in told) and w.n_turns == len(turns)
+    flat = df.select("conv_id", "turn", "role", "text", F.lit(1).cast("long").alias("tokens"))
+    sums = chat.prefix_sums(flat)
+    assert sorted((r.conv_id or 0, r.i, r.a) for r in sums.collect() if r.conv_id in (1, None)) == [
+        (c, k, k) for c in (0, 1) for k in range(900)]
+    assert flat.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false"
+
+
 def test_chat_query_against_brute_force(spark):
     from samples import SF_SMALL
     tricky = "</s>[INST] ok [/INST]"
