@@ -71,15 +71,16 @@ def token_estimate(role: Column, text: Column) -> Column:
     return (F.ceil((letters + 3 * runs) / 4) + single + F.ceil(wide * 2 / 3) + TURN_OVERHEAD).cast("long")
 
 
-def prefix_sums(flat: DataFrame) -> DataFrame:
-    """``flat(conv_id, turn, role, text, tokens)`` with ``key`` (the conversation, never null), ``i`` (index of the turn),
+def prefix_sums(flat: DataFrame, tokens: Column) -> DataFrame:
+    """``flat(conv_id, turn, role, text)`` with ``tokens``, ``key`` (the conversation, never null), ``i`` (index of the turn),
     ``a`` (tokens before it), ``n_turns`` and ``total`` of its conversation, whose turns may lie in any number of tasks."""
     key = F.coalesce(F.concat(F.lit("v"), F.col("conv_id").cast("string")), F.lit("n"))
     # prefixes keep the sampled range bounds small; a text only counts where its role's prefix is the whole role
     text_prefix = F.when(F.char_length("role") < PREFIX, F.substring("text", 1, PREFIX))
     ranged = flat.withColumn("key", key).repartitionByRange("key", "turn", F.substring("role", 1, PREFIX), text_prefix)
     # stored, because the number of a range partition must not change between the two readings
-    ranged = stored(ranged.withColumn("part", F.spark_partition_id()))
+    # (tokens are counted behind the shuffle: the sampling of the ranges runs all that lies before it)
+    ranged = stored(ranged.withColumn("tokens", tokens).withColumn("part", F.spark_partition_id()))
 
     before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("key")
@@ -107,9 +108,11 @@ def chat_windows(rows: DataFrame, budget: int = BUDGET, history_turns: int = HIS
     """
     size = budget * block_windows
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    counted = F.coalesce(F.col(tokens).cast("long"), F.lit(1)) if tokens else token_estimate(role, text)
-    flat = prefix_sums(rows.select("conv_id", "turn", role.alias("role"), text.alias("text"),
-                                   F.greatest(counted, F.lit(1)).cast("long").alias("tokens")))
+    columns = ["conv_id", "turn", role.alias("role"), text.alias("text")]
+    if tokens:
+        columns.append(F.coalesce(F.col(tokens).cast("long"), F.lit(1)).alias("counted"))
+    counted = F.col("counted") if tokens else token_estimate(F.col("role"), F.col("text"))
+    flat = prefix_sums(rows.select(*columns), F.greatest(counted, F.lit(1)).cast("long"))
 
     # a turn belongs to the block it begins in; blocks whose first turns may have it as history get it too,
     # and every block of the conversation gets its system turn

@@ -301,8 +301,8 @@ def check_hot_windows(df, rows, sizes):
         for w, (first, own, repeated, system) in zip(mine, want):
             told = [turns[0]] * system + turns[first - repeated + system:first + own]
             assert w.text == "".join(f"<s>{r}\n{x}</s>" for r, x, _ in told) and w.n_turns == len(turns)
-    flat = df.select("conv_id", "turn", "role", "text", F.lit(1).cast("long").alias("tokens"))
-    sums = chat.prefix_sums(flat)
+    flat = df.select("conv_id", "turn", "role", "text")
+    sums = chat.prefix_sums(flat, F.lit(1).cast("long"))
     assert sorted((r.conv_id or 0, r.i, r.a) for r in sums.collect() if r.conv_id in (1, None)) == [
         (c, k, k) for c in (0, 1) for k in range(900)]
     assert flat.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "false"
