@@ -13,7 +13,7 @@ its language, a large one on itself, and no size switches anything.  A document
 rejected when its squared Mahalanobis distance exceeds ``CUTOFF``.
 
 Everything is DataFrame expressions: the text is read once, the small table of vectors is stored in the shared
-checkpoint folder, all groups and both starts go through each step in the same two aggregates, and a
+checkpoint folder, all groups and both starts go through a step in one pass, and a
 hot source only adds partial aggregates: no step collects or sorts a group.
 
 Defined cases: a null or empty text has no words and fails the base rules; null
@@ -148,11 +148,31 @@ def _with_factor(params: DataFrame) -> DataFrame:
     return params.withColumn("_q_det", 2 * sum((F.log(f"_q_l{j}{j}") for j in _D), F.lit(0.0)))
 
 
-def _estimate(core: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, covariance (with the resolution on the diagonal), factor and determinant of each key's rows."""
-    aggs = [F.avg(f).alias(f"_q_m{i}") for i, f in enumerate(FEATURES)]
-    aggs += [(F.covar_pop(FEATURES[i], FEATURES[j]) + (RESOLUTION[FEATURES[i]] ** 2 if i == j else 0.0)).alias(f"_q_c{i}{j}") for i, j in _PAIRS]
-    return _with_factor(core.groupBy(*keys).agg(*aggs))
+def _concentrated(near: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Mean, covariance (with the resolution on the diagonal), factor and determinant of the ``share`` of each key's rows
+    that is nearest, and ``_q_was``, the determinant that the distances ``_q_d`` came from.
+
+    Counts and moments of the histogram buckets of the distance add up in any order; the buckets of a key are
+    then added up to the share: one pass over the vectors, and only (key, bucket) rows are shuffled.  Moments are
+    taken around the means that the distances came from, so that nothing cancels.
+    """
+    off = [F.col(f) - F.col(f"_q_m{i}") for i, f in enumerate(FEATURES)]
+    sums = [F.sum(x).alias(f"_q_x{i}") for i, x in enumerate(off)] + [F.sum(off[i] * off[j]).alias(f"_q_y{i}{j}") for i, j in _PAIRS]
+    cells = near.groupBy(*keys, F.floor(F.col("_q_d") * BUCKET).alias("_q_b")).agg(
+        F.count(F.lit(1)).alias("_q_n"), *sums, *[F.first(f"_q_m{i}").alias(f"_q_m{i}") for i in _D], F.first("_q_det").alias("_q_was"))
+    w = Window.partitionBy(*keys)
+    # the buckets before the one that reaches the share, and that one
+    before = F.coalesce(F.sum("_q_n").over(w.orderBy("_q_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    core = cells.withColumn("_q_before", before).withColumn("_q_all", F.sum("_q_n").over(w)).where(
+        F.col("_q_before") < share * F.col("_q_all"))
+    n = F.sum("_q_n")
+    moved = core.groupBy(*keys).agg(
+        *[F.first(f"_q_m{i}").alias(f"_q_o{i}") for i in _D], *[(F.sum(f"_q_x{i}") / n).alias(f"_q_x{i}") for i in _D],
+        *[(F.sum(f"_q_y{i}{j}") / n).alias(f"_q_y{i}{j}") for i, j in _PAIRS], F.first("_q_was").alias("_q_was"))
+    return _with_factor(moved.select(
+        *keys, "_q_was", *[(F.col(f"_q_o{i}") + F.col(f"_q_x{i}")).alias(f"_q_m{i}") for i in _D],
+        *[(F.col(f"_q_y{i}{j}") - F.col(f"_q_x{i}") * F.col(f"_q_x{j}") + (RESOLUTION[FEATURES[i]] ** 2 if i == j else 0.0)).alias(f"_q_c{i}{j}")
+          for i, j in _PAIRS]))
 
 
 def _distance() -> Column:
@@ -197,21 +217,19 @@ def mcd_estimates(points: DataFrame, share: float = CORE_SHARE) -> DataFrame:
     scaled so that the group's median distance is that of a normal sample."""
     keys = ["_q_g", "_q_s"]
     est, found = _starts(points), []
-    for _ in range(MAX_STEPS):
-        near = points.join(est.select(*keys, *_FACTORS), "_q_g").select(*keys, *FEATURES, F.log1p(_distance()).alias("_q_d"))
-        cut = stored(_cut_by_share(near, keys, F.col("_q_d"), share, BUCKET))
-        est = stored(_estimate(near.join(cut, keys).where(F.col("_q_d") < F.col("_q_cut")), keys))
+    for step in range(MAX_STEPS):
+        near = points.join(est.select(*keys, *_FACTORS, "_q_det"), "_q_g").withColumn("_q_d", F.log1p(_distance()))
+        est = stored(_concentrated(near, keys, share))
         found.append(est)
-        if len(found) > 1:
-            was = found[-2].select(*keys, F.col("_q_det").alias("_q_was"))
-            if est.join(was, keys).where(F.col("_q_det") < F.col("_q_was") - FALL).isEmpty():
-                break
+        # the first step leaves a start, which is no estimate of a core
+        if step and est.where(F.col("_q_det") < F.col("_q_was") - FALL).isEmpty():
+            break
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
     # the smallest determinant of all steps of both starts
     first = F.row_number().over(Window.partitionBy("_q_g").orderBy("_q_det", "_q_s", "_q_m0"))
-    best = stored(whole.withColumn("_q_rank", first).where("_q_rank = 1").drop("_q_rank", "_q_s"))
+    best = stored(whole.withColumn("_q_rank", first).where("_q_rank = 1").drop("_q_rank", "_q_s", "_q_was"))
     near = points.join(best.select("_q_g", *_FACTORS), "_q_g").select("_q_g", F.log1p(_distance()).alias("_q_d"))
     half = _cut_by_share(near, ["_q_g"], F.col("_q_d"), 0.5, BUCKET)
     sizes = points.groupBy("_q_g").agg(F.count("*").alias("_q_n"))
