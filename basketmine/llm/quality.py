@@ -138,14 +138,17 @@ def _cut_by_share(rows: DataFrame, keys: list[str], value: Column, share: float,
 
 
 def _with_factor(params: DataFrame) -> DataFrame:
-    """Cholesky factor and log determinant of the covariances."""
+    """Cholesky factor and log determinant of the covariances, as one projection in SQL text: in Python a
+    call to the JVM for each of these operators takes longer than the step itself."""
+    factor: dict[tuple[int, int], str] = {}
     for j in _D:
-        below = sum((F.col(f"_q_l{j}{k}") ** 2 for k in range(j)), F.lit(0.0))
-        params = params.withColumn(f"_q_l{j}{j}", F.sqrt(F.greatest(F.col(f"_q_c{j}{j}") - below, F.lit(1e-9))))
+        below = "".join(f" - power({factor[j, k]}, 2)" for k in range(j))
+        factor[j, j] = f"sqrt(greatest(_q_c{j}{j}{below}, 1e-9D))"
         for i in range(j + 1, len(FEATURES)):
-            dot = sum((F.col(f"_q_l{i}{k}") * F.col(f"_q_l{j}{k}") for k in range(j)), F.lit(0.0))
-            params = params.withColumn(f"_q_l{i}{j}", (F.col(f"_q_c{i}{j}") - dot) / F.col(f"_q_l{j}{j}"))
-    return params.withColumn("_q_det", 2 * sum((F.log(f"_q_l{j}{j}") for j in _D), F.lit(0.0)))
+            dot = "".join(f" - {factor[i, k]} * {factor[j, k]}" for k in range(j))
+            factor[i, j] = f"((_q_c{i}{j}{dot}) / {factor[j, j]})"
+    det = " + ".join(f"ln({factor[j, j]})" for j in _D)
+    return params.selectExpr("*", *[f"{c} AS _q_l{i}{j}" for (i, j), c in factor.items()], f"2 * ({det}) AS _q_det")
 
 
 def _concentrated(near: DataFrame, keys: list[str], share: float) -> DataFrame:
@@ -156,32 +159,31 @@ def _concentrated(near: DataFrame, keys: list[str], share: float) -> DataFrame:
     then added up to the share: one pass over the vectors, and only (key, bucket) rows are shuffled.  Moments are
     taken around the means that the distances came from, so that nothing cancels.
     """
-    off = [F.col(f) - F.col(f"_q_m{i}") for i, f in enumerate(FEATURES)]
-    sums = [F.sum(x).alias(f"_q_x{i}") for i, x in enumerate(off)] + [F.sum(off[i] * off[j]).alias(f"_q_y{i}{j}") for i, j in _PAIRS]
+    off = [f"({f} - _q_m{i})" for i, f in enumerate(FEATURES)]
+    sums = [f"sum({x}) AS _q_x{i}" for i, x in enumerate(off)] + [f"sum({off[i]} * {off[j]}) AS _q_y{i}{j}" for i, j in _PAIRS]
+    means = [f"first(_q_m{i}) AS _q_m{i}" for i in _D]
     cells = near.groupBy(*keys, F.floor(F.col("_q_d") * BUCKET).alias("_q_b")).agg(
-        F.count(F.lit(1)).alias("_q_n"), *sums, *[F.first(f"_q_m{i}").alias(f"_q_m{i}") for i in _D], F.first("_q_det").alias("_q_was"))
+        *map(F.expr, ["count(1) AS _q_n", "first(_q_det) AS _q_was", *means, *sums]))
     w = Window.partitionBy(*keys)
     # the buckets before the one that reaches the share, and that one
     before = F.coalesce(F.sum("_q_n").over(w.orderBy("_q_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    core = cells.withColumn("_q_before", before).withColumn("_q_all", F.sum("_q_n").over(w)).where(
+    core = cells.select("*", before.alias("_q_before"), F.sum("_q_n").over(w).alias("_q_all")).where(
         F.col("_q_before") < share * F.col("_q_all"))
-    n = F.sum("_q_n")
-    moved = core.groupBy(*keys).agg(
-        *[F.first(f"_q_m{i}").alias(f"_q_o{i}") for i in _D], *[(F.sum(f"_q_x{i}") / n).alias(f"_q_x{i}") for i in _D],
-        *[(F.sum(f"_q_y{i}{j}") / n).alias(f"_q_y{i}{j}") for i, j in _PAIRS], F.first("_q_was").alias("_q_was"))
-    return _with_factor(moved.select(
-        *keys, "_q_was", *[(F.col(f"_q_o{i}") + F.col(f"_q_x{i}")).alias(f"_q_m{i}") for i in _D],
-        *[(F.col(f"_q_y{i}{j}") - F.col(f"_q_x{i}") * F.col(f"_q_x{j}") + (RESOLUTION[FEATURES[i]] ** 2 if i == j else 0.0)).alias(f"_q_c{i}{j}")
-          for i, j in _PAIRS]))
+    shares = [f"sum(_q_x{i}) / sum(_q_n) AS _q_x{i}" for i in _D] + [f"sum(_q_y{i}{j}) / sum(_q_n) AS _q_y{i}{j}" for i, j in _PAIRS]
+    moved = core.groupBy(*keys).agg(*map(F.expr, ["first(_q_was) AS _q_was", *means, *shares]))
+    resolution = {(i, i): f" + {RESOLUTION[f] ** 2!r}D" for i, f in enumerate(FEATURES)}
+    return _with_factor(moved.selectExpr(
+        *keys, "_q_was", *[f"_q_m{i} + _q_x{i} AS _q_m{i}" for i in _D],
+        *[f"_q_y{i}{j} - _q_x{i} * _q_x{j}{resolution.get((i, j), '')} AS _q_c{i}{j}" for i, j in _PAIRS]))
 
 
 def _distance() -> Column:
     """Squared Mahalanobis distance by forward substitution with the Cholesky factor."""
-    ys: list[Column] = []
+    ys: list[str] = []
     for i, f in enumerate(FEATURES):
-        dot = sum((F.col(f"_q_l{i}{k}") * ys[k] for k in range(i)), F.lit(0.0))
-        ys.append((F.col(f) - F.col(f"_q_m{i}") - dot) / F.col(f"_q_l{i}{i}"))
-    return sum((y * y for y in ys), F.lit(0.0))
+        dot = "".join(f" - _q_l{i}{k} * {ys[k]}" for k in range(i))
+        ys.append(f"(({f} - _q_m{i}{dot}) / _q_l{i}{i})")
+    return F.expr(" + ".join(f"{y} * {y}" for y in ys))
 
 
 def _starts(points: DataFrame) -> DataFrame:
