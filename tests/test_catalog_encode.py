@@ -185,3 +185,30 @@ def test_parse_trim_unique_ids_and_single_product_segment(spark, catalog_lines_d
     segs = {(r.category, r.segment) for r in category_list_segments(levels(spark, catalog_lines_df)).collect()}
     assert ("Flowers", "CompactBuffer(flower (seeds))") in segs          # one product: prefix and suffix
     assert ("Coffee", "CompactBuffer(coffee") in segs and ("Coffee", " instant coffee)") in segs
+
+
+def test_substring_items_around_the_key_length(spark, catalog_lines_df):
+    from basketmine.functions.catalog import GRAM
+    texts = [LIST_PREFIX + line.split(",")[0] + LIST_SUFFIX for line in CATALOG_LINES]
+    texts += [" " + line.split(",")[0] for line in CATALOG_LINES]
+    items = sorted({t[i:i + n] for t in texts for n in range(GRAM - 1, GRAM + 3) for i in range(0, len(t) - n + 1, 3)})
+    df = spark.createDataFrame([(i,) for i in items], "item string")
+    got = [(r.item, r.category) for r in substring_matches(df, levels(spark, catalog_lines_df)).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_force_substring(items, CATALOG_LINES)
+
+
+def test_substring_match_broadcasts_no_keys_and_verifies_few_pairs(spark, scratch):
+    """Keys are many more than Spark guesses from the catalogue's file, so no plan may send them (or the pairs of
+    product and category) through the driver; and numbers of few digits have few short keys to meet on."""
+    spark.range(100000, 103000).selectExpr("id AS product", "concat('T', id % 3, '/B', id % 7) AS path").write.parquet(f"{scratch}/part")
+    lv = explode_paths(spark.read.parquet(f"{scratch}/part"))
+    out = substring_matches(spark.range(100000, 103000).selectExpr("id AS item"), lv)
+    assert out.count() == out.distinct().count() == 2 * 3000
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastNestedLoopJoin" not in plan
+    joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert all("LeftOuter, BuildRight" in line and "[category#" in line for line in joins), joins
+    verified = [line for line in plan.splitlines() if "Contains(" in line and "Join" in line]
+    assert len(verified) == 1 and "SortMergeJoin" in verified[0]
+    from basketmine.functions.catalog import GRAM
+    assert GRAM > len("103000")       # the items are keys themselves: no pair is left to verify
