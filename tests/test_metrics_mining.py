@@ -122,6 +122,42 @@ def test_fpgrowth_against_brute_force(spark):
         assert r.lift == pytest.approx(conf / (exp[tuple(r.consequent)] / len(tx)))
 
 
+def test_itemsets_and_rules_equal_mllib(spark):
+    from pyspark.ml.fpm import FPGrowth
+    rnd = random.Random(4)
+    names = [f"c{i}" for i in range(14)] + ["", "odd name", "é"]
+    tx = [rnd.sample(names[:rnd.choice([3, 8, 17])], rnd.randrange(0, 4)) + rnd.sample(names, rnd.randrange(0, 7)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in tx] + [(None,)] * 9, "items array<string>")
+    distinct = df.select(F.array_distinct("items").alias("items"))
+    for support, confidence in [(0.02, 0.5), (0.2, 0.1), (0.9, 0.2), (1.0, 0.0)]:
+        ours, mllib = fit_fpgrowth(df, support, confidence, num_partitions=3), FPGrowth(minSupport=support, minConfidence=confidence).fit(distinct)
+        assert sorted((sorted(r["items"]), r.freq) for r in ours.freqItemsets.collect()) == \
+            sorted((sorted(r["items"]), r.freq) for r in mllib.freqItemsets.collect())
+        rules = [sorted((sorted(r.antecedent), r.consequent, r.confidence, r.lift, r.support) for r in m.associationRules.collect())
+                 for m in (ours, mllib)]
+        assert len(rules[0]) == len(rules[1])
+        for a, b in zip(*rules):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-12)
+    assert fit_fpgrowth(df.limit(0), 0.1, 0.1).freqItemsets.count() == 0
+
+
+def test_itemsets_are_mined_once(spark):
+    """The tables of a fit are read without another pass over the transactions."""
+    read = spark.sparkContext.accumulator(0)
+    rnd = random.Random(2)
+    tx = [(rnd.sample("abcdef", rnd.randrange(1, 6)),) for _ in range(50)]
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(tx, 2).map(seen), "items array<string>")
+    model = fit_fpgrowth(df, 0.1, 0.1)
+    before = read.value
+    assert frequent_itemsets(model).count() > 6 and association_rules(model).count() > 6
+    assert read.value == before == len(tx)
+
+
 def test_mine_clusters_uses_cluster_support(spark):
     rows = [(1, ["a", "b"])] * 6 + [(1, ["c"])] * 4 + [(2, ["a"])] * 2 + [(2, ["d"])] * 8
     df = spark.createDataFrame(rows, "cluster_id int, items array<string>")
