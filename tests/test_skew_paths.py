@@ -59,3 +59,37 @@ def test_staged_mining_equals_unstaged(spark, scratch):
     key = lambda df: sorted(tuple(str(v) for v in r) for r in df.collect())
     assert key(a_sets) == key(b_sets) and key(a_rules) == key(b_rules)
     assert a_sets.where("size = 1 AND array_contains(items, 'c0')").count() >= 1
+
+
+def sized_clusters(spark):
+    """Six clusters of the same kinds of baskets, each four times as large as the one before."""
+    kinds = [["a", "b", "c"], ["a", "b"], ["b", "c"], ["a"]]
+    return spark.createDataFrame([(c, kinds[i % 4]) for c in range(6) for i in range(4 ** (c + 1))], "cluster_id int, items array<string>")
+
+
+def test_more_clusters_need_no_more_jobs(spark):
+    df, sc, jobs = sized_clusters(spark), spark.sparkContext, {}
+    for n in (1, 6):
+        sc.setJobGroup(f"mine-{n}", "")
+        sets, _ = mine_clusters(df, list(range(n)), 0.5, 0.5, staged=False)
+        jobs[n] = len(sc.statusTracker().getJobIdsForGroup(f"mine-{n}"))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert sorted((r.cluster_id, "".join(r["items"]), r.freq * 4 // 4 ** (r.cluster_id + 1)) for r in sets.collect()) == \
+            sorted((c, x, k) for c in range(n) for x, k in [("a", 3), ("b", 3), ("c", 2), ("ab", 2), ("bc", 2)])
+    assert jobs[6] < 2 * jobs[1]
+
+
+def test_mined_baskets_are_dealt_out_by_rows(spark, scratch, monkeypatch):
+    """The staged files of a large cluster are small and few; the mining spreads its baskets evenly."""
+    from basketmine.operators import mining
+    held = []
+    grow = mining.grow_itemsets
+
+    def spy(baskets, *args):
+        held.extend(r.n for r in baskets.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+        return grow(baskets, *args)
+
+    monkeypatch.setattr(mining, "grow_itemsets", spy)
+    monkeypatch.setattr(mining, "ROWS_PER_PART", 500)
+    mining.mine_clusters(stage_by_cluster(sized_clusters(spark), folder=scratch), list(range(6)), 0.5, 0.5, staged=False)
+    assert sum(held) == 5460 and len(held) == 11 and max(held) <= 600
