@@ -90,11 +90,10 @@ def grow_itemsets(baskets: DataFrame, sizes: dict[int, int], min_support: float)
     # rarest first: a frequent set ends in common items, so that little follows it
     order = {x: i for i, x in enumerate(sorted(total, key=lambda x: (total[x], str(x))))}
     names = F.array(*[F.lit(x).cast(kind) for x in order]).cast(f"array<{kind.simpleString()}>")
-    level = keep(spark.createDataFrame(
+    level = stored(spark.createDataFrame(
         [(i, r["cluster_id"], order[r["item"]], r["freq"], r["min_count"]) for i, r in enumerate(singles)],
         "id long, prefix long, item int, freq long, min_count long")
         .select("id", "prefix", F.col("prefix").cast("int").alias("cluster_id"), "item", "freq", "min_count", F.array(F.get(names, F.col("item"))).alias("items")))
-    level.count()       # a cached table tells its size: the join with all baskets below need not shuffle them
     levels = [level]
 
     number = item_number({r["item"]: r["hash"] for r in singles}, order, kind.simpleString())
@@ -111,17 +110,24 @@ def grow_itemsets(baskets: DataFrame, sizes: dict[int, int], min_support: float)
                   .groupBy("prefix", "item").agg(F.count(F.lit(1)).alias("freq")))
         grown = counts.join(level.select(F.col("id").alias("prefix"), "cluster_id", "min_count", "items"), "prefix").where(F.col("freq") >= F.col("min_count"))
         # the window sees the frequent sets of one size
-        level = keep(grown.select((F.row_number().over(Window.orderBy("prefix", "item")) - 1).cast("long").alias("id"), "prefix", "cluster_id", "item",
+        level = stored(grown.select((F.row_number().over(Window.orderBy("prefix", "item")) - 1).cast("long").alias("id"), "prefix", "cluster_id", "item",
                                   "freq", "min_count", F.concat("items", F.array(F.get(names, F.col("item")))).alias("items")))
         found, size = level.count(), size + 1
         levels.append(level)
     sets = keep(reduce(DataFrame.unionByName, levels).select("cluster_id", "items", "freq"))
     sets.count()
-    for df in (ranked, *levels):
-        df.unpersist()
+    ranked.unpersist()
     return sets
 
 
+def stored(sets: DataFrame) -> DataFrame:
+    """A level, written to the shared checkpoint folder and read back.  The plans of the next levels hold it twice:
+    with its lineage they would double at each level.  The file tells its size, so a small level is broadcast to the baskets."""
+    path = f"{ensure_checkpoint_dir(sets.sparkSession).rstrip('/')}/itemsets-{uuid.uuid4().hex}"
+    sets.coalesce(1).write.parquet(path)
+    return sets.sparkSession.read.parquet(path)
+
+
 def item_number(hashes: dict, order: dict, kind: str):
     """Function from an item to its number in ``order`` (NULL for all others), by a table of hash slots."""
     n = max(len(hashes), 1)

@@ -158,6 +158,15 @@ def test_itemsets_are_mined_once(spark):
     assert read.value == before == len(tx)
 
 
+def test_long_itemsets(spark):
+    """Sets of up to nine items: the plans of the levels stay small."""
+    rows = [(list("abcdefghi"),)] * 6 + [(["a", "x"],)] * 4
+    model = fit_fpgrowth(spark.createDataFrame(rows, "items array<string>").coalesce(1), 0.6, 0.99)
+    got = {"".join(sorted(r["items"])): r.freq for r in model.freqItemsets.collect()}
+    assert len(got) == 2 ** 9 - 1 and got["a"] == 10 and got["abcdefghi"] == 6
+    assert len(model.freqItemsets._jdf.queryExecution().toString()) < 200_000
+
+
 def test_mine_clusters_uses_cluster_support(spark):
     rows = [(1, ["a", "b"])] * 6 + [(1, ["c"])] * 4 + [(2, ["a"])] * 2 + [(2, ["d"])] * 8
     df = spark.createDataFrame(rows, "cluster_id int, items array<string>")
