@@ -7,6 +7,7 @@ import io
 import random
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from basketmine.functions import bitwords
@@ -14,7 +15,8 @@ from basketmine.functions.jaccard import Centres, set_distance
 from basketmine.operators.ckmeans import ConstrainedKMeans, customer_label, customer_table, draw_seeds, labels_by_k, set_column
 from basketmine.operators.encode import (decode_words, encode_baskets, encode_bits, encode_long, from_vectors, names_of, to_vectors,
                                          vocabulary, vocabulary_table)
-from basketmine.operators.kmeans import fit_kmeans, step_gap
+from basketmine.operators.kmeans import fit_kmeans, kmeans_labels, step_gap
+from basketmine.operators.metrics import adjusted_rand_index
 from basketmine.operators.nearest import nearest_many
 from basketmine.operators.selection import best_k, select_k_constrained, select_k_kmeans, stops
 from basketmine.sources.sinks import append_trials, logged_trials, write_sorted
@@ -270,6 +272,53 @@ def test_a_kmeans_walk_is_taken_up_again(spark, scratch):
     assert all(not stops(b[2], a[2]) for a, b in zip(want, want[1:-1]))
 
 
+def stored_vectors(spark, monkeypatch) -> list:
+    """Gets the columns and the storage level of every frame with vectors that is stored from now on."""
+    found: list = []
+    frame = type(spark.range(1))
+    persist = frame.persist
+
+    def noted(df, storageLevel):
+        if "features" in df.columns:
+            found.append((df.columns, storageLevel))
+        return persist(df, storageLevel)
+    monkeypatch.setattr(frame, "persist", noted)
+    return found
+
+
+def test_a_kmeans_walk_stores_its_vectors_once_and_off_the_heap(spark, monkeypatch):
+    levels, lines, _ = shop(spark, 25, 140, 9)
+    enc = encode_baskets(lines, levels)
+    rows = to_vectors(enc, names_of(enc)).select("basket_id", "features")
+    vec = spark.createDataFrame(rows.collect(), rows.schema)        # the same order in every run
+    stored = stored_vectors(spark, monkeypatch)
+    first: list = []
+    _, trials = select_k_kmeans(vec, 3, 6, 5, 1, first=first)
+    assert stored == [(["basket_id", "features"], StorageLevel.DISK_ONLY)]
+    assert vec.storageLevel == StorageLevel.NONE and first[0].storageLevel == StorageLevel.DISK_ONLY
+    assert first[0].columns == ["basket_id", "label_a", "label_b"]
+    labels = {k: {r.basket_id: r.prediction for r in kmeans_labels(fit_kmeans(vec, k, 5, 1), vec).collect()} for k in range(3, 7)}
+    assert {r.basket_id: (r.label_a, r.label_b) for r in first[0].collect()} == {b: (a, labels[4][b]) for b, a in labels[3].items()}
+    first[0].unpersist()
+    for k, k_next, ari in trials.collect():
+        both = spark.createDataFrame([(labels[k][b], labels[k_next][b]) for b in labels[k]], "label_a int, label_b int")
+        assert adjusted_rand_index(both) == pytest.approx(ari, abs=1e-12)
+
+
+def test_the_kmeans_selection_query_stores_ids_and_vectors_only(spark, scratch, monkeypatch):
+    from basketmine.plans.queries import q_kmeans_selection
+    rnd, sf = random.Random(4), f"{scratch}/kmeans_shop"
+    parts = [(p, f"Brand#{p % 5}", f"TYPE{p % 3}") for p in range(20)]
+    items = [(o, rnd.randrange(25)) for o in range(1, 60) for _ in range(rnd.randrange(1, 5))]      # order 0 is empty, parts from 20 on are unknown
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_type string").write.parquet(f"{sf}/part.parquet")
+    spark.createDataFrame([(o, o % 9) for o in range(60)], "o_orderkey long, o_custkey long").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long").write.parquet(f"{sf}/lineitem.parquet")
+    stored = stored_vectors(spark, monkeypatch)
+    got = sorted(tuple(r) for r in q_kmeans_selection(spark, sf).select("fixed", "n", "in_range", "by_rule").collect())
+    assert got == [(f, 20, True, True) for f in range(3)]
+    assert stored == [(["basket_id", "features"], StorageLevel.DISK_ONLY)]
+
+
 def test_one_more_iteration_is_one_lloyd_step(spark):
     levels, lines, _ = shop(spark, 25, 200, 10)
     enc = encode_baskets(lines, levels)
